@@ -13,7 +13,10 @@ from pyspark.sql import functions as F
 
 from blotter.functions.dates import civil_date, clock_hour
 from blotter.operators.crosstab import crosstab_long, crosstab_wide
-from blotter.operators.harmonize import harmonize, record_type
+from blotter.operators.harmonize import harmonize, record_type, since
+from blotter.operators.scaling import cluster_rows, minmax, row_zscore_clip, zscore
+from blotter.operators.temporal import (daily_pivot, hourly_pivot, monthly_resample, pivot_to_long,
+                                        seasonal_profile)
 from blotter.operators.ranking import top_categories_by_field, top_values
 from blotter.plans import roles
 from blotter.plans.oracle_base import lit, quoted, with_base
@@ -123,3 +126,116 @@ def q_crosstab_long(spark, sf_dir):
     c, offences = _complaint_offences(spark, sf_dir)
     premises = top_values(c, "PREM_TYP_DESC", TOP_K)
     return crosstab_long(c, "PREM_TYP_DESC", "OFNS_DESC", offences, row_filter=premises)
+
+
+# ------------------------------------------------------------------ temporal
+
+def _arrest_days(spark, sf_dir) -> tuple[DataFrame, list]:
+    """Daily pivot of arrests since ``roles.SINCE`` over the top arrest offences."""
+    a = record_type(incidents(spark, sf_dir), "A")
+    offences = top_values(a, "OFNS_DESC", TOP_K)
+    return daily_pivot(since(a, roles.SINCE), "Date", "OFNS_DESC", offences), offences
+
+
+_A_SINCE = f"incidents WHERE RECORD_TYPE = 'A' AND Date >= DATE {lit(roles.SINCE)}"
+_A_CATS = ("cats AS (SELECT DISTINCT OFNS_DESC FROM incidents "
+           "WHERE RECORD_TYPE = 'A' AND OFNS_DESC IS NOT NULL)")
+BRANDS = [f"Brand#{i}" for i in range(1, 26)]
+_brand_cols = ", ".join(f"count(*) FILTER (WHERE OFNS_DESC = {lit(v)}) AS {quoted(v)}" for v in BRANDS)
+
+
+@register("daily_pivot", with_base(f"SELECT Date, {_brand_cols} FROM {_A_SINCE} GROUP BY Date"))
+def q_daily_pivot(spark, sf_dir):
+    return _arrest_days(spark, sf_dir)[0]
+
+
+@register("monthly_resample", with_base(
+    f"daily AS (SELECT Date, OFNS_DESC, count(*) AS n FROM {_A_SINCE} GROUP BY ALL)",
+    "months AS (SELECT CAST(unnest(generate_series(min(date_trunc('month', Date)), "
+    "max(date_trunc('month', Date)), INTERVAL 1 MONTH)) AS DATE) AS m FROM daily)",
+    _A_CATS, """
+SELECT last_day(m) AS month_end, c.OFNS_DESC, CAST(coalesce(sum(d.n), 0) AS BIGINT) AS n
+FROM months CROSS JOIN cats c
+LEFT JOIN daily d ON CAST(date_trunc('month', d.Date) AS DATE) = m AND d.OFNS_DESC = c.OFNS_DESC
+GROUP BY ALL"""))
+def q_monthly_resample(spark, sf_dir):
+    wide, offences = _arrest_days(spark, sf_dir)
+    return pivot_to_long(monthly_resample(wide, "Date", offences), "month_end", offences, "OFNS_DESC")
+
+
+def _seasonal_oracle(part: str, fn: str, max_key: int | None) -> str:
+    cond = f"WHERE {fn}(Date) <= {max_key}" if max_key else ""
+    return with_base(
+        f"a AS (SELECT Date, OFNS_DESC FROM {_A_SINCE})",
+        f"keys AS (SELECT DISTINCT CAST({fn}(Date) AS INTEGER) AS {part} FROM a {cond})",
+        _A_CATS,
+        f"cnt AS (SELECT CAST({fn}(Date) AS INTEGER) AS {part}, OFNS_DESC, count(*) AS n FROM a GROUP BY ALL)",
+        f"""grid AS (SELECT k.{part}, c.OFNS_DESC, CAST(coalesce(x.n, 0) AS BIGINT) AS n
+          FROM keys k CROSS JOIN cats c LEFT JOIN cnt x ON x.{part} = k.{part} AND x.OFNS_DESC = c.OFNS_DESC)""",
+        f"""SELECT {part}, OFNS_DESC, n,
+       round((n - avg(n) OVER w) / NULLIF(stddev_samp(n) OVER w, 0), 6) AS z
+FROM grid WINDOW w AS (PARTITION BY OFNS_DESC)""")
+
+
+def _seasonal(spark, sf_dir, part: str, max_key: int | None) -> DataFrame:
+    wide, offences = _arrest_days(spark, sf_dir)
+    prof = pivot_to_long(seasonal_profile(wide, "Date", offences, part, max_key), part, offences,
+                         "OFNS_DESC")
+    return zscore(prof, "n", "OFNS_DESC", ddof=1).withColumn("z", F.round("z", 6))
+
+
+@register("day_of_month_z", _seasonal_oracle("day", "dayofmonth", 28))
+def q_day_of_month_z(spark, sf_dir):
+    return _seasonal(spark, sf_dir, "day", 28)
+
+
+@register("month_of_year_z", _seasonal_oracle("month", "month", None))
+def q_month_of_year_z(spark, sf_dir):
+    return _seasonal(spark, sf_dir, "month", None)
+
+
+def _hours(spark, sf_dir) -> tuple[DataFrame, list]:
+    ev = roles.table(spark, sf_dir, "events")
+    types = top_values(ev, "event_type", TOP_K)
+    return hourly_pivot(ev, "ts", "event_type", types, "hour"), types
+
+
+_ev_cols = ", ".join(f"count(*) FILTER (WHERE event_type = {lit(v)}) AS {quoted(v)}" for v in EVENT_TYPES)
+_HOUR_GRID = (f"""grid AS (SELECT hour, event_type, n FROM (
+  SELECT CAST(hour(ts) AS INTEGER) AS hour, {_ev_cols} FROM events WHERE ts IS NOT NULL GROUP BY 1)
+  UNPIVOT (n FOR event_type IN ({", ".join(quoted(v) for v in EVENT_TYPES)})))""")
+
+
+@register("hourly_pivot", with_base(
+    f"SELECT CAST(hour(ts) AS INTEGER) AS hour, {_ev_cols} FROM events WHERE ts IS NOT NULL GROUP BY 1"))
+def q_hourly_pivot(spark, sf_dir):
+    return _hours(spark, sf_dir)[0]
+
+
+@register("hour_minmax", with_base(_HOUR_GRID, """
+SELECT hour, event_type, n,
+       round((n - min(n) OVER w) / NULLIF(max(n) OVER w - min(n) OVER w, 0), 6) AS scaled
+FROM grid WINDOW w AS (PARTITION BY event_type)"""))
+def q_hour_minmax(spark, sf_dir):
+    wide, types = _hours(spark, sf_dir)
+    return minmax(pivot_to_long(wide, "hour", types, "event_type"), "n", "event_type") \
+        .withColumn("scaled", F.round("scaled", 6))
+
+
+@register("row_z_clip", with_base(_HOUR_GRID, """
+z AS (SELECT hour, event_type, n,
+             (n - avg(n) OVER w) / NULLIF(stddev_samp(n) OVER w, 0) AS z
+      FROM grid WINDOW w AS (PARTITION BY hour))""", """
+cap AS (SELECT least(max(z), abs(min(z))) AS cap FROM z)""", """
+SELECT hour, event_type, n, round(greatest(least(z, cap), -cap), 6) AS z FROM z, cap"""))
+def q_row_z_clip(spark, sf_dir):
+    wide, types = _hours(spark, sf_dir)
+    return row_zscore_clip(pivot_to_long(wide, "hour", types, "event_type"), "hour", "n") \
+        .withColumn("z", F.round("z", 6))
+
+
+@register("cluster_order")
+def q_cluster_order(spark, sf_dir):
+    wide, types = _hours(spark, sf_dir)
+    z = zscore(pivot_to_long(wide, "hour", types, "event_type"), "n", "hour", ddof=1)
+    return cluster_rows(z, "hour", "event_type", "z", types, k=4)
