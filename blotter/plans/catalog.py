@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from blotter.functions.dates import civil_date, clock_hour
 from blotter.operators.crosstab import crosstab_long, crosstab_wide
+from blotter.operators.demographics import assemble_demographics, unpivot_years
+from blotter.operators.regression import correlations, elastic_net, ols_tests, region_year_facts
 from blotter.operators.harmonize import harmonize, record_type, since
 from blotter.operators.scaling import cluster_rows, minmax, row_zscore_clip, zscore
 from blotter.operators.temporal import (daily_pivot, hourly_pivot, monthly_resample, pivot_to_long,
@@ -239,3 +241,118 @@ def q_cluster_order(spark, sf_dir):
     wide, types = _hours(spark, sf_dir)
     z = zscore(pivot_to_long(wide, "hour", types, "event_type"), "n", "hour", ddof=1)
     return cluster_rows(z, "hour", "event_type", "z", types, k=4)
+
+
+# ------------------------------------------------------------ demographics
+
+def demographics(spark, sf_dir) -> DataFrame:
+    wides = roles.demographics_wide(spark, sf_dir)
+    parts = {m: unpivot_years(w, m, roles.DEMO_YEARS) for m, w in wides.items()}
+    return assemble_demographics(parts)
+
+
+_MEASURES = list(roles.DEMO_MEASURE_EXPRS)
+_DEMO_SQL = ("demo AS (SELECT upper(Borough) AS Borough, Year, " + ", ".join(_MEASURES)
+             + ", upper(Borough) || Year AS Demo_Key FROM demo_measures WHERE Year IN "
+             + _in(roles.DEMO_YEARS) + ")")
+_FACTS_SQL = ("facts AS (SELECT Key, crime_count, Borough, Year, " + ", ".join(_MEASURES) + """
+  FROM (SELECT upper(BORO_NM) || CAST(Year AS VARCHAR) AS Key, count(CMPLNT_NUM) AS crime_count
+        FROM incidents WHERE RECORD_TYPE = 'C' AND Year IN (""" + ", ".join(roles.DEMO_YEARS) + """)
+          AND BORO_NM IN """ + _in(roles.REGION_NAMES) + """ GROUP BY 1) AS c
+  JOIN demo ON c.Key = demo.Demo_Key)""")
+
+
+@register("demographics_long", with_base(_DEMO_SQL, "SELECT * FROM demo"))
+def q_demographics_long(spark, sf_dir):
+    return demographics(spark, sf_dir)
+
+
+def facts(spark, sf_dir) -> DataFrame:
+    return region_year_facts(incidents(spark, sf_dir), demographics(spark, sf_dir),
+                             roles.DEMO_YEARS, roles.REGION_NAMES)
+
+
+@register("region_year_facts", with_base(_DEMO_SQL, _FACTS_SQL, "SELECT * FROM facts"))
+def q_region_year_facts(spark, sf_dir):
+    return facts(spark, sf_dir)
+
+
+_CORR_COLS = ["crime_count", *_MEASURES]
+
+
+@register("correlations", with_base(_DEMO_SQL, _FACTS_SQL, " UNION ALL ".join(
+    f"SELECT {lit(c)} AS factor, round(CASE WHEN isnan(corr(crime_count, {c})) THEN NULL "
+    f"ELSE corr(crime_count, {c}) END, 6) AS r FROM facts" for c in _CORR_COLS)))
+def q_correlations(spark, sf_dir):
+    out = correlations(facts(spark, sf_dir), "crime_count")
+    return out.select(F.col("column").alias("factor"), F.round("corr", 6).alias("r"))
+
+
+SIMPLE_TESTS = [(f"crime_count~{m}", m, None) for m in _MEASURES[:4]]
+CONTROLLED_TESTS = [(f"crime_count~{m}+population", m, "population") for m in _MEASURES[:4]]
+_ROUNDED = ["beta", "r_squared", "t_marginal", "t_ols", "p_one_sided", "p_two_sided"]
+
+
+def _ols(spark, sf_dir, tests) -> DataFrame:
+    out = ols_tests(facts(spark, sf_dir), "crime_count", tests)
+    return out.withColumns({c: F.round(c, 6) for c in _ROUNDED})
+
+
+def _ols_oracle(tests) -> str:
+    parts = []
+    for name, x1, x2 in tests:
+        cond = f"crime_count IS NOT NULL AND {x1} IS NOT NULL" + (f" AND {x2} IS NOT NULL" if x2 else "")
+        r2 = f"corr(crime_count, {x2})" if x2 else "CAST(0 AS DOUBLE)"
+        r12 = f"corr({x1}, {x2})" if x2 else "CAST(0 AS DOUBLE)"
+        parts.append(f"SELECT {lit(name)} AS test, {lit(x1)} AS predictor, "
+                     f"{lit(x2) if x2 else 'CAST(NULL AS VARCHAR)'} AS control, {2 if x2 else 1} AS M, "
+                     f"count(*) AS n, corr(crime_count, {x1}) AS r1, {r2} AS r2, {r12} AS r12 "
+                     f"FROM facts WHERE {cond}")
+    return with_base(
+        _DEMO_SQL, _FACTS_SQL,
+        "m AS (" + " UNION ALL ".join(parts) + ")",
+        """c AS (SELECT *, n - (M + 1) AS dof,
+  CASE WHEN M = 1 THEN r1 WHEN 1 - r12 * r12 < 1e-12 THEN r1 / 2 ELSE (r1 - r2 * r12) / (1 - r12 * r12) END AS beta,
+  CASE WHEN M = 1 THEN 0 WHEN 1 - r12 * r12 < 1e-12 THEN r2 / 2 ELSE (r2 - r1 * r12) / (1 - r12 * r12) END AS beta2
+  FROM m)""",
+        """d AS (SELECT *, CASE WHEN M = 1 OR 1 - r12 * r12 < 1e-12 THEN r1 * r1 ELSE beta * r1 + beta2 * r2 END AS r_squared FROM c)""",
+        """t AS (SELECT *, beta * sqrt(dof / (1 - r_squared)) AS t_marginal,
+  beta * sqrt(dof * (1 - r12 * r12) / (1 - r_squared)) AS t_ols FROM d)""",
+        """tv AS (SELECT test, 'm' AS which, abs(t_marginal) AS tv, dof FROM t
+        UNION ALL SELECT test, 'o', abs(t_ols), dof FROM t)""",
+        """sp AS (SELECT test, which, dof, atan(tv / sqrt(dof)) AS th,
+  CASE WHEN dof % 2 = 0 THEN dof // 2 ELSE (dof - 1) // 2 END AS nt FROM tv)""",
+        """ser(test, which, k, term, total) AS (
+  SELECT test, which, 0, CASE WHEN dof % 2 = 0 THEN CAST(1 AS DOUBLE) ELSE cos(th) END, CAST(0 AS DOUBLE) FROM sp
+  UNION ALL
+  SELECT s.test, s.which, s.k + 1,
+         s.term * pow(cos(p.th), 2) * CASE WHEN p.dof % 2 = 0 THEN (2 * s.k + 1) / (2 * s.k + 2)
+                                           ELSE (2 * s.k + 2) / (2 * s.k + 3) END,
+         s.total + s.term
+  FROM ser s JOIN sp p ON s.test = p.test AND s.which = p.which WHERE s.k < p.nt)""",
+        """pv AS (SELECT p.test, p.which, greatest(CASE WHEN p.dof % 2 = 0 THEN (1 - sin(p.th) * s.total) / 2
+  ELSE (1 - 2 / pi() * (p.th + sin(p.th) * s.total)) / 2 END, 0) AS p
+  FROM sp p JOIN ser s ON s.test = p.test AND s.which = p.which AND s.k = p.nt)""",
+        """SELECT t.test, predictor, control, CAST(n AS BIGINT) AS n, CAST(dof AS BIGINT) AS dof,
+  round(beta, 6) AS beta, round(r_squared, 6) AS r_squared, round(t_marginal, 6) AS t_marginal,
+  round(t_ols, 6) AS t_ols, round(pm.p, 6) AS p_one_sided, round(least(2 * po.p, 1), 6) AS p_two_sided,
+  CASE WHEN pm.p < 0.05 THEN 'reject' ELSE 'retain' END AS decision,
+  CASE WHEN least(2 * po.p, 1) < 0.05 THEN 'reject' ELSE 'retain' END AS decision_two_sided,
+  'ok' AS status
+FROM t JOIN pv pm ON pm.test = t.test AND pm.which = 'm' JOIN pv po ON po.test = t.test AND po.which = 'o'""",
+        recursive=True)
+
+
+@register("ols_simple", _ols_oracle(SIMPLE_TESTS))
+def q_ols_simple(spark, sf_dir):
+    return _ols(spark, sf_dir, SIMPLE_TESTS)
+
+
+@register("ols_controlled", _ols_oracle(CONTROLLED_TESTS))
+def q_ols_controlled(spark, sf_dir):
+    return _ols(spark, sf_dir, CONTROLLED_TESTS)
+
+
+@register("elastic_net_r2")
+def q_elastic_net_r2(spark, sf_dir):
+    return elastic_net(facts(spark, sf_dir), "crime_count", ["unemployment_rate"])

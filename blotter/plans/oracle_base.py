@@ -45,10 +45,11 @@ INCIDENTS_CTE = f"""incidents AS (
 BASE = "WITH " + ",\n".join([ARRESTS_CTE, COMPLAINTS_CTE, INCIDENTS_CTE, REGIONS_CTE, DEMO_CTE])
 
 
-def with_base(*ctes_and_body: str) -> str:
+def with_base(*ctes_and_body: str, recursive: bool = False) -> str:
     """``WITH <feeds>, <extra ctes...> <final select>``."""
     *ctes, body = ctes_and_body
-    head = BASE + "".join(",\n" + c for c in ctes)
+    base = BASE.replace("WITH ", "WITH RECURSIVE ", 1) if recursive else BASE
+    head = base + "".join(",\n" + c for c in ctes)
     return head + "\n" + body
 
 
