@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 from blotter.functions.dates import civil_date, clock_hour
 from blotter.operators.crosstab import crosstab_long, crosstab_wide
 from blotter.operators.correspondence import ca_biplot, ca_inertia, ca_residuals, correspondence
+from blotter.operators.sampling import stratified_sample, stratified_sample_hash
+from blotter.operators.spatial import (explode_edges, grid_counts, group_extent, heat_layer,
+                                       kernel_density, region_year_counts, tag_points)
 from blotter.operators.demographics import assemble_demographics, unpivot_years
 from blotter.operators.regression import correlations, elastic_net, ols_tests, region_year_facts
 from blotter.operators.harmonize import harmonize, record_type, since
@@ -449,3 +452,155 @@ def q_ca_biplot(spark, sf_dir):
     c, offences = _complaint_offences(spark, sf_dir)
     cells = crosstab_long(c, "SUSP_RACE", "OFNS_DESC", offences)
     return ca_biplot(correspondence(cells, "SUSP_RACE", "OFNS_DESC").coordinates)
+
+
+# ------------------------------------------------------------------ spatial
+
+_WKT_EDGES = r"""r1 AS (SELECT bor_subb, name, regexp_extract_all(geometry, '\(([^()]+)\)', 1) AS rings
+  FROM regions_raw WHERE bor_subb IS NOT NULL AND name IS NOT NULL AND geometry IS NOT NULL),
+r2 AS (SELECT bor_subb, name, unnest(rings) AS ring, unnest(range(len(rings))) AS ring_no FROM r1),
+r3 AS (SELECT bor_subb, name, ring_no, unnest(string_split(ring, ',')) AS pt,
+              unnest(range(len(string_split(ring, ',')))) AS idx FROM r2),
+r4 AS (SELECT bor_subb, name, ring_no, idx, CAST(string_split(trim(pt), ' ')[1] AS DOUBLE) AS x,
+              CAST(string_split(trim(pt), ' ')[2] AS DOUBLE) AS y FROM r3),
+r5 AS (SELECT bor_subb, name, ring_no, idx, x AS x1, y AS y1, lead(x) OVER w AS x2, lead(y) OVER w AS y2
+       FROM r4 WINDOW w AS (PARTITION BY bor_subb, ring_no ORDER BY idx)),
+edges AS (SELECT bor_subb, name,
+                 CAST(row_number() OVER (PARTITION BY bor_subb ORDER BY ring_no, idx) - 1 AS INTEGER) AS edge_no,
+                 x1, y1, x2, y2 FROM r5 WHERE x2 IS NOT NULL)"""
+
+
+@register("wkt_edges", with_base(_WKT_EDGES, "SELECT * FROM edges"))
+def q_wkt_edges(spark, sf_dir):
+    return explode_edges(roles.regions(spark, sf_dir))
+
+
+def _complaint_points(spark, sf_dir) -> DataFrame:
+    c = record_type(incidents(spark, sf_dir), "C").filter(F.col("Lat_Lon").isNotNull())
+    return c.select("CMPLNT_NUM", "Year", "Latitude", "Longitude")
+
+
+def tagged_complaints(spark, sf_dir) -> DataFrame:
+    return tag_points(_complaint_points(spark, sf_dir), roles.regions(spark, sf_dir),
+                      x="Longitude", y="Latitude", cell=roles.SPATIAL_CELL)
+
+
+_PIP = _WKT_EDGES + """,
+pts AS (SELECT CMPLNT_NUM, Year, Latitude, Longitude FROM incidents
+        WHERE RECORD_TYPE = 'C' AND Lat_Lon IS NOT NULL AND Latitude IS NOT NULL AND Longitude IS NOT NULL
+          AND NOT isnan(Latitude) AND NOT isnan(Longitude)),
+tagged AS (SELECT p.CMPLNT_NUM, p.Year, p.Latitude, p.Longitude, e.bor_subb, e.name
+  FROM pts p CROSS JOIN edges e
+  GROUP BY ALL
+  HAVING sum(CASE WHEN (e.y1 > p.Latitude) != (e.y2 > p.Latitude)
+                   AND p.Longitude < (e.x2 - e.x1) * (p.Latitude - e.y1) / (e.y2 - e.y1) + e.x1
+              THEN 1 ELSE 0 END) % 2 = 1
+      OR bool_or((e.x2 - e.x1) * (p.Latitude - e.y1) = (e.y2 - e.y1) * (p.Longitude - e.x1)
+                 AND p.Longitude >= least(e.x1, e.x2) AND p.Longitude <= greatest(e.x1, e.x2)
+                 AND p.Latitude >= least(e.y1, e.y2) AND p.Latitude <= greatest(e.y1, e.y2)))"""
+
+
+@register("point_in_region", with_base(_PIP, "SELECT * FROM tagged"))
+def q_point_in_region(spark, sf_dir):
+    return tagged_complaints(spark, sf_dir)
+
+
+@register("region_counts", with_base(_PIP, f"""
+SELECT upper(name) || CAST(Year AS VARCHAR) AS Key, count(CMPLNT_NUM) AS crime_count
+FROM tagged WHERE Year IN ({", ".join(roles.DEMO_YEARS)}) GROUP BY 1"""))
+def q_region_counts(spark, sf_dir):
+    t = tagged_complaints(spark, sf_dir).filter(F.col("Year").isin([int(y) for y in roles.DEMO_YEARS]))
+    return region_year_counts(t)
+
+
+def _recent_arrests(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    a = record_type(incidents(spark, sf_dir), "A")
+    return a, since(a, roles.SPATIAL_SINCE)
+
+
+_A_RECENT = f"incidents WHERE RECORD_TYPE = 'A' AND Date >= DATE {lit(roles.SPATIAL_SINCE)}"
+_VALID_XY = "Latitude IS NOT NULL AND Longitude IS NOT NULL AND NOT isnan(Latitude) AND NOT isnan(Longitude)"
+
+
+def _top_arrest_sql(k: int) -> str:
+    return (f"top AS (SELECT OFNS_DESC FROM (SELECT OFNS_DESC, count(*) AS n FROM incidents "
+            f"WHERE RECORD_TYPE = 'A' GROUP BY 1) ORDER BY n DESC, OFNS_DESC ASC NULLS LAST LIMIT {k})")
+
+
+@register("grid_density", with_base(_top_arrest_sql(10), f"""
+SELECT OFNS_DESC, CAST(floor(Longitude / {roles.DENSITY_CELL}) AS BIGINT) AS gx,
+       CAST(floor(Latitude / {roles.DENSITY_CELL}) AS BIGINT) AS gy, count(*) AS n
+FROM {_A_RECENT} AND {_VALID_XY} AND OFNS_DESC IN (SELECT OFNS_DESC FROM top WHERE OFNS_DESC IS NOT NULL)
+GROUP BY ALL"""))
+def q_grid_density(spark, sf_dir):
+    a, recent = _recent_arrests(spark, sf_dir)
+    top10 = top_values(a, "OFNS_DESC", 10)
+    return grid_counts(recent.filter(F.col("OFNS_DESC").isin(top10)), "Longitude", "Latitude",
+                       roles.DENSITY_CELL, by=["OFNS_DESC"])
+
+
+_cell, _bw, _rad = roles.DENSITY_CELL, roles.DENSITY_BANDWIDTH, roles.DENSITY_RADIUS
+
+
+@register("grid_kernel", with_base(
+    f"""c AS (SELECT SUSP_RACE, CAST(floor(Longitude / {_cell}) AS BIGINT) AS gx,
+                CAST(floor(Latitude / {_cell}) AS BIGINT) AS gy, count(*) AS n
+         FROM {_A_RECENT} AND {_VALID_XY} AND SUSP_RACE IS NOT NULL GROUP BY ALL)""",
+    f"off AS (SELECT unnest(range(-{_rad}, {_rad + 1})) AS d)",
+    f"""s AS (SELECT SUSP_RACE, gx + dx.d AS gx, gy + dy.d AS gy,
+                n * exp(-((dx.d * {_cell}) * (dx.d * {_cell}) + (dy.d * {_cell}) * (dy.d * {_cell}))
+                        / {2.0 * _bw * _bw}) AS w
+         FROM c CROSS JOIN off AS dx CROSS JOIN off AS dy)""",
+    "tot AS (SELECT SUSP_RACE, sum(n) AS N FROM c GROUP BY 1)", f"""
+SELECT s.SUSP_RACE, CAST(gx AS BIGINT) AS gx, CAST(gy AS BIGINT) AS gy, round(sum(w), 6) AS weight,
+       round(sum(w) / ({2.0 * 3.141592653589793 * _bw * _bw} * any_value(N)), 10) AS density
+FROM s JOIN tot ON s.SUSP_RACE = tot.SUSP_RACE GROUP BY s.SUSP_RACE, gx, gy"""))
+def q_grid_kernel(spark, sf_dir):
+    _, recent = _recent_arrests(spark, sf_dir)
+    counts = grid_counts(recent.filter(F.col("SUSP_RACE").isNotNull()), "Longitude", "Latitude",
+                         _cell, by=["SUSP_RACE"])
+    k = kernel_density(counts, _cell, _bw, _rad, by=["SUSP_RACE"])
+    return k.select("SUSP_RACE", "gx", "gy", F.round("weight", 6).alias("weight"),
+                    F.round("density", 10).alias("density"))
+
+
+@register("heat_points", with_base(_top_arrest_sql(roles.HEAT_LAYERS), f"""
+SELECT OFNS_DESC, Latitude, Longitude, count(*) AS weight
+FROM {_A_RECENT} AND {_VALID_XY} AND OFNS_DESC IN (SELECT OFNS_DESC FROM top) GROUP BY ALL"""))
+def q_heat_points(spark, sf_dir):
+    a, recent = _recent_arrests(spark, sf_dir)
+    layers = top_values(a, "OFNS_DESC", roles.HEAT_LAYERS)
+    return heat_layer(recent.filter(F.col("OFNS_DESC").isin(layers)), "Longitude", "Latitude",
+                      by=["OFNS_DESC"])
+
+
+@register("group_extent", with_base(_top_arrest_sql(10), f"""
+SELECT OFNS_DESC, min(Latitude) AS min_Latitude, max(Latitude) AS max_Latitude,
+       min(Longitude) AS min_Longitude, max(Longitude) AS max_Longitude, count(*) AS n
+FROM {_A_RECENT} AND {_VALID_XY} AND OFNS_DESC IN (SELECT OFNS_DESC FROM top) GROUP BY ALL"""))
+def q_group_extent(spark, sf_dir):
+    a, recent = _recent_arrests(spark, sf_dir)
+    top10 = top_values(a, "OFNS_DESC", 10)
+    return group_extent(recent.filter(F.col("OFNS_DESC").isin(top10)), "Longitude", "Latitude",
+                        ["OFNS_DESC"])
+
+
+@register("stratified_sample")
+def q_stratified_sample(spark, sf_dir):
+    a = record_type(incidents(spark, sf_dir), "A")
+    s = stratified_sample(a, "SUSP_RACE", roles.STRATUM_FRACTIONS)
+    return s.select("CMPLNT_NUM", "SUSP_RACE", "Latitude", "Longitude")
+
+
+_frac_case = "CASE SUSP_RACE " + " ".join(
+    f"WHEN {lit(k)} THEN {float(v)}" for k, v in roles.STRATUM_FRACTIONS.items()) + " ELSE 0.0 END"
+
+
+@register("stratified_sample_md5", with_base(f"""
+SELECT CMPLNT_NUM, SUSP_RACE, Latitude, Longitude FROM incidents
+WHERE RECORD_TYPE = 'A' AND SUSP_RACE IS NOT NULL
+  AND CAST(('0x' || substr(md5(CMPLNT_NUM), 1, 8)) AS BIGINT) / 4294967296.0 < {_frac_case}"""))
+def q_stratified_sample_md5(spark, sf_dir):
+    a = record_type(incidents(spark, sf_dir), "A")
+    s = stratified_sample_hash(a, "SUSP_RACE", roles.STRATUM_FRACTIONS, "CMPLNT_NUM")
+    return s.select("CMPLNT_NUM", "SUSP_RACE", "Latitude", "Longitude")

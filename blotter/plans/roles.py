@@ -159,6 +159,11 @@ DENSITY_CELL = 2.0
 DENSITY_BANDWIDTH = 2.0
 DENSITY_RADIUS = 2
 SINCE = "1996-01-01"
+SPATIAL_SINCE = "1999-01-01"   # the last three years of the feed
+HEAT_LAYERS = 3
+# Per-stratum sampling fractions over the arrest "race" values of the role
+# feed: sampled strata, a zero-fraction stratum and one stratum left out.
+STRATUM_FRACTIONS = {"ECONOMY": 0.01, "LARGE": 0.01, "MEDIUM": 0.01, "PROMO": 0.0, "SMALL": 0.01}
 
 
 def _select(df: DataFrame, exprs: dict[str, str]) -> DataFrame:
