@@ -19,6 +19,7 @@ eigenvectors inlined as literals: no shuffle, distributed over rows.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -41,23 +42,33 @@ class CAResult:
     columns: list
 
 
-def ca_residuals(cells: DataFrame, row: str, col: str, value: str = "n") -> DataFrame:
-    """CA1: masses and standardized residuals; zero-mass rows/columns removed."""
-    c = cells.select(row, col, F.col(value).cast("double").alias("n"))
-    c = c.withColumn("_rn", F.sum("n").over(Window.partitionBy(row)))
-    col_tot = c.groupBy(col).agg(F.sum("n").alias("_cn"))
-    # col_tot has one row per listed column value (bounded by the pivot list).
-    c = c.join(F.broadcast(col_tot), col).filter((F.col("_rn") > 0) & (F.col("_cn") > 0))
-    total = c.agg(F.sum("n")).scalar()
+def ca_residuals(cells: DataFrame, row: str, col: str, value: str = "n",
+                 by: Sequence[str] = ()) -> DataFrame:
+    """CA1: masses and standardized residuals; zero-mass rows/columns removed.
+
+    ``by`` analyses several tables at once (one per group), in one plan.
+    """
+    by = list(by)
+    c = cells.select(*by, row, col, F.col(value).cast("double").alias("n"))
+    c = c.withColumn("_rn", F.sum("n").over(Window.partitionBy(*by, row)))
+    col_tot = c.groupBy(*by, col).agg(F.sum("n").alias("_cn"))
+    # col_tot has one row per group and listed column value (bounded by the pivot lists).
+    c = c.join(F.broadcast(col_tot), [*by, col]).filter((F.col("_rn") > 0) & (F.col("_cn") > 0))
+    if by:
+        tot = c.groupBy(*by).agg(F.sum("n").alias("_tot"))      # one row per group
+        c = c.join(F.broadcast(tot), by)
+        total = F.col("_tot")
+    else:
+        total = c.agg(F.sum("n")).scalar()
     p, r, k = F.col("n") / total, F.col("_rn") / total, F.col("_cn") / total
-    return c.select(row, col, F.col("n").cast("long").alias("n"), p.alias("p"),
+    return c.select(*by, row, col, F.col("n").cast("long").alias("n"), p.alias("p"),
                     r.alias("mass_row"), k.alias("mass_col"),
                     ((p - r * k) / F.sqrt(r * k)).alias("residual"))
 
 
-def ca_inertia(residuals: DataFrame, row: str, col: str) -> DataFrame:
-    """CA2: total inertia (= chi-square / n) in one aggregate."""
-    return residuals.agg(
+def ca_inertia(residuals: DataFrame, row: str, col: str, by: Sequence[str] = ()) -> DataFrame:
+    """CA2: total inertia (= chi-square / n) in one aggregate (per group of ``by``)."""
+    return residuals.groupBy(*by).agg(
         F.sum("n").alias("n_total"),
         F.sum(F.col("residual") * F.col("residual")).alias("inertia"),
         F.count_distinct(F.coalesce(F.col(row).cast("string"), F.lit("\u0000NULL"))).alias("n_rows"),

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from blotter.operators.crosstab import crosstab_wide, qcol, wide_to_long
+from blotter.session import materialize
 
 
 def daily_pivot(df: DataFrame, date_col: str, category: str, categories: Sequence[str]) -> DataFrame:
@@ -47,7 +48,11 @@ def monthly_resample(wide: DataFrame, date_col: str, categories: Sequence[str],
     """
     month = F.trunc(F.col(date_col), "month")
     sums = wide.groupBy(month.alias("_m")).agg(*[F.sum(qcol(c)).alias(c) for c in categories])
-    spine = (wide.agg(F.min(month).alias("lo"), F.max(month).alias("hi"))
+    # The monthly sums (months x categories, tiny) are checkpointed once so
+    # the spine and the join read them, instead of the optimizer pushing the
+    # spine's min/max down into a second scan of the raw input.
+    sums = materialize(sums)
+    spine = (sums.agg(F.min("_m").alias("lo"), F.max("_m").alias("hi"))
              .select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 MONTH"))).alias("_m")))
     full = spine.join(sums, "_m", "left")
     return full.select(F.last_day("_m").alias(label),

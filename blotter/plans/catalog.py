@@ -425,13 +425,10 @@ def q_ca_inertia(spark, sf_dir):
                  (F.col("PREM_TYP_DESC").isin(premises) if f == "PREM_TYP_DESC" else F.lit(True)).alias("keep"))
         for f in CA_FIELDS]))).filter("keep")
     wide = crosstab_wide(stacked, F.struct("row_field", "key"), "OFNS_DESC", offences, row_alias="rk")
-    parts = []
-    for f in CA_FIELDS:
-        cells = (wide.filter(F.col("rk.row_field") == f).select(F.col("rk.key").alias("key"),
-                                                                 *[F.col(f"`{v}`") for v in offences]))
-        res = ca_residuals(pivot_to_long(cells, "key", offences, "OFNS_DESC"), "key", "OFNS_DESC")
-        parts.append(ca_inertia(res, "key", "OFNS_DESC").select(F.lit(f).alias("row_field"), "*"))
-    out = reduce(lambda a, b: a.unionByName(b), parts)
+    wide = wide.select("rk.row_field", "rk.key", *[F.col(f"`{v}`") for v in offences])
+    cells = wide.unpivot(["row_field", "key"], [F.col(f"`{v}`") for v in offences], "OFNS_DESC", "n")
+    res = ca_residuals(cells, "key", "OFNS_DESC", by=["row_field"])
+    out = ca_inertia(res, "key", "OFNS_DESC", by=["row_field"])
     return out.select("row_field", "n_total", F.round("inertia", 6).alias("inertia"),
                       F.round("chi2", 6).alias("chi2"), "n_rows", "n_cols")
 
