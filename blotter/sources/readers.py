@@ -82,24 +82,37 @@ def read_regions(spark: SparkSession, path: str, fmt: str = "csv",
     each Polygon/MultiPolygon feature into WKT text with native functions.
     """
     if fmt == "geojson":
-        fc = spark.read.option("multiLine", True).json(path)
+        # Explicit schema: ``coordinates`` nests to different depths for
+        # Polygon and MultiPolygon, so it is kept as raw JSON text and parsed
+        # per geometry type (inference would collapse both to strings).
+        schema = T.StructType([T.StructField("features", T.ArrayType(T.StructType([
+            T.StructField("properties", T.MapType(T.StringType(), T.StringType())),
+            T.StructField("geometry", T.StructType([
+                T.StructField("type", T.StringType()),
+                T.StructField("coordinates", T.StringType())]))])))])
+        fc = spark.read.schema(schema).option("multiLine", True).json(path)
         feats = fc.select(F.explode("features").alias("f"))
-        coords = F.col("f.geometry.coordinates")
+        raw = F.col("f.geometry.coordinates")
         gtype = F.col("f.geometry.type")
-        # coordinates arrive as nested arrays of doubles: render rings as WKT.
-        ring_txt = lambda ring: F.array_join(F.transform(ring, lambda p: F.concat_ws(" ", p[0].cast("string"), p[1].cast("string"))), ", ")
-        poly_txt = lambda poly: F.concat(F.lit("("), F.array_join(F.transform(poly, lambda r: F.concat(F.lit("("), ring_txt(r), F.lit(")"))), ", "), F.lit(")"))
-        feats = feats.select(
-            F.col(f"f.properties.{id_col}").cast("string").alias("bor_subb"),
-            F.col(f"f.properties.{name_col}").cast("string").alias("name"),
-            F.when(gtype == "Polygon",
-                   F.concat(F.lit("POLYGON "), poly_txt(coords.cast("array<array<array<double>>>"))))
+
+        def ring_txt(ring):
+            return F.array_join(F.transform(ring, lambda p: F.concat_ws(
+                " ", p[0].cast("string"), p[1].cast("string"))), ", ")
+
+        def poly_txt(poly):
+            return F.concat(F.lit("("), F.array_join(F.transform(
+                poly, lambda r: F.concat(F.lit("("), ring_txt(r), F.lit(")"))), ", "), F.lit(")"))
+
+        poly = F.from_json(raw, "array<array<array<double>>>")
+        multi = F.from_json(raw, "array<array<array<array<double>>>>")
+        return feats.select(
+            F.col("f.properties").getItem(id_col).alias("bor_subb"),
+            F.col("f.properties").getItem(name_col).alias("name"),
+            F.when(gtype == "Polygon", F.concat(F.lit("POLYGON "), poly_txt(poly)))
             .when(gtype == "MultiPolygon",
-                  F.concat(F.lit("MULTIPOLYGON ("),
-                           F.array_join(F.transform(coords.cast("array<array<array<array<double>>>>"), poly_txt), ", "),
+                  F.concat(F.lit("MULTIPOLYGON ("), F.array_join(F.transform(multi, poly_txt), ", "),
                            F.lit(")")))
             .alias("geometry"))
-        return feats
     df = read_table(spark, path, fmt, schema=REGION_SCHEMA if fmt == "csv" else None)
     return df.select(F.col(id_col).cast("string").alias("bor_subb"),
                      F.col(name_col).cast("string").alias("name"),
