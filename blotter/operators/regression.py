@@ -37,9 +37,19 @@ def region_year_facts(incidents: DataFrame, demographics: DataFrame, years: Sequ
              .filter(F.col(region_col).isin(list(regions))))
     counts = (facts.groupBy(region_year_key(region_col, year_col).alias("Key"))
               .agg(F.count(F.col(id_col)).alias("crime_count")))
+    return attach_demographics(counts, demographics, measures=measures)
+
+
+def attach_demographics(counts: DataFrame, demographics: DataFrame, key: str = "Key",
+                        measures: Sequence[str] = DEMOGRAPHIC_MEASURES) -> DataFrame:
+    """JN2 + PRJ9: join region-year counts to the measures of that region-year.
+
+    Both sides are one row per region-year (small); the planner picks the
+    join strategy from their measured sizes.
+    """
     demo = demographics.withColumns({m: F.col(m).try_cast("double") for m in measures
                                      if m in demographics.columns})
-    return counts.join(demo, counts.Key == demo.Demo_Key, "inner").drop("Demo_Key")
+    return counts.join(demo, counts[key] == demo.Demo_Key, "inner").drop("Demo_Key")
 
 
 def _pearson(y: Column, x: Column) -> Column:

@@ -19,7 +19,8 @@ from blotter.operators.sampling import stratified_sample, stratified_sample_hash
 from blotter.operators.spatial import (explode_edges, grid_counts, group_extent, heat_layer,
                                        kernel_density, region_year_counts, tag_points)
 from blotter.operators.demographics import assemble_demographics, unpivot_years
-from blotter.operators.regression import correlations, elastic_net, ols_tests, region_year_facts
+from blotter.operators.regression import (attach_demographics, correlations, elastic_net, ols_tests,
+                                         region_year_facts)
 from blotter.operators.harmonize import harmonize, record_type, since
 from blotter.operators.scaling import cluster_rows, minmax, row_zscore_clip, zscore
 from blotter.operators.temporal import (daily_pivot, hourly_pivot, monthly_resample, pivot_to_long,
@@ -303,7 +304,7 @@ def _ols(spark, sf_dir, tests) -> DataFrame:
     return out.withColumns({c: F.round(c, 6) for c in _ROUNDED})
 
 
-def _ols_oracle(tests) -> str:
+def _ols_oracle(tests, facts_ctes=None) -> str:
     parts = []
     for name, x1, x2 in tests:
         cond = f"crime_count IS NOT NULL AND {x1} IS NOT NULL" + (f" AND {x2} IS NOT NULL" if x2 else "")
@@ -314,7 +315,7 @@ def _ols_oracle(tests) -> str:
                      f"count(*) AS n, corr(crime_count, {x1}) AS r1, {r2} AS r2, {r12} AS r12 "
                      f"FROM facts WHERE {cond}")
     return with_base(
-        _DEMO_SQL, _FACTS_SQL,
+        *(facts_ctes or [_DEMO_SQL, _FACTS_SQL]),
         "m AS (" + " UNION ALL ".join(parts) + ")",
         """c AS (SELECT *, n - (M + 1) AS dof,
   CASE WHEN M = 1 THEN r1 WHEN 1 - r12 * r12 < 1e-12 THEN r1 / 2 ELSE (r1 - r2 * r12) / (1 - r12 * r12) END AS beta,
@@ -601,3 +602,57 @@ def q_stratified_sample_md5(spark, sf_dir):
     a = record_type(incidents(spark, sf_dir), "A")
     s = stratified_sample_hash(a, "SUSP_RACE", roles.STRATUM_FRACTIONS, "CMPLNT_NUM")
     return s.select("CMPLNT_NUM", "SUSP_RACE", "Latitude", "Longitude")
+
+
+# ------------------------------------------- sub-region (spatially tagged) tests
+
+def subregion_demographics(spark, sf_dir) -> DataFrame:
+    wides = roles.demographics_wide(spark, sf_dir, level="nation")
+    parts = {m: unpivot_years(w.withColumnRenamed("Sub-Borough Area", "Borough"), m, roles.DEMO_YEARS)
+             for m, w in wides.items()}
+    return assemble_demographics(parts)
+
+
+def subregion_facts(spark, sf_dir) -> DataFrame:
+    t = tagged_complaints(spark, sf_dir).filter(F.col("Year").isin([int(y) for y in roles.DEMO_YEARS]))
+    return attach_demographics(region_year_counts(t), subregion_demographics(spark, sf_dir))
+
+
+_SUB_DEMO_SQL = ("demo AS (SELECT upper(Borough) AS Borough, Year, " + ", ".join(_MEASURES)
+                 + ", upper(Borough) || Year AS Demo_Key FROM sub_demo_measures WHERE Year IN "
+                 + _in(roles.DEMO_YEARS) + ")")
+_SUB_FACTS = [_PIP, _SUB_DEMO_SQL, "facts AS (SELECT Key, crime_count, Borough, Year, " + ", ".join(_MEASURES)
+              + " FROM (SELECT upper(name) || CAST(Year AS VARCHAR) AS Key, count(CMPLNT_NUM) AS crime_count"
+              " FROM tagged WHERE Year IN (" + ", ".join(roles.DEMO_YEARS) + ") GROUP BY 1) AS c"
+              " JOIN demo ON c.Key = demo.Demo_Key)"]
+
+
+@register("subregion_facts", with_base(*_SUB_FACTS, "SELECT * FROM facts"))
+def q_subregion_facts(spark, sf_dir):
+    return subregion_facts(spark, sf_dir)
+
+
+@register("ols_subregion", _ols_oracle(SIMPLE_TESTS + CONTROLLED_TESTS, _SUB_FACTS))
+def q_ols_subregion(spark, sf_dir):
+    out = ols_tests(subregion_facts(spark, sf_dir), "crime_count", SIMPLE_TESTS + CONTROLLED_TESTS)
+    return out.withColumns({c: F.round(c, 6) for c in _ROUNDED})
+
+
+@register("ca_scree_two_columns", with_base(
+    f"""grid AS (SELECT PREM_TYP_DESC, CRM_ATPT_CPTD_CD, n FROM (
+  SELECT PREM_TYP_DESC, count(*) FILTER (WHERE CRM_ATPT_CPTD_CD = 'ATTEMPTED') AS "ATTEMPTED",
+         count(*) FILTER (WHERE CRM_ATPT_CPTD_CD = 'COMPLETED') AS "COMPLETED"
+  FROM incidents WHERE RECORD_TYPE = 'C' GROUP BY PREM_TYP_DESC)
+  UNPIVOT (n FOR CRM_ATPT_CPTD_CD IN ("ATTEMPTED", "COMPLETED")))""",
+    """t AS (SELECT CAST(n AS DOUBLE) AS n, sum(n) OVER (PARTITION BY PREM_TYP_DESC) AS rn,
+  sum(n) OVER (PARTITION BY CRM_ATPT_CPTD_CD) AS cn, sum(n) OVER () AS tot FROM grid)""",
+    "i AS (SELECT sum(pow((n / tot - (rn / tot) * (cn / tot)) / sqrt((rn / tot) * (cn / tot)), 2)) AS inertia FROM t)",
+    """SELECT CAST(1 AS INTEGER) AS dimension, round(inertia, 6) AS eigenvalue, 100.0 AS percent FROM i
+UNION ALL SELECT CAST(2 AS INTEGER), 0.0, 0.0"""))
+def q_ca_scree_two_columns(spark, sf_dir):
+    """For a table with two columns the only non-trivial eigenvalue is the inertia."""
+    c = record_type(incidents(spark, sf_dir), "C")
+    cells = crosstab_long(c, "PREM_TYP_DESC", "CRM_ATPT_CPTD_CD", top_values(c, "CRM_ATPT_CPTD_CD", TOP_K))
+    scree = correspondence(cells, "PREM_TYP_DESC", "CRM_ATPT_CPTD_CD").scree
+    return scree.select("dimension", F.round("eigenvalue", 6).alias("eigenvalue"),
+                        F.round("percent", 6).alias("percent"))

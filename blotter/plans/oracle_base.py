@@ -6,7 +6,7 @@ The oracle re-states every operator in plain SQL over the same role feeds
 
 from __future__ import annotations
 
-from blotter.plans.roles import ARRESTS_CTE, COMPLAINTS_CTE, DEMO_CTE, REGIONS_CTE
+from blotter.plans.roles import ARRESTS_CTE, COMPLAINTS_CTE, DEMO_CTE, REGIONS_CTE, SUB_DEMO_CTE
 
 _N = "CAST(NULL AS VARCHAR)"
 
@@ -42,7 +42,8 @@ INCIDENTS_CTE = f"""incidents AS (
     AND (VIC_SEX IN ('M', 'F', 'U', 'D', 'E') OR VIC_SEX IS NULL)
 )"""
 
-BASE = "WITH " + ",\n".join([ARRESTS_CTE, COMPLAINTS_CTE, INCIDENTS_CTE, REGIONS_CTE, DEMO_CTE])
+BASE = "WITH " + ",\n".join([ARRESTS_CTE, COMPLAINTS_CTE, INCIDENTS_CTE, REGIONS_CTE, DEMO_CTE,
+                                  SUB_DEMO_CTE])
 
 
 def with_base(*ctes_and_body: str, recursive: bool = False) -> str:

@@ -141,6 +141,7 @@ REGION_EXPRS: dict[str, str] = {
 # Five yearly measures per region, from orders of that region's customers.
 DEMO_YEARS = ["1995", "1996", "1997", "1998", "1999", "2000", "2001"]
 DEMO_GROUP_EXPRS = {"Borough": "r_name", "Year": "CAST(year(o_orderdate) AS STRING)"}
+SUB_DEMO_GROUP_EXPRS = {"Borough": "n_name", "Year": "CAST(year(o_orderdate) AS STRING)"}
 DEMO_MEASURE_EXPRS: dict[str, str] = {
     "proverty_rate": ("CAST(sum(CASE WHEN c_acctbal < 0 THEN 1 ELSE 0 END) AS DOUBLE) * 100 "
                       "/ CAST(count(*) AS DOUBLE)"),
@@ -192,28 +193,38 @@ def regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _select(_select(n, REGION_CELL_EXPRS), REGION_EXPRS)
 
 
-def demographics_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Long ``(Borough, Year, measure...)`` yearly facts per region."""
+def _orders_by_place(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
-    j = (o.join(c, o.o_custkey == c.c_custkey)
-         .join(n, c.c_nationkey == n.n_nationkey)
-         .join(r, n.n_regionkey == r.r_regionkey))
-    g = [F.expr(e).alias(k) for k, e in DEMO_GROUP_EXPRS.items()]
-    return j.groupBy(*g).agg(*[F.expr(e).alias(k) for k, e in DEMO_MEASURE_EXPRS.items()])
+    return (o.join(c, o.o_custkey == c.c_custkey)
+            .join(n, c.c_nationkey == n.n_nationkey)
+            .join(r, n.n_regionkey == r.r_regionkey))
+
+
+def demographics_measures(spark: SparkSession, sf_dir: str, level: str = "region") -> DataFrame:
+    """Long ``(Borough, Year, measure...)`` yearly facts per region (or nation)."""
+    groups = DEMO_GROUP_EXPRS if level == "region" else SUB_DEMO_GROUP_EXPRS
+    g = [F.expr(e).alias(k) for k, e in groups.items()]
+    return _orders_by_place(spark, sf_dir).groupBy(*g).agg(
+        *[F.expr(e).alias(k) for k, e in DEMO_MEASURE_EXPRS.items()])
 
 
-def demographics_wide(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """One wide table per measure: Borough, short/long name, one column per year."""
-    m = demographics_measures(spark, sf_dir)
+def demographics_wide(spark: SparkSession, sf_dir: str, level: str = "region") -> dict[str, DataFrame]:
+    """One wide table per measure: entity, short/long name, one column per year.
+
+    At nation level the entity column is called ``Sub-Borough Area``, as in
+    the finer-grained demographic files.
+    """
+    m = demographics_measures(spark, sf_dir, level)
+    entity = "Borough" if level == "region" else "Sub-Borough Area"
     out = {}
     for measure in DEMO_MEASURE_EXPRS:
         w = (m.groupBy("Borough").pivot("Year", DEMO_YEARS).agg(F.first(measure))
              .withColumn("short_name", F.lower(F.substring("Borough", 1, 3)))
              .withColumn("long_name", F.initcap("Borough")))
-        out[measure] = w.select("Borough", "short_name", "long_name", *DEMO_YEARS)
+        out[measure] = w.select(F.col("Borough").alias(entity), "short_name", "long_name", *DEMO_YEARS)
     return out
 
 
@@ -239,3 +250,9 @@ DEMO_CTE = (
     + " FROM orders JOIN customer ON o_custkey = c_custkey"
     " JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey"
     " GROUP BY 1, 2)")
+SUB_DEMO_CTE = (
+    "sub_demo_measures AS (SELECT " + _sql_select(SUB_DEMO_GROUP_EXPRS) + ", "
+    + _sql_select(DEMO_MEASURE_EXPRS)
+    + " FROM orders JOIN customer ON o_custkey = c_custkey"
+    " JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey"
+    " GROUP BY 1, 2)")
