@@ -540,26 +540,44 @@ def q_grid_density(spark, sf_dir):
 _cell, _bw, _rad = roles.DENSITY_CELL, roles.DENSITY_BANDWIDTH, roles.DENSITY_RADIUS
 
 
-@register("grid_kernel", with_base(
-    f"""c AS (SELECT SUSP_RACE, CAST(floor(Longitude / {_cell}) AS BIGINT) AS gx,
+def _kernel_oracle(group: str, where: str, *pre: str) -> str:
+    return with_base(
+        *pre,
+        f"""c AS (SELECT {group}, CAST(floor(Longitude / {_cell}) AS BIGINT) AS gx,
                 CAST(floor(Latitude / {_cell}) AS BIGINT) AS gy, count(*) AS n
-         FROM {_A_RECENT} AND {_VALID_XY} AND SUSP_RACE IS NOT NULL GROUP BY ALL)""",
-    f"off AS (SELECT unnest(range(-{_rad}, {_rad + 1})) AS d)",
-    f"""s AS (SELECT SUSP_RACE, gx + dx.d AS gx, gy + dy.d AS gy,
+         FROM {_A_RECENT} AND {_VALID_XY} AND {where} GROUP BY ALL)""",
+        f"off AS (SELECT unnest(range(-{_rad}, {_rad + 1})) AS d)",
+        f"""s AS (SELECT {group}, gx + dx.d AS gx, gy + dy.d AS gy,
                 n * exp(-((dx.d * {_cell}) * (dx.d * {_cell}) + (dy.d * {_cell}) * (dy.d * {_cell}))
                         / {2.0 * _bw * _bw}) AS w
          FROM c CROSS JOIN off AS dx CROSS JOIN off AS dy)""",
-    "tot AS (SELECT SUSP_RACE, sum(n) AS N FROM c GROUP BY 1)", f"""
-SELECT s.SUSP_RACE, CAST(gx AS BIGINT) AS gx, CAST(gy AS BIGINT) AS gy, round(sum(w), 6) AS weight,
+        f"tot AS (SELECT {group}, sum(n) AS N FROM c GROUP BY 1)", f"""
+SELECT s.{group}, CAST(gx AS BIGINT) AS gx, CAST(gy AS BIGINT) AS gy, round(sum(w), 6) AS weight,
        round(sum(w) / ({2.0 * 3.141592653589793 * _bw * _bw} * any_value(N)), 10) AS density
-FROM s JOIN tot ON s.SUSP_RACE = tot.SUSP_RACE GROUP BY s.SUSP_RACE, gx, gy"""))
+FROM s JOIN tot ON s.{group} = tot.{group} GROUP BY s.{group}, gx, gy""")
+
+
+def _kernel(points: DataFrame, group: str) -> DataFrame:
+    counts = grid_counts(points, "Longitude", "Latitude", _cell, by=[group])
+    k = kernel_density(counts, _cell, _bw, _rad, by=[group])
+    return k.select(group, "gx", "gy", F.round("weight", 6).alias("weight"),
+                    F.round("density", 10).alias("density"))
+
+
+@register("offence_kernel", _kernel_oracle(
+    "OFNS_DESC", "OFNS_DESC IN (SELECT OFNS_DESC FROM top WHERE OFNS_DESC IS NOT NULL)", _top_arrest_sql(10)))
+def q_offence_kernel(spark, sf_dir):
+    """SPA1: kernel density surface of each of the top-10 arrest offences (last three years)."""
+    a, recent = _recent_arrests(spark, sf_dir)
+    top10 = top_values(a, "OFNS_DESC", 10)
+    return _kernel(recent.filter(F.col("OFNS_DESC").isin(top10)), "OFNS_DESC")
+
+
+@register("grid_kernel", _kernel_oracle("SUSP_RACE", "SUSP_RACE IS NOT NULL"))
 def q_grid_kernel(spark, sf_dir):
+    """SPA2: kernel density surface per suspect race (NULL race selects nothing)."""
     _, recent = _recent_arrests(spark, sf_dir)
-    counts = grid_counts(recent.filter(F.col("SUSP_RACE").isNotNull()), "Longitude", "Latitude",
-                         _cell, by=["SUSP_RACE"])
-    k = kernel_density(counts, _cell, _bw, _rad, by=["SUSP_RACE"])
-    return k.select("SUSP_RACE", "gx", "gy", F.round("weight", 6).alias("weight"),
-                    F.round("density", 10).alias("density"))
+    return _kernel(recent.filter(F.col("SUSP_RACE").isNotNull()), "SUSP_RACE")
 
 
 @register("heat_points", with_base(_top_arrest_sql(roles.HEAT_LAYERS), f"""
@@ -647,8 +665,8 @@ def q_ols_subregion(spark, sf_dir):
     """t AS (SELECT CAST(n AS DOUBLE) AS n, sum(n) OVER (PARTITION BY PREM_TYP_DESC) AS rn,
   sum(n) OVER (PARTITION BY CRM_ATPT_CPTD_CD) AS cn, sum(n) OVER () AS tot FROM grid)""",
     "i AS (SELECT sum(pow((n / tot - (rn / tot) * (cn / tot)) / sqrt((rn / tot) * (cn / tot)), 2)) AS inertia FROM t)",
-    """SELECT CAST(1 AS INTEGER) AS dimension, round(inertia, 6) AS eigenvalue, 100.0 AS percent FROM i
-UNION ALL SELECT CAST(2 AS INTEGER), 0.0, 0.0"""))
+    """SELECT CAST(1 AS INTEGER) AS dimension, round(inertia, 6) AS eigenvalue, CAST(100 AS DOUBLE) AS percent
+FROM i UNION ALL SELECT CAST(2 AS INTEGER), CAST(0 AS DOUBLE), CAST(0 AS DOUBLE)"""))
 def q_ca_scree_two_columns(spark, sf_dir):
     """For a table with two columns the only non-trivial eigenvalue is the inertia."""
     c = record_type(incidents(spark, sf_dir), "C")
