@@ -454,23 +454,59 @@ def q_ca_biplot(spark, sf_dir):
 
 # ------------------------------------------------------------------ spatial
 
-_WKT_EDGES = r"""r1 AS (SELECT bor_subb, name, regexp_extract_all(geometry, '\(([^()]+)\)', 1) AS rings
-  FROM regions_raw WHERE bor_subb IS NOT NULL AND name IS NOT NULL AND geometry IS NOT NULL),
-r2 AS (SELECT bor_subb, name, unnest(rings) AS ring, unnest(range(len(rings))) AS ring_no FROM r1),
-r3 AS (SELECT bor_subb, name, ring_no, unnest(string_split(ring, ',')) AS pt,
-              unnest(range(len(string_split(ring, ',')))) AS idx FROM r2),
-r4 AS (SELECT bor_subb, name, ring_no, idx, CAST(string_split(trim(pt), ' ')[1] AS DOUBLE) AS x,
-              CAST(string_split(trim(pt), ' ')[2] AS DOUBLE) AS y FROM r3),
-r5 AS (SELECT bor_subb, name, ring_no, idx, x AS x1, y AS y1, lead(x) OVER w AS x2, lead(y) OVER w AS y2
-       FROM r4 WINDOW w AS (PARTITION BY bor_subb, ring_no ORDER BY idx)),
-edges AS (SELECT bor_subb, name,
+_VALID_XY = "Latitude IS NOT NULL AND Longitude IS NOT NULL AND NOT isnan(Latitude) AND NOT isnan(Longitude)"
+
+
+def _wkt_edges_sql(src: str, out: str = "edges") -> str:
+    """WKT -> edges in plain SQL: rings by regex, points by split, edges by lead()."""
+    p = out + "_"
+    return rf"""{p}1 AS (SELECT bor_subb, name, regexp_extract_all(geometry, '\(([^()]+)\)', 1) AS rings
+  FROM {src} WHERE bor_subb IS NOT NULL AND name IS NOT NULL AND geometry IS NOT NULL),
+{p}2 AS (SELECT bor_subb, name, unnest(rings) AS ring, unnest(range(len(rings))) AS ring_no FROM {p}1),
+{p}3 AS (SELECT bor_subb, name, ring_no, unnest(string_split(ring, ',')) AS pt,
+              unnest(range(len(string_split(ring, ',')))) AS idx FROM {p}2),
+{p}4 AS (SELECT bor_subb, name, ring_no, idx, TRY_CAST(string_split(trim(pt), ' ')[1] AS DOUBLE) AS x,
+              TRY_CAST(string_split(trim(pt), ' ')[2] AS DOUBLE) AS y FROM {p}3),
+{p}5 AS (SELECT bor_subb, name, ring_no, idx, x AS x1, y AS y1, lead(x) OVER w AS x2, lead(y) OVER w AS y2
+       FROM {p}4 WINDOW w AS (PARTITION BY bor_subb, ring_no ORDER BY idx)),
+{p}bad AS (SELECT DISTINCT bor_subb FROM {p}4 WHERE x IS NULL OR y IS NULL),
+{out} AS (SELECT bor_subb, name,
                  CAST(row_number() OVER (PARTITION BY bor_subb ORDER BY ring_no, idx) - 1 AS INTEGER) AS edge_no,
-                 x1, y1, x2, y2 FROM r5 WHERE x2 IS NOT NULL)"""
+                 x1, y1, x2, y2 FROM {p}5
+          WHERE x2 IS NOT NULL AND bor_subb NOT IN (SELECT bor_subb FROM {p}bad))"""
+
 
+_WKT_EDGES = _wkt_edges_sql("regions_raw", "edges")
 
-@register("wkt_edges", with_base(_WKT_EDGES, "SELECT * FROM edges"))
+
+@register("wkt_edges", with_base(_WKT_EDGES, _wkt_edges_sql("areas_raw", "area_edges"), """
+SELECT 'region' AS layer, * FROM edges UNION ALL SELECT 'service_area', * FROM area_edges"""))
 def q_wkt_edges(spark, sf_dir):
-    return explode_edges(roles.regions(spark, sf_dir))
+    """GEO1 over both boundary layers: nation regions and supplier service areas."""
+    regions = explode_edges(roles.regions(spark, sf_dir)).select(F.lit("region").alias("layer"), "*")
+    areas = explode_edges(roles.service_areas(spark, sf_dir)).select(F.lit("service_area").alias("layer"), "*")
+    return regions.unionByName(areas)
+
+
+@register("service_area_counts", with_base(_wkt_edges_sql("areas_raw", "area_edges"), f"""
+apts AS (SELECT CMPLNT_NUM, Latitude, Longitude, count(*) AS mult
+         FROM incidents WHERE RECORD_TYPE = 'A' AND {_VALID_XY} GROUP BY ALL)""", """
+hits AS (SELECT p.CMPLNT_NUM, p.Latitude, p.Longitude, p.mult, e.bor_subb, e.name
+  FROM apts p CROSS JOIN area_edges e
+  GROUP BY ALL
+  HAVING sum(CASE WHEN (e.y1 > p.Latitude) != (e.y2 > p.Latitude)
+                   AND p.Longitude < (e.x2 - e.x1) * (p.Latitude - e.y1) / (e.y2 - e.y1) + e.x1
+              THEN 1 ELSE 0 END) % 2 = 1
+      OR bool_or((e.x2 - e.x1) * (p.Latitude - e.y1) = (e.y2 - e.y1) * (p.Longitude - e.x1)
+                 AND p.Longitude >= least(e.x1, e.x2) AND p.Longitude <= greatest(e.x1, e.x2)
+                 AND p.Latitude >= least(e.y1, e.y2) AND p.Latitude <= greatest(e.y1, e.y2)))""",
+    "SELECT bor_subb, name, CAST(sum(mult) AS BIGINT) AS n FROM hits GROUP BY ALL"))
+def q_service_area_counts(spark, sf_dir):
+    """JN3 with many overlapping regions: arrests per supplier service area."""
+    a = record_type(incidents(spark, sf_dir), "A").select("CMPLNT_NUM", "Latitude", "Longitude")
+    tagged = tag_points(a, roles.service_areas(spark, sf_dir), x="Longitude", y="Latitude",
+                        cell=roles.SPATIAL_CELL)
+    return tagged.groupBy("bor_subb", "name").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _complaint_points(spark, sf_dir) -> DataFrame:
@@ -517,7 +553,6 @@ def _recent_arrests(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
 
 
 _A_RECENT = f"incidents WHERE RECORD_TYPE = 'A' AND Date >= DATE {lit(roles.SPATIAL_SINCE)}"
-_VALID_XY = "Latitude IS NOT NULL AND Longitude IS NOT NULL AND NOT isnan(Latitude) AND NOT isnan(Longitude)"
 
 
 def _top_arrest_sql(k: int) -> str:

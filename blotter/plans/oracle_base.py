@@ -6,7 +6,8 @@ The oracle re-states every operator in plain SQL over the same role feeds
 
 from __future__ import annotations
 
-from blotter.plans.roles import ARRESTS_CTE, COMPLAINTS_CTE, DEMO_CTE, REGIONS_CTE, SUB_DEMO_CTE
+from blotter.plans.roles import (AREAS_CTE, ARRESTS_CTE, COMPLAINTS_CTE, DEMO_CTE, REGIONS_CTE,
+                                 SUB_DEMO_CTE)
 
 _N = "CAST(NULL AS VARCHAR)"
 
@@ -43,7 +44,7 @@ INCIDENTS_CTE = f"""incidents AS (
 )"""
 
 BASE = "WITH " + ",\n".join([ARRESTS_CTE, COMPLAINTS_CTE, INCIDENTS_CTE, REGIONS_CTE, DEMO_CTE,
-                                  SUB_DEMO_CTE])
+                                  SUB_DEMO_CTE, AREAS_CTE])
 
 
 def with_base(*ctes_and_body: str, recursive: bool = False) -> str:

@@ -138,6 +138,32 @@ REGION_EXPRS: dict[str, str] = {
         "ELSE 'POLYGON ((' || " + _ring("x0", "y0", "x0 + 10", "y0 + 8") + " || '))' END"),
 }
 
+# Service areas: one polygon per supplier (their number grows with the data),
+# 4 x 4 squares scattered over the plane and overlapping; some with a hole,
+# some in two parts, some triangles, some missing or unparsable.
+AREA_CELL_EXPRS: dict[str, str] = {
+    "k": "s_suppkey",
+    "name": "s_name",
+    "x0": "(s_suppkey * 7) % 47",
+    "y0": "(s_suppkey * 11) % 41",
+}
+_atri = " || ', ' || ".join(
+    f"CAST({x} AS STRING) || ' ' || CAST({y} AS STRING)"
+    for x, y in [("x0", "y0"), ("x0 + 4", "y0"), ("x0", "y0 + 4"), ("x0", "y0")])
+AREA_EXPRS: dict[str, str] = {
+    "bor_subb": "CAST(k AS STRING)",
+    "name": "name",
+    "geometry": (
+        "CASE WHEN k % 97 = 5 THEN 'None' "
+        "WHEN k % 89 = 7 THEN 'POLYGON ((a b, 1 1, 0 0))' "
+        "WHEN k % 4 = 1 THEN 'POLYGON ((' || " + _ring("x0", "y0", "x0 + 4", "y0 + 4")
+        + " || '), (' || " + _ring("x0 + 1", "y0 + 1", "x0 + 3", "y0 + 3") + " || '))' "
+        "WHEN k % 4 = 2 THEN 'MULTIPOLYGON (((' || " + _ring("x0", "y0", "x0 + 1", "y0 + 4")
+        + " || ')), ((' || " + _ring("x0 + 3", "y0", "x0 + 4", "y0 + 4") + " || ')))' "
+        "WHEN k % 4 = 3 THEN 'POLYGON ((' || " + _atri + " || '))' "
+        "ELSE 'POLYGON ((' || " + _ring("x0", "y0", "x0 + 4", "y0 + 4") + " || '))' END"),
+}
+
 # Five yearly measures per region, from orders of that region's customers.
 DEMO_YEARS = ["1995", "1996", "1997", "1998", "1999", "2000", "2001"]
 DEMO_GROUP_EXPRS = {"Borough": "r_name", "Year": "CAST(year(o_orderdate) AS STRING)"}
@@ -203,6 +229,11 @@ def _orders_by_place(spark: SparkSession, sf_dir: str) -> DataFrame:
             .join(r, n.n_regionkey == r.r_regionkey))
 
 
+def service_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = table(spark, sf_dir, "supplier")
+    return _select(_select(s, AREA_CELL_EXPRS), AREA_EXPRS)
+
+
 def demographics_measures(spark: SparkSession, sf_dir: str, level: str = "region") -> DataFrame:
     """Long ``(Borough, Year, measure...)`` yearly facts per region (or nation)."""
     groups = DEMO_GROUP_EXPRS if level == "region" else SUB_DEMO_GROUP_EXPRS
@@ -244,6 +275,9 @@ ARRESTS_CTE = (
 REGIONS_CTE = (
     "regions_raw AS (SELECT " + _sql_select(REGION_EXPRS)
     + " FROM (SELECT " + _sql_select(REGION_CELL_EXPRS) + " FROM nation) AS cells)")
+AREAS_CTE = (
+    "areas_raw AS (SELECT " + _sql_select(AREA_EXPRS)
+    + " FROM (SELECT " + _sql_select(AREA_CELL_EXPRS) + " FROM supplier) AS cells)")
 DEMO_CTE = (
     "demo_measures AS (SELECT " + _sql_select(DEMO_GROUP_EXPRS) + ", "
     + _sql_select(DEMO_MEASURE_EXPRS)
