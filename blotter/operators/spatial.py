@@ -15,7 +15,8 @@ and the join is a *grid-bucketed equi-join*:
 A point lies in exactly one cell, so a pair is produced at most once per
 region and no de-duplication is needed.  The region side (cells, edges) is
 broadcast only after its row count has been checked against a bound;
-beyond it both joins shuffle on their keys (and AQE splits a hot cell).
+beyond it both joins shuffle on their keys, salted so that a hot cell or
+region is split over many tasks.
 """
 
 from __future__ import annotations
@@ -60,9 +61,9 @@ def region_cells(edges: DataFrame, cell: float, id_col: str = "bor_subb") -> Dat
             .select(id_col, "_cx", F.explode(F.sequence("_y0", "_y1")).alias("_cy")))
 
 
-def _bounded_broadcast(df: DataFrame, limit: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only when a counted row bound holds."""
-    return F.broadcast(df) if df.count() <= limit else df
+def _fits(df: DataFrame, limit: int) -> bool:
+    """Counted row bound for a broadcast (a small job over the region side)."""
+    return df.count() <= limit
 
 
 def valid_points(points: DataFrame, x: str, y: str) -> DataFrame:
@@ -73,17 +74,38 @@ def valid_points(points: DataFrame, x: str, y: str) -> DataFrame:
 
 def tag_points(points: DataFrame, regions: DataFrame, x: str = "Longitude", y: str = "Latitude",
                cell: float = 0.01, id_col: str = "bor_subb", name_col: str = "name",
-               geometry_col: str = "geometry") -> DataFrame:
+               geometry_col: str = "geometry", max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+               salt: int = 32) -> DataFrame:
     """JN3/GEO2: every (point, region) pair where the point intersects the
-    region (inside or on the boundary).  Output: point columns + id + name."""
+    region (inside or on the boundary).  Output: point columns + id + name.
+
+    Region side within ``max_broadcast_rows``: broadcast hash joins, the
+    points are never shuffled.  Beyond it: shuffle joins, with every cell
+    (and every region's shape) replicated ``salt`` times and each point sent
+    to one replica chosen by a hash of the point, so a cell holding a third
+    of all points is split over ``salt`` tasks instead of landing on one.
+    """
     edges = region_edges(regions, id_col, name_col, geometry_col)
-    cells = _bounded_broadcast(region_cells(edges, cell, id_col))
-    shapes = _bounded_broadcast(edges.select(id_col, name_col, "edges"))
+    cells = region_cells(edges, cell, id_col)
+    shapes = edges.select(id_col, name_col, "edges")
     pts = valid_points(points, x, y).withColumns({
         "_cx": F.floor(F.col(x) / F.lit(cell)), "_cy": F.floor(F.col(y) / F.lit(cell))})
-    cand = pts.join(cells, ["_cx", "_cy"]).join(shapes, id_col)
+    if _fits(cells, max_broadcast_rows):
+        cand = pts.join(F.broadcast(cells), ["_cx", "_cy"])
+    else:
+        replicas = F.explode(F.sequence(F.lit(0), F.lit(salt - 1))).alias("_salt")
+        pts = pts.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in points.columns]), F.lit(salt)))
+        cand = pts.join(cells.select("*", replicas), ["_cx", "_cy", "_salt"])
+    if _fits(shapes, max_broadcast_rows):
+        cand = cand.join(F.broadcast(shapes), id_col)
+    else:
+        if "_salt" not in cand.columns:
+            cand = cand.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in points.columns]),
+                                                   F.lit(salt)))
+        reps = F.explode(F.sequence(F.lit(0), F.lit(salt - 1))).alias("_salt")
+        cand = cand.join(shapes.select("*", reps), [id_col, "_salt"])
     hit = cand.filter(point_in_polygon(x, y, "edges"))
-    return hit.drop("_cx", "_cy", "edges")
+    return hit.drop("_cx", "_cy", "_salt", "edges")
 
 
 def region_year_counts(tagged: DataFrame, name_col: str = "name", year_col: str = "Year",

@@ -25,10 +25,10 @@ POINTS = [
 ]
 
 
-def _tag(spark, cell):
+def _tag(spark, cell, limit=2_000_000):
     regions = spark.createDataFrame(REGIONS, "bor_subb string, name string, geometry string")
     pts = spark.createDataFrame(POINTS, "pid string, x double, y double")
-    got = tag_points(pts, regions, x="x", y="y", cell=cell)
+    got = tag_points(pts, regions, x="x", y="y", cell=cell, max_broadcast_rows=limit, salt=4)
     return sorted((r.pid, r.name) for r in got.collect())
 
 
@@ -38,6 +38,17 @@ def test_point_in_polygon_cases(spark):
                        ("hole_edge", "WEST")])
     for cell in (1.0, 3.0, 100.0):          # the grid size never changes the answer
         assert _tag(spark, cell) == expected
+    assert _tag(spark, 3.0, limit=0) == expected     # salted shuffle path, same answer
+
+
+def test_salted_path_on_driver_tables(spark, sf_dir):
+    from blotter.plans import catalog as C, roles
+    pts = C._complaint_points(spark, sf_dir)
+    reg = roles.regions(spark, sf_dir)
+    key = lambda df: sorted((r.CMPLNT_NUM, r.bor_subb) for r in df.collect())
+    fast = tag_points(pts, reg, cell=roles.SPATIAL_CELL)
+    salted = tag_points(pts, reg, cell=roles.SPATIAL_CELL, max_broadcast_rows=0, salt=8)
+    assert key(fast) == key(salted) and len(key(fast)) > 0
 
 
 def test_region_edges_drop_bad_geometry(spark):
