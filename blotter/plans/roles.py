@@ -250,12 +250,16 @@ def demographics_wide(spark: SparkSession, sf_dir: str, level: str = "region") -
     """
     m = demographics_measures(spark, sf_dir, level)
     entity = "Borough" if level == "region" else "Sub-Borough Area"
+    # One pivot for all measures (columns "<year>_<measure>"), split per measure.
+    wide = m.groupBy("Borough").pivot("Year", DEMO_YEARS).agg(
+        *[F.first(measure).alias(measure) for measure in DEMO_MEASURE_EXPRS])
     out = {}
     for measure in DEMO_MEASURE_EXPRS:
-        w = (m.groupBy("Borough").pivot("Year", DEMO_YEARS).agg(F.first(measure))
-             .withColumn("short_name", F.lower(F.substring("Borough", 1, 3)))
-             .withColumn("long_name", F.initcap("Borough")))
-        out[measure] = w.select(F.col("Borough").alias(entity), "short_name", "long_name", *DEMO_YEARS)
+        out[measure] = wide.select(
+            F.col("Borough").alias(entity),
+            F.lower(F.substring("Borough", 1, 3)).alias("short_name"),
+            F.initcap("Borough").alias("long_name"),
+            *[F.col(f"`{y}_{measure}`").alias(y) for y in DEMO_YEARS])
     return out
 
 
