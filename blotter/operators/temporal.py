@@ -16,21 +16,24 @@ from blotter.operators.crosstab import crosstab_wide, qcol, wide_to_long
 from blotter.session import materialize
 
 
-def daily_pivot(df: DataFrame, date_col: str, category: str, categories: Sequence[str]) -> DataFrame:
+def daily_pivot(df: DataFrame, date_col: str, category: str, categories: Sequence[str],
+                weight: str | None = None) -> DataFrame:
     """AGG4: one row per day, one zero-filled count column per category."""
-    return crosstab_wide(df.filter(F.col(date_col).isNotNull()), date_col, category, categories)
+    return crosstab_wide(df.filter(F.col(date_col).isNotNull()), date_col, category, categories,
+                         weight=weight)
 
 
 def hourly_pivot(df: DataFrame, ts_col: str, category: str, categories: Sequence[str],
-                 hour_col: str = "hour", exclude: Sequence[str] = ()) -> DataFrame:
+                 hour_col: str = "hour", exclude: Sequence[str] = (), weight: str | None = None) -> DataFrame:
     """AGG5 + AGG8 + PRJ2: hour-of-day x category counts.
 
     Records without a parsable hour are dropped (the original zero-filled
     them into hour 0 by accident); ``exclude`` removes categories.
     """
     keep = [c for c in categories if c not in set(exclude)]
-    hours = df.withColumn(hour_col, F.hour(F.col(ts_col))).filter(F.col(hour_col).isNotNull())
-    return crosstab_wide(hours, hour_col, category, keep)
+    hours = df if ts_col == hour_col else df.withColumn(hour_col, F.hour(F.col(ts_col)))
+    hours = hours.filter(F.col(hour_col).isNotNull())
+    return crosstab_wide(hours, hour_col, category, keep, weight=weight)
 
 
 def pivot_to_long(wide: DataFrame, key: str, categories: Sequence[str], category: str,

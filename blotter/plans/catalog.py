@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blotter.functions.dates import civil_date, clock_hour
-from blotter.operators.crosstab import crosstab_long, crosstab_wide
+from blotter.operators.crosstab import crosstab_long, crosstab_wide, pair_counts
 from blotter.operators.correspondence import ca_biplot, ca_inertia, ca_residuals, correspondence
 from blotter.operators.sampling import stratified_sample, stratified_sample_hash
 from blotter.operators.spatial import (explode_edges, grid_counts, group_extent, heat_layer,
@@ -29,6 +29,7 @@ from blotter.operators.ranking import top_categories_by_field, top_values
 from blotter.plans import roles
 from blotter.plans.oracle_base import lit, quoted, with_base
 from blotter.schema import TOP_K
+from blotter.session import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -109,9 +110,12 @@ def q_topk_categories(spark, sf_dir):
                                    k=_TOPK_K, by=["RECORD_TYPE"])
 
 
-def _complaint_offences(spark, sf_dir) -> tuple[DataFrame, list]:
+def _complaint_counts(spark, sf_dir, row: str) -> tuple[DataFrame, list]:
+    """Complaint counts per (row, offence), pre-aggregated once and
+    checkpointed; the top offence list and the crosstab both come from it."""
     c = record_type(incidents(spark, sf_dir), "C")
-    return c, top_values(c, "OFNS_DESC", TOP_K)
+    counts = materialize(pair_counts(c, row, "OFNS_DESC"))
+    return counts, top_values(counts, "OFNS_DESC", TOP_K, weight="n")
 
 
 _wide_cols = ", ".join(f"count(*) FILTER (WHERE OFNS_DESC = {lit(v)}) AS {quoted(v)}" for v in PRIORITIES)
@@ -121,8 +125,8 @@ _wide_cols = ", ".join(f"count(*) FILTER (WHERE OFNS_DESC = {lit(v)}) AS {quoted
 SELECT SUSP_RACE, {_wide_cols}
 FROM incidents WHERE RECORD_TYPE = 'C' GROUP BY SUSP_RACE"""))
 def q_crosstab_wide(spark, sf_dir):
-    c, offences = _complaint_offences(spark, sf_dir)
-    return crosstab_wide(c, "SUSP_RACE", "OFNS_DESC", offences)
+    counts, offences = _complaint_counts(spark, sf_dir, "SUSP_RACE")
+    return crosstab_wide(counts, "SUSP_RACE", "OFNS_DESC", offences, weight="n")
 
 
 @register("crosstab_long", with_base(f"""
@@ -131,9 +135,7 @@ SELECT PREM_TYP_DESC, OFNS_DESC, n FROM (
   FROM incidents WHERE RECORD_TYPE = 'C' AND PREM_TYP_DESC IN {_in(SEGMENTS)}
   GROUP BY PREM_TYP_DESC) UNPIVOT (n FOR OFNS_DESC IN ({", ".join(quoted(v) for v in PRIORITIES)}))"""))
 def q_crosstab_long(spark, sf_dir):
-    c, offences = _complaint_offences(spark, sf_dir)
-    premises = top_values(c, "PREM_TYP_DESC", TOP_K)
-    return crosstab_long(c, "PREM_TYP_DESC", "OFNS_DESC", offences, row_filter=premises)
+    return _location_cells(spark, sf_dir)
 
 
 # ------------------------------------------------------------------ temporal
@@ -141,8 +143,9 @@ def q_crosstab_long(spark, sf_dir):
 def _arrest_days(spark, sf_dir) -> tuple[DataFrame, list]:
     """Daily pivot of arrests since ``roles.SINCE`` over the top arrest offences."""
     a = record_type(incidents(spark, sf_dir), "A")
-    offences = top_values(a, "OFNS_DESC", TOP_K)
-    return daily_pivot(since(a, roles.SINCE), "Date", "OFNS_DESC", offences), offences
+    counts = materialize(pair_counts(a, "Date", "OFNS_DESC"))
+    offences = top_values(counts, "OFNS_DESC", TOP_K, weight="n")
+    return daily_pivot(since(counts, roles.SINCE), "Date", "OFNS_DESC", offences, weight="n"), offences
 
 
 _A_SINCE = f"incidents WHERE RECORD_TYPE = 'A' AND Date >= DATE {lit(roles.SINCE)}"
@@ -204,8 +207,9 @@ def q_month_of_year_z(spark, sf_dir):
 
 def _hours(spark, sf_dir) -> tuple[DataFrame, list]:
     ev = roles.table(spark, sf_dir, "events")
-    types = top_values(ev, "event_type", TOP_K)
-    return hourly_pivot(ev, "ts", "event_type", types, "hour"), types
+    counts = materialize(pair_counts(ev, F.hour("ts").alias("hour"), "event_type"))
+    types = top_values(counts, "event_type", TOP_K, weight="n")
+    return hourly_pivot(counts, "hour", "event_type", types, "hour", weight="n"), types
 
 
 _ev_cols = ", ".join(f"count(*) FILTER (WHERE event_type = {lit(v)}) AS {quoted(v)}" for v in EVENT_TYPES)
@@ -370,9 +374,9 @@ CA_FIELDS = ["PREM_TYP_DESC", "SUSP_AGE_GROUP", "SUSP_SEX", "BORO_NM", "SUSP_RAC
 
 
 def _location_cells(spark, sf_dir) -> DataFrame:
-    c, offences = _complaint_offences(spark, sf_dir)
-    premises = top_values(c, "PREM_TYP_DESC", TOP_K)
-    return crosstab_long(c, "PREM_TYP_DESC", "OFNS_DESC", offences, row_filter=premises)
+    counts, offences = _complaint_counts(spark, sf_dir, "PREM_TYP_DESC")
+    premises = top_values(counts, "PREM_TYP_DESC", TOP_K, weight="n")
+    return crosstab_long(counts, "PREM_TYP_DESC", "OFNS_DESC", offences, row_filter=premises, weight="n")
 
 
 _LOC_GRID = f"""grid AS (SELECT PREM_TYP_DESC, OFNS_DESC, n FROM (
@@ -418,14 +422,17 @@ SELECT row_field, CAST(sum(n) AS BIGINT) AS n_total, round(sum(s * s), 6) AS ine
        count(DISTINCT OFNS_DESC) AS n_cols
 FROM r GROUP BY row_field"""))
 def q_ca_inertia(spark, sf_dir):
-    c, offences = _complaint_offences(spark, sf_dir)
-    premises = top_values(c, "PREM_TYP_DESC", TOP_K)
+    c = record_type(incidents(spark, sf_dir), "C")
     stacked = c.select(F.inline(F.array(*[
         F.struct(F.lit(f).alias("row_field"), F.col(f).cast("string").alias("key"),
-                 F.col("OFNS_DESC").alias("OFNS_DESC"),
-                 (F.col("PREM_TYP_DESC").isin(premises) if f == "PREM_TYP_DESC" else F.lit(True)).alias("keep"))
-        for f in CA_FIELDS]))).filter("keep")
-    wide = crosstab_wide(stacked, F.struct("row_field", "key"), "OFNS_DESC", offences, row_alias="rk")
+                 F.col("OFNS_DESC").alias("OFNS_DESC")) for f in CA_FIELDS])))
+    # One scan: counts per (field, key, offence); lists and tables come from it.
+    counts = materialize(stacked.groupBy("row_field", "key", "OFNS_DESC").agg(F.count(F.lit(1)).alias("n")))
+    prem = counts.filter(F.col("row_field") == "PREM_TYP_DESC")
+    offences = top_values(prem, "OFNS_DESC", TOP_K, weight="n")
+    premises = top_values(prem, "key", TOP_K, weight="n")
+    kept = counts.filter((F.col("row_field") != "PREM_TYP_DESC") | F.col("key").isin(premises))
+    wide = crosstab_wide(kept, F.struct("row_field", "key"), "OFNS_DESC", offences, row_alias="rk", weight="n")
     wide = wide.select("rk.row_field", "rk.key", *[F.col(f"`{v}`") for v in offences])
     cells = wide.unpivot(["row_field", "key"], [F.col(f"`{v}`") for v in offences], "OFNS_DESC", "n")
     res = ca_residuals(cells, "key", "OFNS_DESC", by=["row_field"])
@@ -447,8 +454,8 @@ def q_ca_coordinates(spark, sf_dir):
 
 @register("ca_biplot")
 def q_ca_biplot(spark, sf_dir):
-    c, offences = _complaint_offences(spark, sf_dir)
-    cells = crosstab_long(c, "SUSP_RACE", "OFNS_DESC", offences)
+    counts, offences = _complaint_counts(spark, sf_dir, "SUSP_RACE")
+    cells = crosstab_long(counts, "SUSP_RACE", "OFNS_DESC", offences, weight="n")
     return ca_biplot(correspondence(cells, "SUSP_RACE", "OFNS_DESC").coordinates)
 
 
