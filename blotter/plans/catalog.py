@@ -262,9 +262,18 @@ def demographics(spark, sf_dir) -> DataFrame:
 
 
 _MEASURES = list(roles.DEMO_MEASURE_EXPRS)
-_DEMO_SQL = ("demo AS (SELECT upper(Borough) AS Borough, Year, " + ", ".join(_MEASURES)
-             + ", upper(Borough) || Year AS Demo_Key FROM demo_measures WHERE Year IN "
-             + _in(roles.DEMO_YEARS) + ")")
+def _demo_sql(source: str) -> str:
+    """Long demographics: every entity x listed year (a melt keeps NULL cells)."""
+    years = "[" + ", ".join(lit(y) for y in roles.DEMO_YEARS) + "]"
+    return ("demo AS (SELECT upper(b.Borough) AS Borough, y.Year, "
+            + ", ".join(f"m.{c}" for c in _MEASURES)
+            + ", upper(b.Borough) || y.Year AS Demo_Key"
+            f" FROM (SELECT DISTINCT Borough FROM {source}) AS b"
+            f" CROSS JOIN (SELECT unnest({years}) AS Year) AS y"
+            f" LEFT JOIN {source} AS m ON m.Borough = b.Borough AND m.Year = y.Year)")
+
+
+_DEMO_SQL = _demo_sql("demo_measures")
 _FACTS_SQL = ("facts AS (SELECT Key, crime_count, Borough, Year, " + ", ".join(_MEASURES) + """
   FROM (SELECT upper(BORO_NM) || CAST(Year AS VARCHAR) AS Key, count(CMPLNT_NUM) AS crime_count
         FROM incidents WHERE RECORD_TYPE = 'C' AND Year IN (""" + ", ".join(roles.DEMO_YEARS) + """)
@@ -678,9 +687,7 @@ def subregion_facts(spark, sf_dir) -> DataFrame:
     return attach_demographics(region_year_counts(t), subregion_demographics(spark, sf_dir))
 
 
-_SUB_DEMO_SQL = ("demo AS (SELECT upper(Borough) AS Borough, Year, " + ", ".join(_MEASURES)
-                 + ", upper(Borough) || Year AS Demo_Key FROM sub_demo_measures WHERE Year IN "
-                 + _in(roles.DEMO_YEARS) + ")")
+_SUB_DEMO_SQL = _demo_sql("sub_demo_measures")
 _SUB_FACTS = [_PIP, _SUB_DEMO_SQL, "facts AS (SELECT Key, crime_count, Borough, Year, " + ", ".join(_MEASURES)
               + " FROM (SELECT upper(name) || CAST(Year AS VARCHAR) AS Key, count(CMPLNT_NUM) AS crime_count"
               " FROM tagged WHERE Year IN (" + ", ".join(roles.DEMO_YEARS) + ") GROUP BY 1) AS c"
