@@ -52,13 +52,34 @@ def explode_edges(regions: DataFrame, id_col: str = "bor_subb", name_col: str =
         .select(id_col, name_col, "edge_no", "e.x1", "e.y1", "e.x2", "e.y2")
 
 
-def region_cells(edges: DataFrame, cell: float, id_col: str = "bor_subb") -> DataFrame:
-    """Grid cells covered by each region's bounding box: ``(id, _cx, _cy)``."""
-    idx = lambda c: F.floor(F.col(c) / F.lit(cell))
-    return (edges.select(id_col,
-                         F.explode(F.sequence(idx("min_x"), idx("max_x"))).alias("_cx"),
-                         idx("min_y").alias("_y0"), idx("max_y").alias("_y1"))
-            .select(id_col, "_cx", F.explode(F.sequence("_y0", "_y1")).alias("_cy")))
+def region_cells(edges: DataFrame, cell: float, id_col: str = "bor_subb",
+                 name_col: str = "name") -> DataFrame:
+    """Grid cells of each region, classified once: ``(id, name, _cx, _cy, bbox, _interior)``.
+
+    A closed cell that no edge's bounding box touches lies entirely on one
+    side of the polygon boundary; its centre decides which.  Such cells are
+    either dropped (outside) or flagged ``_interior`` (every point in them
+    is a hit without a refine).  All other cells are boundary cells whose
+    points get the exact test.  The touch test is conservative (edge bbox,
+    widened by a tiny margin), so classification never changes an answer.
+    """
+    c = float(cell)
+    idx = lambda col: F.floor(F.col(col) / F.lit(c))
+    cells = (edges.select(id_col, name_col, "edges", "min_x", "max_x", "min_y", "max_y",
+                          F.explode(F.sequence(idx("min_x"), idx("max_x"))).alias("_cx"),
+                          idx("min_y").alias("_y0"), idx("max_y").alias("_y1"))
+             .select(id_col, name_col, "edges", "min_x", "max_x", "min_y", "max_y", "_cx",
+                     F.explode(F.sequence("_y0", "_y1")).alias("_cy")))
+    eps = c * 1e-9
+    x0, x1 = F.col("_cx") * c - eps, (F.col("_cx") + 1) * c + eps
+    y0, y1 = F.col("_cy") * c - eps, (F.col("_cy") + 1) * c + eps
+    touches = F.exists("edges", lambda e: (F.greatest(e.x1, e.x2) >= x0) & (F.least(e.x1, e.x2) <= x1)
+                       & (F.greatest(e.y1, e.y2) >= y0) & (F.least(e.y1, e.y2) <= y1))
+    center_in = point_in_polygon((F.col("_cx") + 0.5) * c, (F.col("_cy") + 0.5) * c, F.col("edges"))
+    return (cells.withColumns({"_touch": touches, "_center_in": center_in})
+            .filter(F.col("_touch") | F.col("_center_in"))
+            .select(id_col, name_col, "_cx", "_cy", "min_x", "max_x", "min_y", "max_y",
+                    (~F.col("_touch") & F.col("_center_in")).alias("_interior")))
 
 
 def _fits(df: DataFrame, limit: int) -> bool:
@@ -86,26 +107,31 @@ def tag_points(points: DataFrame, regions: DataFrame, x: str = "Longitude", y: s
     of all points is split over ``salt`` tasks instead of landing on one.
     """
     edges = region_edges(regions, id_col, name_col, geometry_col)
-    cells = region_cells(edges, cell, id_col)
-    shapes = edges.select(id_col, name_col, "edges")
+    cells = region_cells(edges, cell, id_col, name_col)
+    shapes = edges.select(id_col, "edges")
     pts = valid_points(points, x, y).withColumns({
         "_cx": F.floor(F.col(x) / F.lit(cell)), "_cy": F.floor(F.col(y) / F.lit(cell))})
-    if _fits(cells, max_broadcast_rows):
-        cand = pts.join(F.broadcast(cells), ["_cx", "_cy"])
-    else:
+    salted = not _fits(cells, max_broadcast_rows)
+    if salted:
         replicas = F.explode(F.sequence(F.lit(0), F.lit(salt - 1))).alias("_salt")
         pts = pts.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in points.columns]), F.lit(salt)))
         cand = pts.join(cells.select("*", replicas), ["_cx", "_cy", "_salt"])
+    else:
+        cand = pts.join(F.broadcast(cells), ["_cx", "_cy"])
+    # Cheap bbox test first (codegen).  Interior cells are hits as they are:
+    # the OR short-circuits, so only boundary-cell candidates run the exact test.
+    in_box = F.col(x).between(F.col("min_x"), F.col("max_x")) & F.col(y).between(F.col("min_y"), F.col("max_y"))
+    cand = cand.filter(F.col("_interior") | in_box).drop("min_x", "max_x", "min_y", "max_y")
     if _fits(shapes, max_broadcast_rows):
         cand = cand.join(F.broadcast(shapes), id_col)
     else:
-        if "_salt" not in cand.columns:
+        if not salted:
             cand = cand.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in points.columns]),
                                                    F.lit(salt)))
         reps = F.explode(F.sequence(F.lit(0), F.lit(salt - 1))).alias("_salt")
         cand = cand.join(shapes.select("*", reps), [id_col, "_salt"])
-    hit = cand.filter(point_in_polygon(x, y, "edges"))
-    return hit.drop("_cx", "_cy", "_salt", "edges")
+    hit = cand.filter(F.col("_interior") | point_in_polygon(x, y, "edges"))
+    return hit.drop("_cx", "_cy", "_salt", "_interior", "edges")
 
 
 def region_year_counts(tagged: DataFrame, name_col: str = "name", year_col: str = "Year",
