@@ -72,7 +72,7 @@ COMPLAINT_EXPRS: dict[str, str] = {
     "LAW_CAT_CD": "CASE o_orderstatus WHEN 'F' THEN 'FELONY' WHEN 'O' THEN 'MISDEMEANOR' ELSE 'VIOLATION' END",
     "BORO_NM": "r_name",
     "PREM_TYP_DESC": "c_mktsegment",
-    "JURIS_DESC": "'N.Y. POLICE DEPT'",
+    "JURIS_DESC": "'POLICE DEPT'",
     "SUSP_AGE_GROUP": _coded("o_custkey", 8, _AGES + ["-942", None]),
     "SUSP_RACE": "CASE WHEN c_custkey % 17 = 0 THEN NULL ELSE n_name END",
     "SUSP_SEX": ("CASE o_orderstatus WHEN 'F' THEN 'F' WHEN 'O' THEN 'M' ELSE "
