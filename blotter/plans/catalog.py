@@ -19,8 +19,8 @@ from blotter.operators.sampling import stratified_sample, stratified_sample_hash
 from blotter.operators.spatial import (explode_edges, grid_counts, group_extent, heat_layer,
                                        kernel_density, region_year_counts, tag_points)
 from blotter.operators.demographics import assemble_demographics, unpivot_years
-from blotter.operators.regression import (attach_demographics, correlations, elastic_net, ols_tests,
-                                         region_year_facts)
+from blotter.operators.regression import (attach_demographics, correlations, elastic_net, ols_general,
+                                         ols_tests, region_year_facts)
 from blotter.operators.harmonize import harmonize, record_type, since
 from blotter.operators.scaling import cluster_rows, minmax, row_zscore_clip, zscore
 from blotter.operators.temporal import (daily_pivot, hourly_pivot, monthly_resample, pivot_to_long,
@@ -372,6 +372,21 @@ def q_ols_controlled(spark, sf_dir):
     return _ols(spark, sf_dir, CONTROLLED_TESTS)
 
 
+MULTI_PREDICTORS = ["proverty_rate", "income_diversity", "population"]
+
+
+@register("ols_multi")
+def q_ols_multi(spark, sf_dir):
+    """REG1 with three predictors: one aggregate of pairwise correlations,
+    the 3 x 3 solve on the driver; one row per predictor."""
+    g = ols_general(facts(spark, sf_dir), "crime_count", MULTI_PREDICTORS)
+    rows = [(p, round(b, 6), g["n"], g["dof"], round(g["r_squared"], 6),
+             round(g["t_marginal"], 6) if (i == 0 and g["t_marginal"] is not None) else None)
+            for i, (p, b) in enumerate(zip(MULTI_PREDICTORS, g["beta"]))]
+    return spark.createDataFrame(rows, "predictor string, beta double, n long, dof long, "
+                                       "r_squared double, t_marginal double")
+
+
 @register("elastic_net_r2")
 def q_elastic_net_r2(spark, sf_dir):
     return elastic_net(facts(spark, sf_dir), "crime_count", ["unemployment_rate"])

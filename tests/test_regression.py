@@ -114,3 +114,17 @@ def test_elastic_net_skips_null_features(spark):
     rows = [(float(x), float(2 * x + rng.normal())) for x in rng.normal(size=50)] + [(None, 1.0)]
     r = elastic_net(spark.createDataFrame(rows, "x double, crime_count double"), "crime_count", ["x"]).first()
     assert r.n == 50 and 0.0 < r.r2 <= 1.0
+
+
+def test_ols_general_three_predictors(spark):
+    rng = np.random.default_rng(3)
+    n = 50
+    x = rng.normal(size=(n, 3))
+    x[:, 2] = 0.5 * x[:, 0] + 0.5 * x[:, 2]
+    y = x @ np.array([1.0, -2.0, 0.5]) + rng.normal(size=n)
+    df = spark.createDataFrame([tuple(map(float, r)) + (float(v),) for r, v in zip(x, y)],
+                               "a double, b double, c double, y double")
+    g = ols_general(df, "y", ["a", "b", "c"])
+    b, t, dof = _reference_ols(x, y)
+    assert g["dof"] == dof and math.isclose(g["beta"][0], b, rel_tol=1e-9)
+    assert math.isclose(g["t_marginal"], t, rel_tol=1e-9)
