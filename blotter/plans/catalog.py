@@ -373,9 +373,28 @@ def q_ols_controlled(spark, sf_dir):
 
 
 MULTI_PREDICTORS = ["proverty_rate", "income_diversity", "population"]
-
-
-@register("ols_multi")
+_pa, _pb, _pc = MULTI_PREDICTORS
+_OLS_MULTI_SQL = with_base(_DEMO_SQL, _FACTS_SQL, f"""
+m AS (SELECT count(*) AS n, corr(crime_count, {_pa}) AS ya, corr(crime_count, {_pb}) AS yb,
+             corr(crime_count, {_pc}) AS yc, corr({_pa}, {_pb}) AS ab, corr({_pa}, {_pc}) AS ac,
+             corr({_pb}, {_pc}) AS bc
+      FROM facts WHERE crime_count IS NOT NULL AND {_pa} IS NOT NULL AND {_pb} IS NOT NULL
+        AND {_pc} IS NOT NULL)""", """
+d AS (SELECT *, 1 + 2 * ab * ac * bc - ab * ab - ac * ac - bc * bc AS det FROM m)""", """
+b AS (SELECT n, n - 4 AS dof, ya, yb, yc,
+  ((1 - bc * bc) * ya + (ac * bc - ab) * yb + (ab * bc - ac) * yc) / det AS b1,
+  ((ac * bc - ab) * ya + (1 - ac * ac) * yb + (ab * ac - bc) * yc) / det AS b2,
+  ((ab * bc - ac) * ya + (ab * ac - bc) * yb + (1 - ab * ab) * yc) / det AS b3 FROM d)""", """
+r AS (SELECT *, b1 * ya + b2 * yb + b3 * yc AS r2 FROM b)""", f"""
+SELECT {lit(_pa)} AS predictor, round(b1, 6) AS beta, CAST(n AS BIGINT) AS n, CAST(dof AS BIGINT) AS dof,
+       round(r2, 6) AS r_squared, round(b1 * sqrt(dof / (1 - r2)), 6) AS t_marginal FROM r
+UNION ALL SELECT {lit(_pb)}, round(b2, 6), CAST(n AS BIGINT), CAST(dof AS BIGINT), round(r2, 6),
+       CAST(NULL AS DOUBLE) FROM r
+UNION ALL SELECT {lit(_pc)}, round(b3, 6), CAST(n AS BIGINT), CAST(dof AS BIGINT), round(r2, 6),
+       CAST(NULL AS DOUBLE) FROM r""")
+
+
+@register("ols_multi", _OLS_MULTI_SQL)
 def q_ols_multi(spark, sf_dir):
     """REG1 with three predictors: one aggregate of pairwise correlations,
     the 3 x 3 solve on the driver; one row per predictor."""
