@@ -61,3 +61,29 @@ def materialize(df: DataFrame) -> DataFrame:
     if checkpoint_dir(df.sparkSession) is not None:
         return df.checkpoint(eager=True)
     return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def recommended_conf(input_bytes: int, executors: int, cores_per_executor: int,
+                     target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a cluster run, sized from the input volume.
+
+    * scan splits of ~512 MB (JSON/parquet decode is CPU bound; fewer, larger
+      splits keep per-task overhead low on a 100 TB scan);
+    * the initial shuffle partition count covers the *unaggregated* worst
+      case (one ~256 MB partition per 256 MB of input, at least 2 waves of
+      all cores); AQE then coalesces the small post-aggregation shuffles
+      down to the advisory size and splits skewed partitions;
+    * broadcast threshold left at a fixed 64 MB: dimension-sized sides only.
+    """
+    slots = max(1, executors * cores_per_executor)
+    shuffle = max(2 * slots, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(int(shuffle)),
+        "spark.sql.files.maxPartitionBytes": str(512 << 20),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.parquet.filterPushdown": "true",
+    }

@@ -89,3 +89,12 @@ def test_union_row_count_is_sum_of_parts(spark, sf_dir):
     assert inc.filter("RECORD_TYPE = 'A'").count() == n_a
     assert inc.count() == n_a + inc.filter("RECORD_TYPE = 'C'").count()
     assert inc.filter("RECORD_TYPE = 'C'").count() <= c.count()
+
+
+def test_recommended_conf_scales_with_input():
+    from blotter.session import recommended_conf
+    small = recommended_conf(10 << 30, executors=10, cores_per_executor=4)
+    huge = recommended_conf(100 << 40, executors=1000, cores_per_executor=8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 80            # 2 waves of 40 cores
+    assert int(huge["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
+    assert huge["spark.sql.adaptive.skewJoin.enabled"] == "true"
