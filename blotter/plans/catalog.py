@@ -246,6 +246,19 @@ def q_row_z_clip(spark, sf_dir):
         .withColumn("z", F.round("z", 6))
 
 
+@register("complaint_hour_pivot", with_base(f"""
+SELECT CAST(hour(try_strptime(CMPLNT_FR_TM, '%H:%M:%S')) AS INTEGER) AS hour, {_wide_cols}
+FROM incidents WHERE RECORD_TYPE = 'C' AND hour(try_strptime(CMPLNT_FR_TM, '%H:%M:%S')) IS NOT NULL
+GROUP BY 1"""))
+def q_complaint_hour_pivot(spark, sf_dir):
+    """AGG5 + DT2 on the clock-time text of complaints: junk and ``24:00:00``
+    give no hour and are dropped (not merged into midnight)."""
+    c = record_type(incidents(spark, sf_dir), "C")
+    counts = materialize(pair_counts(c, clock_hour("CMPLNT_FR_TM").alias("hour"), "OFNS_DESC"))
+    offences = top_values(counts, "OFNS_DESC", TOP_K, weight="n")
+    return hourly_pivot(counts, "hour", "OFNS_DESC", offences, "hour", weight="n")
+
+
 @register("cluster_order")
 def q_cluster_order(spark, sf_dir):
     wide, types = _hours(spark, sf_dir)
