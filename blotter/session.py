@@ -35,7 +35,10 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     is.  Only a local session without one gets a private folder (tests and
     the local benchmark); a cluster session without one gets ``None``.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session has no SparkContext
+        return None
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -60,7 +63,10 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     if checkpoint_dir(df.sparkSession) is not None:
         return df.checkpoint(eager=True)
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return df.checkpoint(eager=True)       # a session that manages its own folder
+    except Exception:  # noqa: BLE001
+        return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def recommended_conf(input_bytes: int, executors: int, cores_per_executor: int,
