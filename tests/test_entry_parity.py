@@ -1,11 +1,8 @@
 """Driver contract and oracle parity (Spark vs DuckDB) on the driver tables."""
 
 import importlib.util
-import math
 from pathlib import Path
 
-import duckdb
-import pandas as pd
 import pytest
 
 import __spark_entry__ as E
