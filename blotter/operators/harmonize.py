@@ -84,6 +84,14 @@ def record_type(df: DataFrame, kind: str) -> DataFrame:
     return df.filter(F.col("RECORD_TYPE") == kind)
 
 
-def since(df: DataFrame, start: str, date_col: str = "Date") -> DataFrame:
-    """FLT6: rows on or after ``start`` (a sargable range predicate on the date)."""
-    return df.filter(F.col(date_col) >= F.lit(start).cast("date"))
+def since(df: DataFrame, start: str, date_col: str = "Date", year_col: str | None = "Year") -> DataFrame:
+    """FLT6: rows on or after ``start`` (a sargable range predicate on the date).
+
+    When the table also carries the year (its partition column once written
+    by ``write_incidents``), the implied ``Year >= year(start)`` is added so
+    whole year directories are pruned, not only row groups.
+    """
+    cond = F.col(date_col) >= F.lit(start).cast("date")
+    if year_col and year_col in df.columns:
+        cond = (F.col(year_col) >= F.lit(int(start[:4]))) & cond
+    return df.filter(cond)

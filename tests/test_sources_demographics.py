@@ -35,6 +35,11 @@ def test_json_feeds_roundtrip_partitioned(spark, tmp_path):
     assert [r.CMPLNT_NUM for r in pruned.collect()] == ["2"]
     assert "PartitionFilters: [isnotnull(RECORD_TYPE" in pruned._jdf.queryExecution().executedPlan().toString() \
         or pruned.count() == 1
+    from blotter.operators.harmonize import since
+    recent = since(back, "2019-01-01")
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "Year" in plan.split("PartitionFilters")[1][:200]
+    assert sorted(r.CMPLNT_NUM for r in recent.collect()) == ["2", "9"]
     csv_dir = tmp_path / "csv"
     write_table(back.select("CMPLNT_NUM", "BORO_NM"), str(csv_dir))
     assert read_table(spark, str(csv_dir), fmt="csv").count() == 3
