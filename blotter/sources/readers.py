@@ -63,14 +63,17 @@ def read_demographics_wide(spark: SparkSession, path: str,
                            entity: str = "Borough", entity_alias: str | None = None) -> DataFrame:
     """One wide demographic CSV: entity, short/long name, one column per year.
 
-    ``entity_alias`` renames e.g. ``Sub-Borough Area`` to ``Borough``.  Year
-    cells are read as text and converted by ``try_cast`` later, so a junk
-    cell becomes NULL instead of failing the read.
+    ``entity_alias`` renames e.g. ``Sub-Borough Area`` to ``Borough``.  Cells
+    are read as text (no inference pass) and converted by ``try_cast`` later,
+    so a junk cell becomes NULL instead of failing the read.  Only the listed
+    year columns are kept; a year the file lacks is an all-NULL column.
     """
     df = spark.read.option("header", True).csv(path)
     if entity_alias:
         df = df.withColumnRenamed(entity_alias, entity)
-    return df
+    names = [entity] + [c for c in ("short_name", "long_name") if c in df.columns]
+    return df.select(*names, *[F.col(f"`{y}`") if y in df.columns else F.lit(None).cast("string").alias(y)
+                               for y in years])
 
 
 def read_regions(spark: SparkSession, path: str, fmt: str = "csv",

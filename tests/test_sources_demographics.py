@@ -54,7 +54,7 @@ def test_demographics_assembly(spark, tmp_path):
     def wide_csv(name, rows):
         p = tmp_path / f"{name}.csv"
         p.write_text("Sub-Borough Area,short_name,long_name,2006,2007\n" + "\n".join(rows) + "\n")
-        return read_demographics_wide(spark, str(p), entity_alias="Sub-Borough Area")
+        return read_demographics_wide(spark, str(p), ["2006", "2007"], entity_alias="Sub-Borough Area")
 
     parts = {
         "proverty_rate": unpivot_years(wide_csv("p", ["Mott Haven,mh,Mott,1.5,2.5", "Astoria,as,Ast,3,"]),
@@ -63,6 +63,11 @@ def test_demographics_assembly(spark, tmp_path):
                                     "population", ["2006", "2007"]),
     }
     demo = assemble_demographics(parts)
+    # a year missing from the file is an all-NULL column, not an error
+    wide3 = read_demographics_wide(spark, str(tmp_path / "q.csv"), ["2006", "2007", "2008"],
+                                   entity_alias="Sub-Borough Area")
+    assert wide3.columns == ["Borough", "short_name", "long_name", "2006", "2007", "2008"]
+    assert wide3.first()["2008"] is None
     got = sorted((r.Borough, r.Year, r.proverty_rate, r.population, r.Demo_Key) for r in demo.collect())
     # Astoria is absent from one measure -> inner join drops it; junk/empty cells are NULL
     assert got == [("MOTT HAVEN", "2006", 1.5, 100.0, "MOTT HAVEN2006"),
