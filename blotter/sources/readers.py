@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from blotter.schema import ARREST_SCHEMA, COMPLAINT_SCHEMA, DEMOGRAPHIC_YEARS, REGION_SCHEMA
+from blotter.schema import ARREST_SCHEMA, COMPLAINT_SCHEMA, DEMOGRAPHIC_YEARS
 
 
 def _paths(paths: str | Sequence[str]) -> list[str]:
@@ -33,7 +33,12 @@ def read_feed(spark: SparkSession, paths: str | Sequence[str], schema: T.StructT
     if fmt == "json":
         return reader.json(_paths(paths))
     if fmt == "csv":
-        return reader.option("header", header).csv(_paths(paths))
+        # CSV columns are matched by header *name* (a fixed schema would be
+        # applied by position); cells stay text, so there is no inference pass.
+        raw = spark.read.option("header", header).option("mode", "PERMISSIVE").csv(_paths(paths))
+        return raw.select(*[
+            (F.col(f"`{f.name}`") if f.name in raw.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in schema.fields])
     if fmt == "parquet":
         return reader.parquet(*_paths(paths))
     raise ValueError(f"unsupported feed format {fmt!r}")
@@ -116,7 +121,8 @@ def read_regions(spark: SparkSession, path: str, fmt: str = "csv",
                   F.concat(F.lit("MULTIPOLYGON ("), F.array_join(F.transform(multi, poly_txt), ", "),
                            F.lit(")")))
             .alias("geometry"))
-    df = read_table(spark, path, fmt, schema=REGION_SCHEMA if fmt == "csv" else None)
+    # no forced schema: CSV columns are then matched by header name below
+    df = read_table(spark, path, fmt)
     return df.select(F.col(id_col).cast("string").alias("bor_subb"),
                      F.col(name_col).cast("string").alias("name"),
                      F.col(geometry_col).cast("string").alias("geometry"))

@@ -78,3 +78,20 @@ def test_demographics_assembly(spark, tmp_path):
                                 "CMPLNT_NUM string, RECORD_TYPE string, BORO_NM string, Year int")
     facts = region_year_facts(inc, demo, ["2006", "2007"], ["MOTT HAVEN"], measures=list(parts))
     assert [(r.Key, r.crime_count, r.population) for r in facts.collect()] == [("MOTT HAVEN2006", 2, 100.0)]
+
+
+def test_csv_feed_and_json_sink(spark, tmp_path):
+    from blotter.schema import COMPLAINT_SCHEMA
+    src = tmp_path / "c.csv"
+    src.write_text("CMPLNT_NUM,CMPLNT_FR_DT,SUSP_AGE_GROUP,BORO_NM\n1,01/02/2019,<18,BRONX\n2,junk,,QUEENS\n")
+    c = read_feed(spark, str(src), COMPLAINT_SCHEMA, fmt="csv")
+    assert c.schema == COMPLAINT_SCHEMA                       # fields matched by header name
+    first = c.filter("CMPLNT_NUM = '1'").first()
+    assert (first.SUSP_AGE_GROUP, first.BORO_NM, first.CMPLNT_FR_TM) == ("<18", "BRONX", None)
+    a = spark.createDataFrame([], ARREST_SCHEMA)
+    inc = harmonize(a, c)
+    out = tmp_path / "json_out"
+    write_incidents(inc, str(out), fmt="json")
+    back = spark.read.json(str(out))
+    assert sorted(r.CMPLNT_NUM for r in back.collect()) == ["1", "2"]
+    assert {p.name for p in out.iterdir() if p.is_dir()} == {"RECORD_TYPE=C"}

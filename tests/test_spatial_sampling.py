@@ -103,3 +103,10 @@ def test_stratified_samples(spark):
     assert sorted(r.key for r in h1.collect()) == sorted(r.key for r in h2.collect())
     assert {r.s for r in h1.collect()} == {"A"}
     assert h1.count() == h1.filter(F.col("s") == "A").count()
+
+
+def test_read_regions_csv_by_header_name(spark, tmp_path):
+    p = tmp_path / "regions.csv"
+    p.write_text('name,geometry,bor_subb\nSQ,"POLYGON ((0 0, 2 0, 2 2, 0 2, 0 0))",7\n')
+    r = read_regions(spark, str(p)).first()
+    assert (r.bor_subb, r.name, r.geometry.startswith("POLYGON")) == ("7", "SQ", True)
