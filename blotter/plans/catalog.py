@@ -751,6 +751,52 @@ def q_ols_subregion(spark, sf_dir):
     return out.withColumns({c: F.round(c, 6) for c in _ROUNDED})
 
 
+_TWO_COL_GRID = f"""grid AS (SELECT PREM_TYP_DESC, CRM_ATPT_CPTD_CD, n FROM (
+  SELECT PREM_TYP_DESC, count(*) FILTER (WHERE CRM_ATPT_CPTD_CD = 'ATTEMPTED') AS "ATTEMPTED",
+         count(*) FILTER (WHERE CRM_ATPT_CPTD_CD = 'COMPLETED') AS "COMPLETED"
+  FROM incidents WHERE RECORD_TYPE = 'C' GROUP BY PREM_TYP_DESC)
+  UNPIVOT (n FOR CRM_ATPT_CPTD_CD IN ("ATTEMPTED", "COMPLETED")))"""
+
+
+def _two_column_cells(spark, sf_dir) -> DataFrame:
+    c = record_type(incidents(spark, sf_dir), "C")
+    counts = materialize(pair_counts(c, "PREM_TYP_DESC", "CRM_ATPT_CPTD_CD"))
+    outcomes = top_values(counts, "CRM_ATPT_CPTD_CD", TOP_K, weight="n")
+    return crosstab_long(counts, "PREM_TYP_DESC", "CRM_ATPT_CPTD_CD", outcomes, weight="n")
+
+
+@register("ca_coordinates_two_columns", with_base(
+    _TWO_COL_GRID,
+    "t AS (SELECT PREM_TYP_DESC, CRM_ATPT_CPTD_CD, CAST(n AS DOUBLE) AS n FROM grid)",
+    "tot AS (SELECT sum(n) AS total FROM t)",
+    """rm AS (SELECT PREM_TYP_DESC, sum(n) AS rn,
+                  sum(CASE WHEN CRM_ATPT_CPTD_CD = 'ATTEMPTED' THEN n ELSE 0 END) AS n1
+           FROM t GROUP BY 1 HAVING sum(n) > 0)""",
+    """m AS (SELECT sum(CASE WHEN CRM_ATPT_CPTD_CD = 'ATTEMPTED' THEN n ELSE 0 END) / any_value(total) AS c1,
+                 sum(CASE WHEN CRM_ATPT_CPTD_CD = 'COMPLETED' THEN n ELSE 0 END) / any_value(total) AS c2
+          FROM t CROSS JOIN tot)""",
+    """i AS (SELECT sqrt(sum(pow((t.n / tot.total - (r.rn / tot.total) * (m.c1 * (t.CRM_ATPT_CPTD_CD = 'ATTEMPTED')::INT
+                                 + m.c2 * (t.CRM_ATPT_CPTD_CD = 'COMPLETED')::INT))
+                             / sqrt((r.rn / tot.total) * (m.c1 * (t.CRM_ATPT_CPTD_CD = 'ATTEMPTED')::INT
+                                 + m.c2 * (t.CRM_ATPT_CPTD_CD = 'COMPLETED')::INT)), 2))) AS sigma
+          FROM t JOIN rm AS r ON r.PREM_TYP_DESC = t.PREM_TYP_DESC CROSS JOIN tot CROSS JOIN m)""",
+    "g AS (SELECT CASE WHEN c2 >= c1 THEN 1.0 ELSE -1.0 END AS sg, c1, c2, sigma FROM m CROSS JOIN i)", """
+SELECT 'row' AS kind, PREM_TYP_DESC AS label, CAST(1 AS INTEGER) AS dimension,
+       round(sg * (n1 / rn - c1) / sqrt(c1 * c2), 6) AS principal,
+       round(sg * (n1 / rn - c1) / sqrt(c1 * c2) / sigma, 6) AS standard
+FROM rm CROSS JOIN g
+UNION ALL SELECT 'col', 'ATTEMPTED', CAST(1 AS INTEGER), round(sg * sqrt(c2) * sigma / sqrt(c1), 6),
+       round(sg * sqrt(c2) / sqrt(c1), 6) FROM g
+UNION ALL SELECT 'col', 'COMPLETED', CAST(1 AS INTEGER), round(-sg * sqrt(c1) * sigma / sqrt(c2), 6),
+       round(-sg * sqrt(c1) / sqrt(c2), 6) FROM g"""))
+def q_ca_coordinates_two_columns(spark, sf_dir):
+    """CA4/CA5 where a closed form exists: with two columns the one axis has
+    eigenvector (sqrt c2, -sqrt c1) up to the sign convention."""
+    ca = correspondence(_two_column_cells(spark, sf_dir), "PREM_TYP_DESC", "CRM_ATPT_CPTD_CD")
+    return ca.coordinates.select("kind", "label", "dimension", F.round("principal", 6).alias("principal"),
+                                 F.round("standard", 6).alias("standard"))
+
+
 @register("ca_scree_two_columns", with_base(
     f"""grid AS (SELECT PREM_TYP_DESC, CRM_ATPT_CPTD_CD, n FROM (
   SELECT PREM_TYP_DESC, count(*) FILTER (WHERE CRM_ATPT_CPTD_CD = 'ATTEMPTED') AS "ATTEMPTED",
