@@ -30,6 +30,8 @@ from blotter.functions.geometry import edges_bbox, edges_valid, point_in_polygon
 
 # Broadcast bound for the region side, in rows (cells or regions).
 MAX_BROADCAST_ROWS = 2_000_000
+# Above this many polygon edges the cell classification is spread over the cluster.
+MAX_SERIAL_EDGES = 100_000
 
 
 def region_edges(regions: DataFrame, id_col: str = "bor_subb", name_col: str = "name",
@@ -82,6 +84,13 @@ def region_cells(edges: DataFrame, cell: float, id_col: str = "bor_subb",
                     (~F.col("_touch") & F.col("_center_in")).alias("_interior")))
 
 
+def _parallelism(df: DataFrame) -> int:
+    try:
+        return max(1, df.sparkSession.sparkContext.defaultParallelism)
+    except Exception:  # noqa: BLE001 - sessions without a SparkContext
+        return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
+
+
 def _fits(df: DataFrame, limit: int) -> bool:
     """Counted row bound for a broadcast (a small job over the region side)."""
     return df.count() <= limit
@@ -107,6 +116,14 @@ def tag_points(points: DataFrame, regions: DataFrame, x: str = "Longitude", y: s
     of all points is split over ``salt`` tasks instead of landing on one.
     """
     edges = region_edges(regions, id_col, name_col, geometry_col)
+    # One small aggregate sizes the region side: its row count bounds the
+    # shapes broadcast, its edge count decides whether the cell
+    # classification (cells x edges work) is spread over the cluster or is
+    # cheap enough for the few tasks holding the region table.
+    stats = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("edges")).alias("e")).first()
+    shapes_fit = (stats["n"] or 0) <= max_broadcast_rows
+    if (stats["e"] or 0) > MAX_SERIAL_EDGES:
+        edges = edges.repartition(_parallelism(regions), id_col)
     cells = region_cells(edges, cell, id_col, name_col)
     shapes = edges.select(id_col, "edges")
     pts = valid_points(points, x, y).withColumns({
@@ -122,7 +139,7 @@ def tag_points(points: DataFrame, regions: DataFrame, x: str = "Longitude", y: s
     # the OR short-circuits, so only boundary-cell candidates run the exact test.
     in_box = F.col(x).between(F.col("min_x"), F.col("max_x")) & F.col(y).between(F.col("min_y"), F.col("max_y"))
     cand = cand.filter(F.col("_interior") | in_box).drop("min_x", "max_x", "min_y", "max_y")
-    if _fits(shapes, max_broadcast_rows):
+    if shapes_fit:
         cand = cand.join(F.broadcast(shapes), id_col)
     else:
         if not salted:
