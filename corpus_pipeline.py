@@ -6,13 +6,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 from blotter.llm.common import Scratch, table
 from blotter.llm.exact_dedup import drop_exact_duplicates
+from blotter.llm.ngram_join import keep_one_per_component
 
 
 def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return drop_exact_duplicates(docs)
 
 
-STAGES = [("exact_dedup", exact_duplicates)]
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return keep_one_per_component(docs, n=5, percent=80)
+
+
+STAGES = [("exact_dedup", exact_duplicates), ("ngram_join", near_duplicates)]
 ORACLE_SQL = None
 
 
