@@ -11,6 +11,7 @@ from blotter.llm.common import table
 from blotter.llm.exact_dedup import exact_dedup
 from blotter.llm.ngram_join import ngram_components
 from blotter.llm.packing import pack
+from blotter.llm.repeated_phrases import remove_repeats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -60,3 +61,19 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_harmonic_packing")
 def op6_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op8_repeated_phrases", r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+win AS (SELECT doc_id, s, md5(array_to_string(ws[s:s + 34], ' ')) AS g
+        FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 33)) AS s FROM w)),
+again AS (SELECT g FROM win GROUP BY g HAVING count(*) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 35)) AS p FROM win SEMI JOIN again USING (g)),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS t
+         FROM (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS p FROM w)
+         ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT w.doc_id, len(ws) AS n_words, len(ws) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+""")
+def op8_repeated_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"), window=35, with_text=False).drop("kept_text")
