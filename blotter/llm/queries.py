@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from blotter.llm.common import table
 from blotter.llm.exact_dedup import exact_dedup
 from blotter.llm.ngram_join import ngram_components
 from blotter.llm.packing import pack
 from blotter.llm.repeated_phrases import remove_repeats
+from blotter.llm.sentencepiece_codec import decode, encode
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -77,3 +79,13 @@ FROM w LEFT JOIN kept USING (doc_id)
 """)
 def op8_repeated_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"), window=35, with_text=False).drop("kept_text")
+
+
+@query("op10_sentencepiece")
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its token count, a digest of its ids, and what decoding the ids gives."""
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    both = decode(encode(table(spark, sf_dir, "documents"), path), path)
+    return both.select(F.col("id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"),
+                       F.sha2(F.array_join("ids", " ").cast("binary"), 256).alias("ids_sha256"),
+                       F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
