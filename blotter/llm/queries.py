@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from blotter.llm.common import table
 from blotter.llm.exact_dedup import exact_dedup
+from blotter.llm.line_frequency import line_rules
 from blotter.llm.ngram_join import ngram_components
 from blotter.llm.packing import pack
 from blotter.llm.repeated_phrases import remove_repeats
@@ -89,3 +90,35 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.select(F.col("id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"),
                        F.sha2(F.array_join("ids", " ").cast("binary"), 256).alias("ids_sha256"),
                        F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
+
+
+@query("op3_line_frequency", r"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS host, coalesce(text, '') AS t,
+                  regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+win AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS times
+        FROM (SELECT doc_id, i, array_to_string(ws[i:i + 4], ' ') AS g
+              FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 3)) AS i FROM d))),
+rep AS (SELECT doc_id, count(DISTINCT p) AS n_repeat_words
+        FROM (SELECT doc_id, unnest(range(i, i + 5)) AS p FROM win WHERE times > 1) GROUP BY doc_id),
+raw AS (SELECT doc_id, count(*) - count(DISTINCT x) AS n_dup_lines
+        FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS x FROM d)
+        WHERE regexp_matches(x, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+ln AS (SELECT doc_id, host, x FROM (SELECT doc_id, host, trim(unnest(string_split(
+         lower(regexp_replace(t, '[\x20\x09\x0B-\x0D]+', ' ', 'g')), chr(10))), ' ') AS x FROM d) WHERE x <> ''),
+body AS (SELECT doc_id, md5(string_agg(x, chr(10) ORDER BY k)) AS content
+         FROM (SELECT doc_id, unnest(string_split(lower(regexp_replace(t, '[\x20\x09\x0B-\x0D]+', ' ', 'g')), chr(10))) AS y,
+                      trim(y, ' ') AS x, generate_subscripts(string_split(t, chr(10)), 1) AS k FROM d)
+         WHERE x <> '' GROUP BY doc_id),
+often AS (SELECT host, x FROM ln JOIN body USING (doc_id) GROUP BY host, x HAVING count(DISTINCT content) > 100),
+gone AS (SELECT doc_id, sum(len(string_split(x, ' '))) AS n FROM ln SEMI JOIN often USING (host, x) GROUP BY doc_id),
+m AS (SELECT d.doc_id, len(ws)::BIGINT AS n_words, coalesce(list_sum(list_transform(ws, lambda w: length(w))), 0)::BIGINT AS word_chars,
+             len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+             coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(gone.n, 0)::BIGINT AS n_removed_words
+      FROM d LEFT JOIN rep USING (doc_id) LEFT JOIN raw USING (doc_id) LEFT JOIN gone USING (doc_id))
+SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words)
+       AND 100 * (n_words - n_removed_words) >= 30 * n_words AS kept
+FROM m
+""")
+def op3_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_rules(table(spark, sf_dir, "documents"), max_docs=100, min_kept_percent=30).drop("removed_lines")
