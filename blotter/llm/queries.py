@@ -14,6 +14,7 @@ from blotter.llm.line_frequency import line_rules
 from blotter.llm.ngram_join import ngram_components
 from blotter.llm.packing import pack
 from blotter.llm.repeated_phrases import remove_repeats
+from blotter.llm.sanitise import find_private
 from blotter.llm.sentencepiece_codec import decode, encode
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -122,3 +123,8 @@ FROM m
 """)
 def op3_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules(table(spark, sf_dir, "documents"), max_docs=100, min_kept_percent=30).drop("removed_lines")
+
+
+@query("op7_sanitise")
+def op7_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_private(table(spark, sf_dir, "documents"))
