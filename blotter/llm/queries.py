@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blotter.llm.common import table
+from blotter.llm.common import Scratch, table
 from blotter.llm.exact_dedup import exact_dedup
 from blotter.llm.line_frequency import line_rules
 from blotter.llm.ngram_join import ngram_components
@@ -16,6 +16,7 @@ from blotter.llm.packing import pack
 from blotter.llm.repeated_phrases import remove_repeats
 from blotter.llm.sanitise import find_private
 from blotter.llm.sentencepiece_codec import decode, encode
+from blotter.llm.warc_bundles import read_bundles, write_bundles
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -128,3 +129,19 @@ def op3_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_sanitise")
 def op7_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_private(table(spark, sf_dir, "documents"))
+
+
+@query("op2_warc_bundles", """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS x FROM pages),
+g AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS head FROM p)
+SELECT page_id, strlen(h)::BIGINT AS payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         ((('0x' || substr(x, 5 * (k // 4) + 1, 5))::INTEGER >> (15 - 5 * (k % 4))) & 31)::INTEGER + 1, 1)), '') AS payload_digest,
+       CASE WHEN page_id = head THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> head THEN head END AS refers_to
+FROM g
+""")
+def op2_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{Scratch(spark, 'bundles').path}/archive"
+    write_bundles(table(spark, sf_dir, "pages"), path, min_revisit_bytes=0)
+    return read_bundles(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
