@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import uuid
+from pathlib import Path
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,14 @@ _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 _S33 = np.uint64(33)
 
 
+def ship(spark: SparkSession) -> None:
+    """Let Python workers import this package from the driver's path (same path on each node, or --py-files)."""
+    root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    known = [p for p in env.get("PYTHONPATH", "").split(":") if p]
+    if root not in known:
+        env["PYTHONPATH"] = ":".join([root, *known])
+
+
 class Scratch:
     """A folder of written intermediate tables in the session's shared checkpoint folder.
 
@@ -25,6 +34,7 @@ class Scratch:
     """
 
     def __init__(self, spark: SparkSession, name: str):
+        ship(spark)
         base = checkpoint_dir(spark)
         if base is None:
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
@@ -42,6 +52,8 @@ class Scratch:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One table of a data folder, with the session made ready for this package's Python functions."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from blotter.llm.common import Scratch, table
 from blotter.llm.exact_dedup import exact_dedup
+from blotter.llm.labels import fold
+from blotter.llm.line_crf import fit as fit_lines
+from blotter.llm.line_crf import score_quality
 from blotter.llm.line_frequency import line_rules
 from blotter.llm.ngram_join import ngram_components
 from blotter.llm.packing import pack
@@ -145,3 +148,12 @@ def op2_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{Scratch(spark, 'bundles').path}/archive"
     write_bundles(table(spark, sf_dir, "pages"), path, min_revisit_bytes=0)
     return read_bundles(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op9_line_crf")
+def op9_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    crf = fit_lines(docs, table(spark, sf_dir, "labels"), fold("doc_id", 5) != 0)
+    return score_quality(docs, crf).select(
+        "doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score",
+        F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
