@@ -19,6 +19,8 @@ from blotter.llm.packing import pack
 from blotter.llm.repeated_phrases import remove_repeats
 from blotter.llm.sanitise import find_private
 from blotter.llm.sentencepiece_codec import decode, encode
+from blotter.llm.toxic_neighbours import fit as fit_examples
+from blotter.llm.toxic_neighbours import score_toxicity
 from blotter.llm.warc_bundles import read_bundles, write_bundles
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -157,3 +159,12 @@ def op9_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(docs, crf).select(
         "doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score",
         F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
+@query("op5_toxic_neighbours")
+def op5_toxic_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = fit_examples(docs, table(spark, sf_dir, "labels"), fold("doc_id", 3) != 1)
+    return score_toxicity(docs, model).select(
+        "doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "score",
+        F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"), "evidence")
