@@ -17,6 +17,7 @@ import re
 import zlib
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -26,41 +27,88 @@ from blotter.llm.common import Scratch
 from blotter.llm.word_cache import WordCache
 
 END = (1).to_bytes(4, "little")              # id 1 ends every document
-_INSIDE = re.compile(r"\s \s|\s \Z")         # a space inside a longer run of white space
+# White space as Unicode has it (fixed values).
+_SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_CHUNK = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
+_SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([!-&(-/:-@\[-`{-~]*)")      # two pre-tokens: letters, signs
 _GROUP = 512                                 # workers whose open bins meet in one task
 _SHUT = 64                                   # shorter remainders are never cut
 
 
 class ByteBpe:
-    """Whole-text ids of a byte-level BPE file, by cached space-separated words.
+    """Whole-text ids of a byte-level BPE file, by cached words.
 
-    Its pre-tokenizer never joins a character before a space to the space, so
-    a text may be cut there, unless the space lies inside a longer run of
-    white space; such texts are encoded whole.
+    Its pre-tokenizer never joins white space to the character before it, and
+    only a space to the character after it, so a text may be cut before each
+    run of white space.  New words are encoded together, one a line; those of
+    plain letters and signs go to the model in its own byte alphabet, which
+    spares them the pre-tokenizer.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True            # their strings in a text are ordinary text
         self.tok.no_truncation()
         self.tok.no_padding()
-        self.spaced = WordCache(lambda words: self._raw([" " + w for w in words]))
-        self.first = WordCache(self._raw)
+        (self.line,) = np.frombuffer(self._raw(["\n"])[0], "<u4")
+        level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        # the byte alphabet, read off the pre-tokenizer: bytes below 128 as characters, the others after a prefix
+        self.alphabet = {b: level.pre_tokenize_str(chr(b))[0][0] for b in range(128)}
+        for b in range(128, 192):
+            self.alphabet[b] = level.pre_tokenize_str(bytes([0xC4, b]).decode())[0][0][1]
+        for b in range(0xC3, 0xCA):
+            self.alphabet[b] = level.pre_tokenize_str(bytes([b, 0x80]).decode())[0][0][0]
+        self.direct = Tokenizer(self.tok.model)
+        self.direct.pre_tokenizer = pre_tokenizers.Split(self.alphabet[10], "isolated")
+        self.signs = WordCache(self._raw)
+        self.first = WordCache(self._lines)
+        self.later = WordCache(self._later)              # key: the word, with its newline if it starts a line
+        self.other = WordCache(self._raw)                # key: the word with all white space before it
 
     def _raw(self, texts: list[str]) -> list[bytes]:
-        import numpy as np
-
         return [np.array(e.ids, "<u4").tobytes()
                 for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _apart(self, words: list[str], plain: bool) -> list[bytes]:
+        """Ids of words that hold no white space but one space in front."""
+        if not words:
+            return []
+        text = "\n".join(words)
+        if plain:
+            tok, text = self.direct, text.encode().decode("latin-1").translate(self.alphabet)
+        else:
+            tok = self.tok
+        ids = np.array(tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+        ends = [*(4 * np.flatnonzero(ids == self.line)).tolist(), 4 * len(ids)]
+        raw = ids.tobytes()
+        return [raw[a:b] for a, b in zip([0] + [e + 4 for e in ends[:-1]], ends)]
+
+    def _lines(self, words: list[str], space: str = "") -> list[bytes]:
+        split = [_SIMPLE.fullmatch(w) for w in words]
+        self.signs.need({m[2] for m in split if m and m[2]})
+        letters = iter(self._apart([space + m[1] for m in split if m], True))
+        others = iter(self._apart([space + w for w, m in zip(words, split) if not m], False))
+        return [next(others) if not m else next(letters) + self.signs[m[2]] if m[2] else next(letters) for m in split]
+
+    def _later(self, words: list[str]) -> list[bytes]:
+        line = np.array([self.line], "<u4").tobytes()
+        inside = iter(self._lines([w for w in words if w[0] != "\n"], " "))
+        starts = iter(self._lines([w[1:] for w in words if w[0] == "\n"]))
+        return [next(inside) if w[0] != "\n" else line + next(starts) for w in words]
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        parts = [t.split(" ") if not _INSIDE.search(t) else None for t in texts]
-        whole = iter(self._raw([t for t, p in zip(texts, parts) if p is None]))
-        self.first.need({p[0] for p in parts if p})
-        self.spaced.need(set().union(*(p[1:] for p in parts if p)))
-        return [self.first[p[0]] + self.spaced.join(p[1:]) if p else next(whole) for p in parts]
+        plain, other = [], []
+        for t in texts:
+            # single spaces and newlines between words, nothing else
+            even = t and " ".join(t.split()) == t.replace("\n", " ")
+            plain.append(t.replace("\n", " \n").split(" ") if even else None)
+            other.append([] if even else _CHUNK.findall(t))
+        self.first.need({p[0] for p in plain if p})
+        self.later.need(set().union(*(p[1:] for p in plain if p)))
+        self.other.need(set().union(*other))
+        return [self.first[p[0]] + self.later.join(p[1:]) if p else self.other.join(o) for p, o in zip(plain, other)]
 
 
 @lru_cache(maxsize=2)

@@ -14,7 +14,7 @@ class WordCache(dict):
     never changes, so emptying only costs time.
     """
 
-    def __init__(self, encode: Callable[[list[str]], Iterable[bytes]], max_bytes: int = 64 << 20):
+    def __init__(self, encode: Callable[[list[str]], Iterable[bytes]], max_bytes: int = 160 << 20):
         super().__init__()
         self._encode, self._max, self._held = encode, max_bytes, 0
 

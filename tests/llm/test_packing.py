@@ -79,3 +79,15 @@ BPE = ByteBpe(PATH)
 @given(st.text(alphabet=" \n\t\r  ab1.'sé😀<|>", max_size=40))
 def test_ids_equal_the_library(text):
     assert BPE.encode([text])[0] == np.array(TOK.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.text(max_size=12), max_size=6))
+def test_ids_of_any_words_equal_the_library(words):
+    text = " ".join(words)
+    assert BPE.encode([text])[0] == np.array(TOK.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+def test_byte_alphabet_of_latin_letters():
+    text = " ".join(chr(c) + chr(c) for c in range(33, 0x250))
+    assert BPE.encode([text])[0] == np.array(TOK.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
