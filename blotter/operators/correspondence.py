@@ -4,8 +4,8 @@ Input is a long, complete ``(row, col, n)`` grid (zero cells present), as
 produced by ``crosstab_long``.  The distributed part:
 
 * masses: row sums by a window over each row's cells, column sums by an
-  aggregate broadcast back (at most K columns), the grand total as a
-  scalar subquery;
+  aggregate joined back (at most K columns), the grand total as a scalar
+  subquery;
 * standardized residuals ``s = (p - r c) / sqrt(r c)`` and the total
   inertia ``sum s^2`` as column expressions and one aggregate;
 * the K x K Gram matrix ``S'S`` as ONE aggregate of K(K+1)/2 products over
@@ -21,7 +21,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
@@ -49,19 +48,18 @@ def ca_residuals(cells: DataFrame, row: str, col: str, value: str = "n",
     ``by`` analyses several tables at once (one per group), in one plan.
     """
     by = list(by)
-    c = cells.select(*by, row, col, F.col(value).cast("double").alias("n"))
-    c = c.withColumn("_rn", F.sum("n").over(Window.partitionBy(*by, row)))
-    col_tot = c.groupBy(*by, col).agg(F.sum("n").alias("_cn"))
-    # col_tot has one row per group and listed column value (bounded by the pivot lists).
-    c = c.join(F.broadcast(col_tot), [*by, col]).filter((F.col("_rn") > 0) & (F.col("_cn") > 0))
+    c = cells.select(*by, row, col, F.col(value).cast("double").alias("_ca_n"))
+    c = c.withColumn("_ca_rn", F.sum("_ca_n").over(Window.partitionBy(*by, row)))
+    col_tot = c.groupBy(*by, col).agg(F.sum("_ca_n").alias("_ca_cn"))
+    c = c.join(col_tot, [*by, col]).filter((F.col("_ca_rn") > 0) & (F.col("_ca_cn") > 0))
     if by:
-        tot = c.groupBy(*by).agg(F.sum("n").alias("_tot"))      # one row per group
-        c = c.join(F.broadcast(tot), by)
-        total = F.col("_tot")
+        tot = c.groupBy(*by).agg(F.sum("_ca_n").alias("_ca_tot"))
+        c = c.join(tot, by)
+        total = F.col("_ca_tot")
     else:
-        total = c.agg(F.sum("n")).scalar()
-    p, r, k = F.col("n") / total, F.col("_rn") / total, F.col("_cn") / total
-    return c.select(*by, row, col, F.col("n").cast("long").alias("n"), p.alias("p"),
+        total = c.agg(F.sum("_ca_n")).scalar()
+    p, r, k = F.col("_ca_n") / total, F.col("_ca_rn") / total, F.col("_ca_cn") / total
+    return c.select(*by, row, col, F.col("_ca_n").cast("long").alias("n"), p.alias("p"),
                     r.alias("mass_row"), k.alias("mass_col"),
                     ((p - r * k) / F.sqrt(r * k)).alias("residual"))
 
@@ -76,31 +74,35 @@ def ca_inertia(residuals: DataFrame, row: str, col: str, by: Sequence[str] = ())
     ).withColumn("chi2", F.col("inertia") * F.col("n_total"))
 
 
-def correspondence(cells: DataFrame, row: str, col: str, value: str = "n") -> CAResult:
-    """CA1-CA5: full correspondence analysis.
+def correspondence(cells: DataFrame, row: str, col: str, value: str = "n",
+                   max_columns: int = 200) -> CAResult:
+    """CA1-CA5: full correspondence analysis of a table with at most ``max_columns`` columns.
 
     Eigenvectors are sign-normalised (largest absolute loading positive);
     trivial axes (eigenvalue below 1e-12 of the first) are omitted from the
     coordinates and kept in the scree table up to ``min(rows, cols)``.
     """
     spark = cells.sparkSession
-    res = materialize(ca_residuals(cells, row, col, value))
-    cols_info = res.groupBy(col).agg(F.first("mass_col").alias("c")).orderBy(col).collect()
-    columns = [r[col] for r in cols_info]
-    masses = np.array([r["c"] for r in cols_info], dtype=float)
+    res = materialize(ca_residuals(
+        cells.select(F.col(row).alias("_ca_row"), F.col(col).alias("_ca_col"), F.col(value).alias("_ca_value")),
+        "_ca_row", "_ca_col", "_ca_value"))
+    cols_info = (res.groupBy("_ca_col").agg(F.first("mass_col").alias("_ca_mass"))
+                 .orderBy("_ca_col").limit(max_columns + 1).collect())
+    if len(cols_info) > max_columns:
+        raise ValueError(f"more than {max_columns} columns: cut the list before the analysis")
+    columns = [r["_ca_col"] for r in cols_info]
+    masses = np.array([r["_ca_mass"] for r in cols_info], dtype=float)
     k = len(columns)
-    sname = [f"_s{j}" for j in range(k)]
-    wide = res.groupBy(row).agg(
-        F.first("mass_row").alias("_r"),
-        *[F.coalesce(F.max(F.when(F.col(col) == F.lit(v), F.col("residual"))), F.lit(0.0)).alias(sname[j])
-          for j, v in enumerate(columns)])
-    pairs = [(i, j) for i in range(k) for j in range(i, k)]
-    grow = wide.agg(F.count(F.lit(1)).alias("_rows"),
-                    *[F.sum(F.col(sname[i]) * F.col(sname[j])).alias(f"g{i}_{j}") for i, j in pairs]).first()
-    n_rows = int(grow["_rows"])
+    # One array of the K residuals per row, in column order (a removed cell is 0).
+    filled = [F.coalesce(F.max(F.when(F.col("_ca_col") == F.lit(v), F.col("residual"))), F.lit(0.0)) for v in columns]
+    wide = materialize(res.groupBy("_ca_row").agg(F.first("mass_row").alias("_ca_r"), F.array(*filled).alias("_ca_s")))
+    # Gram matrix in long form: K(K+1)/2 products a row, combined map-side by (i, j).
+    left = wide.select("_ca_s", F.posexplode("_ca_s").alias("i", "a"))
+    both = left.select("i", "a", F.posexplode("_ca_s").alias("j", "b")).filter("j >= i")
+    n_rows = wide.count()
     gram = np.zeros((k, k))
-    for i, j in pairs:
-        gram[i, j] = gram[j, i] = grow[f"g{i}_{j}"] or 0.0
+    for g in both.groupBy("i", "j").agg(F.sum(F.col("a") * F.col("b")).alias("g")).collect():
+        gram[g["i"], g["j"]] = gram[g["j"], g["i"]] = g["g"]
     evals, evecs = np.linalg.eigh(gram)
     order = np.argsort(evals)[::-1]
     evals = np.clip(evals[order], 0.0, None)
@@ -127,17 +129,21 @@ def correspondence(cells: DataFrame, row: str, col: str, value: str = "n") -> CA
     col_coords = spark.createDataFrame(
         col_rows, "kind string, label string, dimension int, principal double, standard double")
 
-    # Row coordinates: F = S V / sqrt(r), a projection of each wide row.
+    # Row coordinates: F = S V / sqrt(r), a projection of each row's residuals.
     def proj(d):
-        return reduce(lambda a, b: a + b,
-                      [F.col(sname[j]) * F.lit(float(evecs[j, d])) for j in range(k)]) / F.sqrt("_r")
+        axis = F.array(*[F.lit(float(v)) for v in evecs[:, d]])
+        dot = F.aggregate(F.zip_with("_ca_s", axis, lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x)
+        return dot / F.sqrt("_ca_r")
     row_coords = wide.select(
-        F.lit("row").alias("kind"), F.col(row).cast("string").alias("label"),
+        F.lit("row").alias("kind"), F.col("_ca_row").cast("string").alias("label"),
         F.inline(F.array(*[F.struct(F.lit(d + 1).alias("dimension"), proj(d).alias("principal"),
                                     (proj(d) / F.lit(float(np.sqrt(evals[d])))).alias("standard"))
                            for d in keep])))
     coords = row_coords.unionByName(col_coords)
-    return CAResult(res, ca_inertia(res, row, col), scree, coords, [float(v) for v in scree_vals],
+    inertia = ca_inertia(res, "_ca_row", "_ca_col")
+    named = res.select(F.col("_ca_row").alias(row), F.col("_ca_col").alias(col),
+                       *[c for c in res.columns if not c.startswith("_ca_")])
+    return CAResult(named, inertia, scree, coords, [float(v) for v in scree_vals],
                     columns)
 
 

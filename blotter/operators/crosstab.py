@@ -55,14 +55,6 @@ def crosstab_long(df: DataFrame, row: str, column: str, values: Sequence[str],
     return wide_to_long(wide, [row], values, column, "n")
 
 
-def pivot_sum(df: DataFrame, row: str, column: str, values: Sequence[str],
-              measure: str) -> DataFrame:
-    """Wide sums of ``measure`` per row key for each listed value, zero-filled."""
-    aggs = [F.coalesce(F.sum(F.when(F.col(column) == F.lit(v), F.col(measure))),
-                       F.lit(0)).alias(str(v)) for v in values]
-    return df.groupBy(row).agg(*aggs)
-
-
 def pair_counts(df: DataFrame, row, column: str, name: str = "n") -> DataFrame:
     """Pre-aggregate ``(row, column)`` record counts.
 

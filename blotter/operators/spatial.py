@@ -21,6 +21,7 @@ region is split over many tasks.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -28,10 +29,9 @@ from pyspark.sql import functions as F
 
 from blotter.functions.geometry import edges_bbox, edges_valid, point_in_polygon, wkt_edges
 
-# Broadcast bound for the region side, in rows (cells or regions).
+# Broadcast bounds for the region side: rows (cells or regions) and bytes of edges.
 MAX_BROADCAST_ROWS = 2_000_000
-# Above this many polygon edges the cell classification is spread over the cluster.
-MAX_SERIAL_EDGES = 100_000
+MAX_BROADCAST_BYTES = 64 << 20
 
 
 def region_edges(regions: DataFrame, id_col: str = "bor_subb", name_col: str = "name",
@@ -72,9 +72,11 @@ def region_cells(edges: DataFrame, cell: float, id_col: str = "bor_subb",
                           idx("min_y").alias("_y0"), idx("max_y").alias("_y1"))
              .select(id_col, name_col, "edges", "min_x", "max_x", "min_y", "max_y", "_cx",
                      F.explode(F.sequence("_y0", "_y1")).alias("_cy")))
-    eps = c * 1e-9
-    x0, x1 = F.col("_cx") * c - eps, (F.col("_cx") + 1) * c + eps
-    y0, y1 = F.col("_cy") * c - eps, (F.col("_cy") + 1) * c + eps
+    def eps(i):        # a share of the cell, and of the coordinate itself where that is large
+        return F.lit(c * 1e-9) + F.abs(F.col(i) * c) * F.lit(2.0 ** -50)
+
+    x0, x1 = F.col("_cx") * c - eps("_cx"), (F.col("_cx") + 1) * c + eps("_cx")
+    y0, y1 = F.col("_cy") * c - eps("_cy"), (F.col("_cy") + 1) * c + eps("_cy")
     touches = F.exists("edges", lambda e: (F.greatest(e.x1, e.x2) >= x0) & (F.least(e.x1, e.x2) <= x1)
                        & (F.greatest(e.y1, e.y2) >= y0) & (F.least(e.y1, e.y2) <= y1))
     center_in = point_in_polygon((F.col("_cx") + 0.5) * c, (F.col("_cy") + 0.5) * c, F.col("edges"))
@@ -105,25 +107,22 @@ def valid_points(points: DataFrame, x: str, y: str) -> DataFrame:
 def tag_points(points: DataFrame, regions: DataFrame, x: str = "Longitude", y: str = "Latitude",
                cell: float = 0.01, id_col: str = "bor_subb", name_col: str = "name",
                geometry_col: str = "geometry", max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-               salt: int = 32) -> DataFrame:
+               max_broadcast_bytes: int = MAX_BROADCAST_BYTES, salt: int = 32) -> DataFrame:
     """JN3/GEO2: every (point, region) pair where the point intersects the
     region (inside or on the boundary).  Output: point columns + id + name.
 
-    Region side within ``max_broadcast_rows``: broadcast hash joins, the
+    Region side within ``max_broadcast_rows`` and ``max_broadcast_bytes``: broadcast hash joins, the
     points are never shuffled.  Beyond it: shuffle joins, with every cell
     (and every region's shape) replicated ``salt`` times and each point sent
     to one replica chosen by a hash of the point, so a cell holding a third
     of all points is split over ``salt`` tasks instead of landing on one.
     """
     edges = region_edges(regions, id_col, name_col, geometry_col)
-    # One small aggregate sizes the region side: its row count bounds the
-    # shapes broadcast, its edge count decides whether the cell
-    # classification (cells x edges work) is spread over the cluster or is
-    # cheap enough for the few tasks holding the region table.
+    # One small aggregate sizes the region side: rows and edges (32 bytes each) bound the shapes
+    # broadcast.  The cell classification (cells x edges work) is spread over the cluster.
     stats = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("edges")).alias("e")).first()
-    shapes_fit = (stats["n"] or 0) <= max_broadcast_rows
-    if (stats["e"] or 0) > MAX_SERIAL_EDGES:
-        edges = edges.repartition(_parallelism(regions), id_col)
+    shapes_fit = (stats["n"] or 0) <= max_broadcast_rows and 32 * (stats["e"] or 0) <= max_broadcast_bytes
+    edges = edges.repartition(_parallelism(regions), id_col)
     cells = region_cells(edges, cell, id_col, name_col)
     shapes = edges.select(id_col, "edges")
     pts = valid_points(points, x, y).withColumns({
@@ -168,39 +167,52 @@ def grid_counts(points: DataFrame, x: str, y: str, cell: float, by: Sequence[str
                      F.floor(F.col(y) / F.lit(cell)).alias("gy")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def kernel_density(counts: DataFrame, cell: float, bandwidth: float, radius: int,
-                   by: Sequence[str] = ()) -> DataFrame:
+def kernel_radius(cell: float, bandwidth: float, tail: float = 2.0 ** -53) -> int:
+    """Cells from a point beyond which the Gaussian weight is below ``tail``
+    (by default below what a double sum of the group can resolve)."""
+    return math.ceil(bandwidth * math.sqrt(-2.0 * math.log(tail)) / cell)
+
+
+def kernel_density(counts: DataFrame, cell: float, bandwidth: float, by: Sequence[str] = (),
+                   least: float = 1e-6) -> DataFrame:
     """SPA1/SPA2 step 2: Gaussian kernel surface on the grid.
 
-    Each occupied cell spreads its count to the (2r+1)^2 cells around it
-    with weight ``exp(-d^2 / 2 bw^2)`` (d between cell corners); the surface
-    is their sum, and ``density`` normalises by ``2 pi bw^2 N`` of the group.
-    Work grows with occupied cells, not with points.
+    Each occupied cell spreads its count with weight ``exp(-d^2 / 2 bw^2)``
+    (d between cell corners) over every cell of the plane; the surface is the
+    sum, listed wherever its weight is at least ``least``, and ``density``
+    normalises by ``2 pi bw^2 N`` of the group.  Weights below
+    :func:`kernel_radius`'s tail are not computed: what they add to a cell is
+    below the rounding of the group's total.  The Gaussian is separable, so
+    the spread is one pass along x and one along y: 2 (2r + 1) rows per
+    occupied cell instead of (2r + 1)^2.  Work grows with occupied cells, not
+    with points.
     """
-    off = F.sequence(F.lit(-radius), F.lit(radius))
-    spread = counts.select(*by, "gx", "gy", "n", F.explode(off).alias("dx")) \
-        .select(*by, "gx", "gy", "n", "dx", F.explode(off).alias("dy"))
-    ddx = F.col("dx") * F.lit(float(cell))
-    ddy = F.col("dy") * F.lit(float(cell))
-    w = F.col("n") * F.exp(-(ddx * ddx + ddy * ddy) / F.lit(2.0 * bandwidth * bandwidth))
-    surf = spread.groupBy(*by, (F.col("gx") + F.col("dx")).alias("gx"),
-                          (F.col("gy") + F.col("dy")).alias("gy")).agg(F.sum(w).alias("weight"))
+    r = kernel_radius(cell, bandwidth)
+    off = F.sequence(F.lit(-r), F.lit(r))
+
+    def along(df: DataFrame, axis: str, value: str) -> DataFrame:
+        other = "gy" if axis == "gx" else "gx"
+        d = F.col("_d") * F.lit(float(cell))
+        w = F.col(value) * F.exp(-(d * d) / F.lit(2.0 * bandwidth * bandwidth))
+        spread = df.select(*by, "gx", "gy", value, F.explode(off).alias("_d"))
+        return spread.groupBy(*by, (F.col(axis) + F.col("_d")).alias(axis), other).agg(F.sum(w).alias("weight"))
+
+    surf = along(along(counts, "gx", "n"), "gy", "weight").filter(F.col("weight") >= least)
     totals = counts.groupBy(*by).agg(F.sum("n").alias("_N"))
-    joined = surf.join(F.broadcast(totals), list(by)) if by else \
-        surf.withColumn("_N", counts.agg(F.sum("n")).scalar())
-    return joined.withColumn(
-        "density", F.col("weight") / (F.lit(2.0 * 3.141592653589793 * bandwidth * bandwidth) * F.col("_N"))
-    ).drop("_N")
+    joined = surf.join(totals, list(by)) if by else surf.withColumn("_N", counts.agg(F.sum("n")).scalar())
+    return joined.select(*by, "gx", "gy", "weight", (
+        F.col("weight") / (F.lit(2.0 * math.pi * bandwidth * bandwidth) * F.col("_N"))).alias("density"))
 
 
 def heat_layer(points: DataFrame, x: str, y: str, by: Sequence[str] = (),
-               digits: int | None = None) -> DataFrame:
+               digits: int | None = None, weight: str | None = None) -> DataFrame:
     """SPA3: valid points of a layer, weighted by how many share a location
-    (optionally rounded to ``digits``)."""
+    (optionally rounded to ``digits``); ``weight`` sums pre-aggregated counts."""
     p = valid_points(points, x, y)
     gx = F.round(F.col(x), digits) if digits is not None else F.col(x)
     gy = F.round(F.col(y), digits) if digits is not None else F.col(y)
-    return p.groupBy(*by, gy.alias(y), gx.alias(x)).agg(F.count(F.lit(1)).alias("weight"))
+    n = F.sum(weight).cast("long") if weight else F.count(F.lit(1))
+    return p.groupBy(*by, gy.alias(y), gx.alias(x)).agg(n.alias("weight"))
 
 
 def group_extent(points: DataFrame, x: str, y: str, by: Sequence[str]) -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blotter.functions.dates import civil_date, clock_hour
@@ -411,8 +411,8 @@ def q_ols_multi(spark, sf_dir):
     """REG1 with three predictors: one aggregate of pairwise correlations,
     the 3 x 3 solve on the driver; one row per predictor."""
     g = ols_general(facts(spark, sf_dir), "crime_count", MULTI_PREDICTORS)
-    rows = [(p, round(b, 6), g["n"], g["dof"], round(g["r_squared"], 6),
-             round(g["t_marginal"], 6) if (i == 0 and g["t_marginal"] is not None) else None)
+    r = lambda v: None if v is None else round(v, 6)
+    rows = [(p, r(b), g["n"], g["dof"], r(g["r_squared"]), r(g["t_marginal"]) if i == 0 else None)
             for i, (p, b) in enumerate(zip(MULTI_PREDICTORS, g["beta"]))]
     return spark.createDataFrame(rows, "predictor string, beta double, n long, dof long, "
                                        "r_squared double, t_marginal double")
@@ -609,9 +609,25 @@ def q_region_counts(spark, sf_dir):
     return region_year_counts(t)
 
 
-def _recent_arrests(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+def _recent() -> Column:
+    return F.coalesce(F.col("Date") >= F.lit(roles.SPATIAL_SINCE).cast("date"), F.lit(False)).alias("recent")
+
+
+def _arrest_cells(spark, sf_dir, key: str) -> DataFrame:
+    """One scan: arrests per (key, recent, cell); the top list and the surfaces both come from it.
+
+    Records without a valid point count for the list and have no cell.
+    """
     a = record_type(incidents(spark, sf_dir), "A")
-    return a, since(a, roles.SPATIAL_SINCE)
+    ok = ~(F.isnan("Longitude") | F.isnan("Latitude"))
+    at = [F.when(ok, F.floor(F.col(c) / F.lit(roles.DENSITY_CELL))).alias(g)
+          for c, g in (("Longitude", "gx"), ("Latitude", "gy"))]
+    return materialize(a.groupBy(key, _recent(), *at).agg(F.count(F.lit(1)).alias("n")))
+
+
+def _recent_cells(cells: DataFrame, key: str) -> DataFrame:
+    return (cells.filter("recent and gx is not null and gy is not null").filter(F.col(key).isNotNull())
+            .select(key, "gx", "gy", "n"))
 
 
 _A_RECENT = f"incidents WHERE RECORD_TYPE = 'A' AND Date >= DATE {lit(roles.SPATIAL_SINCE)}"
@@ -628,35 +644,37 @@ SELECT OFNS_DESC, CAST(floor(Longitude / {roles.DENSITY_CELL}) AS BIGINT) AS gx,
 FROM {_A_RECENT} AND {_VALID_XY} AND OFNS_DESC IN (SELECT OFNS_DESC FROM top WHERE OFNS_DESC IS NOT NULL)
 GROUP BY ALL"""))
 def q_grid_density(spark, sf_dir):
-    a, recent = _recent_arrests(spark, sf_dir)
-    top10 = top_values(a, "OFNS_DESC", 10)
-    return grid_counts(recent.filter(F.col("OFNS_DESC").isin(top10)), "Longitude", "Latitude",
-                       roles.DENSITY_CELL, by=["OFNS_DESC"])
+    cells = _arrest_cells(spark, sf_dir, "OFNS_DESC")
+    top10 = top_values(cells, "OFNS_DESC", 10, weight="n")
+    return _recent_cells(cells, "OFNS_DESC").filter(F.col("OFNS_DESC").isin(top10))
 
 
-_cell, _bw, _rad = roles.DENSITY_CELL, roles.DENSITY_BANDWIDTH, roles.DENSITY_RADIUS
+_cell, _bw = roles.DENSITY_CELL, roles.DENSITY_BANDWIDTH
 
 
 def _kernel_oracle(group: str, where: str, *pre: str) -> str:
+    """Every occupied cell against every cell of a plane 16 bandwidths wider than the group; no radius."""
+    wide = int(16 * _bw / _cell)
     return with_base(
         *pre,
         f"""c AS (SELECT {group}, CAST(floor(Longitude / {_cell}) AS BIGINT) AS gx,
                 CAST(floor(Latitude / {_cell}) AS BIGINT) AS gy, count(*) AS n
          FROM {_A_RECENT} AND {_VALID_XY} AND {where} GROUP BY ALL)""",
-        f"off AS (SELECT unnest(range(-{_rad}, {_rad + 1})) AS d)",
-        f"""s AS (SELECT {group}, gx + dx.d AS gx, gy + dy.d AS gy,
-                n * exp(-((dx.d * {_cell}) * (dx.d * {_cell}) + (dy.d * {_cell}) * (dy.d * {_cell}))
-                        / {2.0 * _bw * _bw}) AS w
-         FROM c CROSS JOIN off AS dx CROSS JOIN off AS dy)""",
-        f"tot AS (SELECT {group}, sum(n) AS N FROM c GROUP BY 1)", f"""
-SELECT s.{group}, CAST(gx AS BIGINT) AS gx, CAST(gy AS BIGINT) AS gy, round(sum(w), 6) AS weight,
-       round(sum(w) / ({2.0 * 3.141592653589793 * _bw * _bw} * any_value(N)), 10) AS density
-FROM s JOIN tot ON s.{group} = tot.{group} GROUP BY s.{group}, gx, gy""")
-
-
-def _kernel(points: DataFrame, group: str) -> DataFrame:
-    counts = grid_counts(points, "Longitude", "Latitude", _cell, by=[group])
-    k = kernel_density(counts, _cell, _bw, _rad, by=[group])
+        f"""box AS (SELECT {group}, min(gx) - {wide} AS x0, max(gx) + {wide} AS x1, min(gy) - {wide} AS y0,
+                max(gy) + {wide} AS y1, sum(n) AS total FROM c GROUP BY 1)""",
+        f"""plane AS (SELECT {group}, total, gx, unnest(range(y0, y1 + 1)) AS gy
+            FROM (SELECT *, unnest(range(x0, x1 + 1)) AS gx FROM box))""",
+        f"""s AS (SELECT p.{group}, p.gx, p.gy, any_value(total) AS total,
+                sum(n * exp(-(((c.gx - p.gx) * {_cell}) * ((c.gx - p.gx) * {_cell})
+                              + ((c.gy - p.gy) * {_cell}) * ((c.gy - p.gy) * {_cell})) / {2.0 * _bw * _bw})) AS w
+         FROM plane p JOIN c ON c.{group} = p.{group} GROUP BY p.{group}, p.gx, p.gy)""", f"""
+SELECT {group}, CAST(gx AS BIGINT) AS gx, CAST(gy AS BIGINT) AS gy, round(w, 6) AS weight,
+       round(w / ({2.0 * 3.141592653589793 * _bw * _bw} * total), 10) AS density
+FROM s WHERE w >= 1e-6""")
+
+
+def _kernel(counts: DataFrame, group: str) -> DataFrame:
+    k = kernel_density(counts, _cell, _bw, by=[group])
     return k.select(group, "gx", "gy", F.round("weight", 6).alias("weight"),
                     F.round("density", 10).alias("density"))
 
@@ -665,26 +683,28 @@ def _kernel(points: DataFrame, group: str) -> DataFrame:
     "OFNS_DESC", "OFNS_DESC IN (SELECT OFNS_DESC FROM top WHERE OFNS_DESC IS NOT NULL)", _top_arrest_sql(10)))
 def q_offence_kernel(spark, sf_dir):
     """SPA1: kernel density surface of each of the top-10 arrest offences (last three years)."""
-    a, recent = _recent_arrests(spark, sf_dir)
-    top10 = top_values(a, "OFNS_DESC", 10)
-    return _kernel(recent.filter(F.col("OFNS_DESC").isin(top10)), "OFNS_DESC")
+    cells = _arrest_cells(spark, sf_dir, "OFNS_DESC")
+    top10 = top_values(cells, "OFNS_DESC", 10, weight="n")
+    return _kernel(_recent_cells(cells, "OFNS_DESC").filter(F.col("OFNS_DESC").isin(top10)), "OFNS_DESC")
 
 
 @register("grid_kernel", _kernel_oracle("SUSP_RACE", "SUSP_RACE IS NOT NULL"))
 def q_grid_kernel(spark, sf_dir):
     """SPA2: kernel density surface per suspect race (NULL race selects nothing)."""
-    _, recent = _recent_arrests(spark, sf_dir)
-    return _kernel(recent.filter(F.col("SUSP_RACE").isNotNull()), "SUSP_RACE")
+    return _kernel(_recent_cells(_arrest_cells(spark, sf_dir, "SUSP_RACE"), "SUSP_RACE"), "SUSP_RACE")
 
 
 @register("heat_points", with_base(_top_arrest_sql(roles.HEAT_LAYERS), f"""
 SELECT OFNS_DESC, Latitude, Longitude, count(*) AS weight
 FROM {_A_RECENT} AND {_VALID_XY} AND OFNS_DESC IN (SELECT OFNS_DESC FROM top) GROUP BY ALL"""))
 def q_heat_points(spark, sf_dir):
-    a, recent = _recent_arrests(spark, sf_dir)
-    layers = top_values(a, "OFNS_DESC", roles.HEAT_LAYERS)
-    return heat_layer(recent.filter(F.col("OFNS_DESC").isin(layers)), "Longitude", "Latitude",
-                      by=["OFNS_DESC"])
+    """SPA3: one scan; arrests per (offence, recent, location) give the list and the layers."""
+    a = record_type(incidents(spark, sf_dir), "A")
+    spots = materialize(a.groupBy("OFNS_DESC", _recent(), "Latitude", "Longitude")
+                        .agg(F.count(F.lit(1)).alias("n")))
+    layers = top_values(spots, "OFNS_DESC", roles.HEAT_LAYERS, weight="n")
+    return heat_layer(spots.filter(F.col("recent") & F.col("OFNS_DESC").isin(layers)), "Longitude", "Latitude",
+                      by=["OFNS_DESC"], weight="n")
 
 
 @register("group_extent", with_base(_top_arrest_sql(10), f"""
@@ -692,10 +712,15 @@ SELECT OFNS_DESC, min(Latitude) AS min_Latitude, max(Latitude) AS max_Latitude,
        min(Longitude) AS min_Longitude, max(Longitude) AS max_Longitude, count(*) AS n
 FROM {_A_RECENT} AND {_VALID_XY} AND OFNS_DESC IN (SELECT OFNS_DESC FROM top) GROUP BY ALL"""))
 def q_group_extent(spark, sf_dir):
-    a, recent = _recent_arrests(spark, sf_dir)
-    top10 = top_values(a, "OFNS_DESC", 10)
-    return group_extent(recent.filter(F.col("OFNS_DESC").isin(top10)), "Longitude", "Latitude",
-                        ["OFNS_DESC"])
+    """AGG10: one scan; extents of the recent valid points of every offence, the list from their counts."""
+    a = record_type(incidents(spark, sf_dir), "A").withColumn("recent", _recent())
+    ok = F.col("recent") & F.col("Latitude").isNotNull() & F.col("Longitude").isNotNull() \
+        & ~F.isnan("Latitude") & ~F.isnan("Longitude")
+    shown = a.withColumns({c: F.when(ok, F.col(c)) for c in ("Latitude", "Longitude")})
+    totals = shown.groupBy("OFNS_DESC").agg(F.count(F.lit(1)).alias("records"))
+    extents = materialize(totals.join(group_extent(shown, "Longitude", "Latitude", ["OFNS_DESC"]), "OFNS_DESC"))
+    top10 = top_values(extents, "OFNS_DESC", 10, weight="records")
+    return extents.filter(F.col("OFNS_DESC").isin(top10)).drop("records")
 
 
 @register("stratified_sample")
@@ -798,11 +823,7 @@ def q_ca_coordinates_two_columns(spark, sf_dir):
 
 
 @register("ca_scree_two_columns", with_base(
-    f"""grid AS (SELECT PREM_TYP_DESC, CRM_ATPT_CPTD_CD, n FROM (
-  SELECT PREM_TYP_DESC, count(*) FILTER (WHERE CRM_ATPT_CPTD_CD = 'ATTEMPTED') AS "ATTEMPTED",
-         count(*) FILTER (WHERE CRM_ATPT_CPTD_CD = 'COMPLETED') AS "COMPLETED"
-  FROM incidents WHERE RECORD_TYPE = 'C' GROUP BY PREM_TYP_DESC)
-  UNPIVOT (n FOR CRM_ATPT_CPTD_CD IN ("ATTEMPTED", "COMPLETED")))""",
+    _TWO_COL_GRID,
     """t AS (SELECT CAST(n AS DOUBLE) AS n, sum(n) OVER (PARTITION BY PREM_TYP_DESC) AS rn,
   sum(n) OVER (PARTITION BY CRM_ATPT_CPTD_CD) AS cn, sum(n) OVER () AS tot FROM grid)""",
     "i AS (SELECT sum(pow((n / tot - (rn / tot) * (cn / tot)) / sqrt((rn / tot) * (cn / tot)), 2)) AS inertia FROM t)",
@@ -810,8 +831,6 @@ def q_ca_coordinates_two_columns(spark, sf_dir):
 FROM i UNION ALL SELECT CAST(2 AS INTEGER), CAST(0 AS DOUBLE), CAST(0 AS DOUBLE)"""))
 def q_ca_scree_two_columns(spark, sf_dir):
     """For a table with two columns the only non-trivial eigenvalue is the inertia."""
-    c = record_type(incidents(spark, sf_dir), "C")
-    cells = crosstab_long(c, "PREM_TYP_DESC", "CRM_ATPT_CPTD_CD", top_values(c, "CRM_ATPT_CPTD_CD", TOP_K))
-    scree = correspondence(cells, "PREM_TYP_DESC", "CRM_ATPT_CPTD_CD").scree
+    scree = correspondence(_two_column_cells(spark, sf_dir), "PREM_TYP_DESC", "CRM_ATPT_CPTD_CD").scree
     return scree.select("dimension", F.round("eigenvalue", 6).alias("eigenvalue"),
                         F.round("percent", 6).alias("percent"))

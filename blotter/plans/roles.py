@@ -25,6 +25,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from blotter.session import materialize
+
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
 
@@ -184,7 +186,6 @@ REGION_NAMES = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
 SPATIAL_CELL = 5.0
 DENSITY_CELL = 2.0
 DENSITY_BANDWIDTH = 2.0
-DENSITY_RADIUS = 2
 SINCE = "1996-01-01"
 SPATIAL_SINCE = "1999-01-01"   # the last three years of the feed
 HEAT_LAYERS = 3
@@ -251,8 +252,10 @@ def demographics_wide(spark: SparkSession, sf_dir: str, level: str = "region") -
     m = demographics_measures(spark, sf_dir, level)
     entity = "Borough" if level == "region" else "Sub-Borough Area"
     # One pivot for all measures (columns "<year>_<measure>"), split per measure.
-    wide = m.groupBy("Borough").pivot("Year", DEMO_YEARS).agg(
-        *[F.first(measure).alias(measure) for measure in DEMO_MEASURE_EXPRS])
+    # It is small (entities x years) and written once: a lazy frame would be planned, and the big
+    # source scanned, once per measure.
+    wide = materialize(m.groupBy("Borough").pivot("Year", DEMO_YEARS).agg(
+        *[F.first(measure).alias(measure) for measure in DEMO_MEASURE_EXPRS]))
     out = {}
     for measure in DEMO_MEASURE_EXPRS:
         out[measure] = wide.select(

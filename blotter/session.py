@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -22,6 +21,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -35,10 +35,7 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     is.  Only a local session without one gets a private folder (tests and
     the local benchmark); a cluster session without one gets ``None``.
     """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session has no SparkContext
-        return None
+    sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -58,15 +55,12 @@ def materialize(df: DataFrame) -> DataFrame:
 
     Writes a reliable checkpoint to the session's shared checkpoint folder,
     so a lost executor does not force a recomputation from the raw scans.
-    Without a shared folder the frame is persisted (memory and disk) and
-    lost blocks are recomputed from lineage.
+    A cluster session has to name that folder (``spark.checkpoint.dir``);
+    there is no other behaviour to fall back to.
     """
-    if checkpoint_dir(df.sparkSession) is not None:
-        return df.checkpoint(eager=True)
-    try:
-        return df.checkpoint(eager=True)       # a session that manages its own folder
-    except Exception:  # noqa: BLE001
-        return df.persist(StorageLevel.MEMORY_AND_DISK)
+    if checkpoint_dir(df.sparkSession) is None:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    return df.checkpoint(eager=True)
 
 
 def recommended_conf(input_bytes: int, executors: int, cores_per_executor: int,

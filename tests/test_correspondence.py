@@ -64,3 +64,25 @@ def test_ca_drops_zero_mass_rows(spark):
     ca = correspondence(cells, "row", "col")
     labels = {r.label for r in ca.coordinates.collect() if r.kind == "row"}
     assert labels == {"a", "b", None}
+
+
+@pytest.mark.parametrize("row,col,value", [("n", "c", "v"), ("r", "p", "n"), ("_r", "n", "mass_col"), ("kind", "residual", "p")])
+def test_field_names_do_not_clash(spark, row, col, value):
+    n = np.array([[5, 9, 2], [7, 1, 8], [3, 3, 30]], float)
+    data = [(str(i), str(j), int(n[i, j])) for i in range(3) for j in range(3)]
+    plain = correspondence(spark.createDataFrame(data, "row string, col string, count long"), "row", "col", "count")
+    odd = correspondence(spark.createDataFrame(data, f"`{row}` string, `{col}` string, `{value}` long"), row, col, value)
+    key = lambda r: (r.kind, r.label, r.dimension)
+    a, b = (sorted(x.coordinates.collect(), key=key) for x in (plain, odd))
+    assert np.allclose([x.principal for x in a], [x.principal for x in b])
+    assert np.allclose([x.standard for x in a], [x.standard for x in b])
+
+
+def test_many_columns_and_the_bound(spark):
+    rng = np.random.default_rng(2)
+    n = rng.integers(1, 60, size=(40, 30)).astype(float)
+    cells = spark.createDataFrame([(f"r{i}", f"c{j}", int(n[i, j])) for i in range(40) for j in range(30)],
+                                  "row string, col string, n long")
+    assert np.allclose(correspondence(cells, "row", "col").eigenvalues, _numpy_ca(n)[1], atol=1e-12)
+    with pytest.raises(ValueError, match="more than 5 columns"):
+        correspondence(cells, "row", "col", max_columns=5)

@@ -85,12 +85,19 @@ def test_kernel_density_normalisation(spark):
     pts = spark.createDataFrame([("k", 0.5, 0.5)] * 4 + [("k", 3.5, 0.5)], "g string, x double, y double")
     counts = grid_counts(pts, "x", "y", 1.0, by=["g"])
     assert {(r.gx, r.gy): r.n for r in counts.collect()} == {(0, 0): 4, (3, 0): 1}
-    dens = {(r.gx, r.gy): r for r in kernel_density(counts, 1.0, 1.0, 3, by=["g"]).collect()}
+    dens = {(r.gx, r.gy): r for r in kernel_density(counts, 1.0, 1.0, by=["g"]).collect()}
     assert math.isclose(dens[(0, 0)].weight, 4 + math.exp(-4.5))
     assert math.isclose(dens[(1, 0)].weight, 4 * math.exp(-0.5) + math.exp(-2.0))
     assert math.isclose(dens[(0, 0)].density, dens[(0, 0)].weight / (2 * math.pi * 5))
 
 
+def test_kernel_keeps_the_whole_weight(spark):
+    counts = spark.createDataFrame([("k", 0, 0, 1000)], "g string, gx long, gy long, n long")
+    total = kernel_density(counts, 2.0, 2.0, by=["g"], least=0.0).agg(F.sum("weight")).first()[0]
+    whole = 1000 * sum(math.exp(-d * d / 2) for d in range(-60, 61)) ** 2
+    assert math.isclose(total, whole, rel_tol=1e-14)
+
+
 def test_stratified_samples(spark):
     rows = [(f"k{i}", s) for i in range(4000) for s in ["A", "B", "C", None]][:8000]
     df = spark.createDataFrame(rows, "key string, s string")
