@@ -3,8 +3,9 @@
 Raw feeds are read with an explicit schema: JSON/CSV schema inference is a
 full extra pass over the input, which at terabyte scale costs as much as the
 analysis itself, and it makes the column set depend on which keys a file
-happens to contain.  Malformed records are kept (``PERMISSIVE``) with their
-fields NULL, so the domain filters downstream decide what is dropped.
+happens to contain.  A JSON line that does not parse is no record: the feed
+leaves it out, and ``corrupt_records`` lists such lines, so that a run can
+count or divert them.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ from pyspark.sql import types as T
 
 from blotter.schema import ARREST_SCHEMA, COMPLAINT_SCHEMA, DEMOGRAPHIC_YEARS
 
+CORRUPT = "_corrupt_record"
+
 
 def _paths(paths: str | Sequence[str]) -> list[str]:
     out = [paths] if isinstance(paths, str) else list(paths)
@@ -29,9 +32,10 @@ def _paths(paths: str | Sequence[str]) -> list[str]:
 def read_feed(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType,
               fmt: str = "json", header: bool = True) -> DataFrame:
     """Read one feed (several files or folders, e.g. history + current year)."""
-    reader = spark.read.schema(schema).option("mode", "PERMISSIVE")
     if fmt == "json":
-        return reader.json(_paths(paths))
+        parsed = _json_lines(spark, paths, schema).filter(F.col(f"j.{CORRUPT}").isNull())
+        return parsed.select(*[F.col(f"j.`{f.name}`") for f in schema.fields],
+                             *[c for c in parsed.columns if c not in ("value", "j", *schema.fieldNames())])
     if fmt == "csv":
         # CSV columns are matched by header *name* (a fixed schema would be
         # applied by position); cells stay text, so there is no inference pass.
@@ -40,10 +44,23 @@ def read_feed(spark: SparkSession, paths: str | Sequence[str], schema: T.StructT
             (F.col(f"`{f.name}`") if f.name in raw.columns else F.lit(None)).cast(f.dataType).alias(f.name)
             for f in schema.fields])
     if fmt == "parquet":
-        return reader.parquet(*_paths(paths))
+        return spark.read.schema(schema).parquet(*_paths(paths))
     raise ValueError(f"unsupported feed format {fmt!r}")
 
 
+def _json_lines(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType) -> DataFrame:
+    """Non-blank lines with their parsed record ``j``; a line that does not parse fills its corrupt field."""
+    full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    lines = spark.read.text(_paths(paths)).filter(F.length(F.trim("value")) > 0)
+    return lines.withColumn("j", F.from_json("value", full, {
+        "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}))
+
+
+def corrupt_records(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType) -> DataFrame:
+    """The lines of a JSON feed that ``read_feed`` leaves out, as text: ``(value)``."""
+    return _json_lines(spark, paths, schema).filter(F.col(f"j.{CORRUPT}").isNotNull()).select("value")
+
+
 def read_arrests(spark: SparkSession, paths, fmt: str = "json") -> DataFrame:
     return read_feed(spark, paths, ARREST_SCHEMA, fmt)
 

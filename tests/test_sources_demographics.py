@@ -7,9 +7,10 @@ import pytest
 from blotter.operators.demographics import assemble_demographics, unpivot_years
 from blotter.operators.harmonize import harmonize
 from blotter.operators.regression import region_year_facts
-from blotter.sources.readers import read_arrests, read_complaints, read_demographics_wide, read_feed, read_table
+from blotter.sources.readers import (corrupt_records, read_arrests, read_complaints, read_demographics_wide, read_feed,
+                                     read_table)
 from blotter.sources.writers import write_incidents, write_table
-from blotter.schema import ARREST_SCHEMA
+from blotter.schema import ARREST_SCHEMA, COMPLAINT_SCHEMA
 
 
 def test_json_feeds_roundtrip_partitioned(spark, tmp_path):
@@ -95,3 +96,12 @@ def test_csv_feed_and_json_sink(spark, tmp_path):
     back = spark.read.json(str(out))
     assert sorted(r.CMPLNT_NUM for r in back.collect()) == ["1", "2"]
     assert {p.name for p in out.iterdir() if p.is_dir()} == {"RECORD_TYPE=C"}
+
+
+def test_corrupt_json_lines_are_no_records(spark, tmp_path):
+    (tmp_path / "c.json").write_text('{"CMPLNT_NUM": "1", "OFNS_DESC": "X"}\n\n{"CMPLNT_NUM": "2", "OFNS\nnot json\n{}\n')
+    feed = read_feed(spark, str(tmp_path), COMPLAINT_SCHEMA)
+    assert feed.count() == 2 and feed.columns == COMPLAINT_SCHEMA.fieldNames()
+    assert sorted(r.CMPLNT_NUM or "" for r in feed.collect()) == ["", "1"]
+    bad = corrupt_records(spark, str(tmp_path), COMPLAINT_SCHEMA)
+    assert sorted(r.value for r in bad.collect()) == ["not json", '{"CMPLNT_NUM": "2", "OFNS']
