@@ -51,3 +51,17 @@ def t_sf(t, dof) -> Column:
 def t_two_sided(t, dof) -> Column:
     """Two-sided p-value ``P(|T| > |t|)``."""
     return F.least(2 * t_sf(t, dof), F.lit(1.0))
+
+
+def t_sf_value(t: float | None, dof: int) -> float | None:
+    """:func:`t_sf` for one number (the same series), for statistics solved on the driver."""
+    if t is None or dof < 1:
+        return None
+    theta = math.atan(abs(t) / math.sqrt(dof))
+    sin, cos2, even = math.sin(theta), math.cos(theta) ** 2, dof % 2 == 0
+    term, total = (1.0 if even else math.cos(theta)), 0.0
+    for k in range(dof // 2 if even else (dof - 1) // 2):
+        total += term
+        term *= cos2 * ((2 * k + 1) / (2 * k + 2) if even else (2 * k + 2) / (2 * k + 3))
+    p = (1 - sin * total) / 2 if even else (1 - (2 / math.pi) * (theta + sin * total)) / 2
+    return max(p, 0.0)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from blotter.functions.keys import region_year_key
-from blotter.functions.tdist import t_sf, t_two_sided
+from blotter.functions.tdist import t_sf, t_sf_value, t_two_sided
 from blotter.schema import DEMOGRAPHIC_MEASURES, ELASTIC_NET, SIGNIFICANCE_LEVEL
 
 _COLLINEAR = 1e-12
@@ -155,7 +155,10 @@ def ols_general(df: DataFrame, target: str, predictors: Sequence[str]) -> dict:
     One aggregate gives the pairwise correlations over listwise-complete
     rows; the (M+1)^2 numbers are the only thing collected, and the
     pseudo-inverse solve runs on the driver.  Returns beta of every
-    predictor, dof and the marginal t of the first predictor.
+    predictor, dof, and for the first predictor the marginal and the textbook
+    t with their one- and two-sided p-values.  ``status`` is ``ok``,
+    ``collinear``, ``perfect_fit``, ``zero_variance`` (a constant column) or
+    ``insufficient_df``; what a status leaves undefined is None.
     """
     import numpy as np
 
@@ -163,18 +166,34 @@ def ols_general(df: DataFrame, target: str, predictors: Sequence[str]) -> dict:
     clean = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).dropna()
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
     row = clean.agg(F.count(F.lit(1)).alias("n"),
-                    *[_pearson(F.col(a), F.col(b)).alias(f"{a}|{b}") for a, b in pairs]).first()
+                    *[_pearson(F.col(a), F.col(b)).alias(f"r{cols.index(a)}_{cols.index(b)}") for a, b in pairs]).first()
     n, m = row["n"], len(predictors)
+    dof = n - (1 + m)
+    out = {"n": n, "dof": dof, "beta": [None] * m, "r_squared": None, "t_marginal": None, "t_ols": None}
     corr = np.eye(m + 1)
     for a, b in pairs:
         i, j = cols.index(a), cols.index(b)
-        corr[i, j] = corr[j, i] = row[f"{a}|{b}"] if row[f"{a}|{b}"] is not None else np.nan
-    rxx, rxy = corr[1:, 1:], corr[1:, 0]
-    beta = np.linalg.pinv(rxx) @ rxy
-    r_sq = float(beta @ rxy)
-    dof = n - (1 + m)
-    t = float(beta[0] * np.sqrt(dof / (1 - r_sq))) if dof > 0 and r_sq < 1 else None
-    return {"n": n, "dof": dof, "beta": [float(b) for b in beta], "r_squared": r_sq, "t_marginal": t}
+        r = row[f"r{i}_{j}"]
+        corr[i, j] = corr[j, i] = np.nan if r is None else r
+    if dof > 0 and np.isnan(corr).any():
+        status = "zero_variance"
+    elif dof <= 0:
+        status = "insufficient_df"
+    else:
+        rxx, rxy = corr[1:, 1:], corr[1:, 0]
+        beta = np.linalg.pinv(rxx) @ rxy
+        r_sq = float(beta @ rxy)
+        collinear = bool(np.linalg.eigvalsh(rxx)[0] < _COLLINEAR)
+        status = "perfect_fit" if r_sq >= 1 else "collinear" if collinear else "ok"
+        out |= {"beta": [float(b) for b in beta], "r_squared": r_sq}
+        if r_sq < 1:
+            out["t_marginal"] = float(beta[0] * np.sqrt(dof / (1 - r_sq)))
+            if not collinear:
+                out["t_ols"] = float(beta[0] * np.sqrt(dof / ((1 - r_sq) * np.linalg.inv(rxx)[0, 0])))
+    for name in ("marginal", "ols"):
+        p = t_sf_value(out[f"t_{name}"], dof)
+        out |= {f"p_{name}_one_sided": p, f"p_{name}_two_sided": None if p is None else min(1.0, 2 * p)}
+    return out | {"status": status}
 
 
 def elastic_net(df: DataFrame, target: str, features: Sequence[str], **params) -> DataFrame:

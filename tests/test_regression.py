@@ -128,3 +128,20 @@ def test_ols_general_three_predictors(spark):
     b, t, dof = _reference_ols(x, y)
     assert g["dof"] == dof and math.isclose(g["beta"][0], b, rel_tol=1e-9)
     assert math.isclose(g["t_marginal"], t, rel_tol=1e-9)
+
+
+def test_ols_general_statistics_and_statuses(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(40, 2))
+    y = x @ np.array([0.3, 1.0]) + rng.normal(size=40)
+    df = spark.createDataFrame([(*map(float, r), float(v), 2.0) for r, v in zip(x, y)],
+                               "a double, b double, y double, k double")
+    g = ols_general(df, "y", ["a", "b"])
+    one = ols_tests(df, "y", [("t", "a", "b")]).first()
+    assert g["status"] == "ok" and math.isclose(g["t_ols"], one.t_ols, rel_tol=1e-9)
+    assert math.isclose(g["p_marginal_one_sided"], one.p_one_sided, rel_tol=1e-9)
+    assert math.isclose(g["p_ols_two_sided"], one.p_two_sided, rel_tol=1e-9)
+    const = ols_general(df, "y", ["a", "k"])
+    assert const["status"] == "zero_variance" and const["t_ols"] is None and const["beta"] == [None, None]
+    assert ols_general(df.limit(3), "y", ["a", "b"])["status"] == "insufficient_df"
+    assert ols_general(df.withColumn("c", 2 * df.a), "y", ["a", "c"])["status"] == "collinear"
