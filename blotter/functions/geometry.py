@@ -3,8 +3,8 @@
 A polygon is kept as an ``ARRAY<STRUCT<x1,y1,x2,y2>>`` of its edges, taken
 from every ring of a POLYGON or MULTIPOLYGON WKT text.  With all rings in one
 edge list the even-odd rule handles holes and multi-part shapes at once.
-Everything is a higher-order SQL function, so it runs inside whole-stage
-codegen with no Python worker.
+Everything is a higher-order SQL function: JVM-side, with no Python worker,
+though Spark evaluates the lambda bodies outside whole-stage codegen.
 """
 
 from __future__ import annotations

@@ -5,18 +5,20 @@ Point-in-polygon join
 There is no geometry engine: polygons are edge arrays (``functions.geometry``)
 and the join is a *grid-bucketed equi-join*:
 
-1. every region's bounding box is exploded into the grid cells it touches
-   (``sequence`` over cell indices);
+1. every polygon edge is dealt to the rows of grid cells it touches, and
+   each (region, cell) is classified once: outside, interior, or boundary
+   with only the edges a point of that cell can meet;
 2. every point gets its own cell ``(floor(x / cell), floor(y / cell))``;
 3. points join the cell table on ``(cx, cy)`` -- a hash equi-join instead
    of a points x regions nested loop;
-4. the candidate pairs are refined by the exact even-odd / on-edge test.
+4. points of interior cells are hits; points of boundary cells get the exact
+   even-odd / on-edge test on their cell's edges.
 
 A point lies in exactly one cell, so a pair is produced at most once per
-region and no de-duplication is needed.  The region side (cells, edges) is
-broadcast only after its row count has been checked against a bound;
-beyond it both joins shuffle on their keys, salted so that a hot cell or
-region is split over many tasks.
+region and no de-duplication is needed.  No join carries whole shapes.
+The cell table is broadcast only after its rows and bytes have been checked
+against bounds; beyond them the join shuffles, salted so that a hot cell is
+split over many tasks.
 """
 
 from __future__ import annotations
@@ -28,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from blotter.functions.geometry import edges_bbox, edges_valid, point_in_polygon, wkt_edges
+from blotter.session import materialize
 
 # Broadcast bounds for the region side: rows (cells or regions) and bytes of edges.
 MAX_BROADCAST_ROWS = 2_000_000
@@ -56,46 +59,42 @@ def explode_edges(regions: DataFrame, id_col: str = "bor_subb", name_col: str =
 
 def region_cells(edges: DataFrame, cell: float, id_col: str = "bor_subb",
                  name_col: str = "name") -> DataFrame:
-    """Grid cells of each region, classified once: ``(id, name, _cx, _cy, bbox, _interior)``.
-
-    A closed cell that no edge's bounding box touches lies entirely on one
-    side of the polygon boundary; its centre decides which.  Such cells are
-    either dropped (outside) or flagged ``_interior`` (every point in them
-    is a hit without a refine).  All other cells are boundary cells whose
-    points get the exact test.  The touch test is conservative (edge bbox,
-    widened by a tiny margin), so classification never changes an answer.
+    """Grid cells of each region, classified once: ``(id, name, _cx, _cy, _interior, edges)``.
+
+    Edges are dealt to the rows of cells (bands of y) they touch; a
+    rightward ray from a point of the band meets no other edge.  A closed
+    cell that no edge of its band touches lies entirely on one side of the
+    boundary, and its centre decides which: such cells are dropped (outside)
+    or flagged ``_interior`` (every point in them is a hit, and ``edges`` is
+    null).  A boundary cell keeps the edges of its band that do not end left
+    of it, which give the exact even-odd and on-edge test the same answer as
+    all edges.  The touch tests are widened by a margin that grows with the
+    coordinate, so classification never changes an answer.
     """
     c = float(cell)
-    idx = lambda col: F.floor(F.col(col) / F.lit(c))
-    cells = (edges.select(id_col, name_col, "edges", "min_x", "max_x", "min_y", "max_y",
-                          F.explode(F.sequence(idx("min_x"), idx("max_x"))).alias("_cx"),
-                          idx("min_y").alias("_y0"), idx("max_y").alias("_y1"))
-             .select(id_col, name_col, "edges", "min_x", "max_x", "min_y", "max_y", "_cx",
-                     F.explode(F.sequence("_y0", "_y1")).alias("_cy")))
-    def eps(i):        # a share of the cell, and of the coordinate itself where that is large
-        return F.lit(c * 1e-9) + F.abs(F.col(i) * c) * F.lit(2.0 ** -50)
-
-    x0, x1 = F.col("_cx") * c - eps("_cx"), (F.col("_cx") + 1) * c + eps("_cx")
-    y0, y1 = F.col("_cy") * c - eps("_cy"), (F.col("_cy") + 1) * c + eps("_cy")
+
+    def eps(v):
+        return F.lit(c * 1e-9) + F.abs(v) * F.lit(2.0 ** -50)
+
+    def idx(v):
+        return F.floor(v / F.lit(c))
+
+    one = edges.select(id_col, name_col, idx(F.col("min_x")).alias("_x0"), idx(F.col("max_x")).alias("_x1"),
+                       F.explode("edges").alias("e"))
+    low, high = F.least("e.y1", "e.y2"), F.greatest("e.y1", "e.y2")
+    banded = (one.withColumn("_cy", F.explode(F.sequence(idx(low - eps(low)), idx(high + eps(high)))))
+              .groupBy(id_col, name_col, "_x0", "_x1", "_cy").agg(F.collect_list("e").alias("edges")))
+    cells = banded.withColumn("_cx", F.explode(F.sequence("_x0", "_x1")))
+    x0, x1 = F.col("_cx") * c - eps(F.col("_cx") * c), (F.col("_cx") + 1) * c + eps((F.col("_cx") + 1) * c)
+    y0, y1 = F.col("_cy") * c - eps(F.col("_cy") * c), (F.col("_cy") + 1) * c + eps((F.col("_cy") + 1) * c)
     touches = F.exists("edges", lambda e: (F.greatest(e.x1, e.x2) >= x0) & (F.least(e.x1, e.x2) <= x1)
                        & (F.greatest(e.y1, e.y2) >= y0) & (F.least(e.y1, e.y2) <= y1))
     center_in = point_in_polygon((F.col("_cx") + 0.5) * c, (F.col("_cy") + 0.5) * c, F.col("edges"))
+    near = F.filter("edges", lambda e: F.greatest(e.x1, e.x2) >= x0)
     return (cells.withColumns({"_touch": touches, "_center_in": center_in})
             .filter(F.col("_touch") | F.col("_center_in"))
-            .select(id_col, name_col, "_cx", "_cy", "min_x", "max_x", "min_y", "max_y",
-                    (~F.col("_touch") & F.col("_center_in")).alias("_interior")))
-
-
-def _parallelism(df: DataFrame) -> int:
-    try:
-        return max(1, df.sparkSession.sparkContext.defaultParallelism)
-    except Exception:  # noqa: BLE001 - sessions without a SparkContext
-        return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
-
-
-def _fits(df: DataFrame, limit: int) -> bool:
-    """Counted row bound for a broadcast (a small job over the region side)."""
-    return df.count() <= limit
+            .select(id_col, name_col, "_cx", "_cy", (~F.col("_touch")).alias("_interior"),
+                    F.when(F.col("_touch"), near).alias("edges")))
 
 
 def valid_points(points: DataFrame, x: str, y: str) -> DataFrame:
@@ -111,41 +110,25 @@ def tag_points(points: DataFrame, regions: DataFrame, x: str = "Longitude", y: s
     """JN3/GEO2: every (point, region) pair where the point intersects the
     region (inside or on the boundary).  Output: point columns + id + name.
 
-    Region side within ``max_broadcast_rows`` and ``max_broadcast_bytes``: broadcast hash joins, the
-    points are never shuffled.  Beyond it: shuffle joins, with every cell
-    (and every region's shape) replicated ``salt`` times and each point sent
-    to one replica chosen by a hash of the point, so a cell holding a third
-    of all points is split over ``salt`` tasks instead of landing on one.
+    The cell table is computed once and written.  Within ``max_broadcast_rows``
+    rows and ``max_broadcast_bytes`` of edges (32 bytes each): a broadcast
+    hash join, the points are never shuffled.  Beyond it: a shuffle join, with
+    every cell replicated ``salt`` times and each point sent to one replica
+    chosen by a hash of the point, so a cell holding a third of all points is
+    split over ``salt`` tasks instead of landing on one.
     """
     edges = region_edges(regions, id_col, name_col, geometry_col)
-    # One small aggregate sizes the region side: rows and edges (32 bytes each) bound the shapes
-    # broadcast.  The cell classification (cells x edges work) is spread over the cluster.
-    stats = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("edges")).alias("e")).first()
-    shapes_fit = (stats["n"] or 0) <= max_broadcast_rows and 32 * (stats["e"] or 0) <= max_broadcast_bytes
-    edges = edges.repartition(_parallelism(regions), id_col)
-    cells = region_cells(edges, cell, id_col, name_col)
-    shapes = edges.select(id_col, "edges")
+    cells = materialize(region_cells(edges, cell, id_col, name_col))
+    size = cells.agg(F.count(F.lit(1)).alias("n"), F.sum(F.coalesce(F.size("edges"), F.lit(0))).alias("e")).first()
+    fits = (size["n"] or 0) <= max_broadcast_rows and 32 * (size["e"] or 0) <= max_broadcast_bytes
     pts = valid_points(points, x, y).withColumns({
         "_cx": F.floor(F.col(x) / F.lit(cell)), "_cy": F.floor(F.col(y) / F.lit(cell))})
-    salted = not _fits(cells, max_broadcast_rows)
-    if salted:
+    if fits:
+        cand = pts.join(F.broadcast(cells), ["_cx", "_cy"])
+    else:
         replicas = F.explode(F.sequence(F.lit(0), F.lit(salt - 1))).alias("_salt")
         pts = pts.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in points.columns]), F.lit(salt)))
         cand = pts.join(cells.select("*", replicas), ["_cx", "_cy", "_salt"])
-    else:
-        cand = pts.join(F.broadcast(cells), ["_cx", "_cy"])
-    # Cheap bbox test first (codegen).  Interior cells are hits as they are:
-    # the OR short-circuits, so only boundary-cell candidates run the exact test.
-    in_box = F.col(x).between(F.col("min_x"), F.col("max_x")) & F.col(y).between(F.col("min_y"), F.col("max_y"))
-    cand = cand.filter(F.col("_interior") | in_box).drop("min_x", "max_x", "min_y", "max_y")
-    if shapes_fit:
-        cand = cand.join(F.broadcast(shapes), id_col)
-    else:
-        if not salted:
-            cand = cand.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in points.columns]),
-                                                   F.lit(salt)))
-        reps = F.explode(F.sequence(F.lit(0), F.lit(salt - 1))).alias("_salt")
-        cand = cand.join(shapes.select("*", reps), [id_col, "_salt"])
     hit = cand.filter(F.col("_interior") | point_in_polygon(x, y, "edges"))
     return hit.drop("_cx", "_cy", "_salt", "_interior", "edges")
 

@@ -3,6 +3,7 @@
 import json
 import math
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from blotter.operators.sampling import stratified_sample, stratified_sample_hash
@@ -117,3 +118,38 @@ def test_read_regions_csv_by_header_name(spark, tmp_path):
     p.write_text('name,geometry,bor_subb\nSQ,"POLYGON ((0 0, 2 0, 2 2, 0 2, 0 0))",7\n')
     r = read_regions(spark, str(p)).first()
     assert (r.bor_subb, r.name, r.geometry.startswith("POLYGON")) == ("7", "SQ", True)
+
+
+def test_large_polygon_with_a_hole(spark):
+    """3,000 edges, a hole, points on edges and vertices; both join paths against a plain even-odd test."""
+    rng = np.random.default_rng(4)
+
+    def ring(n, r0, r1, cx=1000.0, cy=-500.0):
+        a = np.linspace(0, 2 * np.pi, n, endpoint=False)
+        r = rng.uniform(r0, r1, n)
+        p = [(float(cx + q * np.cos(t)), float(cy + q * np.sin(t))) for q, t in zip(r, a)]
+        return p + p[:1]
+
+    rings = [ring(2400, 8, 10), ring(600, 2, 3)]
+    wkt = "POLYGON (" + ", ".join("(" + ", ".join(f"{x!r} {y!r}" for x, y in r) + ")" for r in rings) + ")"
+    pts = [(float(x), float(y)) for x, y in rng.uniform(-11, 11, (400, 2)) + [1000, -500]]
+    pts += rings[0][:50] + rings[1][:50]
+    edges = [(a, b) for r in rings for a, b in zip(r, r[1:])]
+
+    def hit(x, y):
+        inside = False
+        for (x1, y1), (x2, y2) in edges:
+            if (x2 - x1) * (y - y1) == (y2 - y1) * (x - x1) and min(x1, x2) <= x <= max(x1, x2) \
+                    and min(y1, y2) <= y <= max(y1, y2):
+                return True
+            if (y1 > y) != (y2 > y) and x < (x2 - x1) * (y - y1) / (y2 - y1) + x1:
+                inside = not inside
+        return inside
+
+    want = sorted(i for i, p in enumerate(pts) if hit(*p))
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(pts)], "i long, x double, y double")
+    regions = spark.createDataFrame([("1", "R", wkt)], "bor_subb string, name string, geometry string")
+    for cell in (0.37, 5.0, 1000.0):
+        for limit in ({}, {"max_broadcast_rows": 0}, {"max_broadcast_bytes": 0}):
+            got = tag_points(df, regions, "x", "y", cell=cell, salt=3, **limit)
+            assert sorted(r.i for r in got.collect()) == want
