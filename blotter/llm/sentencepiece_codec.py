@@ -18,6 +18,7 @@ equal rank; the merges themselves encode it.
 from __future__ import annotations
 
 import heapq
+import math
 import re
 from functools import lru_cache
 
@@ -31,6 +32,7 @@ from blotter.llm.word_cache import WordCache
 
 MARK = "▁"
 _WORD = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
+NEVER = math.inf                              # the rank of a pair that is no piece
 _PAIRS = 1_000_000                            # remembered pairs of pieces
 
 
@@ -40,7 +42,7 @@ class Codec:
 
         sp = sentencepiece.SentencePieceProcessor(model_file=path)
         size = sp.vocab_size()
-        self.rank, self.bytes_of, self.byte_id = {}, [], {}
+        self.rank, self.raw, self.bytes_of, self.byte_id = {}, {}, [], {}
         for i in range(size):
             piece = sp.id_to_piece(i)
             if sp.is_byte(i):
@@ -49,12 +51,15 @@ class Codec:
             elif sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i):
                 self.bytes_of.append(" ⁇ ".encode() if sp.is_unknown(i) else b"")
             else:
-                self.rank[piece] = (-sp.get_score(i), i)
+                self.rank[piece] = -sp.get_score(i)
+                self.raw[piece] = i.to_bytes(4, "little")
                 self.bytes_of.append(piece.replace(MARK, " ").encode())
         self.unknown = sp.unk_id()
-        self.longest = max(map(len, self.rank))
+        self.tails = {p[k:] for p in self.rank for k in range(1, len(p))}      # ends of longer pieces
         if any(MARK in p.lstrip(MARK) for p in self.rank):
             raise ValueError("a piece holds a mark inside: words cannot be encoded on their own")
+        # no piece holds a newline, so the merges never cross one
+        self.line = None if any("\n" in p for p in self.rank) else self._fallback("\n")
         self._alone: dict = {}
         self.words = WordCache(self._plain)           # key: the word without its mark
         self.marked = WordCache(self.encode_words)    # key: the word as marked
@@ -62,13 +67,32 @@ class Codec:
     # -- one word ---------------------------------------------------------------------------------
     def merge(self, word: str) -> list[str]:
         """The pieces that the ranked merges leave (best rank first, leftmost first)."""
+        if len(word) > 64:
+            return self._merge_long(word)
+        piece, rank = list(word), self.rank.get
+        pairs = [rank(a + b, NEVER) for a, b in zip(piece, piece[1:])]
+        while pairs:
+            best = min(pairs)
+            if best is NEVER:
+                break
+            i = pairs.index(best)
+            piece[i:i + 2] = [piece[i] + piece[i + 1]]
+            del pairs[i]
+            if i:
+                pairs[i - 1] = rank(piece[i - 1] + piece[i], NEVER)
+            if i < len(pairs):
+                pairs[i] = rank(piece[i] + piece[i + 1], NEVER)
+        return piece
+
+    def _merge_long(self, word: str) -> list[str]:
+        """The same with a heap over linked pieces, for words of any length."""
         piece, left, right = list(word), list(range(-1, len(word) - 1)), list(range(1, len(word) + 1))
         heap = []
 
         def push(i: int) -> None:
             j = right[i]
             if j < len(piece) and (r := self.rank.get(piece[i] + piece[j])) is not None:
-                heapq.heappush(heap, (r[0], i, j, piece[i], piece[j]))
+                heapq.heappush(heap, (r, i, j, piece[i], piece[j]))
 
         for i in range(len(word) - 1):
             push(i)
@@ -84,33 +108,27 @@ class Codec:
             push(i)
         return [p for p in piece if p is not None]
 
-    def _admissible(self, before: str | None, piece: str) -> bool:
-        """Whether the merges leave the two pieces (or the one at the start) as they are."""
-        key = (before, piece)
-        found = self._alone.get(key)
-        if found is None:
-            if len(self._alone) >= _PAIRS:
-                self._alone.clear()
-            want = [piece] if before is None else [before, piece]
-            found = self._alone[key] = self.merge("".join(want)) == want
+    def _admissible(self, pair: tuple[str | None, str]) -> bool:
+        """Whether the merges leave the two pieces (or the one at the start) as they are; remembered."""
+        if len(self._alone) >= _PAIRS:
+            self._alone.clear()
+        want = [p for p in pair if p is not None]
+        found = self._alone[pair] = self.merge("".join(want)) == want
         return found
 
     def _ids(self, pieces: list[str]) -> bytes:
-        out = []
-        for p in pieces:
-            known = self.rank.get(p)
-            if known is not None:
-                out.append(known[1])
-            elif self.byte_id:
-                out += [self.byte_id[b] for b in p.encode()]
-            else:
-                out.append(self.unknown)
-        return np.array(out, "<i4").tobytes()
+        return b"".join([self.raw.get(p) or self._fallback(p) for p in pieces])
+
+    def _fallback(self, piece: str) -> bytes:
+        """A character outside the model: its bytes, or the unknown id in a model without byte pieces."""
+        ids = [self.byte_id[b] for b in piece.encode()] if self.byte_id else [self.unknown]
+        return np.array(ids, "<i4").tobytes()
 
     # -- many words -------------------------------------------------------------------------------
     def encode_words(self, words: list[str]) -> list[bytes]:
         """Ids of distinct marked words, in their order; states are shared along common prefixes."""
         out, last, before = {}, [None], ""           # last[i]: the last piece of word[:i]
+        rank, known, tails = self.rank, self._alone.get, self.tails
         for word in sorted(words):
             if word.startswith(MARK * 2) or len(word) > 1 << 12:
                 out[word] = self._ids(self.merge(word))
@@ -120,11 +138,23 @@ class Codec:
                 k += 1
             del last[k + 1:]
             for end in range(k + 1, len(word) + 1):
-                for at in range(max(0, end - self.longest), end):
+                at, found = end - 1, []               # pieces that end here, shortest first
+                piece = word[at]
+                while True:
+                    if piece in rank:
+                        found.append(piece)
+                    if not at or piece not in tails:
+                        break
+                    at -= 1
                     piece = word[at:end]
-                    if (piece in self.rank or end - at == 1) and self._admissible(last[at], piece):
+                for piece in reversed(found):
+                    pair = last[end - len(piece)], piece
+                    alone = known(pair)
+                    if alone or alone is None and self._admissible(pair):
                         last.append(piece)
                         break
+                else:                                 # a character outside the model
+                    last.append(word[end - 1])
             before = word
             path, at = [], len(word)
             while at:
@@ -134,12 +164,14 @@ class Codec:
         return [out[w] for w in words]
 
     def _plain(self, words: list[str]) -> list[bytes]:
-        return self.encode_words([MARK + w for w in words])
+        """Words as they stand between spaces; one that starts a line has its newline in front, and no mark."""
+        marked = [MARK + w if w[:1] != "\n" else w[1:] for w in words]
+        return [self.line + i if w[:1] == "\n" else i for w, i in zip(words, self.encode_words(marked))]
 
     # -- texts ------------------------------------------------------------------------------------
     def encode(self, texts: list[str]) -> list[bytes]:
-        simple = [t.split(" ") if t and "  " not in t and t[0] != " " and t[-1] != " " and MARK not in t else None
-                  for t in texts]
+        simple = [None if not t or "  " in t or " \n" in t or t[0] == " " or t[-1] == " " or MARK in t
+                  or self.line is None and "\n" in t else t.replace("\n", " \n").split(" ") for t in texts]
         other = [_WORD.findall(MARK + t.replace(" ", MARK)) if s is None and t else [] for t, s in zip(texts, simple)]
         self.words.need(set().union(*(s for s in simple if s)))
         self.marked.need(set().union(*other))

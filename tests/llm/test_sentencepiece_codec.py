@@ -17,7 +17,7 @@ def own(text):
 
 
 @settings(max_examples=1500, deadline=None)
-@given(st.text(max_size=60) | st.text(alphabet=" abcdeinorst\n▁", max_size=60))
+@given(st.text(max_size=60) | st.text(alphabet=" \n\n abcdeinorst\n▁", max_size=60))
 def test_ids_equal_the_library(text):
     assert own(text) == LIB.encode(text)
     assert OWN.decode(LIB.encode(text)) == text.replace(MARK, " ")
