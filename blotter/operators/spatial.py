@@ -198,9 +198,16 @@ def heat_layer(points: DataFrame, x: str, y: str, by: Sequence[str] = (),
     return p.groupBy(*by, gy.alias(y), gx.alias(x)).agg(n.alias("weight"))
 
 
-def group_extent(points: DataFrame, x: str, y: str, by: Sequence[str]) -> DataFrame:
-    """AGG10: coordinate extent per group."""
-    p = valid_points(points, x, y)
-    return p.groupBy(*by).agg(F.min(y).alias(f"min_{y}"), F.max(y).alias(f"max_{y}"),
-                              F.min(x).alias(f"min_{x}"), F.max(x).alias(f"max_{x}"),
-                              F.count(F.lit(1)).alias("n"))
+def group_extent(points: DataFrame, x: str, y: str, by: Sequence[str], total: str | None = None) -> DataFrame:
+    """AGG10: coordinate extent and count of the valid points per group (groups without one have no row).
+
+    ``total`` names a column that counts all records of the group, valid or
+    not, in the same aggregate; then every group has a row.
+    """
+    ok = ~(F.isnull(x) | F.isnull(y) | F.isnan(x) | F.isnan(y))
+    lat, lon = F.when(ok, F.col(y)), F.when(ok, F.col(x))
+    every = [F.count(F.lit(1)).alias(total)] if total else []
+    out = points.groupBy(*by).agg(F.min(lat).alias(f"min_{y}"), F.max(lat).alias(f"max_{y}"),
+                                  F.min(lon).alias(f"min_{x}"), F.max(lon).alias(f"max_{x}"),
+                                  F.count_if(ok).alias("n"), *every)
+    return out if total else out.filter("n > 0")

@@ -715,13 +715,10 @@ FROM {_A_RECENT} AND {_VALID_XY} AND OFNS_DESC IN (SELECT OFNS_DESC FROM top) GR
 def q_group_extent(spark, sf_dir):
     """AGG10: one scan; extents of the recent valid points of every offence, the list from their counts."""
     a = record_type(incidents(spark, sf_dir), "A").withColumn("recent", _recent())
-    ok = F.col("recent") & F.col("Latitude").isNotNull() & F.col("Longitude").isNotNull() \
-        & ~F.isnan("Latitude") & ~F.isnan("Longitude")
-    shown = a.withColumns({c: F.when(ok, F.col(c)) for c in ("Latitude", "Longitude")})
-    totals = shown.groupBy("OFNS_DESC").agg(F.count(F.lit(1)).alias("records"))
-    extents = materialize(totals.join(group_extent(shown, "Longitude", "Latitude", ["OFNS_DESC"]), "OFNS_DESC"))
+    shown = a.withColumns({c: F.when(F.col("recent"), F.col(c)) for c in ("Latitude", "Longitude")})
+    extents = materialize(group_extent(shown, "Longitude", "Latitude", ["OFNS_DESC"], total="records"))
     top10 = top_values(extents, "OFNS_DESC", 10, weight="records")
-    return extents.filter(F.col("OFNS_DESC").isin(top10)).drop("records")
+    return extents.filter(F.col("OFNS_DESC").isin(top10)).filter("n > 0").drop("records")
 
 
 @register("stratified_sample")

@@ -6,6 +6,7 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as E
+from blotter.plans.catalog import ORACLES, QUERIES
 
 _spec = importlib.util.spec_from_file_location(
     "check_oracle", Path(__file__).resolve().parents[1] / "scripts" / "check_oracle.py")
@@ -28,7 +29,7 @@ def duck(sf_dir):
     return _chk.duck(sf_dir)
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_oracle_parity(spark, duck, sf_dir, name):
     s = E.queries()[name](spark, sf_dir).toPandas()
     d = duck.sql(E.oracle_sql()[name]).df()
@@ -37,6 +38,6 @@ def test_oracle_parity(spark, duck, sf_dir, name):
     assert _chk.norm(s, False) == _chk.norm(d, False)
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - set(E.oracle_sql())))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_rows_only_queries_run(spark, sf_dir, name):
     assert E.queries()[name](spark, sf_dir).count() > 0
