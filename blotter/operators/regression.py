@@ -92,9 +92,10 @@ def ols_tests(df: DataFrame, target: str, tests: Sequence[tuple[str, str, str |
 
     ``dof = n - (1 + M)``.  ``t_marginal`` is the statistic of the original
     analysis (``beta / sqrt(s^2 / sum x1^2)``, which ignores the control's
-    collinearity) and ``t_ols`` the textbook one; p-values come from the
-    exact t series, one- and two-sided.  ``decision`` uses the one-sided p
-    against ``alpha`` like the original; ``decision_two_sided`` the other.
+    collinearity) and ``t_ols`` the textbook one; each has a one- and a
+    two-sided p-value from the exact t series.  ``decision`` compares the
+    marginal one-sided p with ``alpha`` like the original, ``decision_ols``
+    the textbook two-sided p.
     """
     y = F.col(target).cast("double")
     aggs = []
@@ -132,8 +133,8 @@ def ols_tests(df: DataFrame, target: str, tests: Sequence[tuple[str, str, str |
     t_ols = F.when(ok & ~((F.col("control").isNotNull()) & (1 - F.col("r12") * F.col("r12") < _COLLINEAR)),
                    F.col("beta") * F.sqrt(F.try_divide(F.col("dof") * (1 - F.col("r12") * F.col("r12")), resid)))
     out = out.withColumns({"t_marginal": t_marg, "t_ols": t_ols})
-    out = out.withColumns({"p_one_sided": t_sf("t_marginal", "dof"),
-                           "p_two_sided": t_two_sided("t_ols", "dof")})
+    out = out.withColumns({f"p_{t}_{side}": p(f"t_{t}", "dof") for t in ("marginal", "ols")
+                           for side, p in (("one_sided", t_sf), ("two_sided", t_two_sided))})
     status = (F.when(F.col("dof") <= 0, "insufficient_df")
               .when(F.col("beta").isNull(), "zero_variance")
               .when(F.col("t_marginal").isNull(), "perfect_fit")
@@ -143,8 +144,8 @@ def ols_tests(df: DataFrame, target: str, tests: Sequence[tuple[str, str, str |
     decide = lambda p: F.when(p.isNull(), F.lit(None).cast("string")) \
         .when(p < alpha, "reject").otherwise("retain")
     return out.withColumns({
-        "decision": decide(F.col("p_one_sided")),
-        "decision_two_sided": decide(F.col("p_two_sided")),
+        "decision": decide(F.col("p_marginal_one_sided")),
+        "decision_ols": decide(F.col("p_ols_two_sided")),
         "status": status,
     }).drop("r12")
 

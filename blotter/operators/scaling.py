@@ -15,6 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from blotter.schema import CLUSTERS
+
 
 def _std(col: Column, ddof: int) -> Column:
     return F.stddev_samp(col) if ddof == 1 else F.stddev_pop(col)
@@ -57,7 +59,7 @@ def row_zscore_clip(long: DataFrame, row: str, value: str, out: str = "z") -> Da
 
 
 def cluster_rows(long: DataFrame, row: str, category: str, value: str, categories: Sequence[str],
-                 k: int = 4, seed: int = 1) -> DataFrame:
+                 k: int = CLUSTERS, seed: int = 1) -> DataFrame:
     """SCL4 + SRT1: cluster the row vectors and order rows by cluster label.
 
     Spark ML bisecting k-means stands in for single-machine agglomerative

@@ -49,8 +49,16 @@ RACE_FRACTIONS = {
     "ASIAN / PACIFIC ISLANDER": 0.01,
 }
 TOP_K = 30
-DENSITY_TOP_K = 10
-KDE_BANDWIDTH = 0.005
+# Offences left out of the hour-of-day profile.
+HOURLY_EXCLUDED_OFFENCES = [
+    "OTHER OFFENSES RELATED TO THEFT",
+    "OTHER TRAFFIC INFRACTION",
+    "OFFENSES AGAINST PUBLIC ADMINISTRATION",
+    "POSSESSION OF STOLEN PROPERTY 5",
+    "CRIMINAL MISCHIEF & RELATED OFFENSES",
+    "OFF. AGNST PUB ORD SENSBLTY & RGHTS TO PRIV",
+    "F.C.A. P.I.N.O.S.",
+]
 SIGNIFICANCE_LEVEL = 0.05
 ELASTIC_NET = {"maxIter": 10, "regParam": 0.3, "elasticNetParam": 0.8}
 CLUSTERS = 4
@@ -87,9 +95,3 @@ INCIDENT_COLUMNS = ["CMPLNT_NUM", "RECORD_TYPE", "BORO_NM", "ADDR_PCT_CD", "ARRE
                     "CRM_ATPT_CPTD_CD", "LAW_CAT_CD", "SUSP_AGE_GROUP", "SUSP_RACE",
                     "SUSP_SEX", "VIC_AGE_GROUP", "VIC_RACE", "VIC_SEX", "Lat_Lon",
                     "Latitude", "Longitude", "Year", "Month", "Date"]
-
-REGION_SCHEMA = T.StructType([
-    T.StructField("bor_subb", _S),
-    T.StructField("name", _S),
-    T.StructField("geometry", _S),
-])

@@ -78,7 +78,7 @@ def test_ols_matches_reference_procedure(spark):
     s2 = ((ys - xx @ w) ** 2).sum() / d2
     t_ols = w[0] / math.sqrt(s2 * np.linalg.inv(xx.T @ xx)[0, 0])
     assert math.isclose(out["c"].t_ols, t_ols, rel_tol=1e-9)
-    assert math.isclose(out["c"].p_one_sided, _t_sf_numeric(t2, d2), abs_tol=1e-6)
+    assert math.isclose(out["c"].p_marginal_one_sided, _t_sf_numeric(t2, d2), abs_tol=1e-6)
     assert out["s"].decision in ("reject", "retain") and out["s"].status == "ok"
     g = ols_general(df, "y", ["x1", "x2"])
     assert math.isclose(g["beta"][0], b2, rel_tol=1e-9) and math.isclose(g["t_marginal"], t2, rel_tol=1e-9)
@@ -139,8 +139,8 @@ def test_ols_general_statistics_and_statuses(spark):
     g = ols_general(df, "y", ["a", "b"])
     one = ols_tests(df, "y", [("t", "a", "b")]).first()
     assert g["status"] == "ok" and math.isclose(g["t_ols"], one.t_ols, rel_tol=1e-9)
-    assert math.isclose(g["p_marginal_one_sided"], one.p_one_sided, rel_tol=1e-9)
-    assert math.isclose(g["p_ols_two_sided"], one.p_two_sided, rel_tol=1e-9)
+    assert math.isclose(g["p_marginal_one_sided"], one.p_marginal_one_sided, rel_tol=1e-9)
+    assert math.isclose(g["p_ols_two_sided"], one.p_ols_two_sided, rel_tol=1e-9)
     const = ols_general(df, "y", ["a", "k"])
     assert const["status"] == "zero_variance" and const["t_ols"] is None and const["beta"] == [None, None]
     assert ols_general(df.limit(3), "y", ["a", "b"])["status"] == "insufficient_df"
