@@ -7,11 +7,15 @@ from pyspark.sql import functions as F
 
 from blotter.llm.common import Scratch
 
+_SALTS = 8                                    # tasks that share the edges of one high-degree node
+
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return (both.filter("v > u").join(low, "u")
+    low = both.groupBy("u").agg(F.min("v").alias("m")).select(
+        "u", F.least("u", "m").alias("m"), F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("salt"))
+    dealt = both.filter("v > u").withColumn("salt", F.pmod(F.hash("v"), F.lit(_SALTS)))
+    return (dealt.join(low, ["u", "salt"])
             .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
 
 
@@ -26,8 +30,8 @@ def connected_components(edges: DataFrame, scratch: Scratch, name: str) -> DataF
     """(node, component) for every node that has an edge; component = smallest node.
 
     ``edges`` has long columns u and v.  Each step is a map-side combined
-    minimum and a join on the node, so the high-degree node of a large group
-    is handled by partial aggregation; intermediate edges are written tables.
+    minimum and a join on the node, salted by the neighbour, so the edges of
+    the high-degree node of a large group spread over several tasks; intermediate edges are written tables.
     Self-loops and repeated edges are allowed; a node with only self-loops
     gets no row.
     """
