@@ -3,8 +3,8 @@
 Usage: python scripts/plan_summary.py [sf_dir] > PLANS.md
 Counts operators in the formatted physical plan before execution (AQE may
 still coalesce partitions or turn a sort-merge join into a broadcast at run
-time).  Jobs that run while a query is *built* (pivot value lists, the CA
-eigen-solve, broadcast size checks) are not part of the plan shown.
+time), over the plans of all jobs that run while a query is built (pivot value
+lists, written intermediates, size checks) and of the returned frame.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-import __spark_entry__ as E  # noqa: E402
+from blotter.plans.catalog import QUERIES  # noqa: E402
 from blotter.session import local_session  # noqa: E402
 
 NODES = ["Exchange", "BroadcastExchange", "BroadcastHashJoin", "SortMergeJoin", "ShuffledHashJoin",
@@ -25,6 +25,25 @@ NODES = ["Exchange", "BroadcastExchange", "BroadcastHashJoin", "SortMergeJoin",
          "TakeOrderedAndProject", "Generate", "BatchEvalPython", "ArrowEvalPython", "Scan parquet"]
 
 
+EAGER = ["collect", "first", "count", "take", "checkpoint", "toPandas", "head"]
+
+
+def plan(df) -> str:
+    buf = io.StringIO()
+    with redirect_stdout(buf):
+        df.explain("formatted")
+    return buf.getvalue()
+
+
+def record_jobs(kind, seen: list) -> None:
+    """Keep the plan of every frame that runs a job."""
+    for name in EAGER:
+        def run(self, *args, _call=getattr(kind, name), **kwargs):
+            seen.append(plan(self))
+            return _call(self, *args, **kwargs)
+        setattr(kind, name, run)
+
+
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = local_session(8)
@@ -34,12 +53,13 @@ def main() -> None:
     print("`cols` = widest parquet read schema (columns read by one scan).\n")
     print("| query | " + " | ".join(n.replace("Scan parquet", "scans") for n in NODES) + " | pushed | cols |")
     print("|---" * (len(NODES) + 3) + "|")
-    for name, fn in E.queries().items():
-        buf = io.StringIO()
-        with redirect_stdout(buf):
-            fn(spark, sf_dir).explain("formatted")
-        text = buf.getvalue()
-        tree = text.split("\n\n")[0]
+    seen: list[str] = []
+    record_jobs(type(spark.range(1)), seen)
+    for name, fn in QUERIES.items():
+        seen.clear()
+        last = plan(fn(spark, sf_dir))
+        text = "\n\n".join([*seen, last])
+        tree = "\n".join(p.split("\n\n")[0] for p in [*seen, last])
         counts = []
         for n in NODES:
             pat = r"[-+:\s]" + re.escape(n) + r"(\s|\(|$)"
