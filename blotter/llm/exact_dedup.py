@@ -164,16 +164,17 @@ def _merge(max_bytes: int):
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                max_trie_bytes: int = 64 << 20) -> DataFrame:
+                max_trie_bytes: int = 64 << 20, scratch: Scratch | None = None) -> DataFrame:
     """One row per input row: doc_id, keep_id, group_size, kept, text_sha256.
 
     Null text counts as empty, and empty texts form a group like any other.
     Of equal texts the row with the smallest id stays (a null id sorts last
     and gives a null keep_id only if the whole group has none); of rows
     repeated under that id exactly one stays.  An empty table gives no rows;
-    other columns are not read.
+    other columns are not read.  The result reads the written table ``local``
+    of ``scratch``.
     """
-    scratch = Scratch(docs.sparkSession, "exact-dedup")
+    scratch = scratch or Scratch(docs.sparkSession, "exact-dedup")
     local = scratch.stage(
         docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("binary"))
             .mapInArrow(_local_owners, _LOCAL), "local")
@@ -194,8 +195,10 @@ def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     Identifiers are expected to name one text; of rows repeated under one id
     and text, one stays.
     """
-    kept = (exact_dedup(docs, id_col, text_col).filter("kept")
-            .select(F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_sha")))
+    scratch = Scratch(docs.sparkSession, "exact-dedup")
+    kept = scratch.stage(exact_dedup(docs, id_col, text_col, scratch=scratch).filter("kept")
+                         .select(F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_sha")), "kept")
+    scratch.drop("local")
     white = F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), r"[\x20\x09-\x0D]+", " ")
     same = F.col(id_col).cast("long").eqNullSafe(F.col("_kept_id")) & (F.col("_sha") == F.col("_kept_sha"))
     first = Window.partitionBy(id_col, "_sha").orderBy(F.lit(1))

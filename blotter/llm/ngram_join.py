@@ -12,8 +12,8 @@ array.  Two documents link when 100 * |A & B| >= percent * |A | B|.
   element) pair.  A document meets its own band and the next one above that
   the threshold allows.  A frequent n-gram alone never makes a candidate.
 * **Hubs.**  Documents with an equal segment form a group (a tile).  Each is
-  first tested against the group's smallest row, which is linear in the group
-  and settles groups of true near copies.
+  first tested against the group's smallest row, by bit counts and then
+  exactly, which is linear in the group and settles groups of true near copies.
 * **Tiles.**  Groups that still hold several components are cut into blocks;
   in each block pair, the bit counts of hashed bitmaps bound the overlap from
   above: |A & B| <= (|A| + |B| - popcount(a ^ b)) / 2.  Survivors are tested
@@ -72,6 +72,16 @@ class Bands:
         self.lo = [same]                     # smaller sets link only when equal
         while self.lo[-1] < 1 << 40:
             self.lo.append(max(self.lo[-1] + 1, int(self.lo[-1] * _RATIO)))
+        self.plan = [self._segments(lo, hi) for lo, hi in zip(self.lo, self.lo[1:])]
+
+    def _segments(self, lo: int, hi: int) -> tuple[int, int]:
+        """(segments, slack) of a band: the slack covers the empty segments that the smallest set
+        which meets the band is likely to have (their mean and two standard deviations)."""
+        need, slack = 2 * (hi - 1) * (100 - self.p) // (100 + self.p) + 1, 0
+        for _ in range(8 if need >= 16 else 0):
+            empty = (need + slack) * math.exp(-self.p * lo / 100 / (need + slack))
+            slack = int(empty + 2 * math.sqrt(empty) + 1)
+        return need + slack, slack
 
     def of(self, n: int) -> Iterator[tuple[int, int, int]]:
         """(band, segments, slack) of each band that a set of n elements meets."""
@@ -79,9 +89,7 @@ class Bands:
             if self.lo[k] * self.p > 100 * n:
                 return
             if n < self.lo[k + 1]:
-                need = 2 * (self.lo[k + 1] - 1) * (100 - self.p) // (100 + self.p) + 1
-                slack = 0 if need < 16 else int(0.01 * need + 4 * math.sqrt(0.01 * need) + 1)
-                yield k, need + slack, slack
+                yield k, *self.plan[k]
 
     def signatures(self, s: np.ndarray) -> np.ndarray:
         out = []
@@ -258,6 +266,31 @@ def _tiles(percent: int):
     return run
 
 
+def possible(n: int, a: np.ndarray, m: int, b: np.ndarray, percent: int) -> bool:
+    """Whether the bit counts leave room for a link of sets with n and m elements."""
+    words = min(len(a), len(b))
+    differ = int(np.bitwise_count(fold(a, words) ^ fold(b, words)).sum())
+    overlap = min((n + m - differ) // 2, n, m)
+    return 100 * overlap >= percent * (n + m - overlap)
+
+
+def _bounded(percent: int):
+    def run(batches):
+        for batch in batches:
+            yield _pairs([(u, v) for u, v, n, a, m, b in zip(*(c.to_pylist() for c in batch.columns))
+                          if possible(n, np.frombuffer(a, np.uint64), m, np.frombuffer(b, np.uint64), percent)])
+
+    return run
+
+
+def _bound(pairs: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
+    """The pairs (u, v) that the bit counts do not rule out: only they carry whole sets to the exact test."""
+    left = bits.select(F.col("node").alias("u"), F.col("n").alias("nu"), F.col("bits").alias("bu"))
+    right = bits.select(F.col("node").alias("v"), F.col("n").alias("nv"), F.col("bits").alias("bv"))
+    return (pairs.select("u", "v").join(left, "u").join(right, "v").select("u", "v", "nu", "bu", "nv", "bv")
+            .mapInArrow(_bounded(percent), "u long, v long"))
+
+
 def _verify(pairs: DataFrame, payload: DataFrame, percent: int, per_hub: int) -> DataFrame:
     """The pairs (u, v) whose sets link.  Each hub u meets at most about ``per_hub`` partners a task."""
     salts = pairs.groupBy("u").agg(F.ceil(F.count("*") / per_hub).cast("int").alias("salts"))
@@ -272,7 +305,8 @@ def _verify(pairs: DataFrame, payload: DataFrame, percent: int, per_hub: int) ->
 
 
 def ngram_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id",
-                     text_col: str = "text", per_hub: int = 256, block: int = 512) -> DataFrame:
+                     text_col: str = "text", per_hub: int = 256, block: int = 512,
+                     scratch: Scratch | None = None) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id.
 
     ``component_id`` is the smallest id that links reach, the row's own
@@ -283,13 +317,14 @@ def ngram_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
     component_id, unless its component has no other.  An empty table gives no
     rows; other columns are not read.
     """
-    scratch = Scratch(docs.sparkSession, "ngram-join")
+    scratch = scratch or Scratch(docs.sparkSession, "ngram-join")
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
                          F.xxhash64(text_col).alias("loc"))
     sets = scratch.stage(source.select("doc_id", "loc", F.col("text").cast("binary"))
                          .mapInArrow(_sets(n, percent),
                                      "doc_id long, loc long, uid long, local_uid long, n_shingles long, "
                                      "key binary, sigs binary, low_id long"), "sets")
+    rows = scratch.stage(sets.select("doc_id", "local_uid", "n_shingles"), "rows")
     local = sets.filter("key is not null")
     group = local.groupBy("key").agg(F.min("uid").alias("node"), F.min("low_id").alias("low"))
     nodes = scratch.stage(local.select("key", "uid", "doc_id", "loc").join(group, "key")
@@ -299,6 +334,7 @@ def ngram_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
             .mapInArrow(_entries, "sig long, uid long")
             .repartition("sig").sortWithinPartitions("sig", "uid")
             .mapInArrow(_stars, "sig long, hub long, uid long"), "stars")
+    scratch.drop("sets")                     # the signatures are no longer needed
     name = nodes.select(F.col("uid").alias("_u"), F.col("node").alias("_node"))
     hubs = (stars.select("hub", "uid").distinct()
             .join(name, F.col("hub") == F.col("_u")).drop("_u").withColumnRenamed("_node", "u")
@@ -312,22 +348,24 @@ def ngram_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
         source.join(where, source.doc_id.eqNullSafe(where._id) & (source["loc"] == where._loc))
               .select("node", F.col("text").cast("binary"))
               .mapInArrow(_payload(n), "node long, shingles binary").dropDuplicates(["node"]), "payload")
-    links = scratch.stage(_verify(hubs, payload, percent, per_hub), "links-0")
+    bits = scratch.stage(payload.mapInArrow(_bitmaps, "node long, n long, bits binary"), "bits")
+    near = scratch.stage(_bound(hubs, bits, percent), "near")
+    links = scratch.stage(_verify(near, payload, percent, per_hub), "links-0")
     known = scratch.stage(connected_components(links, scratch, "known"), "known")
-    rest = _open_pairs(stars, name, known, payload, percent, block)
+    rest = _open_pairs(stars, name, known, bits, percent, block)
     rest = scratch.stage(rest.join(hubs, ["u", "v"], "left_anti").distinct(), "open")
     more = scratch.stage(links.union(_verify(rest, payload, percent, per_hub)), "links-1")
     comp = connected_components(more, scratch, "all")
     member = nodes.join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = member.groupBy("component").agg(F.min("low").alias("component_id"))
     by_row = member.join(least, "component").select(F.col("uid").alias("local_uid"), "component_id")
-    return (sets.select("doc_id", "local_uid", "n_shingles").join(by_row, "local_uid", "left")
+    return (rows.join(by_row, "local_uid", "left")
             .select("doc_id", "n_shingles",
                     F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
                     .alias("component_id")))
 
 
-def _open_pairs(stars: DataFrame, name: DataFrame, known: DataFrame, payload: DataFrame,
+def _open_pairs(stars: DataFrame, name: DataFrame, known: DataFrame, bits: DataFrame,
                 percent: int, block: int) -> DataFrame:
     """Pairs inside groups of three or more rows that are not yet known to be in one component."""
     rows = (stars.select("sig", "uid").union(stars.select("sig", F.col("hub").alias("uid"))).distinct()
@@ -340,7 +378,6 @@ def _open_pairs(stars: DataFrame, name: DataFrame, known: DataFrame, payload: Da
               .filter("k > 2 and c0 <> c1")
               .groupBy("k", "h0", "h1").agg(F.min("sig").alias("sig"))     # one of the groups with the same rows
               .select("sig", F.ceil(F.col("k") / block).cast("int").alias("blocks")))
-    bits = payload.mapInArrow(_bitmaps, "node long, n long, bits binary")
     dealt = (rows.join(groups, "sig").withColumn("b", F.pmod(F.hash("node"), "blocks"))
              .withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .select("sig", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j"),
@@ -357,6 +394,10 @@ def keep_one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: st
     Ids are expected to be unique (exact dedup runs before); a null id stays
     only if its component has no other id.
     """
-    comp = ngram_components(docs, n, percent, id_col, text_col)
-    keep = (comp.filter("doc_id <=> component_id").select(F.col("doc_id").alias("_keep")).distinct())
+    scratch = Scratch(docs.sparkSession, "ngram-join")
+    comp = ngram_components(docs, n, percent, id_col, text_col, scratch=scratch)
+    keep = scratch.stage(comp.filter("doc_id <=> component_id").select(F.col("doc_id").alias("_keep")).distinct(),
+                         "keep")
+    for written in ("rows", "nodes", "stars", "hubs", "payload", "bits", "near", "links-0", "known", "open", "links-1"):
+        scratch.drop(written)
     return docs.join(keep, docs[id_col].cast("long").eqNullSafe(F.col("_keep")), "left_semi")

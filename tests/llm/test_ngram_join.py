@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from blotter.llm.ngram_join import Bands, bitmap, fold, keep_one_per_component, linked, ngram_components, shingles
+from blotter.llm.ngram_join import Bands, bitmap, fold, keep_one_per_component, linked, ngram_components, possible, shingles
 
 SCHEMA = "doc_id long, text string"
 
@@ -106,6 +106,8 @@ def test_bitmap_bound_holds():
         words = min(len(x), len(y))
         differ = int(np.bitwise_count(fold(x, words) ^ fold(y, words)).sum())
         assert len(np.intersect1d(a, b)) <= (len(a) + len(b) - differ) // 2
+        for percent in (10, 30, 60):
+            assert possible(len(a), x, len(b), y, percent) or not linked(a, b, percent)
 
 
 def test_short_texts_are_one_shingle():
