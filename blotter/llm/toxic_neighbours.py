@@ -17,7 +17,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, fields
 
 import numpy as np
 import pyarrow as pa
@@ -76,14 +76,39 @@ class Index:
     prior: float = 0.5
 
     def __post_init__(self):
-        blocks = -(-len(self.vectors) // _BLOCK)
-        self.top = np.zeros((len(self.idf), blocks))
-        lists: dict[tuple[int, int], list] = {}
-        for e, (terms, weights) in enumerate(self.vectors):
-            for t, w in zip(terms.tolist(), weights.tolist()):
-                lists.setdefault((t, e // _BLOCK), []).append((e % _BLOCK, w))
-                self.top[t, e // _BLOCK] = max(self.top[t, e // _BLOCK], w)
-        self.postings = {key: (np.array([e for e, _ in v]), np.array([w for _, w in v])) for key, v in lists.items()}
+        # Of examples with equal vectors only the first k can be among the k nearest (ties go to the
+        # first ones); one more is kept, so that leaving one out stays exact.
+        seen: Counter = Counter()
+        self.row = []                         # example -> place in the index, -1 for a later copy
+        kept = []
+        for terms, weights in self.vectors:
+            key = terms.tobytes(), weights.tobytes()
+            seen[key] += 1
+            self.row.append(len(kept) if seen[key] <= self.k + 1 else -1)
+            if self.row[-1] >= 0:
+                kept.append((terms, weights))
+        self.example = np.flatnonzero(np.array(self.row) >= 0)
+        blocks = -(-len(kept) // _BLOCK)
+        self.top = np.zeros((len(self.idf), blocks))            # the largest weight of a term in a block
+        self.place = np.full((blocks, len(self.idf)), -1, np.int32)
+        self.postings = []                    # block -> weights, one row for each term that occurs in it
+        for b in range(blocks):
+            part = kept[b * _BLOCK:(b + 1) * _BLOCK]
+            here = np.unique(np.concatenate([t for t, _ in part]))
+            self.place[b, here] = np.arange(len(here))
+            rows = np.zeros((len(here), _BLOCK))
+            for e, (terms, weights) in enumerate(part):
+                rows[self.place[b, terms], e] = weights
+            self.postings.append(rows)
+            self.top[here, b] = rows.max(axis=1)
+
+    def __getstate__(self):
+        """Only what the index is built from travels to the workers."""
+        return {f.name: getattr(self, f.name) for f in fields(self)}
+
+    def __setstate__(self, state):
+        self.__dict__.update(state)
+        self.__post_init__()
 
     def vector(self, counts: Counter) -> tuple[np.ndarray, np.ndarray]:
         """Unit vector; the last term stands in every document once, so few or weak terms stay near none."""
@@ -95,23 +120,24 @@ class Index:
         """The k examples of largest positive cosine (ties: the first ones), nearest first."""
         if not len(self.vectors):
             return []
+        gone = self.row[without] if without >= 0 else -1
         bound = weights @ self.top[terms]
         best: list[tuple[float, int]] = []
+        least = 0.0
         for b in np.argsort(-bound, kind="stable").tolist():
-            if bound[b] <= 0 or len(best) == self.k and bound[b] < -best[-1][0] - 1e-9:
+            if bound[b] <= 0 or bound[b] < least - 1e-9:
                 break
-            sim = np.zeros(_BLOCK)
-            for t, w in zip(terms.tolist(), weights.tolist()):
-                found = self.postings.get((t, b))
-                if found:
-                    sim[found[0]] += w * found[1]
-            sim = np.round(sim, 9)
-            some = np.flatnonzero(sim > 0)
+            at = self.place[b, terms]
+            held = at >= 0
+            sim = np.round(weights[held] @ self.postings[b][at[held]], 9)
+            some = np.flatnonzero(sim >= least if least else sim > 0)
             if len(some) > self.k + 1:
                 some = some[np.argsort(-sim[some], kind="stable")[:self.k + 1]]
             best = sorted(best + [(-s, b * _BLOCK + e) for e, s in zip(some.tolist(), sim[some].tolist())
-                                  if b * _BLOCK + e != without])[:self.k]
-        return [(e, -s) for s, e in best]
+                                  if b * _BLOCK + e != gone])[:self.k]
+            if len(best) == self.k:
+                least = -best[-1][0]
+        return [(int(self.example[e]), -s) for s, e in best]
 
     def vote(self, near: list[tuple[int, float]]) -> float:
         """Votes weighted by 1 / (distance + 0.05), and one weak vote of the prior."""
