@@ -1,21 +1,22 @@
 """Information-theoretic sanitisation, in DataFrame functions only.
 
 Protected entities are the e-mail addresses, IP addresses, card and phone
-numbers that the patterns find.  A term near an entity discloses it to the
-degree that knowing the term answers which entity it is:
+numbers that the patterns find.  A term in a document with an entity discloses
+it to the degree that knowing the term answers which entity it is:
 
     disclosure(t, e) = log(p(e, t) / (p(e) p(t))) / -log p(e)
 
 (pointwise mutual information over the entity's own information; 1 when the
 term occurs in no document without the entity).  p(e) and p(e, t) count
-distinct documents, p(t) counts all documents.  A term that stands near an
-entity in at least ``min_support`` distinct documents is generalised from
-``generalise_at`` on and removed from ``remove_at`` on, near that entity.
-
-The text is read once for entities and their contexts, and once for the
-document frequency of the terms that reach the support.  Matches, contexts and
-counts are narrow rows; positions come from running sums over the pieces
-between matches, so long texts with many matches stay linear.
+distinct documents, p(t) counts all documents.  A term that stands in at least
+``min_support`` distinct documents with an entity is generalised from
+``generalise_at`` on and removed from ``remove_at`` on, wherever it stands in
+the documents with that entity (other documents keep it).
+
+The text is read once for entities, once for the documents that hold one (a
+copy of each is written) and once for the document frequency of their terms.
+Matches and counts are narrow rows; positions come from running sums over the
+pieces between matches, so long texts with many matches stay linear.
 """
 
 from __future__ import annotations
@@ -38,19 +39,17 @@ _ORDER = [*KINDS, "term"]
 _TERM = r"[\p{L}\p{M}]+"
 
 
-def _matches(text: Column, kind: str, context: int) -> Column:
-    """Array of (kind, k, gap, value, before, after): the k-th match, the characters since the one before."""
+def _matches(text: Column, kind: str) -> Column:
+    """Array of (kind, k, gap, value): the k-th match, the characters since the one before."""
     found = F.regexp_extract_all(text, F.lit(f"({KINDS[kind]})"), 1)
     if _HINT[kind]:
         found = F.when(F.contains(text, F.lit(_HINT[kind])), found).otherwise(F.array().cast("array<string>"))
 
     def rows(m: Column) -> Column:
         return F.transform(F.array(F.split(text, KINDS[kind], -1)), lambda p: F.transform(m, lambda v, k: F.struct(
-            F.lit(kind).alias("kind"), k.alias("k"), F.length(F.get(p, k)).alias("gap"), v.alias("value"),
-            F.right(F.get(p, k), F.lit(context)).alias("before"),
-            F.left(F.get(p, k + 1), F.lit(context)).alias("after"))))[0]
+            F.lit(kind).alias("kind"), k.alias("k"), F.length(F.get(p, k)).alias("gap"), v.alias("value"))))[0]
 
-    empty = F.array().cast("array<struct<kind:string,k:int,gap:int,value:string,before:string,after:string>>")
+    empty = F.array().cast("array<struct<kind:string,k:int,gap:int,value:string>>")
     return F.transform(F.array(found), lambda m: F.when(F.size(m) > 0, rows(m)).otherwise(empty))[0]
 
 
@@ -74,40 +73,33 @@ def _entity(kind: Column, value: Column) -> Column:
                        .otherwise(F.regexp_replace(value, "[^0-9]", "")))
 
 
-def _near_terms(entities: DataFrame, context: int) -> DataFrame:
-    """(uid, entity, content, term, start, end) for every whole word inside the context of an entity."""
-    def side(col: str, full: Column) -> DataFrame:
-        text = F.col(col)
-        pieces = F.split(text, _TERM, -1)
-        words = F.regexp_extract_all(text, F.lit(f"({_TERM})"), 1)
-        rows = entities.select("uid", "kind", "k", "entity", "content", "start", "end", F.length(text).alias("chars"),
-                               full.alias("cut"), F.posexplode(F.transform(words, lambda w, j: F.struct(
-                                   w.alias("w"), F.length(F.get(pieces, j)).alias("gap")))).alias("j", "x"))
-        upto = Window.partitionBy("uid", "kind", "k").orderBy("j").rowsBetween(Window.unboundedPreceding, 0)
-        end = F.sum(F.col("x.gap") + F.length("x.w")).over(upto)
-        at = rows.withColumn("to", end).withColumn("from", F.col("to") - F.length("x.w"))
-        return at
-
-    cut = F.length("before") == context
-    before = side("before", cut).filter("not cut or from > 0").withColumn("base", F.col("start") - F.col("chars"))
-    cut = F.length("after") == context
-    after = side("after", cut).filter("not cut or to < chars").withColumn("base", F.col("end"))
-    both = before.unionByName(after)
-    return both.select("uid", "entity", "content", F.lower("x.w").alias("term"),
-                       (F.col("base") + F.col("from")).alias("start"), (F.col("base") + F.col("to")).alias("end"))
+def _distinct_terms(text: Column) -> Column:
+    return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(f"({_TERM})"), 1))
+
+
+def _places(texts: DataFrame) -> DataFrame:
+    """(content, term, start, end) of every word of the texts."""
+    text = F.col("text")
+    words, pieces = F.regexp_extract_all(text, F.lit(f"({_TERM})"), 1), F.split(text, _TERM, -1)
+    rows = texts.select("content", F.posexplode(F.transform(F.arrays_zip(words.alias("w"), pieces.alias("p")), lambda x: F.struct(
+        x["w"].alias("w"), F.length(x["p"]).alias("gap")))).alias("j", "x")).filter("x.w is not null")
+    upto = Window.partitionBy("content").orderBy("j").rowsBetween(Window.unboundedPreceding, 0)
+    end = F.sum(F.col("x.gap") + F.length("x.w")).over(upto)
+    return (rows.withColumn("end", end).select("content", F.lower("x.w").alias("term"),
+                                               (F.col("end") - F.length("x.w")).alias("start"), "end"))
 
 
 class Findings:
     """Written narrow tables of one corpus: ``rows`` (uid, doc_id, loc) and ``spans`` (uid, kind, start, end, action)."""
 
-    def __init__(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", context: int = 120,
+    def __init__(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  min_support: int = 3, generalise_at: float = 0.9, remove_at: float = 0.98):
         scratch = Scratch(docs.sparkSession, "sanitise")
         text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
         found = scratch.stage(docs.select(
             F.monotonically_increasing_id().alias("uid"), F.col(id_col).alias("doc_id"),
             F.xxhash64(text).alias("loc"),
-            F.concat(*[_matches(text, k, context) for k in KINDS]).alias("found")), "found")
+            F.concat(*[_matches(text, k) for k in KINDS]).alias("found")), "found")
         self.rows = found.select("uid", "doc_id", "loc")
         upto = Window.partitionBy("uid", "kind").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
         base = (found.select("uid", F.col("loc").alias("content"), F.inline("found"))
@@ -116,40 +108,49 @@ class Findings:
                 .filter(_valid(F.col("kind"), F.col("value")))
                 .withColumn("entity", _entity(F.col("kind"), F.col("value"))).drop("gap", "value"))
         base = scratch.stage(base, "base")
-        near = scratch.stage(_near_terms(base, context), "near")
-        self.disclosing = self._weigh(docs, text, base, near, min_support, generalise_at, scratch)
-        extra = (near.join(self.disclosing, ["entity", "term"])
-                 .select("uid", "start", "end", F.when(F.col("disclosure") >= remove_at, "remove")
-                         .otherwise("generalise").alias("action"))
-                 .groupBy("uid", "start", "end").agg(F.max("action").alias("action")))
-        held = base.select(F.col("uid").alias("u"), F.col("start").alias("s"), F.col("end").alias("e"))
-        inside = (F.col("uid") == F.col("u")) & (F.col("start") < F.col("e")) & (F.col("s") < F.col("end"))
-        extra = extra.join(held, inside, "left_anti").withColumn("kind", F.lit("term"))
+        every = docs.select(F.xxhash64(text).alias("content"), text.alias("text"))
+        texts = scratch.stage(every.join(base.select("content").distinct(), "content", "left_semi")
+                              .dropDuplicates(["content"]), "texts")
+        # entities that stand in the same texts are disclosed alike: one row a set of texts
+        held = base.select("entity", "content").distinct()
+        groups = held.groupBy("entity").agg(
+            F.count("*").alias("docs_e"), F.xxhash64(F.count("*"), F.bit_xor("content"), F.bit_xor(F.xxhash64("content"))).alias("g"))
+        holds = scratch.stage(held.join(groups, "entity").select("g", "docs_e", "content").distinct(), "holds")
+        both = holds.join(texts.select("content", F.explode(_distinct_terms(F.col("text"))).alias("term")), "content")
+        self.disclosing = self._weigh(every, self.rows, both, min_support, generalise_at, scratch)
+        hits = (both.join(self.disclosing, ["g", "term"])
+                .groupBy("content", "term").agg(F.max("disclosure").alias("disclosure")))
+        hits = scratch.stage(hits, "hits")
+        extra = (_places(texts.join(hits.select("content").distinct(), "content", "left_semi"))
+                 .join(hits, ["content", "term"])
+                 .select("content", "start", "end", F.when(F.col("disclosure") >= remove_at, "remove")
+                         .otherwise("generalise").alias("action")))
+        spans = base.select(F.col("content").alias("c"), F.col("start").alias("s"), F.col("end").alias("e")).distinct()
+        inside = (F.col("content") == F.col("c")) & (F.col("start") < F.col("e")) & (F.col("s") < F.col("end"))
+        extra = (extra.join(spans, inside, "left_anti").groupBy("content")
+                 .agg(F.collect_list(F.struct(F.lit("term").alias("kind"), "start", "end", "action")).alias("x")))
+        extra = self.rows.join(extra, F.col("loc") == F.col("content")).select("uid", F.inline("x"))
         self.spans = scratch.stage(
-            base.select("uid", "kind", "start", "end", F.lit("generalise").alias("action"))
-                .unionByName(extra.select("uid", "kind", "start", "end", "action")), "spans")
+            base.select("uid", "kind", "start", "end", F.lit("generalise").alias("action")).unionByName(extra), "spans")
 
     @staticmethod
-    def _weigh(docs, text, base, near, min_support, generalise_at, scratch) -> DataFrame:
-        """(entity, term, disclosure) of the terms that disclose an entity."""
-        pair = (near.groupBy("entity", "term").agg(F.count_distinct("content").alias("both"))
-                .filter(F.col("both") >= min_support))
+    def _weigh(every, rows, both, min_support, generalise_at, scratch) -> DataFrame:
+        """(g, term, disclosure) of the terms that disclose an entity of the group g."""
+        pair = (both.groupBy("g", "docs_e", "term").agg(F.count("*").alias("both"))
+                .filter(F.col("both") >= min_support).withColumn("h", F.xxhash64("term")))
         pair = scratch.stage(pair, "pairs")
-        wanted = pair.select(F.xxhash64("term").alias("h")).distinct()
-        terms = F.array_distinct(F.transform(F.regexp_extract_all(F.lower(text), F.lit(f"({_TERM})"), 1),
-                                             lambda w: F.xxhash64(w)))
-        spread = (docs.select(F.explode(terms).alias("h")).join(wanted, "h", "left_semi")
+        terms = every.select("content", F.explode(F.transform(_distinct_terms(F.col("text")), lambda w: F.xxhash64(w))).alias("h"))
+        spread = (terms.join(pair.select("h").distinct(), "h", "left_semi")
                   .groupBy("h").agg(F.count("*").alias("docs_t")))
-        docs_e = (base.join(pair.select("entity").distinct(), "entity", "left_semi")
-                  .groupBy("entity").agg(F.count_distinct("content").alias("docs_e")))
-        n = docs.select(F.count("*").alias("n")).scalar().cast("double")
-        scored = (pair.join(docs_e, "entity").withColumn("h", F.xxhash64("term")).join(spread, "h")
-                  .withColumn("n", n))
-        gain = F.log(F.col("both") * F.col("n") / (F.col("docs_e") * F.col("docs_t")))
-        return scratch.stage(
-            scored.select("entity", "term", F.when(F.col("docs_e") >= F.col("n"), F.lit(0.0)).otherwise(
-                gain / F.log(F.col("n") / F.col("docs_e"))).alias("disclosure"))
-            .filter(F.col("disclosure") >= generalise_at), "disclosing")
+        n = rows.select(F.count("*").alias("n")).scalar().cast("double")
+        scored = pair.join(spread, "h").withColumn("n", n)
+        return scratch.stage(scored.select("g", "term", _disclosure(F.col("docs_t")).alias("disclosure"))
+                             .filter(F.col("disclosure") >= generalise_at), "disclosing")
+
+
+def _disclosure(docs_t: Column) -> Column:
+    gain = F.log(F.col("both") * F.col("n") / (F.col("docs_e") * docs_t))
+    return F.when(F.col("docs_e") >= F.col("n"), F.lit(0.0)).otherwise(gain / F.log(F.col("n") / F.col("docs_e")))
 
 
 def find_private(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **limits) -> DataFrame:

@@ -93,3 +93,15 @@ def test_sanitise_keeps_columns_and_replaces_overlaps_once(spark):
 def test_plan_has_no_python(spark, sf_dir):
     plan = find_private(spark.read.parquet(f"{sf_dir}/documents.parquet"))._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Arrow", "Pandas"))
+
+
+def test_terms_of_the_whole_document(spark):
+    rows = people()
+    far = " plain words" * 40
+    rows += [(100 + i, f"Quuxly (2024) {CARD}{far} quuxly {far} bar{'x' * i}") for i in range(4)]
+    rows += [(200 + i, f"Vexley j@x.org, jd@y.org {'y' * (i + 1)}") for i in range(4)]
+    found = {r.doc_id: r.spans.split(",") for r in find_private(spark.createDataFrame(rows, SCHEMA), min_support=3).collect()}
+    for d, t in rows[60:64]:
+        at = [m.start() for m in re.finditer("quuxly", t.lower())]
+        assert len(at) == 2 and all(f"term:{a}:{a + 6}" in found[d] for a in at)
+    assert all("term:0:6" in found[d] for d, _ in rows[64:])
