@@ -7,14 +7,16 @@ it to the degree that knowing the term answers which entity it is:
     disclosure(t, e) = log(p(e, t) / (p(e) p(t))) / -log p(e)
 
 (pointwise mutual information over the entity's own information; 1 when the
-term occurs in no document without the entity).  p(e) and p(e, t) count
-distinct documents, p(t) counts all documents.  A term that stands in at least
+term occurs in no document without the entity).  All counts are of distinct
+texts, so copies are no evidence.  A term that stands in at least
 ``min_support`` distinct documents with an entity is generalised from
 ``generalise_at`` on and removed from ``remove_at`` on, wherever it stands in
 the documents with that entity (other documents keep it).
 
 The text is read once for entities, once for the documents that hold one (a
-copy of each is written) and once for the document frequency of their terms.
+copy of each is written) and once for bounds of the document frequency of their
+terms.  Only terms that the bounds leave open are counted in a further read, as
+(term, text) pairs without repeats.
 Matches and counts are narrow rows; positions come from running sums over the
 pieces between matches, so long texts with many matches stay linear.
 """
@@ -140,11 +142,21 @@ class Findings:
                 .filter(F.col("both") >= min_support).withColumn("h", F.xxhash64("term")))
         pair = scratch.stage(pair, "pairs")
         terms = every.select("content", F.explode(F.transform(_distinct_terms(F.col("text")), lambda w: F.xxhash64(w))).alias("h"))
-        spread = (terms.join(pair.select("h").distinct(), "h", "left_semi")
-                  .groupBy("h").agg(F.count("*").alias("docs_t")))
-        n = rows.select(F.count("*").alias("n")).scalar().cast("double")
-        scored = pair.join(spread, "h").withColumn("n", n)
-        return scratch.stage(scored.select("g", "term", _disclosure(F.col("docs_t")).alias("disclosure"))
+        n = rows.select(F.count_distinct("loc").alias("n")).scalar().cast("double")
+        # rows count copies: "most" is at least, and "least" at most, the number of distinct texts
+        bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("content", F.lit(64)).cast("int"))
+        bounds = terms.groupBy("h").agg(
+            F.count("*").alias("most"), F.bit_count(F.bit_or(bit)).cast("long").alias("least"),
+            (F.min("content") == F.max("content")).alias("one"))
+        likely = scratch.stage(
+            pair.join(bounds, "h").withColumn("most", F.when(F.col("one"), 1).otherwise(F.col("most"))).withColumn("n", n)
+            .filter(_disclosure(F.greatest("least", "both")) >= generalise_at), "likely")
+        unsettled = likely.filter("least < most").select("h").distinct()
+        counted = (terms.join(unsettled, "h", "left_semi").distinct()
+                   .groupBy("h").agg(F.count("*").alias("docs_t")))
+        scored = (likely.join(counted, "h", "left")
+                  .withColumn("disclosure", _disclosure(F.coalesce("docs_t", "most"))))
+        return scratch.stage(scored.select("g", "term", "disclosure")
                              .filter(F.col("disclosure") >= generalise_at), "disclosing")
 
 

@@ -105,3 +105,13 @@ def test_terms_of_the_whole_document(spark):
         at = [m.start() for m in re.finditer("quuxly", t.lower())]
         assert len(at) == 2 and all(f"term:{a}:{a + 6}" in found[d] for a in at)
     assert all("term:0:6" in found[d] for d, _ in rows[64:])
+
+
+def test_copies_are_no_evidence(spark):
+    filler = [(200 + i, f"somebody wrote {'z' * (i % 50 + 1)} {'v' * (i // 50 + 1)}") for i in range(100)]
+    rows = [(i, f"Zorblax and a.b@c.de {'xyw'[i]}") for i in range(3)] + filler
+    copied = rows + [(1000 + 100 * i + k, rows[i][1]) for i in range(3) for k in range(30)]
+    once, often = ({r.doc_id: r.spans for r in find_private(spark.createDataFrame(x, SCHEMA), min_support=3).collect()}
+                   for x in (rows, copied))
+    assert "term:0:7" in once[0].split(",")
+    assert {d: often[d] for d in once} == once and all(often[1000 + 100 * i + k] == once[i] for i in range(3) for k in range(30))
