@@ -4,14 +4,16 @@ Protected entities are the e-mail addresses, IP addresses, card and phone
 numbers that the patterns find.  A term in a document with an entity discloses
 it to the degree that knowing the term answers which entity it is:
 
-    disclosure(t, e) = log(p(e, t) / (p(e) p(t))) / -log p(e)
+    disclosure(t, e) = log(p(e | t) / p(e)) / -log p(e)
 
-(pointwise mutual information over the entity's own information; 1 when the
-term occurs in no document without the entity).  All counts are of distinct
-texts, so copies are no evidence.  A term that stands in at least
-``min_support`` distinct documents with an entity is generalised from
-``generalise_at`` on and removed from ``remove_at`` on, wherever it stands in
-the documents with that entity (other documents keep it).
+(pointwise mutual information over the entity's own information; near 1 when
+the term occurs in no document without the entity).  All counts are of distinct
+texts, so copies are no evidence; p(e | t) = (both + 1/6) / (docs_t + 1/3), the
+median under Jeffreys' prior, so few documents make a term less certain.  Every
+term of every document with an entity is scored, also of entities that stand in
+one document (``min_support`` above 1 leaves out rarer pairs).  A term is
+generalised from ``generalise_at`` on and removed from ``remove_at`` on,
+wherever it stands in the documents with that entity (other documents keep it).
 
 The text is read once for entities, once for the documents that hold one (a
 copy of each is written) and once for bounds of the document frequency of their
@@ -95,7 +97,7 @@ class Findings:
     """Written narrow tables of one corpus: ``rows`` (uid, doc_id, loc) and ``spans`` (uid, kind, start, end, action)."""
 
     def __init__(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 min_support: int = 3, generalise_at: float = 0.9, remove_at: float = 0.98):
+                 min_support: int = 1, generalise_at: float = 0.9, remove_at: float = 0.98):
         scratch = Scratch(docs.sparkSession, "sanitise")
         text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
         found = scratch.stage(docs.select(
@@ -161,8 +163,8 @@ class Findings:
 
 
 def _disclosure(docs_t: Column) -> Column:
-    gain = F.log(F.col("both") * F.col("n") / (F.col("docs_e") * docs_t))
-    return F.when(F.col("docs_e") >= F.col("n"), F.lit(0.0)).otherwise(gain / F.log(F.col("n") / F.col("docs_e")))
+    gain = F.log((F.col("both") + 1 / 6) / (docs_t + 1 / 3))
+    return F.when(F.col("docs_e") >= F.col("n"), F.lit(0.0)).otherwise(1 + gain / F.log(F.col("n") / F.col("docs_e")))
 
 
 def find_private(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **limits) -> DataFrame:

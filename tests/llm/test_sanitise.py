@@ -115,3 +115,13 @@ def test_copies_are_no_evidence(spark):
                    for x in (rows, copied))
     assert "term:0:7" in once[0].split(",")
     assert {d: often[d] for d in once} == once and all(often[1000 + 100 * i + k] == once[i] for i in range(3) for k in range(30))
+
+
+def test_entities_that_occur_once_or_twice(spark):
+    rows = [(0, "Zorblax wrote from a.b@c.de today"), (1, "Quuxly wrote again from +1 (415) 555-2671 today"),
+            (2, "Quuxly wrote from +1 (415) 555-2671 today")]
+    rows += [(10 + i, f"somebody wrote again from {'z' * (i % 50 + 1)} {'v' * (i // 50 + 1)} today") for i in range(100)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    terms = {r.doc_id: [s for s in r.spans.split(",") if s.startswith("term")] for r in find_private(df).collect()}
+    assert terms.pop(0) == ["term:0:7"] and terms.pop(1) == ["term:0:6"] and terms.pop(2) == ["term:0:6"]
+    assert not any(terms.values())
