@@ -16,9 +16,8 @@ generalised from ``generalise_at`` on and removed from ``remove_at`` on,
 wherever it stands in the documents with that entity (other documents keep it).
 
 The text is read once for entities, once for the documents that hold one (a
-copy of each is written) and once for bounds of the document frequency of their
-terms.  Only terms that the bounds leave open are counted in a further read, as
-(term, text) pairs without repeats.
+copy of each is written), once for the rows that hold each term and once for
+the texts that have copies, whose further rows are taken off those counts.
 Matches and counts are narrow rows; positions come from running sums over the
 pieces between matches, so long texts with many matches stay linear.
 """
@@ -143,21 +142,18 @@ class Findings:
         pair = (both.groupBy("g", "docs_e", "term").agg(F.count("*").alias("both"))
                 .filter(F.col("both") >= min_support).withColumn("h", F.xxhash64("term")))
         pair = scratch.stage(pair, "pairs")
-        terms = every.select("content", F.explode(F.transform(_distinct_terms(F.col("text")), lambda w: F.xxhash64(w))).alias("h"))
+        hashes = F.transform(_distinct_terms(F.col("text")), lambda w: F.xxhash64(w))
+        terms = every.select(F.explode(hashes).alias("h"))
         n = rows.select(F.count_distinct("loc").alias("n")).scalar().cast("double")
-        # rows count copies: "most" is at least, and "least" at most, the number of distinct texts
-        bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("content", F.lit(64)).cast("int"))
-        bounds = terms.groupBy("h").agg(
-            F.count("*").alias("most"), F.bit_count(F.bit_or(bit)).cast("long").alias("least"),
-            (F.min("content") == F.max("content")).alias("one"))
-        likely = scratch.stage(
-            pair.join(bounds, "h").withColumn("most", F.when(F.col("one"), 1).otherwise(F.col("most"))).withColumn("n", n)
-            .filter(_disclosure(F.greatest("least", "both")) >= generalise_at), "likely")
-        unsettled = likely.filter("least < most").select("h").distinct()
-        counted = (terms.join(unsettled, "h", "left_semi").distinct()
-                   .groupBy("h").agg(F.count("*").alias("docs_t")))
-        scored = (likely.join(counted, "h", "left")
-                  .withColumn("disclosure", _disclosure(F.coalesce("docs_t", "most"))))
+        # rows with a term, less the further copies of the texts that hold it
+        copies = rows.groupBy(F.col("loc").alias("content")).agg((F.count("*") - 1).alias("more")).filter("more > 0")
+        copies = scratch.stage(copies, "copies")
+        again = (every.join(copies.select("content"), "content", "left_semi").dropDuplicates(["content"])
+                 .select("content", F.explode(hashes).alias("h")).join(copies, "content")
+                 .groupBy("h").agg(F.sum("more").alias("more")))
+        spread = terms.groupBy("h").agg(F.count("*").alias("rows_t"))
+        scored = (pair.join(spread, "h").join(again, "h", "left").withColumn("n", n)
+                  .withColumn("disclosure", _disclosure(F.col("rows_t") - F.coalesce("more", F.lit(0)))))
         return scratch.stage(scored.select("g", "term", "disclosure")
                              .filter(F.col("disclosure") >= generalise_at), "disclosing")
 
