@@ -14,6 +14,7 @@ from blotter.llm.labels import fold
 from blotter.llm.line_crf import fit as fit_lines
 from blotter.llm.line_crf import score_quality
 from blotter.llm.line_frequency import line_rules
+from blotter.llm.merkle_manifest import build_manifest, check_leaves
 from blotter.llm.ngram_join import ngram_components
 from blotter.llm.packing import pack
 from blotter.llm.repeated_phrases import remove_repeats
@@ -27,6 +28,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+#: Unsigned crc32 of the decimal doc_id, bit by bit (DuckDB has no such function).
+_CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+    lambda crc, b: list_reduce(list_prepend(xor(crc, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+                               lambda x, z: xor(x >> 1, 3988292384 * (x & 1)) + z)), 4294967295::BIGINT)"""
+
+
 def query(name: str, sql: str | None = None):
     def register(fn):
         QUERIES[name] = fn
@@ -168,3 +175,48 @@ def op5_toxic_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(docs, model).select(
         "doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "score",
         F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"), "evidence")
+
+
+def _leaf_sql(n_chars: str) -> str:
+    fields = ("doc_id::VARCHAR", "source", "lang", f"({n_chars})::VARCHAR", "text")
+    return "sha256(" + " || ".join(f"coalesce(strlen({f}) || ':' || {f}, '-')" for f in fields) + ")"
+
+
+@query("op11_merkle_manifest", f"""
+WITH RECURSIVE d AS (SELECT doc_id, lang, {_leaf_sql('n_chars')} AS h,
+    CASE WHEN {_CRC} % 7 = 0 THEN {_leaf_sql('n_chars + 1')} ELSE {_leaf_sql('n_chars')} END AS shown FROM documents),
+leaf AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n FROM d),
+lv(lang, level, pos, h, n) AS (SELECT lang, 0, pos, h, n FROM leaf
+  UNION ALL SELECT lang, level + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (n + 1) // 2
+            FROM lv WHERE n > 1 GROUP BY lang, level, pos // 2, n),
+sub AS (SELECT lang, level AS height, h AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree,
+               count(*) OVER () AS m FROM lv WHERE n = 1),
+tv(level, pos, h, m) AS (SELECT 0, tree, subroot, m FROM sub
+  UNION ALL SELECT level + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (m + 1) // 2
+            FROM tv WHERE m > 1 GROUP BY level, pos // 2, m),
+step AS (SELECT leaf.doc_id, up.level, leaf.pos >> up.level AS p, near.h AS s
+         FROM leaf JOIN sub ON sub.lang IS NOT DISTINCT FROM leaf.lang
+         JOIN (SELECT DISTINCT level FROM lv) up ON up.level < sub.height
+         LEFT JOIN lv near ON near.lang IS NOT DISTINCT FROM leaf.lang AND near.level = up.level
+                          AND near.pos = xor(leaf.pos >> up.level, 1)
+         UNION ALL
+         SELECT leaf.doc_id, sub.height + up.level, sub.tree >> up.level, near.h
+         FROM leaf JOIN sub ON sub.lang IS NOT DISTINCT FROM leaf.lang
+         JOIN (SELECT DISTINCT level FROM tv WHERE m > 1) up ON true
+         LEFT JOIN tv near ON near.level = up.level AND near.pos = xor(sub.tree >> up.level, 1)),
+fold(doc_id, level, x) AS (SELECT doc_id, 0, shown FROM leaf
+  UNION ALL SELECT doc_id, level + 1, sha256(CASE WHEN p % 2 = 1 THEN s || x ELSE x || coalesce(s, '') END)
+            FROM fold JOIN step USING (doc_id, level)),
+proof AS (SELECT doc_id, sha256(coalesce(string_agg(s, '' ORDER BY level), '')) AS proof_sha256 FROM step GROUP BY doc_id),
+got AS (SELECT doc_id, arg_max(x, level) AS folded_root FROM fold GROUP BY doc_id)
+SELECT leaf.doc_id, leaf.h AS leaf, sub.subroot, tv.h AS root, coalesce(proof_sha256, sha256('')) AS proof_sha256,
+       folded_root, folded_root = tv.h AS verified
+FROM leaf JOIN sub ON sub.lang IS NOT DISTINCT FROM leaf.lang JOIN tv ON tv.m = 1
+LEFT JOIN proof USING (doc_id) JOIN got USING (doc_id)
+""")
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    more = F.when(fold("doc_id", 7) == 0, F.col("n_chars") + 1).otherwise(F.col("n_chars"))
+    manifest = build_manifest(table(spark, sf_dir, "documents"), presented={"n_chars": more})
+    return check_leaves(manifest).select(
+        F.col("id").alias("doc_id"), "leaf", "subroot", "root",
+        F.sha2(F.array_join("siblings", "").cast("binary"), 256).alias("proof_sha256"), "folded_root", "verified")
