@@ -17,6 +17,7 @@ from blotter.llm.line_frequency import line_rules
 from blotter.llm.merkle_manifest import build_manifest, check_leaves
 from blotter.llm.ngram_join import ngram_components
 from blotter.llm.packing import pack
+from blotter.llm.periodic_runs import find_runs
 from blotter.llm.repeated_phrases import remove_repeats
 from blotter.llm.sanitise import find_private
 from blotter.llm.sentencepiece_codec import decode, encode
@@ -220,3 +221,56 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return check_leaves(manifest).select(
         F.col("id").alias("doc_id"), "leaf", "subroot", "root",
         F.sha2(F.array_join("siblings", "").cast("binary"), 256).alias("proof_sha256"), "folded_root", "verified")
+
+
+def _with_planted_runs(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): in every document whose crc32 ends in 0 the words from some place on repeat with some period."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"([^\x20\x09-\x0D]+)"), 1)
+    planted = docs.filter(h % 10 == 0).select("doc_id", "text", words.alias("w"), F.floor(h / 10).alias("g"))
+    planted = planted.withColumn("n", F.size("w")).withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    planted = planted.withColumn("p", 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)))
+    same = F.slice("w", F.lit(1), F.col("a").cast("int"))
+    again = F.transform(F.sequence(F.lit(0).cast("long"), F.col("n") - F.col("a") - 1),
+                        lambda k: F.get("w", (F.col("a") + k % F.col("p")).cast("int")))
+    text = F.when(F.col("n") > 0, F.array_join(F.concat(same, again), " ")).otherwise(F.lit(""))
+    return planted.select("doc_id", text.alias("text")).union(
+        docs.filter((h % 10 != 0) | h.isNull()).select("doc_id", "text"))
+
+
+@query("op13_periodic_runs", f"""
+WITH t AS (SELECT doc_id, {_CRC} AS h, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS o FROM documents),
+g AS (SELECT *, len(o) AS n, h // 10 AS g FROM t),
+a AS (SELECT *, CASE WHEN h % 10 = 0 AND n > 0 THEN g % n ELSE n END AS a FROM g),
+d AS (SELECT doc_id, n, CASE WHEN a = n THEN o ELSE o[1:a] || list_transform(range(0, n - a),
+        lambda k: o[a + k % (1 + (n - a) // (3 + g % 8)) + 1]) END AS ws FROM a),
+w AS (SELECT doc_id, n, unnest(ws) AS word, unnest(range(0, n)) AS i FROM d),
+-- a run of four periods or more, so equal words at its distance stand three periods in a row
+e AS (SELECT x.doc_id, x.i, y.i - x.i AS q FROM w x JOIN w y ON y.doc_id = x.doc_id AND y.word = x.word
+      AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+s AS (SELECT doc_id, q, min(i) AS start, count(*) + q AS length
+      FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM e)
+      GROUP BY doc_id, q, island HAVING count(*) + q >= greatest(6, 4 * q)),
+r AS (SELECT s.* FROM s ANTI JOIN s AS u ON u.doc_id = s.doc_id AND u.start <= s.start AND u.q < s.q AND s.q % u.q = 0
+                                         AND u.start + u.length >= s.start + s.length),
+best AS (SELECT doc_id, count(*) AS n_runs, arg_min((start, length, q), (-length, start, q)) AS b,
+                string_agg(start || ',' || length || ',' || q || chr(10), '' ORDER BY start, q) AS listed FROM r GROUP BY doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(start + q, start + length)) AS i FROM r),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS c FROM w ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, b[1] AS start, b[2] AS length, b[3] AS period,
+       1000 * b[2] // b[3] AS exponent_milli, sha256(coalesce(listed, '')) AS runs_sha256,
+       sha256(coalesce(c, '')) AS collapsed_sha256
+FROM d LEFT JOIN best USING (doc_id) LEFT JOIN kept USING (doc_id)
+""")
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_runs(_with_planted_runs(table(spark, sf_dir, "documents")))
+    first = F.array_sort("runs", lambda x, y: F.when(x["length"] != y["length"], y["length"] - x["length"])
+                         .when(x["start"] != y["start"], x["start"] - y["start"])
+                         .otherwise(x["period"] - y["period"]).cast("int"))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(
+        ",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n"))), "")
+    return (found.withColumn("best", F.get(first, 0))
+            .select("doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+                    F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+                    F.sha2(listed.cast("binary"), 256).alias("runs_sha256"),
+                    F.sha2("collapsed", 256).alias("collapsed_sha256")))

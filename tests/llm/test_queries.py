@@ -24,6 +24,7 @@ COLUMNS = {
     "op8": ["doc_id", "n_words", "n_removed", "kept_sha256"],
     "op9": ["doc_id", "held_out", "score", "predicted"],
     "op10": ["doc_id"],
+    "op13": ["doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"],
     "op11": ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"],
 }
 
