@@ -23,6 +23,7 @@ from blotter.llm.sanitise import find_private
 from blotter.llm.sentencepiece_codec import decode, encode
 from blotter.llm.toxic_neighbours import fit as fit_examples
 from blotter.llm.toxic_neighbours import score_toxicity
+from blotter.llm.vector_graph import build_index, search
 from blotter.llm.warc_bundles import read_bundles, write_bundles
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -274,3 +275,9 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
                     F.sha2(listed.cast("binary"), 256).alias("runs_sha256"),
                     F.sha2("collapsed", 256).alias("collapsed_sha256")))
+
+
+@query("op12_vector_graph")
+def op12_vector_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return search(build_index(vectors, neighbours=5), vectors.filter("vec_id % 50 = 0"), k=5)
