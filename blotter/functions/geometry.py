@@ -74,8 +74,13 @@ def point_in_polygon(px, py, edges) -> Column:
                       ).otherwise(F.lit(False))
 
     inside = F.aggregate(e, F.lit(False), lambda acc, s: acc != crosses(s))
-    on_edge = F.exists(e, lambda s: (
+    return point_on_edge(x, y, e) | inside
+
+
+def point_on_edge(px, py, edges) -> Column:
+    """Point lies on one of the edges, ends included."""
+    x, y = _col(px), _col(py)
+    return F.exists(_col(edges), lambda s: (
         ((s.x2 - s.x1) * (y - s.y1) == (s.y2 - s.y1) * (x - s.x1))
         & (x >= F.least(s.x1, s.x2)) & (x <= F.greatest(s.x1, s.x2))
         & (y >= F.least(s.y1, s.y2)) & (y <= F.greatest(s.y1, s.y2))))
-    return on_edge | inside

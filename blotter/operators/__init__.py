@@ -12,7 +12,7 @@ from blotter.operators.sampling import hash_unit, stratified_sample, stratified_
 from blotter.operators.scaling import clip_symmetric, cluster_rows, minmax, row_zscore_clip, zscore
 from blotter.operators.spatial import (explode_edges, grid_counts, group_extent, heat_layer, kernel_density,
                                        kernel_radius, region_cells, region_edges, region_year_counts, tag_points,
-                                       valid_points)
+                                       tagged_counts, valid_points)
 from blotter.operators.temporal import (daily_pivot, hourly_pivot, monthly_resample, pivot_to_long,
                                         seasonal_profile)
 
@@ -27,6 +27,6 @@ __all__ = [
     "clip_symmetric", "cluster_rows", "minmax", "row_zscore_clip", "zscore",
     "explode_edges", "grid_counts", "group_extent", "heat_layer", "kernel_density", "kernel_radius",
     "region_cells",
-    "region_edges", "region_year_counts", "tag_points", "valid_points",
+    "region_edges", "region_year_counts", "tag_points", "tagged_counts", "valid_points",
     "daily_pivot", "hourly_pivot", "monthly_resample", "pivot_to_long", "seasonal_profile",
 ]

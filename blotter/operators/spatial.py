@@ -3,38 +3,45 @@
 Point-in-polygon join
 ---------------------
 There is no geometry engine: polygons are edge arrays (``functions.geometry``)
-and the join is a *grid-bucketed equi-join*:
-
-1. every polygon edge is dealt to the rows of grid cells it touches, and
-   each (region, cell) is classified once: outside, interior, or boundary
-   with only the edges a point of that cell can meet;
-2. every point gets its own cell ``(floor(x / cell), floor(y / cell))``;
-3. points join the cell table on ``(cx, cy)`` -- a hash equi-join instead
-   of a points x regions nested loop;
-4. points of interior cells are hits; points of boundary cells get the exact
-   even-odd / on-edge test on their cell's edges.
-
-A point lies in exactly one cell, so a pair is produced at most once per
-region and no de-duplication is needed.  No join carries whole shapes.
-The cell table is broadcast only after its rows and bytes have been checked
-against bounds; beyond them the join shuffles, salted so that a hot cell is
-split over many tasks.
+and the join is an equi-join on the cells of a *quad-tree cover* of each
+region:
+
+1. a region is covered by square cells of power-of-two sizes that adapt to
+   its edges.  Cells no edge touches are whole: inside (kept without edges)
+   or outside (dropped).  Cells an edge touches are split down to a share of
+   the region's extent, and further while they hold many edges;
+2. a boundary cell keeps the edges that touch it and one bit, the parity of
+   its reference corner; the bit stands for all other edges of the region;
+3. a point asks for its ancestor cell on every level that the cover uses and
+   joins on ``(level, cx, cy)`` -- a hash equi-join instead of a points x
+   regions nested loop;
+4. points of inside cells are hits; points of boundary cells get the exact
+   even-odd / on-edge test on the few edges of their cell.
+
+The cells of one region do not overlap, so a pair is produced at most once and
+no de-duplication is needed.  No join carries whole shapes.  The cover is
+broadcast only after its rows and bytes have been checked against bounds;
+beyond them the join shuffles, salted so that a hot cell is split over many
+tasks.  Where only counts per region are wanted, points are counted per
+coordinate first (:func:`tagged_counts`): geocoded feeds repeat coordinates.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from blotter.functions.geometry import edges_bbox, edges_valid, point_in_polygon, wkt_edges
+from blotter.functions.geometry import edges_bbox, edges_valid, point_on_edge, wkt_edges
 from blotter.session import materialize
 
 # Broadcast bounds for the region side: rows (cells or regions) and bytes of edges.
 MAX_BROADCAST_ROWS = 2_000_000
 MAX_BROADCAST_BYTES = 64 << 20
+_ROUNDING = 2.0 ** -45                       # relative slack of the touch test, far above a double's rounding
 
 
 def region_edges(regions: DataFrame, id_col: str = "bor_subb", name_col: str = "name",
@@ -57,44 +64,108 @@ def explode_edges(regions: DataFrame, id_col: str = "bor_subb", name_col: str =
         .select(id_col, name_col, "edge_no", "e.x1", "e.y1", "e.x2", "e.y2")
 
 
-def region_cells(edges: DataFrame, cell: float, id_col: str = "bor_subb",
-                 name_col: str = "name") -> DataFrame:
-    """Grid cells of each region, classified once: ``(id, name, _cx, _cy, _interior, edges)``.
+def _near(e, x, y, half):
+    """Whether an edge may touch the closed square around (x, y); errs on the side of yes."""
+    dx, dy = e.x2 - e.x1, e.y2 - e.y1
+    slack_x, slack_y = (F.abs(v) + half for v in (x, y))
+    wide_x, wide_y = half + slack_x * _ROUNDING, half + slack_y * _ROUNDING
+    aside = F.abs(dx * (y - e.y1) - dy * (x - e.x1))
+    reach = (F.abs(dx) * (wide_y + (F.abs(y) + F.abs(e.y1)) * _ROUNDING)
+             + F.abs(dy) * (wide_x + (F.abs(x) + F.abs(e.x1)) * _ROUNDING))
+    return ((F.greatest(e.x1, e.x2) >= x - wide_x) & (F.least(e.x1, e.x2) <= x + wide_x)
+            & (F.greatest(e.y1, e.y2) >= y - wide_y) & (F.least(e.y1, e.y2) <= y + wide_y) & (aside <= reach))
 
-    Edges are dealt to the rows of cells (bands of y) they touch; a
-    rightward ray from a point of the band meets no other edge.  A closed
-    cell that no edge of its band touches lies entirely on one side of the
-    boundary, and its centre decides which: such cells are dropped (outside)
-    or flagged ``_interior`` (every point in them is a hit, and ``edges`` is
-    null).  A boundary cell keeps the edges of its band that do not end left
-    of it, which give the exact even-odd and on-edge test the same answer as
-    all edges.  The touch tests are widened by a margin that grows with the
-    coordinate, so classification never changes an answer.
+
+def _toggles(x, y, right):
+    """Whether an edge of a cell lies between (x, y) and the cell's reference corner.
+
+    The way goes right along y to the cell's ``right`` side, then down it.
+    An edge that crosses the line of that side is met either on the first leg
+    or on the second; only the comparison of x with the edge at height y is
+    computed, as in :func:`point_in_polygon`, so rounding cannot count an edge
+    on both legs.
+    """
+    def of(e):
+        spans = (e.y1 > y) != (e.y2 > y)
+        before = F.when(spans, x < (e.x2 - e.x1) * (y - e.y1) / (e.y2 - e.y1) + e.x1)
+        rising = (e.x2 > e.x1) == (e.y2 > e.y1)
+        return (F.when((e.x1 > right) != (e.x2 > right),
+                       F.when(spans, before == rising).otherwise(F.greatest(e.y1, e.y2) <= y))
+                .when(F.least(e.x1, e.x2) > right, F.lit(False)).otherwise(F.coalesce(before, F.lit(False))))
+
+    return of
+
+
+def point_in_cell(x, y, right, parity, edges) -> Column:
+    """:func:`point_in_polygon` for a point of a cover cell, from the cell's edges and parity alone."""
+    toggles = _toggles(x, y, right)
+    inside = F.aggregate(edges, parity, lambda acc, e: acc != toggles(e))
+    return point_on_edge(x, y, edges) | inside
+
+
+def _split(cells: DataFrame, id_col: str, name_col: str) -> DataFrame:
+    """The 16 cells two levels below each cell, without those outside the region.
+
+    ``_parity`` of a new cell is fixed at its corner of lowest coordinates:
+    the old cell's edges say whether that corner is inside, the new cell's
+    edges how often they are crossed on the way from it.
     """
-    c = float(cell)
-
-    def eps(v):
-        return F.lit(c * 1e-9) + F.abs(v) * F.lit(2.0 ** -50)
-
-    def idx(v):
-        return F.floor(v / F.lit(c))
-
-    one = edges.select(id_col, name_col, idx(F.col("min_x")).alias("_x0"), idx(F.col("max_x")).alias("_x1"),
-                       F.explode("edges").alias("e"))
-    low, high = F.least("e.y1", "e.y2"), F.greatest("e.y1", "e.y2")
-    banded = (one.withColumn("_cy", F.explode(F.sequence(idx(low - eps(low)), idx(high + eps(high)))))
-              .groupBy(id_col, name_col, "_x0", "_x1", "_cy").agg(F.collect_list("e").alias("edges")))
-    cells = banded.withColumn("_cx", F.explode(F.sequence("_x0", "_x1")))
-    x0, x1 = F.col("_cx") * c - eps(F.col("_cx") * c), (F.col("_cx") + 1) * c + eps((F.col("_cx") + 1) * c)
-    y0, y1 = F.col("_cy") * c - eps(F.col("_cy") * c), (F.col("_cy") + 1) * c + eps((F.col("_cy") + 1) * c)
-    touches = F.exists("edges", lambda e: (F.greatest(e.x1, e.x2) >= x0) & (F.least(e.x1, e.x2) <= x1)
-                       & (F.greatest(e.y1, e.y2) >= y0) & (F.least(e.y1, e.y2) <= y1))
-    center_in = point_in_polygon((F.col("_cx") + 0.5) * c, (F.col("_cy") + 0.5) * c, F.col("edges"))
-    near = F.filter("edges", lambda e: F.greatest(e.x1, e.x2) >= x0)
-    return (cells.withColumns({"_touch": touches, "_center_in": center_in})
-            .filter(F.col("_touch") | F.col("_center_in"))
-            .select(id_col, name_col, "_cx", "_cy", (~F.col("_touch")).alias("_interior"),
-                    F.when(F.col("_touch"), near).alias("edges")))
+    size = F.pow(F.lit(2.0), F.col("_level"))
+    four = F.sequence(F.lit(0), F.lit(3))
+    at = (cells.withColumn("_right", F.coalesce((F.col("_cx") + 1) * size, F.lit(float("inf"))))
+          .withColumn("_level", F.col("_level") - 2))
+    parts = lambda c: F.transform(four, lambda i: F.col(c) * 4 + i)
+    at = (at.withColumn("_cx", F.explode(F.when(F.col("_cx").isNull(), F.col("_xs")).otherwise(parts("_cx"))))
+          .withColumn("_cy", F.explode(F.when(F.col("_cy").isNull(), F.col("_ys")).otherwise(parts("_cy")))))
+    size = F.pow(F.lit(2.0), F.col("_level"))
+    x, y, right = F.col("_cx") * size, F.col("_cy") * size, (F.col("_cx") + 1) * size
+    half = size / 2
+    at = at.withColumn("_own", F.filter("edges", lambda e: _near(e, x + half, y + half, half)))
+    above, below = _toggles(x, y, F.col("_right")), _toggles(x, y, right)
+    at = at.withColumn("_in", F.aggregate("edges", F.col("_parity"), lambda acc, e: acc != above(e)))
+    parity = F.aggregate("_own", F.col("_in"), lambda acc, e: acc != below(e))
+    return (at.withColumn("_parity", parity).filter((F.size("_own") > 0) | F.col("_in"))
+            .select(id_col, name_col, "_level", "_cx", "_cy", "_parity", F.col("_own").alias("edges")))
+
+
+def region_cells(edges: DataFrame, cell: float | None = None, id_col: str = "bor_subb", name_col: str = "name",
+                 leaf_edges: int = 16, max_splits: int = 8) -> DataFrame:
+    """Quad-tree cover of each region: ``(id, name, _level, _cx, _cy, _interior, _right, _parity, edges)``.
+
+    A cell is ``[_cx, _cx + 1) x [_cy, _cy + 1)`` times ``2 ** _level``, so
+    cell numbers of points are exact.  The first cells are a quarter of the
+    region's extent (rounded up to a power of two); those an edge touches are
+    split into 16 once, and again while they hold more than ``leaf_edges``
+    edges, at most ``max_splits`` times (where many edges share a vertex no
+    splitting parts them).  ``cell`` keeps cells from being split below that
+    size unless they hold more than ``leaf_edges`` edges.  Edges go down to
+    the cells they touch, so the work grows with the edges and the boundary's
+    length, not with their product.  ``edges`` is null in inside cells.
+    """
+    extent = F.greatest(F.col("max_x") - F.col("min_x"), F.col("max_y") - F.col("min_y"),
+                        *[F.abs(c) * 2.0 ** -30 for c in ("min_x", "max_x", "min_y", "max_y")], F.lit(2.0 ** -500))
+    first = edges.withColumn("_level", F.ceil(F.log2(extent)).cast("int"))
+    size = F.pow(F.lit(2.0), F.col("_level") - 2)
+    span = lambda low, high: F.sequence(F.floor(F.col(low) / size), F.floor(F.col(high) / size))
+    whole = first.select(id_col, name_col, "_level", F.lit(None).cast("long").alias("_cx"), F.lit(None).cast("long").alias("_cy"),
+                         F.lit(False).alias("_parity"), "edges", span("min_x", "max_x").alias("_xs"),
+                         span("min_y", "max_y").alias("_ys"))
+    cells = materialize(_split(whole, id_col, name_col))
+    small = F.lit(False) if cell is None else F.pow(F.lit(2.0), F.col("_level")) <= cell
+    open_ = (F.size("edges") > 0) & (~small | (F.size("edges") > leaf_edges))
+    leaves = []
+    for _ in range(max_splits):
+        leaves.append(cells.filter(~open_))
+        none = F.lit(None).cast("array<long>")
+        cells = materialize(_split(cells.filter(open_).withColumns({"_xs": none, "_ys": none}), id_col, name_col))
+        open_ = F.size("edges") > leaf_edges
+        if cells.filter(open_).isEmpty():
+            break
+    cover = reduce(DataFrame.unionByName, leaves, cells)
+    touched = F.size("edges") > 0
+    return cover.select(id_col, name_col, "_level", "_cx", "_cy", (~touched).alias("_interior"),
+                        ((F.col("_cx") + 1) * F.pow(F.lit(2.0), F.col("_level"))).alias("_right"), "_parity",
+                        F.when(touched, F.col("edges")).alias("edges"))
 
 
 def valid_points(points: DataFrame, x: str, y: str) -> DataFrame:
@@ -104,40 +175,60 @@ def valid_points(points: DataFrame, x: str, y: str) -> DataFrame:
 
 
 def tag_points(points: DataFrame, regions: DataFrame, x: str = "Longitude", y: str = "Latitude",
-               cell: float = 0.01, id_col: str = "bor_subb", name_col: str = "name",
+               cell: float | None = None, id_col: str = "bor_subb", name_col: str = "name",
                geometry_col: str = "geometry", max_broadcast_rows: int = MAX_BROADCAST_ROWS,
                max_broadcast_bytes: int = MAX_BROADCAST_BYTES, salt: int = 32) -> DataFrame:
     """JN3/GEO2: every (point, region) pair where the point intersects the
     region (inside or on the boundary).  Output: point columns + id + name.
 
-    The cell table is computed once and written.  Within ``max_broadcast_rows``
-    rows and ``max_broadcast_bytes`` of edges (32 bytes each): a broadcast
-    hash join, the points are never shuffled.  Beyond it: a shuffle join, with
-    every cell replicated ``salt`` times and each point sent to one replica
-    chosen by a hash of the point, so a cell holding a third of all points is
-    split over ``salt`` tasks instead of landing on one.
+    The cover (:func:`region_cells`) is computed once and written.  Within
+    ``max_broadcast_rows`` rows and ``max_broadcast_bytes`` of edges (32 bytes
+    each): a broadcast hash join, the points are never shuffled.  Beyond it: a
+    shuffle join, with every cell replicated ``salt`` times and each point
+    sent to one replica chosen by a hash of the point, so a cell holding a
+    third of all points is split over ``salt`` tasks.
     """
-    edges = region_edges(regions, id_col, name_col, geometry_col)
-    cells = materialize(region_cells(edges, cell, id_col, name_col))
-    size = cells.agg(F.count(F.lit(1)).alias("n"), F.sum(F.coalesce(F.size("edges"), F.lit(0))).alias("e")).first()
+    cover = materialize(region_cells(region_edges(regions, id_col, name_col, geometry_col), cell, id_col, name_col))
+    size = cover.agg(F.count(F.lit(1)).alias("n"), F.sum(F.coalesce(F.size("edges"), F.lit(0))).alias("e"),
+                     F.collect_set("_level").alias("levels")).first()
     fits = (size["n"] or 0) <= max_broadcast_rows and 32 * (size["e"] or 0) <= max_broadcast_bytes
-    pts = valid_points(points, x, y).withColumns({
-        "_cx": F.floor(F.col(x) / F.lit(cell)), "_cy": F.floor(F.col(y) / F.lit(cell))})
+    # one key a level in use: a double has at most some hundred, a layer of similar regions a handful
+    keys = [F.struct(F.lit(lv).alias("_level"), F.floor(F.col(x) * F.lit(2.0 ** -lv)).alias("_cx"),
+                     F.floor(F.col(y) * F.lit(2.0 ** -lv)).alias("_cy")) for lv in sorted(size["levels"])]
+    at = F.array(*keys) if keys else F.array().cast("array<struct<_level:int,_cx:bigint,_cy:bigint>>")
+    pts = valid_points(points, x, y)
+    on = ["_level", "_cx", "_cy"]
     if fits:
-        cand = pts.join(F.broadcast(cells), ["_cx", "_cy"])
+        cand = pts.select(*points.columns, F.inline(at)).join(F.broadcast(cover), on)
     else:
         replicas = F.explode(F.sequence(F.lit(0), F.lit(salt - 1))).alias("_salt")
         pts = pts.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in points.columns]), F.lit(salt)))
-        cand = pts.join(cells.select("*", replicas), ["_cx", "_cy", "_salt"])
-    hit = cand.filter(F.col("_interior") | point_in_polygon(x, y, "edges"))
-    return hit.drop("_cx", "_cy", "_salt", "_interior", "edges")
+        cand = pts.select("*", F.inline(at)).join(cover.select("*", replicas), [*on, "_salt"])
+    hit = cand.filter(F.col("_interior") | point_in_cell(F.col(x), F.col(y), F.col("_right"), F.col("_parity"), F.col("edges")))
+    return hit.select(*points.columns, id_col, name_col)
+
+
+def tagged_counts(points: DataFrame, regions: DataFrame, by: Sequence[str] = (), x: str = "Longitude",
+                  y: str = "Latitude", id_col: str = "bor_subb", name_col: str = "name",
+                  count: Column | None = None, **options) -> DataFrame:
+    """Points per region (and per group of ``by``): ``(*by, id, name, n)``.
+
+    Points are counted per coordinate and group before the join, map-side, so
+    the spatial join sees every coordinate once a group.  ``count`` replaces
+    the count of rows (e.g. ``count(id)``, which leaves out null ids).
+    """
+    n = F.count(F.lit(1)) if count is None else count
+    once = valid_points(points, x, y).groupBy(*by, x, y).agg(n.alias("_n"))
+    tagged = tag_points(once, regions, x=x, y=y, id_col=id_col, name_col=name_col, **options)
+    return tagged.groupBy(*by, id_col, name_col).agg(F.sum("_n").cast("long").alias("n"))
 
 
 def region_year_counts(tagged: DataFrame, name_col: str = "name", year_col: str = "Year",
-                       id_col: str = "CMPLNT_NUM", key: str = "Key") -> DataFrame:
-    """SPA5: records per region-year, keyed ``upper(name) || year``."""
+                       id_col: str = "CMPLNT_NUM", key: str = "Key", weight: str | None = None) -> DataFrame:
+    """SPA5: records per region-year, keyed ``upper(name) || year``; ``weight`` sums counts made before."""
     k = F.concat(F.upper(F.col(name_col)), F.col(year_col).cast("string"))
-    return tagged.groupBy(k.alias(key)).agg(F.count(F.col(id_col)).alias("crime_count"))
+    n = F.sum(weight).cast("long") if weight else F.count(F.col(id_col))
+    return tagged.groupBy(k.alias(key)).agg(n.alias("crime_count"))
 
 
 def grid_counts(points: DataFrame, x: str, y: str, cell: float, by: Sequence[str] = ()) -> DataFrame:

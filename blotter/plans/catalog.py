@@ -17,7 +17,7 @@ from blotter.operators.crosstab import crosstab_long, crosstab_wide, pair_counts
 from blotter.operators.correspondence import ca_biplot, ca_inertia, ca_residuals, correspondence
 from blotter.operators.sampling import stratified_sample, stratified_sample_hash
 from blotter.operators.spatial import (explode_edges, grid_counts, group_extent, heat_layer,
-                                       kernel_density, region_year_counts, tag_points)
+                                       kernel_density, region_year_counts, tag_points, tagged_counts)
 from blotter.operators.demographics import assemble_demographics, unpivot_years
 from blotter.operators.regression import (attach_demographics, correlations, elastic_net, ols_general,
                                          ols_tests, region_year_facts)
@@ -570,9 +570,7 @@ hits AS (SELECT p.CMPLNT_NUM, p.Latitude, p.Longitude, p.mult, e.bor_subb, e.nam
 def q_service_area_counts(spark, sf_dir):
     """JN3 with many overlapping regions: arrests per supplier service area."""
     a = record_type(incidents(spark, sf_dir), "A").select("CMPLNT_NUM", "Latitude", "Longitude")
-    tagged = tag_points(a, roles.service_areas(spark, sf_dir), x="Longitude", y="Latitude",
-                        cell=roles.SPATIAL_CELL)
-    return tagged.groupBy("bor_subb", "name").agg(F.count(F.lit(1)).alias("n"))
+    return tagged_counts(a, roles.service_areas(spark, sf_dir))
 
 
 def _complaint_points(spark, sf_dir) -> DataFrame:
@@ -581,8 +579,14 @@ def _complaint_points(spark, sf_dir) -> DataFrame:
 
 
 def tagged_complaints(spark, sf_dir) -> DataFrame:
-    return tag_points(_complaint_points(spark, sf_dir), roles.regions(spark, sf_dir),
-                      x="Longitude", y="Latitude", cell=roles.SPATIAL_CELL)
+    return tag_points(_complaint_points(spark, sf_dir), roles.regions(spark, sf_dir))
+
+
+def complaint_counts(spark, sf_dir) -> DataFrame:
+    """SPA5: complaints per region-year of the demographic years, counted per coordinate first."""
+    points = _complaint_points(spark, sf_dir).filter(F.col("Year").isin([int(y) for y in roles.DEMO_YEARS]))
+    n = tagged_counts(points, roles.regions(spark, sf_dir), by=["Year"], count=F.count("CMPLNT_NUM"))
+    return region_year_counts(n, weight="n")
 
 
 _PIP = _WKT_EDGES + """,
@@ -609,8 +613,7 @@ def q_point_in_region(spark, sf_dir):
 SELECT upper(name) || CAST(Year AS VARCHAR) AS Key, count(CMPLNT_NUM) AS crime_count
 FROM tagged WHERE Year IN ({", ".join(roles.DEMO_YEARS)}) GROUP BY 1"""))
 def q_region_counts(spark, sf_dir):
-    t = tagged_complaints(spark, sf_dir).filter(F.col("Year").isin([int(y) for y in roles.DEMO_YEARS]))
-    return region_year_counts(t)
+    return complaint_counts(spark, sf_dir)
 
 
 def _recent() -> Column:
@@ -755,8 +758,7 @@ def subregion_demographics(spark, sf_dir) -> DataFrame:
 
 
 def subregion_facts(spark, sf_dir) -> DataFrame:
-    t = tagged_complaints(spark, sf_dir).filter(F.col("Year").isin([int(y) for y in roles.DEMO_YEARS]))
-    return attach_demographics(region_year_counts(t), subregion_demographics(spark, sf_dir))
+    return attach_demographics(complaint_counts(spark, sf_dir), subregion_demographics(spark, sf_dir))
 
 
 _SUB_DEMO_SQL = _demo_sql("sub_demo_measures")

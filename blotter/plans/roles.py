@@ -181,9 +181,8 @@ DEMO_MEASURE_EXPRS: dict[str, str] = {
 }
 REGION_NAMES = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
 
-# Plane coordinates of the point feeds: grid cell for the spatial join and
-# the density surfaces (the plane spans [0, 50] x [0, 44]).
-SPATIAL_CELL = 5.0
+# Plane coordinates of the point feeds: grid cell of the density surfaces
+# (the plane spans [0, 50] x [0, 44]).
 DENSITY_CELL = 2.0
 DENSITY_BANDWIDTH = 2.0
 SINCE = "1996-01-01"

@@ -34,7 +34,7 @@ from blotter.operators.regression import (attach_demographics, correlations, ela
                                           region_year_facts)
 from blotter.operators.sampling import stratified_sample_hash  # noqa: E402
 from blotter.operators.scaling import minmax, zscore  # noqa: E402
-from blotter.operators.spatial import grid_counts, kernel_density, region_year_counts, tag_points  # noqa: E402
+from blotter.operators.spatial import grid_counts, kernel_density, region_year_counts, tagged_counts  # noqa: E402
 from blotter.operators.temporal import (daily_pivot, hourly_pivot, monthly_resample, pivot_to_long,  # noqa: E402
                                         seasonal_profile)
 from blotter.schema import (BOROUGH_CODES, DEMOGRAPHIC_MEASURES, HOURLY_EXCLUDED_OFFENCES,  # noqa: E402
@@ -117,8 +117,8 @@ def main() -> None:
     # 4. sub-region tagging and counts
     regions = read_regions(spark, a.regions, fmt=a.regions_format)
     pts = complaints.filter(F.col("Year").isin([int(y) for y in years]) & F.col("Lat_Lon").isNotNull())
-    tagged = tag_points(pts.select("CMPLNT_NUM", "Year", "Latitude", "Longitude"), regions, cell=a.cell)
-    sub_counts = materialize(region_year_counts(tagged))
+    counts = tagged_counts(pts, regions, by=["Year"], count=F.count("CMPLNT_NUM"))
+    sub_counts = materialize(region_year_counts(counts, weight="n"))
     save(sub_counts, "region_counts")
     if a.sub_demographics:
         sub_dir = a.sub_demographics.rstrip("/")

@@ -47,11 +47,42 @@ def test_salted_path_on_driver_tables(spark, sf_dir):
     pts = C._complaint_points(spark, sf_dir)
     reg = roles.regions(spark, sf_dir)
     key = lambda df: sorted((r.CMPLNT_NUM, r.bor_subb) for r in df.collect())
-    fast = tag_points(pts, reg, cell=roles.SPATIAL_CELL)
-    salted = tag_points(pts, reg, cell=roles.SPATIAL_CELL, max_broadcast_rows=0, salt=8)
+    fast = tag_points(pts, reg)
+    salted = tag_points(pts, reg, max_broadcast_rows=0, salt=8)
     assert key(fast) == key(salted) and len(key(fast)) > 0
 
 
+def test_cover_adapts_and_decides_most_hits(spark, sf_dir):
+    """Service areas differ in size; the cells of each follow its own extent, and most hits need no edges."""
+    from blotter.plans import roles
+    from blotter.operators.spatial import region_cells
+    areas = roles.service_areas(spark, sf_dir)
+    cover = region_cells(region_edges(areas)).withColumn("area", F.pow(F.lit(4.0), F.col("_level"))).toPandas()
+    assert cover.edges.dropna().map(len).max() <= 16
+    share = cover[cover._interior].area.sum() / cover.area.sum()
+    assert share > 0.5
+
+
+def test_cover_of_many_edges_splits_further(spark):
+    """A polygon of 4,000 edges: cells stay small in edges, and their number is of the order of the boundary."""
+    from blotter.operators.spatial import region_cells
+    a = np.linspace(0, 2 * np.pi, 4000, endpoint=False)
+    ring = [(float(1e5 + 7 * np.cos(t)), float(-3 + 7 * np.sin(t))) for t in a]
+    wkt = "POLYGON ((" + ", ".join(f"{x!r} {y!r}" for x, y in ring + ring[:1]) + "))"
+    cells = region_cells(region_edges(spark.createDataFrame([("1", "R", wkt)], "bor_subb string, name string, geometry string")))
+    sizes = [len(r.edges) if r.edges is not None else 0 for r in cells.collect()]
+    assert max(sizes) <= 16 and sum(sizes) < 3 * 4000 and len(sizes) < 4000
+
+
+def test_tagged_counts(spark):
+    regions = spark.createDataFrame(REGIONS, "bor_subb string, name string, geometry string")
+    pts = spark.createDataFrame([(p, x, y, g) for p, x, y in POINTS for g in (1, 1, 2)], "pid string, x double, y double, g int")
+    from blotter.operators.spatial import tagged_counts
+    got = {(r.g, r.name): r.n for r in tagged_counts(pts, regions, by=["g"], x="x", y="y").collect()}
+    assert got == {(1, "WEST"): 8, (2, "WEST"): 4, (1, "EAST"): 4, (2, "EAST"): 2, (1, "ISLES"): 2, (2, "ISLES"): 1}
+    assert tagged_counts(pts, regions.limit(0), x="x", y="y").count() == 0
+
+
 def test_region_edges_drop_bad_geometry(spark):
     regions = spark.createDataFrame(REGIONS, "bor_subb string, name string, geometry string")
     names = {r.name for r in region_edges(regions).collect()}
