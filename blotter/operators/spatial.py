@@ -103,29 +103,35 @@ def point_in_cell(x, y, right, parity, edges) -> Column:
     return point_on_edge(x, y, edges) | inside
 
 
-def _split(cells: DataFrame, id_col: str, name_col: str) -> DataFrame:
-    """The 16 cells two levels below each cell, without those outside the region.
-
-    ``_parity`` of a new cell is fixed at its corner of lowest coordinates:
-    the old cell's edges say whether that corner is inside, the new cell's
-    edges how often they are crossed on the way from it.
+def _split(cells: DataFrame, halvings: int) -> DataFrame:
+    """The cells ``halvings`` levels below each cell, without those outside the region.
+
+    One row an edge and new cell, then one aggregate a new cell, so no cell
+    copies edges that do not touch it.  ``_parity`` of a new cell is fixed at
+    its corner of lowest coordinates: the old cell's edges say whether that
+    corner is inside, the new cell's edges how often they are crossed on the
+    way from it.
     """
+    parts = lambda c: F.sequence(F.shiftleft(c, halvings), F.shiftleft(c, halvings) + (1 << halvings) - 1)
+    xs, ys = (F.coalesce(first, parts(c)) for first, c in (("_xs", F.col("_cx")), ("_ys", F.col("_cy"))))
+    at = (cells.select("_region", (F.col("_level") - halvings).alias("_level"), F.col("_right").alias("_up"), "_parity",
+                       xs.alias("_xs"), ys.alias("_ys"), F.explode("edges").alias("e"))
+          .withColumn("_cx", F.explode("_xs")).withColumn("_cy", F.explode("_ys")))
     size = F.pow(F.lit(2.0), F.col("_level"))
-    four = F.sequence(F.lit(0), F.lit(3))
-    at = (cells.withColumn("_right", F.coalesce((F.col("_cx") + 1) * size, F.lit(float("inf"))))
-          .withColumn("_level", F.col("_level") - 2))
-    parts = lambda c: F.transform(four, lambda i: F.col(c) * 4 + i)
-    at = (at.withColumn("_cx", F.explode(F.when(F.col("_cx").isNull(), F.col("_xs")).otherwise(parts("_cx"))))
-          .withColumn("_cy", F.explode(F.when(F.col("_cy").isNull(), F.col("_ys")).otherwise(parts("_cy")))))
-    size = F.pow(F.lit(2.0), F.col("_level"))
-    x, y, right = F.col("_cx") * size, F.col("_cy") * size, (F.col("_cx") + 1) * size
-    half = size / 2
-    at = at.withColumn("_own", F.filter("edges", lambda e: _near(e, x + half, y + half, half)))
-    above, below = _toggles(x, y, F.col("_right")), _toggles(x, y, right)
-    at = at.withColumn("_in", F.aggregate("edges", F.col("_parity"), lambda acc, e: acc != above(e)))
-    parity = F.aggregate("_own", F.col("_in"), lambda acc, e: acc != below(e))
-    return (at.withColumn("_parity", parity).filter((F.size("_own") > 0) | F.col("_in"))
-            .select(id_col, name_col, "_level", "_cx", "_cy", "_parity", F.col("_own").alias("edges")))
+    at = at.withColumns({"_x": F.col("_cx") * size, "_y": F.col("_cy") * size,
+                         "_right": (F.col("_cx") + 1) * size, "_half": size / 2})
+    x, y, half = F.col("_x"), F.col("_y"), F.col("_half")
+    at = at.withColumns({"_near": _near(F.col("e"), x + half, y + half, half),
+                         "_above": _toggles(x, y, F.col("_up"))(F.col("e")),
+                         "_below": _toggles(x, y, F.col("_right"))(F.col("e"))})
+    new = at.groupBy("_region", "_level", "_cx", "_cy", "_right", "_parity").agg(
+        F.collect_list(F.when(F.col("_near"), F.col("e"))).alias("edges"),
+        F.count_if("_above").alias("_a"), F.count_if(F.col("_near") & F.col("_below")).alias("_b"))
+    inside = F.col("_parity") != (F.col("_a") % 2 == 1)
+    none = F.lit(None).cast("array<bigint>")
+    return (new.withColumn("_in", inside).filter((F.size("edges") > 0) | F.col("_in"))
+            .select("_region", "_level", "_cx", "_cy", "_right", (F.col("_in") != (F.col("_b") % 2 == 1)).alias("_parity"),
+                    "edges", none.alias("_xs"), none.alias("_ys")))
 
 
 def region_cells(edges: DataFrame, cell: float | None = None, id_col: str = "bor_subb", name_col: str = "name",
@@ -144,28 +150,28 @@ def region_cells(edges: DataFrame, cell: float | None = None, id_col: str = "bor
     """
     extent = F.greatest(F.col("max_x") - F.col("min_x"), F.col("max_y") - F.col("min_y"),
                         *[F.abs(c) * 2.0 ** -30 for c in ("min_x", "max_x", "min_y", "max_y")], F.lit(2.0 ** -500))
-    first = edges.withColumn("_level", F.ceil(F.log2(extent)).cast("int"))
+    regions = materialize(edges.withColumn("_region", F.monotonically_increasing_id()))
+    first = regions.withColumn("_level", F.ceil(F.log2(extent)).cast("int"))
     size = F.pow(F.lit(2.0), F.col("_level") - 2)
     span = lambda low, high: F.sequence(F.floor(F.col(low) / size), F.floor(F.col(high) / size))
-    whole = first.select(id_col, name_col, "_level", F.lit(None).cast("long").alias("_cx"), F.lit(None).cast("long").alias("_cy"),
+    nowhere = F.lit(None).cast("bigint")
+    whole = first.select("_region", "_level", nowhere.alias("_cx"), nowhere.alias("_cy"), F.lit(float("inf")).alias("_right"),
                          F.lit(False).alias("_parity"), "edges", span("min_x", "max_x").alias("_xs"),
                          span("min_y", "max_y").alias("_ys"))
-    cells = materialize(_split(whole, id_col, name_col))
+    cells = materialize(_split(whole, 2))
     small = F.lit(False) if cell is None else F.pow(F.lit(2.0), F.col("_level")) <= cell
-    open_ = (F.size("edges") > 0) & (~small | (F.size("edges") > leaf_edges))
-    leaves = []
+    open_, leaves = (F.size("edges") > 0) & (~small | (F.size("edges") > leaf_edges)), []
     for _ in range(max_splits):
         leaves.append(cells.filter(~open_))
-        none = F.lit(None).cast("array<long>")
-        cells = materialize(_split(cells.filter(open_).withColumns({"_xs": none, "_ys": none}), id_col, name_col))
+        cells = materialize(_split(cells.filter(open_), 2))
         open_ = F.size("edges") > leaf_edges
         if cells.filter(open_).isEmpty():
             break
-    cover = reduce(DataFrame.unionByName, leaves, cells)
     touched = F.size("edges") > 0
-    return cover.select(id_col, name_col, "_level", "_cx", "_cy", (~touched).alias("_interior"),
-                        ((F.col("_cx") + 1) * F.pow(F.lit(2.0), F.col("_level"))).alias("_right"), "_parity",
-                        F.when(touched, F.col("edges")).alias("edges"))
+    cover = reduce(DataFrame.unionByName, leaves, cells).select(
+        "_region", "_level", "_cx", "_cy", (~touched).alias("_interior"), "_right", "_parity",
+        F.when(touched, F.col("edges")).alias("edges"))
+    return cover.join(regions.select("_region", id_col, name_col), "_region").drop("_region")
 
 
 def valid_points(points: DataFrame, x: str, y: str) -> DataFrame:
