@@ -259,7 +259,25 @@ def q_complaint_hour_pivot(spark, sf_dir):
     return hourly_pivot(counts, "hour", "OFNS_DESC", offences, "hour", weight="n")
 
 
-@register("cluster_order")
+# Greedy Ward merging of the hours, one merge an iteration: every iteration lists all clusters that are left.
+_HOUR_CLUSTERS = f"""z AS (SELECT hour, event_type, coalesce((n - avg(n) OVER w) / NULLIF(stddev_samp(n) OVER w, 0), 0) AS z
+      FROM grid WINDOW w AS (PARTITION BY hour)),
+v AS (SELECT hour, list(z ORDER BY list_position({[*EVENT_TYPES]}, event_type)) AS c FROM z WHERE hour IS NOT NULL GROUP BY hour),
+st AS (SELECT 0 AS step, hour AS id, 1.0::DOUBLE AS n, c, [hour] AS ids FROM v
+  UNION ALL
+  (WITH best AS (SELECT a.id AS a, b.id AS b FROM st a JOIN st b ON a.id < b.id
+                 ORDER BY a.n * b.n / (a.n + b.n) * list_sum(list_transform(range(1, len(a.c) + 1),
+                          lambda j: (a.c[j] - b.c[j]) * (a.c[j] - b.c[j]))), a.id, b.id LIMIT 1),
+        many AS (SELECT count(*) AS live FROM st)
+   SELECT step + 1, id, n, c, ids FROM st, best, many WHERE live > 4 AND id <> a AND id <> b
+   UNION ALL
+   SELECT x.step + 1, x.id, x.n + y.n, list_transform(range(1, len(x.c) + 1), lambda j: (x.n * x.c[j] + y.n * y.c[j]) / (x.n + y.n)),
+          x.ids || y.ids FROM best JOIN st x ON x.id = a JOIN st y ON y.id = b, many WHERE live > 4)),
+labels AS (SELECT unnest(ids) AS hour, CAST(dense_rank() OVER (ORDER BY id) - 1 AS INTEGER) AS cluster
+           FROM st WHERE step = (SELECT max(step) FROM st))"""
+
+
+@register("cluster_order", with_base(_HOUR_GRID, _HOUR_CLUSTERS, "SELECT hour, cluster FROM labels", recursive=True))
 def q_cluster_order(spark, sf_dir):
     wide, types = _hours(spark, sf_dir)
     z = zscore(pivot_to_long(wide, "hour", types, "event_type"), "n", "hour", ddof=1)

@@ -1,11 +1,13 @@
-"""AGG5-AGG7, SCL1-SCL3 on hand-made series."""
+"""AGG5-AGG7, SCL1-SCL4 on hand-made series."""
 
 import datetime as dt
 import math
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
-from blotter.operators.scaling import clip_symmetric, minmax, zscore
+from blotter.operators.scaling import clip_symmetric, minmax, ward_clusters, zscore
 from blotter.operators.temporal import daily_pivot, hourly_pivot, monthly_resample, seasonal_profile
 
 
@@ -48,3 +50,42 @@ def test_clip_symmetric(spark):
     got = sorted(r.z for r in clip_symmetric(df, "z").collect())
     assert got == [-2.0, 1.0, 2.0]
     assert clip_symmetric(df, "z").agg(F.max("z")).first()[0] == 2.0
+
+
+def _ward(rows, k):
+    """Greedy Ward on (key, vector): sorted key lists of the k clusters."""
+    live = {key: (1.0, np.array(v, float), [key]) for key, v in rows}
+    while len(live) > k:
+        cost = lambda a, b: live[a][0] * live[b][0] / (live[a][0] + live[b][0]) * ((live[a][1] - live[b][1]) ** 2).sum()
+        _, a, b = min((cost(a, b), a, b) for a in live for b in live if a < b)
+        (na, ca, ia), (nb, cb, ib) = live[a], live.pop(b)
+        live[a] = (na + nb, (na * ca + nb * cb) / (na + nb), ia + ib)
+    return sorted(sorted(v[2]) for v in live.values())
+
+
+@pytest.mark.parametrize("n,k,last,block", [(30, 4, 4, 12), (30, 3, 16, 1024), (3, 4, 48, 1024), (0, 4, 48, 1024)])
+def test_ward_equals_brute_force(spark, n, k, last, block):
+    rng = np.random.default_rng(n + k)
+    rows = [(i, (rng.normal(size=3) + 4 * (i % 5)).tolist()) for i in range(n)]
+    if n == 30:
+        rows[22:] = [(22 + i, [100.0 * i] * 3) for i in range(8)]      # far pairs that are each other's nearest early
+    long = [(i, "xyz"[j], x) for i, v in rows for j, x in enumerate(v)] + [(None, "x", 1.0)]
+    got = {}
+    for r in ward_clusters(spark.createDataFrame(long, "r int, c string, v double"), "r", "c", "v", list("xyz"), k,
+                           last=last, block_rows=block).collect():
+        got.setdefault(r.cluster, []).append(r.r)
+    want = _ward(rows, k)
+    assert sorted(sorted(v) for v in got.values()) == want
+    assert [min(got[c]) for c in sorted(got)] == sorted(w[0] for w in want) and sorted(got) == list(range(len(want)))
+
+
+def test_ward_ties_and_missing_cells(spark):
+    """Equal distances go by the smallest rows; a missing cell is 0."""
+    long = [(i, "x", float(i)) for i in range(1, 8)] + [(8, "y", 0.0)]
+    df = spark.createDataFrame(long, "r int, c string, v double")
+    want = _ward([(i, [float(i), 0.0]) for i in range(1, 8)] + [(8, [0.0, 0.0])], 3)
+    for last in (3, 48):
+        got = {}
+        for r in ward_clusters(df, "r", "c", "v", ["x", "y"], 3, last=last).collect():
+            got.setdefault(r.cluster, []).append(r.r)
+        assert sorted(sorted(v) for v in got.values()) == want
