@@ -14,13 +14,14 @@ array.  Two documents link when 100 * |A & B| >= percent * |A | B|.
 * **Hubs.**  Documents with an equal segment form a group (a tile).  Each is
   first tested against the group's smallest row, by bit counts and then
   exactly, which is linear in the group and settles groups of true near copies.
-* **Tiles.**  Groups that still hold several components are cut into blocks;
-  in each block pair, the bit counts of hashed bitmaps bound the overlap from
-  above: |A & B| <= (|A| + |B| - popcount(a ^ b)) / 2.  Survivors are tested
-  on their sorted arrays.
+* **Tiles.**  Groups that still hold several components are cut into blocks of
+  bounded rows and bytes; in each block pair, the bit counts of hashed bitmaps
+  bound the overlap from above: |A & B| <= (|A| + |B| - popcount(a ^ b)) / 2.
+  Survivors are tested on their sorted arrays at once, unless their components
+  have met in this tile, and only links that join two components leave it.
 * Equal sets are represented once, so groups of copies are never expanded.
 
-No pair list of a whole group exists anywhere; hubs are salted by the number
+A tile returns fewer links than it has rows, and no pair list of a group is ever written; hubs are salted by the number
 of their partners, blocks bound each tile.
 """
 
@@ -45,6 +46,7 @@ _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD
                  0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3],
                 np.uint64)
 _LOW = np.uint64(32)
+_TILE_ELEMENTS = 2 << 20                     # of the sets of a block (16 MB)
 
 
 def shingles(text: bytes | None, n: int) -> np.ndarray:
@@ -66,21 +68,21 @@ class Bands:
 
     def __init__(self, percent: int):
         self.p = percent
-        same = 1
-        while 2 * same * (100 - percent) // (100 + percent) == 0 and same < 1 << 30:
-            same += 1
-        self.lo = [same]                     # smaller sets link only when equal
+        # smaller sets link only when equal
+        self.lo = [-(-(100 + percent) // (2 * (100 - percent))) if percent < 100 else 1 << 40]
         while self.lo[-1] < 1 << 40:
             self.lo.append(max(self.lo[-1] + 1, int(self.lo[-1] * _RATIO)))
         self.plan = [self._segments(lo, hi) for lo, hi in zip(self.lo, self.lo[1:])]
 
     def _segments(self, lo: int, hi: int) -> tuple[int, int]:
         """(segments, slack) of a band: the slack covers the empty segments that the smallest set
-        which meets the band is likely to have (their mean and two standard deviations)."""
+        which meets the band is likely to have (their mean and two standard deviations, more in
+        large bands, where a set beyond the slack would need very many keys)."""
         need, slack = 2 * (hi - 1) * (100 - self.p) // (100 + self.p) + 1, 0
+        spread = max(2, need.bit_length() - 6)
         for _ in range(8 if need >= 16 else 0):
             empty = (need + slack) * math.exp(-self.p * lo / 100 / (need + slack))
-            slack = int(empty + 2 * math.sqrt(empty) + 1)
+            slack = int(empty + spread * math.sqrt(empty) + 1)
         return need + slack, slack
 
     def of(self, n: int) -> Iterator[tuple[int, int, int]]:
@@ -231,37 +233,42 @@ def _bitmaps(batches):
 
 
 def _tiles(percent: int):
-    """Rows sorted by (sig, i, j): pairs of different components that the bit counts do not rule out."""
-    def pairs(tile: list, diagonal: bool):
-        maps = [np.frombuffer(r[3], np.uint64) for r in tile]
+    """Rows sorted by (sig, i, j) -> links that join two components of the tile."""
+    def joins(tile: list, diagonal: bool):
+        sets = [np.frombuffer(r[3], np.uint64) for r in tile]
+        maps = [bitmap(s) for s in sets]
         words = min(len(m) for m in maps)
         bits = np.stack([fold(m, words) for m in maps])
-        node, comp, n = (np.array([r[k] for r in tile], np.int64) for k in (0, 1, 2))
-        side = np.array([r[4] for r in tile])
+        node, comp, side = (np.array([r[k] for r in tile], np.int64) for k in (0, 1, 2))
+        n = np.array([len(s) for s in sets], np.int64)
         for i in range(len(tile) - 1):
             rest = slice(i + 1, None)
-            total = n[i] + n[rest]
-            differ = np.bitwise_count(bits[i] ^ bits[rest]).sum(axis=1, dtype=np.int64)
-            overlap = np.minimum((total - differ) // 2, np.minimum(n[i], n[rest]))
-            ok = (100 * overlap >= percent * (total - overlap)) & (comp[rest] != comp[i])
+            ok = comp[rest] != comp[i]
             if not diagonal:
                 ok &= side[rest] != side[i]
-            for j in np.flatnonzero(ok):
-                yield tuple(sorted((int(node[i]), int(node[i + 1 + j]))))
+            at = i + 1 + np.flatnonzero(ok)
+            total = n[i] + n[at]
+            differ = np.bitwise_count(bits[i] ^ bits[at]).sum(axis=1, dtype=np.int64)
+            overlap = np.minimum((total - differ) // 2, np.minimum(n[i], n[at]))
+            likely = np.argsort(differ, kind="stable")
+            for j in at[likely[(100 * overlap >= percent * (total - overlap))[likely]]].tolist():
+                if comp[j] != comp[i] and linked(sets[i], sets[j], percent):
+                    comp[comp == comp[j]] = comp[i]
+                    yield tuple(sorted((int(node[i]), int(node[j]))))
 
     def run(batches):
         at, tile = None, []
         for batch in batches:
-            out = set()
-            for sig, i, j, side, node, comp, n, bits in zip(*(c.to_pylist() for c in batch.columns)):
+            out = []
+            for sig, i, j, side, node, comp, raw in zip(*(c.to_pylist() for c in batch.columns)):
                 if at != (sig, i, j):
                     if len(tile) > 1:
-                        out.update(pairs(tile, at[1] == at[2]))
+                        out += joins(tile, at[1] == at[2])
                     at, tile = (sig, i, j), []
-                tile.append((node, comp, n, bits, side))
-            yield _pairs(sorted(out))
+                tile.append((node, comp, side, raw))
+            yield _pairs(out)
         if len(tile) > 1:
-            yield _pairs(sorted(set(pairs(tile, at[1] == at[2]))))
+            yield _pairs(list(joins(tile, at[1] == at[2])))
 
     return run
 
@@ -352,9 +359,8 @@ def ngram_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
     near = scratch.stage(_bound(hubs, bits, percent), "near")
     links = scratch.stage(_verify(near, payload, percent, per_hub), "links-0")
     known = scratch.stage(connected_components(links, scratch, "known"), "known")
-    rest = _open_pairs(stars, name, known, bits, percent, block)
-    rest = scratch.stage(rest.join(hubs, ["u", "v"], "left_anti").distinct(), "open")
-    more = scratch.stage(links.union(_verify(rest, payload, percent, per_hub)), "links-1")
+    tiles = _open_links(stars, name, known, bits, payload, percent, block)
+    more = scratch.stage(links.union(tiles), "links-1")
     comp = connected_components(more, scratch, "all")
     member = nodes.join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = member.groupBy("component").agg(F.min("low").alias("component_id"))
@@ -365,9 +371,9 @@ def ngram_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
                     .alias("component_id")))
 
 
-def _open_pairs(stars: DataFrame, name: DataFrame, known: DataFrame, bits: DataFrame,
+def _open_links(stars: DataFrame, name: DataFrame, known: DataFrame, bits: DataFrame, payload: DataFrame,
                 percent: int, block: int) -> DataFrame:
-    """Pairs inside groups of three or more rows that are not yet known to be in one component."""
+    """Links that join components inside groups of three or more rows which still hold several."""
     rows = (stars.select("sig", "uid").union(stars.select("sig", F.col("hub").alias("uid"))).distinct()
             .join(name, F.col("uid") == F.col("_u")).select("sig", F.col("_node").alias("node")).distinct()
             .join(known, "node", "left").withColumn("component", F.coalesce("component", "node")))
@@ -376,13 +382,15 @@ def _open_pairs(stars: DataFrame, name: DataFrame, known: DataFrame, bits: DataF
                    F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("h0"),
                    F.sum(F.xxhash64("node", F.lit(7)).cast("decimal(38,0)")).alias("h1"))
               .filter("k > 2 and c0 <> c1")
-              .groupBy("k", "h0", "h1").agg(F.min("sig").alias("sig"))     # one of the groups with the same rows
-              .select("sig", F.ceil(F.col("k") / block).cast("int").alias("blocks")))
-    dealt = (rows.join(groups, "sig").withColumn("b", F.pmod(F.hash("node"), "blocks"))
+              .groupBy("k", "h0", "h1").agg(F.min("sig").alias("sig")))     # one of the groups with the same rows
+    sized = (rows.join(groups.select("sig"), "sig").join(bits.select("node", "n"), "node"))
+    blocks = sized.groupBy("sig").agg(F.greatest(F.ceil(F.count("*") / block), F.ceil(F.sum("n") / _TILE_ELEMENTS))
+                                      .cast("int").alias("blocks"))
+    dealt = (sized.join(blocks, "sig").withColumn("b", F.pmod(F.hash("node"), "blocks"))
              .withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .select("sig", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j"),
-                     F.col("b").alias("side"), "node", "component").join(bits, "node")
-             .select("sig", "i", "j", "side", "node", "component", "n", "bits"))
+                     F.col("b").alias("side"), "node", "component").join(payload, "node")
+             .select("sig", "i", "j", "side", "node", "component", "shingles"))
     return (dealt.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j")
             .mapInArrow(_tiles(percent), "u long, v long"))
 
@@ -398,6 +406,6 @@ def keep_one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: st
     comp = ngram_components(docs, n, percent, id_col, text_col, scratch=scratch)
     keep = scratch.stage(comp.filter("doc_id <=> component_id").select(F.col("doc_id").alias("_keep")).distinct(),
                          "keep")
-    for written in ("rows", "nodes", "stars", "hubs", "payload", "bits", "near", "links-0", "known", "open", "links-1"):
+    for written in ("rows", "nodes", "stars", "hubs", "payload", "bits", "near", "links-0", "known", "links-1"):
         scratch.drop(written)
     return docs.join(keep, docs[id_col].cast("long").eqNullSafe(F.col("_keep")), "left_semi")

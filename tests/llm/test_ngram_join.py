@@ -112,3 +112,31 @@ def test_bitmap_bound_holds():
 
 def test_short_texts_are_one_shingle():
     assert len(shingles(b"a b", 4)) == 1 and len(shingles(b"", 4)) == 0 and len(shingles(b"a b c d e", 4)) == 2
+
+
+def test_tile_returns_joining_links_only():
+    """2,000 chained near copies: each links to its neighbours only, and the tile writes fewer links than rows."""
+    from blotter.llm.ngram_join import _tiles
+    import pyarrow as pa
+    rng = np.random.default_rng(0)
+    word = np.sort(rng.integers(0, 1 << 63, 2300).astype(np.uint64))
+    sets = [np.sort(word[k:k + 300]) for k in range(2000)]
+    order = rng.permutation(2000).tolist()
+    cols = {"sig": [1] * 2000, "i": [0] * 2000, "j": [0] * 2000, "side": [0] * 2000, "node": order, "component": order,
+            "shingles": [sets[k].tobytes() for k in order]}
+    out = list(_tiles(80)(iter([pa.RecordBatch.from_pydict(cols)])))
+    links = [(u, v) for b in out for u, v in zip(*(c.to_pylist() for c in b.columns))]
+    assert len(links) == 1999 and all(linked(sets[u], sets[v], 80) for u, v in links)
+
+
+def test_very_long_set_has_few_keys():
+    rng = np.random.default_rng(5)
+    for size in (15_617, 200_000):
+        for _ in range(3):
+            s = np.unique(rng.integers(0, 1 << 64, size, dtype=np.uint64))
+            assert len(Bands(80).signatures(s)) < 3 * size
+
+
+def test_only_equal_sets_link_at_100():
+    a, b = np.arange(50, dtype=np.uint64), np.arange(51, dtype=np.uint64)
+    assert linked(a, a, 100) and not linked(a, b, 100) and len(Bands(100).signatures(a)) == 0
