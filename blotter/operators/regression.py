@@ -197,21 +197,57 @@ def ols_general(df: DataFrame, target: str, predictors: Sequence[str]) -> dict:
     return out | {"status": status}
 
 
-def elastic_net(df: DataFrame, target: str, features: Sequence[str], **params) -> DataFrame:
-    """REG6: Spark ML linear regression with elastic-net penalty; returns
-    ``(r2, intercept, coefficients, n)`` as one row.  Rows with a NULL
-    feature are skipped (the default would raise)."""
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import LinearRegression
-
-    p = {**ELASTIC_NET, **params}
-    data = VectorAssembler(inputCols=list(features), outputCol="features",
-                           handleInvalid="skip").transform(
-        df.withColumn(target, F.col(target).cast("double")).dropna(subset=[target]))
-    model = LinearRegression(featuresCol="features", labelCol=target, **p).fit(data)
-    s = model.summary
-    spark = df.sparkSession
-    return spark.createDataFrame(
-        [(float(s.r2), float(model.intercept), [float(c) for c in model.coefficients],
-          int(s.totalIterations), int(s.numInstances))],
-        "r2 double, intercept double, coefficients array<double>, iterations int, n long")
+def elastic_net(df: DataFrame, target: str, features: Sequence[str], regParam: float = ELASTIC_NET["regParam"],
+                elasticNetParam: float = ELASTIC_NET["elasticNetParam"], sweeps: int = 1000,
+                tolerance: float = 1e-12) -> DataFrame:
+    """REG6: linear regression with elastic-net penalty: one row ``(r2, intercept, coefficients, iterations, n)``.
+
+    One aggregate gives the means and covariances of the rows without a NULL;
+    the rest are expressions on that row.  With target and features scaled to
+    unit variance, the penalty is ``regParam / std(target)``, split into L1 and
+    L2 by ``elasticNetParam``, and cyclic coordinate descent updates each
+    coefficient from the correlations alone (soft threshold of the residual
+    correlation, over 1 + L2).  It ends with the sweep that changes no
+    coefficient by more than ``tolerance``; ``iterations`` counts the sweeps,
+    at most ``sweeps``.  A constant feature has coefficient 0; a constant
+    target gives zeros, its mean as intercept and a NULL r2; no rows give NULLs.
+    """
+    cols = [target, *features]
+    m = len(features)
+    clean = df.select(*[F.col(c).cast("double").alias(f"_{i}") for i, c in enumerate(cols)]).dropna()
+    cov = {(i, j): F.covar_pop(f"_{i}", f"_{j}") for i in range(m + 1) for j in range(i, m + 1)}
+    row = clean.agg(F.count(F.lit(1)).alias("n"), F.array(*[F.avg(f"_{i}") for i in range(m + 1)]).alias("mean"),
+                    F.array(*[F.array(*[cov[min(i, j), max(i, j)] for j in range(m + 1)]) for i in range(m + 1)]).alias("cov"))
+    row = row.withColumn("std", F.transform("cov", lambda c, i: F.sqrt(F.get(c, i))))
+    corr = F.transform("cov", lambda c, i: F.transform(c, lambda v, j: F.when(i == j, 1.0).otherwise(
+        F.coalesce(F.try_divide(v, F.get("std", i) * F.get("std", j)), F.lit(0.0)))))
+    row = row.withColumn("corr", corr)
+    row = row.select("n", "mean", "std", F.slice(F.get("corr", F.lit(0)), 2, m).alias("b"),
+                     F.transform(F.slice("corr", 2, m), lambda c: F.slice(c, 2, m)).alias("a"))
+    penalty = F.try_divide(F.lit(float(regParam)), F.get("std", F.lit(0)))
+    row = row.withColumns({"l1": penalty * elasticNetParam, "l2": penalty * (1 - elasticNetParam)})
+    dot = lambda u, v: F.aggregate(F.zip_with(u, v, lambda x, y: x * y), F.lit(0.0), lambda t, x: t + x)
+
+    def update(s, j):
+        old = F.get(s["beta"], j)
+        gap = F.get("b", j) - dot(F.get("a", j), s["beta"]) + old
+        new = F.sign(gap) * F.greatest(F.abs(gap) - F.col("l1"), F.lit(0.0)) / (1 + F.col("l2"))
+        return F.struct(F.transform(s["beta"], lambda v, i: F.when(i == j, new).otherwise(v)).alias("beta"),
+                        F.greatest(s["change"], F.abs(new - old)).alias("change"), s["sweeps"].alias("sweeps"))
+
+    def sweep(s, _):
+        fresh = F.struct(s["beta"].alias("beta"), F.lit(0.0).alias("change"), (s["sweeps"] + 1).alias("sweeps"))
+        return F.when(s["change"] <= tolerance, s).otherwise(
+            F.aggregate(F.sequence(F.lit(0), F.lit(m - 1)), fresh, update))
+
+    start = F.struct(F.array_repeat(F.lit(0.0), m).alias("beta"), F.lit(float("inf")).alias("change"), F.lit(0).alias("sweeps"))
+    varied = F.get("std", F.lit(0)) > 0
+    row = row.withColumn("fit", F.when(varied, F.aggregate(F.sequence(F.lit(1), F.lit(sweeps)), start, sweep))
+                         .otherwise(start))
+    beta = F.col("fit.beta")
+    weights = F.transform(beta, lambda v, i: F.coalesce(F.try_divide(v * F.get("std", F.lit(0)), F.get("std", i + 1)), F.lit(0.0)))
+    row = row.withColumn("coefficients", F.when(F.col("n") > 0, weights))
+    return row.select(
+        F.when(varied, 2 * dot(beta, F.col("b")) - dot(beta, F.transform("a", lambda c: dot(c, beta)))).alias("r2"),
+        (F.get("mean", F.lit(0)) - dot(F.col("coefficients"), F.slice("mean", 2, m))).alias("intercept"),
+        "coefficients", F.col("fit.sweeps").alias("iterations"), "n")

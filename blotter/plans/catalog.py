@@ -28,7 +28,7 @@ from blotter.operators.temporal import (daily_pivot, hourly_pivot, monthly_resam
 from blotter.operators.ranking import top_categories_by_field, top_values
 from blotter.plans import roles
 from blotter.plans.oracle_base import lit, quoted, with_base
-from blotter.schema import TOP_K
+from blotter.schema import ELASTIC_NET, TOP_K
 from blotter.session import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -440,9 +440,25 @@ def q_ols_multi(spark, sf_dir):
                                        "r_squared double, t_marginal double")
 
 
-@register("elastic_net_r2")
+# With one predictor the elastic net is a soft threshold of the correlation.
+_ELASTIC_SQL = f"""e AS (SELECT count(*) AS n, avg(crime_count) AS my, avg(unemployment_rate) AS mx,
+  stddev_pop(crime_count) AS sy, stddev_pop(unemployment_rate) AS sx, corr(unemployment_rate, crime_count) AS r
+  FROM facts WHERE crime_count IS NOT NULL AND unemployment_rate IS NOT NULL),
+b AS (SELECT *, sign(r) * greatest(abs(r) - {ELASTIC_NET["regParam"] * ELASTIC_NET["elasticNetParam"]} / sy, 0)
+             / (1 + {ELASTIC_NET["regParam"] * (1 - ELASTIC_NET["elasticNetParam"])} / sy) AS beta FROM e)"""
+_ELASTIC_OUT = """SELECT round(2 * beta * r - beta * beta, 6) AS r2, round(my - beta * sy / sx * mx, 6) AS intercept,
+       round(beta * sy / sx, 6) AS coefficient, n FROM b"""
+
+
+def _elastic_row(df: DataFrame) -> DataFrame:
+    fit = elastic_net(df, "crime_count", ["unemployment_rate"])
+    return fit.select(F.round("r2", 6).alias("r2"), F.round("intercept", 6).alias("intercept"),
+                      F.round(F.get("coefficients", F.lit(0)), 6).alias("coefficient"), "n")
+
+
+@register("elastic_net_r2", with_base(_DEMO_SQL, _FACTS_SQL, _ELASTIC_SQL, _ELASTIC_OUT))
 def q_elastic_net_r2(spark, sf_dir):
-    return elastic_net(facts(spark, sf_dir), "crime_count", ["unemployment_rate"])
+    return _elastic_row(facts(spark, sf_dir))
 
 
 # ------------------------------------------------------ correspondence analysis
@@ -999,7 +1015,7 @@ def q_correlations_subregion(spark, sf_dir):
     return out.select(F.col("column").alias("factor"), F.round("corr", 6).alias("r"))
 
 
-@register("elastic_net_subregion")
+@register("elastic_net_subregion", with_base(*_SUB_FACTS, _ELASTIC_SQL, _ELASTIC_OUT))
 def q_elastic_net_subregion(spark, sf_dir):
     """REG6 over the spatially tagged sub-region facts."""
-    return elastic_net(subregion_facts(spark, sf_dir), "crime_count", ["unemployment_rate"])
+    return _elastic_row(subregion_facts(spark, sf_dir))

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from blotter.functions.tdist import t_sf, t_two_sided
+from blotter.functions.tdist import t_sf, t_sf_value, t_two_sided
 from blotter.operators.regression import correlations, elastic_net, ols_general, ols_tests
 
 
@@ -23,6 +23,32 @@ def _t_sf_numeric(t, df):
     return float(body + tail)
 
 
+def _t_series(t, df):
+    """The finite series of integer degrees of freedom (Abramowitz & Stegun 26.7.3-4)."""
+    theta = math.atan(abs(t) / math.sqrt(df))
+    sin, cos2, even = math.sin(theta), math.cos(theta) ** 2, df % 2 == 0
+    term, total = (1.0 if even else math.cos(theta)), 0.0
+    for k in range(df // 2):
+        total += term
+        term *= cos2 * ((2 * k + 1) / (2 * k + 2) if even else (2 * k + 2) / (2 * k + 3))
+    return (1 - sin * total) / 2 if even else (1 - (2 / math.pi) * (theta + sin * total)) / 2
+
+
+def test_t_sf_equals_the_series_and_the_normal_tail(spark):
+    cases = [(t, df) for df in [*range(1, 41), 100, 199, 200, 1999] for t in (0.0, 1e-9, 0.3, 1.73, 1.74, 2.5, 6.0, 40.0)]
+    frame = spark.createDataFrame([(float(t), float(df)) for t, df in cases], "t double, df double")
+    for r in frame.select("t", "df", t_sf("t", "df").alias("p")).collect():
+        assert abs(r.p - _t_series(r.t, int(r.df))) < 1e-13
+        assert abs(r.p - t_sf_value(r.t, r.df)) <= 1e-15 + 1e-13 * r.p
+    for t in (0.5, 1.96, 4.0, 20.0):                     # 10^9 degrees: the normal tail, small values to their digits
+        assert math.isclose(t_sf_value(t, 1e9), 0.5 * math.erfc(t / math.sqrt(2)), rel_tol=1e-4)
+        assert t_sf_value(t, 10 ** 12) == t_sf_value(t, 1e9)
+    assert math.isclose(t_sf_value(3.0, 2.5), (_t_sf_numeric(3.0, 2.5)), rel_tol=1e-6)
+    assert t_sf_value(1.0, 0) is None and t_sf_value(None, 3) is None and t_sf_value(float("inf"), 5) < 1e-300
+    edge = spark.createDataFrame([(None, 3.0), (1.0, None), (1.0, 0.0), (float("nan"), 2.0)], "t double, df double")
+    assert all(r.p is None for r in edge.select(t_sf("t", "df").alias("p")).collect())
+
+
 @pytest.mark.parametrize("t,df,expected", [(1, 1, 0.25), (2, 10, 0.0366940), (2, 11, 0.0354020),
                                            (2, 63, 0.0249079), (0, 5, 0.5), (-2, 10, 0.0366940)])
 def test_t_sf_known_values(spark, t, df, expected):
@@ -116,6 +142,33 @@ def test_elastic_net_skips_null_features(spark):
     assert r.n == 50 and 0.0 < r.r2 <= 1.0
 
 
+@pytest.mark.parametrize("reg,mix", [(0.3, 0.8), (2.0, 1.0), (0.5, 0.0), (0.0, 0.5), (50.0, 0.8)])
+def test_elastic_net_equals_spark_ml_at_convergence(spark, reg, mix):
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(80, 3)) * [1, 10, 0.1]
+    x[:, 1] += 6 * x[:, 0]
+    y = x @ np.array([2.0, -0.5, 4.0]) + rng.normal(size=80) * 2 + 7
+    df = spark.createDataFrame([tuple(map(float, r)) + (float(v),) for r, v in zip(x, y)], "a double, b double, c double, y double")
+    got = elastic_net(df, "y", ["a", "b", "c"], regParam=reg, elasticNetParam=mix).first()
+    model = LinearRegression(labelCol="y", regParam=reg, elasticNetParam=mix, maxIter=2000, tol=1e-14).fit(
+        VectorAssembler(inputCols=["a", "b", "c"], outputCol="features").transform(df))
+    assert np.allclose(got.coefficients, model.coefficients.toArray(), rtol=1e-5, atol=1e-6)
+    assert math.isclose(got.intercept, model.intercept, rel_tol=1e-5) and got.n == 80
+    assert math.isclose(got.r2, model.summary.r2, rel_tol=1e-6, abs_tol=1e-9) and 1 <= got.iterations < 1000
+
+
+def test_elastic_net_constant_columns_and_no_rows(spark):
+    df = spark.createDataFrame([(1.0, 5.0, 2.0), (2.0, 5.0, 4.0), (4.0, 5.0, 9.0)], "a double, k double, y double")
+    r = elastic_net(df, "y", ["k", "a"], regParam=0.0).first()
+    assert r.coefficients[0] == 0.0 and math.isclose(r.coefficients[1], np.polyfit([1, 2, 4], [2, 4, 9], 1)[0])
+    r = elastic_net(df, "k", ["a", "y"]).first()
+    assert r.r2 is None and r.coefficients == [0.0, 0.0] and r.intercept == 5.0
+    r = elastic_net(df.limit(0), "y", ["a"]).first()
+    assert r.n == 0 and r.r2 is None and r.coefficients is None and r.intercept is None
+
+
 def test_ols_general_three_predictors(spark):
     rng = np.random.default_rng(3)
     n = 50
