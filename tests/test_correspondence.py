@@ -78,11 +78,38 @@ def test_field_names_do_not_clash(spark, row, col, value):
     assert np.allclose([x.standard for x in a], [x.standard for x in b])
 
 
-def test_many_columns_and_the_bound(spark):
+def test_many_columns(spark):
     rng = np.random.default_rng(2)
     n = rng.integers(1, 60, size=(40, 30)).astype(float)
     cells = spark.createDataFrame([(f"r{i}", f"c{j}", int(n[i, j])) for i in range(40) for j in range(30)],
                                   "row string, col string, n long")
     assert np.allclose(correspondence(cells, "row", "col").eigenvalues, _numpy_ca(n)[1], atol=1e-12)
-    with pytest.raises(ValueError, match="more than 5 columns"):
-        correspondence(cells, "row", "col", max_columns=5)
+
+
+def test_leading_axes_beyond_the_bound(spark):
+    """2,000 columns: three strong axes by subspace iteration, against the SVD; a null row label is a row."""
+    rng = np.random.default_rng(3)
+    rows, cols = 24, 2000
+    mean = 8 + 6 * np.sign(rng.normal(size=(rows, 3))) * [1.0, 0.6, 0.35] @ np.sign(rng.normal(size=(3, cols))) / 2
+    n = rng.poisson(np.clip(mean, 0.2, None)).astype(float)
+    n[:, 0] += 1
+    cells = spark.createDataFrame([(None if i == 5 else f"r{i}", f"c{j}", int(n[i, j])) for i in range(rows) for j in range(cols)],
+                                  "row string, col string, n long")
+    ca = correspondence(cells, "row", "col", max_columns=500, axes=3)
+    inertia, ev, f, g = _numpy_ca(n)
+    assert ca.columns is None and np.allclose(ca.eigenvalues, ev[:3], rtol=1e-8)
+    assert np.allclose([r.percent for r in ca.scree.orderBy("dimension").collect()], 100 * ev[:3] / inertia, rtol=1e-8)
+    got = {(r.kind, r.label, r.dimension): r.principal for r in ca.coordinates.collect()}
+    assert len(got) == 3 * (rows + cols)
+    for d in range(3):
+        fr = np.array([got["row", None if i == 5 else f"r{i}", d + 1] for i in range(rows)])
+        gc = np.array([got["col", f"c{j}", d + 1] for j in range(cols)])
+        sign = 1.0 if fr @ f[:, d] >= 0 else -1.0
+        assert np.allclose(fr, sign * f[:, d], atol=1e-6) and np.allclose(gc, sign * g[:, d], atol=1e-6)
+
+
+def test_leading_axes_of_independent_table(spark):
+    cells = spark.createDataFrame([(f"r{i}", f"c{j}", (i + 1) * (j + 1)) for i in range(4) for j in range(6)],
+                                  "row string, col string, n long")
+    ca = correspondence(cells, "row", "col", max_columns=5)
+    assert all(v < 1e-12 for v in ca.eigenvalues)
