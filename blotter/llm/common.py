@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Iterable, Iterator
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from blotter.session import checkpoint_dir
@@ -57,6 +59,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def few_rows(batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of few rows, so that wide values become Python objects a few at a time."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, rows):
+            yield batch.slice(lo, rows)
+
+
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores in front until no column of ``df`` has it (case does not count)."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def collapse_white(text: bytes | None) -> bytes:
     """Each run of ASCII white space becomes one space (null: empty)."""
     if not text:

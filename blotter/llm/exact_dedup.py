@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from blotter.llm.common import Scratch, collapse_white
+from blotter.llm.common import Scratch, collapse_white, free_names
 
 _NO_ID = (1 << 63) - 1
 
@@ -190,19 +190,19 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that :func:`exact_dedup` keeps, all their columns unchanged.
+    """The rows of ``docs`` that :func:`exact_dedup` keeps, all their columns unchanged, whatever their names.
 
-    Identifiers are expected to name one text; of rows repeated under one id
-    and text, one stays.
+    Of rows repeated under one id and text, null ids included, one stays.
     """
     scratch = Scratch(docs.sparkSession, "exact-dedup")
+    kept_id, kept_sha, sha, place = free_names(docs, "_kept_id", "_kept_sha", "_sha", "_row")
     kept = scratch.stage(exact_dedup(docs, id_col, text_col, scratch=scratch).filter("kept")
-                         .select(F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_sha")), "kept")
+                         .select(F.col("doc_id").alias(kept_id), F.col("text_sha256").alias(kept_sha)), "kept")
     scratch.drop("local")
     white = F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), r"[\x20\x09-\x0D]+", " ")
-    same = F.col(id_col).cast("long").eqNullSafe(F.col("_kept_id")) & (F.col("_sha") == F.col("_kept_sha"))
-    first = Window.partitionBy(id_col, "_sha").orderBy(F.lit(1))
-    return (docs.withColumn("_sha", F.sha2(white.cast("binary"), 256))
+    same = F.col(id_col).cast("long").eqNullSafe(F.col(kept_id)) & (F.col(sha) == F.col(kept_sha))
+    first = Window.partitionBy(id_col, sha).orderBy(F.lit(1))
+    return (docs.withColumn(sha, F.sha2(white.cast("binary"), 256))
             .join(kept, same, "left_semi")
-            .withColumn("_row", F.row_number().over(first)).filter("_row = 1")
-            .drop("_row", "_sha"))
+            .withColumn(place, F.row_number().over(first)).filter(F.col(place) == 1)
+            .select(*docs.columns))

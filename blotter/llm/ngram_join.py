@@ -17,8 +17,10 @@ array.  Two documents link when 100 * |A & B| >= percent * |A | B|.
 * **Tiles.**  Groups that still hold several components are cut into blocks of
   bounded rows and bytes; in each block pair, the bit counts of hashed bitmaps
   bound the overlap from above: |A & B| <= (|A| + |B| - popcount(a ^ b)) / 2.
-  Survivors are tested on their sorted arrays at once, unless their components
-  have met in this tile, and only links that join two components leave it.
+  Of the pairs left, each tile first names a spanning forest of its components,
+  which is tested on the sorted arrays.  Rows that may still link to another
+  component bring their arrays to the tile; pairs are tested there unless their
+  components have met, and only links that join two components leave it.
 * Equal sets are represented once, so groups of copies are never expanded.
 
 A tile returns fewer links than it has rows, and no pair list of a group is ever written; hubs are salted by the number
@@ -38,7 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from blotter.llm.common import Scratch, mix64
+from blotter.llm.common import Scratch, few_rows, free_names, mix64
 from blotter.llm.components import connected_components
 
 _RATIO = 1.3
@@ -169,7 +171,7 @@ def _stars(batches):
 
 def _payload(n: int):
     def run(batches):
-        for batch in batches:
+        for batch in few_rows(batches):
             sets = [shingles(t, n).tobytes() for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())],
                                              names=["node", "shingles"])
@@ -181,7 +183,7 @@ def _exact(percent: int):
     """Rows sorted by tile with the hub first -> links (u, v) of the hub."""
     def run(batches):
         hub, of = None, None
-        for batch in batches:
+        for batch in few_rows(batches):
             out = []
             for x, salt, role, node, raw in zip(*(c.to_pylist() for c in batch.columns)):
                 s = np.frombuffer(raw, np.uint64)
@@ -225,52 +227,101 @@ def fold(b: np.ndarray, words: int) -> np.ndarray:
 
 
 def _bitmaps(batches):
-    for batch in batches:
+    for batch in few_rows(batches):
         sets = [np.frombuffer(b, np.uint64) for b in batch.column(1).to_pylist()]
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
              pa.array([bitmap(s).tobytes() for s in sets], pa.binary())], names=["node", "n", "bits"])
 
 
+def _likely(i: int, n: np.ndarray, bits: np.ndarray, open_: np.ndarray, percent: int) -> list[int]:
+    """Rows after i, of those marked open, that the bit counts do not rule out; the most alike first."""
+    at = i + 1 + np.flatnonzero(open_[i + 1:])
+    total = n[i] + n[at]
+    differ = np.bitwise_count(bits[i] ^ bits[at]).sum(axis=1, dtype=np.int64)
+    overlap = np.minimum((total - differ) // 2, np.minimum(n[i], n[at]))
+    order = np.argsort(differ, kind="stable")
+    return at[order[(100 * overlap >= percent * (total - overlap))[order]]].tolist()
+
+
+def _stacked(maps: list[np.ndarray]) -> np.ndarray:
+    words = min(len(m) for m in maps)
+    return np.stack([fold(m, words) for m in maps])
+
+
+def _by_tile(batches, work, schema: list[tuple]):
+    """Rows sorted by their first three columns (sig, i, j): one batch of ``work(key, rows)`` a batch or tile."""
+    def out(rows):
+        cols = list(zip(*rows)) if rows else [()] * len(schema)
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(cols, schema)], names=[x for x, _ in schema])
+
+    at, tile = None, []
+    for batch in few_rows(batches):
+        rows = []
+        for sig, i, j, *row in zip(*(c.to_pylist() for c in batch.columns)):
+            if at != (sig, i, j):
+                if len(tile) > 1:
+                    rows += work(at, tile)
+                at, tile = (sig, i, j), []
+            tile.append(row)
+        yield out(rows)
+    if len(tile) > 1:
+        yield out(list(work(at, tile)))
+
+
+_LINK = [("u", pa.int64()), ("v", pa.int64())]
+_TILE_ROW = [("sig", pa.int64()), ("i", pa.int32()), ("j", pa.int32()), ("side", pa.int32()), ("node", pa.int64()),
+             ("component", pa.int64())]
+_TILE_KEY = "sig long, i int, j int, side int, node long, component long"
+
+
+def _columns(tile: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return tuple(np.array([r[k] for r in tile], np.int64) for k in (0, 1, 2))
+
+
+def _forest(percent: int):
+    """Tiles of (side, node, component, n, bits) -> pairs that the bit counts allow, a spanning forest of the components."""
+    def work(key, tile):
+        side, node, comp = _columns(tile)
+        n, bits = np.array([r[3] for r in tile], np.int64), _stacked([np.frombuffer(r[4], np.uint64) for r in tile])
+        for i in range(len(tile) - 1):
+            for j in _likely(i, n, bits, (comp != comp[i]) & ((key[1] == key[2]) | (side != side[i])), percent):
+                if comp[j] != comp[i]:
+                    comp[comp == comp[j]] = comp[i]
+                    yield tuple(sorted((int(node[i]), int(node[j]))))
+
+    return lambda batches: _by_tile(batches, work, _LINK)
+
+
+def _still_open(percent: int):
+    """Tiles of (side, node, component, n, bits) -> their rows that may link to a row of another component."""
+    def work(key, tile):
+        side, node, comp = _columns(tile)
+        n, bits = np.array([r[3] for r in tile], np.int64), _stacked([np.frombuffer(r[4], np.uint64) for r in tile])
+        may = np.zeros(len(tile), bool)
+        for i in range(len(tile) - 1):
+            js = _likely(i, n, bits, (comp != comp[i]) & ((key[1] == key[2]) | (side != side[i])), percent)
+            may[js] = True
+            may[i] |= bool(js)
+        for k in np.flatnonzero(may):
+            yield (*key, int(side[k]), int(node[k]), int(comp[k]))
+
+    return lambda batches: _by_tile(batches, work, _TILE_ROW)
+
+
 def _tiles(percent: int):
-    """Rows sorted by (sig, i, j) -> links that join two components of the tile."""
-    def joins(tile: list, diagonal: bool):
+    """Tiles of (side, node, component, shingles) -> links that join two components of the tile."""
+    def work(key, tile):
+        side, node, comp = _columns(tile)
         sets = [np.frombuffer(r[3], np.uint64) for r in tile]
-        maps = [bitmap(s) for s in sets]
-        words = min(len(m) for m in maps)
-        bits = np.stack([fold(m, words) for m in maps])
-        node, comp, side = (np.array([r[k] for r in tile], np.int64) for k in (0, 1, 2))
-        n = np.array([len(s) for s in sets], np.int64)
+        n, bits = np.array([len(s) for s in sets], np.int64), _stacked([bitmap(s) for s in sets])
         for i in range(len(tile) - 1):
-            rest = slice(i + 1, None)
-            ok = comp[rest] != comp[i]
-            if not diagonal:
-                ok &= side[rest] != side[i]
-            at = i + 1 + np.flatnonzero(ok)
-            total = n[i] + n[at]
-            differ = np.bitwise_count(bits[i] ^ bits[at]).sum(axis=1, dtype=np.int64)
-            overlap = np.minimum((total - differ) // 2, np.minimum(n[i], n[at]))
-            likely = np.argsort(differ, kind="stable")
-            for j in at[likely[(100 * overlap >= percent * (total - overlap))[likely]]].tolist():
+            for j in _likely(i, n, bits, (comp != comp[i]) & ((key[1] == key[2]) | (side != side[i])), percent):
                 if comp[j] != comp[i] and linked(sets[i], sets[j], percent):
                     comp[comp == comp[j]] = comp[i]
                     yield tuple(sorted((int(node[i]), int(node[j]))))
 
-    def run(batches):
-        at, tile = None, []
-        for batch in batches:
-            out = []
-            for sig, i, j, side, node, comp, raw in zip(*(c.to_pylist() for c in batch.columns)):
-                if at != (sig, i, j):
-                    if len(tile) > 1:
-                        out += joins(tile, at[1] == at[2])
-                    at, tile = (sig, i, j), []
-                tile.append((node, comp, side, raw))
-            yield _pairs(out)
-        if len(tile) > 1:
-            yield _pairs(list(joins(tile, at[1] == at[2])))
-
-    return run
+    return lambda batches: _by_tile(batches, work, _LINK)
 
 
 def possible(n: int, a: np.ndarray, m: int, b: np.ndarray, percent: int) -> bool:
@@ -283,7 +334,7 @@ def possible(n: int, a: np.ndarray, m: int, b: np.ndarray, percent: int) -> bool
 
 def _bounded(percent: int):
     def run(batches):
-        for batch in batches:
+        for batch in few_rows(batches):
             yield _pairs([(u, v) for u, v, n, a, m, b in zip(*(c.to_pylist() for c in batch.columns))
                           if possible(n, np.frombuffer(a, np.uint64), m, np.frombuffer(b, np.uint64), percent)])
 
@@ -359,8 +410,14 @@ def ngram_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
     near = scratch.stage(_bound(hubs, bits, percent), "near")
     links = scratch.stage(_verify(near, payload, percent, per_hub), "links-0")
     known = scratch.stage(connected_components(links, scratch, "known"), "known")
-    tiles = _open_links(stars, name, known, bits, payload, percent, block)
-    more = scratch.stage(links.union(tiles), "links-1")
+    first = _open_tiles(stars, name, known, bits, block).mapInArrow(_forest(percent), "u long, v long").distinct()
+    more = scratch.stage(links.union(_verify(scratch.stage(first, "forest"), payload, percent, per_hub)), "links-1")
+    known = scratch.stage(connected_components(more, scratch, "grown"), "grown")
+    rest = scratch.stage(_open_tiles(stars, name, known, bits, block).mapInArrow(_still_open(percent), _TILE_KEY), "open")
+    last = (rest.join(payload, "node").select("sig", "i", "j", "side", "node", "component", "shingles")
+            .repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j").mapInArrow(_tiles(percent), "u long, v long"))
+    star = known.select(F.col("node").alias("u"), F.col("component").alias("v")).filter("u <> v")
+    more = scratch.stage(star.union(last), "links-2")
     comp = connected_components(more, scratch, "all")
     member = nodes.join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = member.groupBy("component").agg(F.min("low").alias("component_id"))
@@ -371,9 +428,8 @@ def ngram_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
                     .alias("component_id")))
 
 
-def _open_links(stars: DataFrame, name: DataFrame, known: DataFrame, bits: DataFrame, payload: DataFrame,
-                percent: int, block: int) -> DataFrame:
-    """Links that join components inside groups of three or more rows which still hold several."""
+def _open_tiles(stars: DataFrame, name: DataFrame, known: DataFrame, bits: DataFrame, block: int) -> DataFrame:
+    """Rows with their bitmaps, sorted by tile, of the groups of three or more rows that still hold several components."""
     rows = (stars.select("sig", "uid").union(stars.select("sig", F.col("hub").alias("uid"))).distinct()
             .join(name, F.col("uid") == F.col("_u")).select("sig", F.col("_node").alias("node")).distinct()
             .join(known, "node", "left").withColumn("component", F.coalesce("component", "node")))
@@ -383,29 +439,29 @@ def _open_links(stars: DataFrame, name: DataFrame, known: DataFrame, bits: DataF
                    F.sum(F.xxhash64("node", F.lit(7)).cast("decimal(38,0)")).alias("h1"))
               .filter("k > 2 and c0 <> c1")
               .groupBy("k", "h0", "h1").agg(F.min("sig").alias("sig")))     # one of the groups with the same rows
-    sized = (rows.join(groups.select("sig"), "sig").join(bits.select("node", "n"), "node"))
-    blocks = sized.groupBy("sig").agg(F.greatest(F.ceil(F.count("*") / block), F.ceil(F.sum("n") / _TILE_ELEMENTS))
+    sized = rows.join(groups.select("sig"), "sig").join(bits.select("node", F.col("n").alias("_n")), "node")
+    blocks = sized.groupBy("sig").agg(F.greatest(F.ceil(F.count("*") / block), F.ceil(F.sum("_n") / _TILE_ELEMENTS))
                                       .cast("int").alias("blocks"))
     dealt = (sized.join(blocks, "sig").withColumn("b", F.pmod(F.hash("node"), "blocks"))
              .withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .select("sig", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j"),
-                     F.col("b").alias("side"), "node", "component").join(payload, "node")
-             .select("sig", "i", "j", "side", "node", "component", "shingles"))
-    return (dealt.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j")
-            .mapInArrow(_tiles(percent), "u long, v long"))
+                     F.col("b").alias("side"), "node", "component").join(bits, "node")
+             .select("sig", "i", "j", "side", "node", "component", "n", "bits"))
+    return dealt.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j")
 
 
 def keep_one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                            n: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` whose id is its component's smallest; all columns unchanged.
+    """The rows of ``docs`` whose id is its component's smallest; all columns unchanged, whatever their names.
 
-    Ids are expected to be unique (exact dedup runs before); a null id stays
+    Every row of that id stays, so exact dedup runs before; a null id stays
     only if its component has no other id.
     """
     scratch = Scratch(docs.sparkSession, "ngram-join")
     comp = ngram_components(docs, n, percent, id_col, text_col, scratch=scratch)
-    keep = scratch.stage(comp.filter("doc_id <=> component_id").select(F.col("doc_id").alias("_keep")).distinct(),
-                         "keep")
-    for written in ("rows", "nodes", "stars", "hubs", "payload", "bits", "near", "links-0", "known", "links-1"):
+    kept = free_names(docs, "_keep")[0]
+    keep = scratch.stage(comp.filter("doc_id <=> component_id").select(F.col("doc_id").alias(kept)).distinct(), "keep")
+    for written in ("rows", "nodes", "stars", "hubs", "payload", "bits", "near", "links-0", "known", "forest",
+                    "links-1", "grown", "open", "links-2"):
         scratch.drop(written)
-    return docs.join(keep, docs[id_col].cast("long").eqNullSafe(F.col("_keep")), "left_semi")
+    return docs.join(keep, docs[id_col].cast("long").eqNullSafe(F.col(kept)), "left_semi")

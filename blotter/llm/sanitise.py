@@ -2,21 +2,22 @@
 
 Protected entities are the e-mail addresses, IP addresses, card and phone
 numbers that the patterns find.  A term in a document with an entity discloses
-it to the degree that knowing the term answers which entity it is:
-
-    disclosure(t, e) = log(p(e | t) / p(e)) / -log p(e)
-
-(pointwise mutual information over the entity's own information; near 1 when
-the term occurs in no document without the entity).  All counts are of distinct
-texts, so copies are no evidence; p(e | t) = (both + 1/6) / (docs_t + 1/3), the
-median under Jeffreys' prior, so few documents make a term less certain.  Every
-term of every document with an entity is scored, also of entities that stand in
-one document (``min_support`` above 1 leaves out rarer pairs).  A term is
-generalised from ``generalise_at`` on and removed from ``remove_at`` on,
-wherever it stands in the documents with that entity (other documents keep it).
-
-The text is read once for entities, once for the documents that hold one (a
-copy of each is written), once for the rows that hold each term and once for
+it when two things hold: the entity is likely once the term is known,
+
+    p(e | t) = (both + 1/6) / (docs_t + 1/3)  >=  ``generalise_at``
+
+(the median under Jeffreys' prior, so few documents make a term less certain),
+and the term says much that was not known before: the pointwise mutual
+information log(p(e | t) / p(e)) is at least ``least_gain`` nats.  Neither
+threshold depends on the size of the table.  All counts are of distinct texts,
+so copies are no evidence.  Every term of every document with an entity is
+scored, also of entities that stand in one document (``min_support`` above 1
+leaves out rarer pairs).  A term is removed from ``remove_at`` on, generalised
+below, wherever it stands in the documents with that entity (other documents
+keep it).
+
+The text is read once for entities, once for the documents that hold one (only
+these are shuffled; a copy of each is written), once for the rows that hold each term and once for
 the texts that have copies, whose further rows are taken off those counts.
 Matches and counts are narrow rows; positions come from running sums over the
 pieces between matches, so long texts with many matches stay linear.
@@ -24,10 +25,12 @@ pieces between matches, so long texts with many matches stay linear.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from blotter.llm.common import Scratch
+from blotter.llm.common import Scratch, free_names
 
 #: The contract's patterns with possessive quantifiers, and starts only where a leftmost match can
 #: start, so that no text makes them backtrack quadratically.
@@ -96,14 +99,15 @@ class Findings:
     """Written narrow tables of one corpus: ``rows`` (uid, doc_id, loc) and ``spans`` (uid, kind, start, end, action)."""
 
     def __init__(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 min_support: int = 1, generalise_at: float = 0.9, remove_at: float = 0.98):
+                 min_support: int = 1, generalise_at: float = 0.8, remove_at: float = 0.9,
+                 least_gain: float = math.log(5)):
         scratch = Scratch(docs.sparkSession, "sanitise")
         text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
         found = scratch.stage(docs.select(
             F.monotonically_increasing_id().alias("uid"), F.col(id_col).alias("doc_id"),
             F.xxhash64(text).alias("loc"),
             F.concat(*[_matches(text, k) for k in KINDS]).alias("found")), "found")
-        self.rows = found.select("uid", "doc_id", "loc")
+        self.rows = scratch.stage(found.select("uid", "doc_id", "loc"), "rows")
         upto = Window.partitionBy("uid", "kind").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
         base = (found.select("uid", F.col("loc").alias("content"), F.inline("found"))
                 .withColumn("end", F.sum(F.col("gap") + F.length("value")).over(upto))
@@ -111,19 +115,22 @@ class Findings:
                 .filter(_valid(F.col("kind"), F.col("value")))
                 .withColumn("entity", _entity(F.col("kind"), F.col("value"))).drop("gap", "value"))
         base = scratch.stage(base, "base")
+        scratch.drop("found")
         every = docs.select(F.xxhash64(text).alias("content"), text.alias("text"))
-        texts = scratch.stage(every.join(base.select("content").distinct(), "content", "left_semi")
-                              .dropDuplicates(["content"]), "texts")
+        holding = F.exists(F.concat(*[_matches(F.col("text"), k) for k in KINDS]), lambda x: _valid(x["kind"], x["value"]))
+        texts = scratch.stage(every.filter(holding).dropDuplicates(["content"]), "texts")
         # entities that stand in the same texts are disclosed alike: one row a set of texts
         held = base.select("entity", "content").distinct()
         groups = held.groupBy("entity").agg(
             F.count("*").alias("docs_e"), F.xxhash64(F.count("*"), F.bit_xor("content"), F.bit_xor(F.xxhash64("content"))).alias("g"))
         holds = scratch.stage(held.join(groups, "entity").select("g", "docs_e", "content").distinct(), "holds")
         both = holds.join(texts.select("content", F.explode(_distinct_terms(F.col("text"))).alias("term")), "content")
-        self.disclosing = self._weigh(every, self.rows, both, min_support, generalise_at, scratch)
-        hits = (both.join(self.disclosing, ["g", "term"])
+        disclosing = self._weigh(every, self.rows, both, min_support, generalise_at, least_gain, scratch)
+        hits = (both.join(disclosing, ["g", "term"])
                 .groupBy("content", "term").agg(F.max("disclosure").alias("disclosure")))
         hits = scratch.stage(hits, "hits")
+        for done in ("holds", "pairs", "copies", "disclosing"):
+            scratch.drop(done)
         extra = (_places(texts.join(hits.select("content").distinct(), "content", "left_semi"))
                  .join(hits, ["content", "term"])
                  .select("content", "start", "end", F.when(F.col("disclosure") >= remove_at, "remove")
@@ -135,9 +142,11 @@ class Findings:
         extra = self.rows.join(extra, F.col("loc") == F.col("content")).select("uid", F.inline("x"))
         self.spans = scratch.stage(
             base.select("uid", "kind", "start", "end", F.lit("generalise").alias("action")).unionByName(extra), "spans")
+        for done in ("base", "texts", "hits"):
+            scratch.drop(done)
 
     @staticmethod
-    def _weigh(every, rows, both, min_support, generalise_at, scratch) -> DataFrame:
+    def _weigh(every, rows, both, min_support, generalise_at, least_gain, scratch) -> DataFrame:
         """(g, term, disclosure) of the terms that disclose an entity of the group g."""
         pair = (both.groupBy("g", "docs_e", "term").agg(F.count("*").alias("both"))
                 .filter(F.col("both") >= min_support).withColumn("h", F.xxhash64("term")))
@@ -152,15 +161,11 @@ class Findings:
                  .select("content", F.explode(hashes).alias("h")).join(copies, "content")
                  .groupBy("h").agg(F.sum("more").alias("more")))
         spread = terms.groupBy("h").agg(F.count("*").alias("rows_t"))
-        scored = (pair.join(spread, "h").join(again, "h", "left").withColumn("n", n)
-                  .withColumn("disclosure", _disclosure(F.col("rows_t") - F.coalesce("more", F.lit(0)))))
-        return scratch.stage(scored.select("g", "term", "disclosure")
-                             .filter(F.col("disclosure") >= generalise_at), "disclosing")
-
-
-def _disclosure(docs_t: Column) -> Column:
-    gain = F.log((F.col("both") + 1 / 6) / (docs_t + 1 / 3))
-    return F.when(F.col("docs_e") >= F.col("n"), F.lit(0.0)).otherwise(1 + gain / F.log(F.col("n") / F.col("docs_e")))
+        likely = (F.col("both") + 1 / 6) / (F.col("rows_t") - F.coalesce("more", F.lit(0)) + 1 / 3)
+        scored = pair.join(spread, "h").join(again, "h", "left").withColumn("n", n).withColumn("disclosure", likely)
+        gain = F.log(F.col("disclosure") * F.col("n") / F.col("docs_e"))
+        return scratch.stage(scored.filter((F.col("disclosure") >= generalise_at) & (gain >= least_gain))
+                             .select("g", "term", "disclosure"), "disclosing")
 
 
 def find_private(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **limits) -> DataFrame:
@@ -192,9 +197,9 @@ def find_private(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **limits) -> DataFrame:
     """``docs`` with every span replaced by ``[KIND]`` (a term to remove: by nothing); other columns unchanged.
 
-    Overlapping spans are replaced once, by the kind of the first.  Rows are
-    expected to be unique in (id, text), as they are after exact dedup; null
-    text stays null.
+    Overlapping spans are replaced once, by the kind of the first.  Every row
+    comes back once, repeated rows and null ids included; null text stays
+    null, and columns may have any names.
     """
     found = Findings(docs, id_col, text_col, **limits)
     before = Window.partitionBy("uid").orderBy("start", F.desc("end")).rowsBetween(Window.unboundedPreceding, -1)
@@ -205,13 +210,14 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
              .groupBy("uid", "g").agg(F.min("start").alias("from"), F.max("end").alias("to"),
                                       F.min_by(put, F.struct("start", -F.col("end"))).alias("put"))
              .groupBy("uid").agg(F.array_sort(F.collect_list(F.struct("from", "to", "put"))).alias("_cuts")))
-    cuts = (found.rows.join(joint, "uid")
-            .select(F.col("doc_id").alias("_id"), F.col("loc").alias("_loc"), "_cuts"))
-    text, s = F.col(text_col), F.col("_cuts")
+    cut, id_, loc = free_names(docs, "_cuts", "_id", "_loc")
+    cuts = (found.rows.join(joint, "uid")      # rows of one id and text have the same cuts
+            .select(F.col("doc_id").alias(id_), F.col("loc").alias(loc), F.col("_cuts").alias(cut)).dropDuplicates([id_, loc]))
+    text, s = F.col(text_col), F.col(cut)
     pieces = F.transform(s, lambda x, k: F.concat(F.substring(
         text, F.coalesce(F.get(s, k - 1)["to"], F.lit(0)).cast("int") + 1,
         (x["from"] - F.coalesce(F.get(s, k - 1)["to"], F.lit(0))).cast("int")), x["put"]))
     tail = F.substring(text, F.get(s, F.size(s) - 1)["to"].cast("int") + 1, F.length(text))
     clean = F.when(s.isNull(), text).otherwise(F.concat(F.array_join(pieces, ""), tail))
-    same = docs[id_col].eqNullSafe(cuts["_id"]) & (F.xxhash64(F.coalesce(text, F.lit(""))) == cuts["_loc"])
+    same = docs[id_col].eqNullSafe(cuts[id_]) & (F.xxhash64(F.coalesce(text, F.lit(""))) == cuts[loc])
     return docs.join(cuts, same, "left").withColumn(text_col, clean).select(*docs.columns)

@@ -1,14 +1,15 @@
-import re
-
 import public_tokenizers
 from test_ngram_join import word_sets
 from test_packing import check
-from test_sanitise import PATTERNS, ok
+from test_sanitise import masked, term_actions
 
 import corpus_pipeline
 from blotter.llm.common import collapse_white
+from blotter.llm.exact_dedup import drop_exact_duplicates
 from blotter.llm.labels import fold
 from blotter.llm.line_crf import fit, score_quality
+from blotter.llm.ngram_join import keep_one_per_component
+from blotter.llm.sanitise import sanitise
 
 
 def linked(rows):
@@ -29,16 +30,6 @@ def linked(rows):
     return [(d, t) for d, t in rows if find(d) == d]
 
 
-def masked(text):
-    spans = sorted((m.start(), -m.end(), k) for k, p in PATTERNS.items() for m in re.finditer(p, text) if ok(k, m.group()))
-    out, at = "", 0
-    for start, end, kind in spans:
-        if start >= at:
-            out += text[at:start] + f"[{kind.upper()}]"
-        at = max(at, -end)
-    return out + text[at:]
-
-
 def test_stages_against_brute_force(spark, tmp_path):
     sf_dir = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
@@ -60,7 +51,9 @@ def test_stages_against_brute_force(spark, tmp_path):
         elif name == "ngram_join":
             rows = linked(rows)
         elif name == "sanitise":
-            rows = [(d, masked(t)) for d, t in rows]       # no term has the support here
+            actions = term_actions([t for _, t in rows])
+            assert any(actions.values())
+            rows = [(d, masked(t, actions[t])) for d, t in rows]
         if k < len(corpus_pipeline.STAGES) - 1:
             assert got.columns == columns
             assert sorted((r.doc_id, r.text) for r in got.collect()) == sorted(rows)
@@ -72,6 +65,17 @@ def test_stages_against_brute_force(spark, tmp_path):
     assert public_tokenizers.path("byte_bpe_50k.json")
 
 
+def test_stages_take_columns_of_any_name(spark):
+    """Names that the stages use themselves, and repeated rows: columns and row counts stay defined."""
+    text = "The and of a line of plain words from a.b@c.de. " * 5
+    names = ["_sha", "_row", "_kept_id", "_kept_sha", "_keep", "_cuts", "_id", "_loc"]
+    rows = [(d, t, *range(8)) for d, t in [(1, text), (1, text), (2, "other words entirely"), (None, None), (3, text + "x")]]
+    df = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{n} int" for n in names))
+    for stage, count in ((drop_exact_duplicates, 4), (keep_one_per_component, 4), (sanitise, 5)):
+        out = stage(df)
+        assert out.columns == df.columns and out.count() == count
+
+
 def test_empty_and_odd_rows(spark, tmp_path):
     spark.read.parquet("/root/testdata/sf0.001/labels.parquet").write.parquet(str(tmp_path / "labels.parquet"))
     schema = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").schema

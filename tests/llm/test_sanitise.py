@@ -3,6 +3,8 @@ import math
 import random
 import re
 
+import regex
+
 from blotter.llm.sanitise import find_private, sanitise
 
 SCHEMA = "doc_id long, text string"
@@ -28,6 +30,51 @@ def base(text):
     return [f"{k}:{m.start()}:{m.end()}" for k, p in PATTERNS.items() for m in re.finditer(p, text or "") if ok(k, m.group())]
 
 
+def base_spans(text):
+    return [(m.start(), m.end(), k, m.group()) for k, p in PATTERNS.items() for m in re.finditer(p, text or "") if ok(k, m.group())]
+
+
+def entity(kind, value):
+    return kind + ":" + (value.lower() if kind in ("email", "ip") else re.sub("[^0-9]", "", value))
+
+
+def words(text):
+    return [(m.start(), m.end(), m.group().lower()) for m in regex.finditer(r"[\p{L}\p{M}]+", text)]
+
+
+def term_actions(texts, generalise_at=0.8, remove_at=0.9, least_gain=math.log(5)):
+    """text -> {term: action}, recounted from the definition over distinct texts."""
+    distinct = {t or "" for t in texts}
+    holders = {t: {entity(k, v) for _, _, k, v in base_spans(t)} for t in distinct}
+    terms = {t: {w for _, _, w in words(t)} for t in distinct}
+    out = {}
+    for t in distinct:
+        best = {}
+        for e in holders[t]:
+            held = [u for u in distinct if e in holders[u]]
+            for w in terms[t]:
+                both, having = sum(w in terms[u] for u in held), sum(w in terms[u] for u in distinct)
+                p = (both + 1 / 6) / (having + 1 / 3)
+                if p >= generalise_at and math.log(p * len(distinct) / len(held)) >= least_gain:
+                    best[w] = max(best.get(w, 0), p)
+        out[t] = {w: "remove" if p >= remove_at else "generalise" for w, p in best.items()}
+    return out
+
+
+def masked(text, actions):
+    """The text with base spans as [KIND], disclosing terms outside of them as [TERM] or removed."""
+    base = base_spans(text)
+    spans = [(s, -e, f"[{k.upper()}]") for s, e, k, _ in base]
+    spans += [(s, -e, "" if actions[w] == "remove" else "[TERM]") for s, e, w in words(text)
+              if w in actions and not any(s < y and x < e for x, y, _, _ in base)]
+    out, at = "", 0
+    for start, end, put in sorted(spans):
+        if start >= at:
+            out += text[at:start] + put
+        at = max(at, -end)
+    return out + text[at:]
+
+
 CARD = "4111 1111 1111 1111"
 
 
@@ -125,3 +172,31 @@ def test_entities_that_occur_once_or_twice(spark):
     terms = {r.doc_id: [s for s in r.spans.split(",") if s.startswith("term")] for r in find_private(df).collect()}
     assert terms.pop(0) == ["term:0:7"] and terms.pop(1) == ["term:0:6"] and terms.pop(2) == ["term:0:6"]
     assert not any(terms.values())
+
+
+def test_every_span_against_a_recount(spark):
+    """Terms and actions recounted from the definition: copies, shared and single entities, repeated rows, odd columns."""
+    rng = random.Random(11)
+    names = [f"n{chr(97 + k)}{'x' * k}" for k in range(12)]
+    rows = []
+    for i in range(90):
+        k = rng.randrange(12)
+        mail, who = rng.choice([(f"Mail{k}@host.org", names[k]), (f"u{i}@host.org", "Q" * (i + 1)), ("1.2.3.4", names[k]),
+                                (CARD, "somebody"), ("", "somebody")])
+        rows.append((i, f"{who} wrote {rng.choice(['about', 'to', 'of'])} {mail} {who.lower()} {'é' * (i % 7 + 1)}"))
+    rows += [(200 + i, rows[i][1]) for i in range(0, 90, 7)] + [rows[3], rows[3], (None, rows[4][1]), (300, None)]
+    df = spark.createDataFrame([(*r, 1, 2, 3) for r in rows], SCHEMA + ", _cuts int, _id int, _loc int")
+    actions = term_actions([t for _, t in rows])
+    assert any(actions.values()) and {a for x in actions.values() for a in x.values()} == {"remove", "generalise"}
+    out = sanitise(df)
+    assert out.columns == df.columns
+    want = [(d, None if t is None else masked(t, actions[t])) for d, t in rows]
+    assert sorted(((r.doc_id, r.text) for r in out.collect()), key=str) == sorted(want, key=str)
+
+
+def test_verdict_does_not_depend_on_the_size_of_the_table(spark):
+    rows = [(0, "Zorblax a.b@c.de plain"), (1, "Quuxly x@y.org plain"), (2, "Quuxly only plain")]
+    for more in (40, 400):
+        filler = [(10 + i, f"plain {'z' * (i % 40 + 1)} {'v' * (i // 40 + 1)}") for i in range(more)]
+        found = {r.doc_id: r.spans for r in find_private(spark.createDataFrame(rows + filler, SCHEMA)).collect()}
+        assert [found[d].split(",")[1:] for d in range(3)] == [["term:0:7"], [], []]
