@@ -38,8 +38,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The same documents; personal data and terms that disclose it in three texts are generalised or removed."""
-    clean = sanitise(docs, min_support=3)
+    """The same documents; personal data and the terms that disclose it are generalised or removed."""
+    clean = sanitise(docs)
     return clean.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else clean
 
 
