@@ -52,6 +52,10 @@ class Scratch:
         path = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{table}")
         path.getFileSystem(conf).delete(path, True)
 
+    def release(self) -> None:
+        """Let Spark's cleaner delete the shuffle files of finished jobs now; it waits for the driver's garbage collection."""
+        self.spark._jvm.System.gc()
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One table of a data folder, with the session made ready for this package's Python functions."""

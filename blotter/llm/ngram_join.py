@@ -393,6 +393,7 @@ def ngram_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
             .repartition("sig").sortWithinPartitions("sig", "uid")
             .mapInArrow(_stars, "sig long, hub long, uid long"), "stars")
     scratch.drop("sets")                     # the signatures are no longer needed
+    scratch.release()
     name = nodes.select(F.col("uid").alias("_u"), F.col("node").alias("_node"))
     hubs = (stars.select("hub", "uid").distinct()
             .join(name, F.col("hub") == F.col("_u")).drop("_u").withColumnRenamed("_node", "u")
@@ -410,10 +411,14 @@ def ngram_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
     near = scratch.stage(_bound(hubs, bits, percent), "near")
     links = scratch.stage(_verify(near, payload, percent, per_hub), "links-0")
     known = scratch.stage(connected_components(links, scratch, "known"), "known")
-    first = _open_tiles(stars, name, known, bits, block).mapInArrow(_forest(percent), "u long, v long").distinct()
+    scratch.release()
+    open_ = scratch.stage(_open_rows(_group_rows(stars, name), known), "open-0")
+    first = _tiled(open_, bits, block).mapInArrow(_forest(percent), "u long, v long").distinct()
     more = scratch.stage(links.union(_verify(scratch.stage(first, "forest"), payload, percent, per_hub)), "links-1")
     known = scratch.stage(connected_components(more, scratch, "grown"), "grown")
-    rest = scratch.stage(_open_tiles(stars, name, known, bits, block).mapInArrow(_still_open(percent), _TILE_KEY), "open")
+    scratch.release()
+    open_ = _open_rows(open_.select("sig", "node"), known)       # components only grow: closed groups stay closed
+    rest = scratch.stage(_tiled(open_, bits, block).mapInArrow(_still_open(percent), _TILE_KEY), "open-1")
     last = (rest.join(payload, "node").select("sig", "i", "j", "side", "node", "component", "shingles")
             .repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j").mapInArrow(_tiles(percent), "u long, v long"))
     star = known.select(F.col("node").alias("u"), F.col("component").alias("v")).filter("u <> v")
@@ -428,18 +433,27 @@ def ngram_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
                     .alias("component_id")))
 
 
-def _open_tiles(stars: DataFrame, name: DataFrame, known: DataFrame, bits: DataFrame, block: int) -> DataFrame:
-    """Rows with their bitmaps, sorted by tile, of the groups of three or more rows that still hold several components."""
-    rows = (stars.select("sig", "uid").union(stars.select("sig", F.col("hub").alias("uid"))).distinct()
-            .join(name, F.col("uid") == F.col("_u")).select("sig", F.col("_node").alias("node")).distinct()
-            .join(known, "node", "left").withColumn("component", F.coalesce("component", "node")))
+def _group_rows(stars: DataFrame, name: DataFrame) -> DataFrame:
+    """(sig, node): the distinct sets of each group of documents with an equal segment."""
+    return (stars.select("sig", "uid").union(stars.select("sig", F.col("hub").alias("uid"))).distinct()
+            .join(name, F.col("uid") == F.col("_u")).select("sig", F.col("_node").alias("node")).distinct())
+
+
+def _open_rows(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """(sig, node, component) of the groups of three or more rows that hold several components."""
+    rows = rows.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
     groups = (rows.groupBy("sig")
               .agg(F.count("*").alias("k"), F.min("component").alias("c0"), F.max("component").alias("c1"),
                    F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("h0"),
                    F.sum(F.xxhash64("node", F.lit(7)).cast("decimal(38,0)")).alias("h1"))
               .filter("k > 2 and c0 <> c1")
               .groupBy("k", "h0", "h1").agg(F.min("sig").alias("sig")))     # one of the groups with the same rows
-    sized = rows.join(groups.select("sig"), "sig").join(bits.select("node", F.col("n").alias("_n")), "node")
+    return rows.join(groups.select("sig"), "sig").select("sig", "node", "component")
+
+
+def _tiled(rows: DataFrame, bits: DataFrame, block: int) -> DataFrame:
+    """The rows with their bitmaps, dealt to pairs of blocks of their group and sorted by tile."""
+    sized = rows.join(bits.select("node", F.col("n").alias("_n")), "node")
     blocks = sized.groupBy("sig").agg(F.greatest(F.ceil(F.count("*") / block), F.ceil(F.sum("_n") / _TILE_ELEMENTS))
                                       .cast("int").alias("blocks"))
     dealt = (sized.join(blocks, "sig").withColumn("b", F.pmod(F.hash("node"), "blocks"))
@@ -461,7 +475,7 @@ def keep_one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: st
     comp = ngram_components(docs, n, percent, id_col, text_col, scratch=scratch)
     kept = free_names(docs, "_keep")[0]
     keep = scratch.stage(comp.filter("doc_id <=> component_id").select(F.col("doc_id").alias(kept)).distinct(), "keep")
-    for written in ("rows", "nodes", "stars", "hubs", "payload", "bits", "near", "links-0", "known", "forest",
-                    "links-1", "grown", "open", "links-2"):
+    for written in ("rows", "nodes", "stars", "hubs", "payload", "bits", "near", "links-0", "known", "open-0", "forest",
+                    "links-1", "grown", "open-1", "links-2"):
         scratch.drop(written)
     return docs.join(keep, docs[id_col].cast("long").eqNullSafe(F.col(kept)), "left_semi")
