@@ -21,8 +21,8 @@ region:
 The cells of one region do not overlap, so a pair is produced at most once and
 no de-duplication is needed.  No join carries whole shapes.  The cover is
 broadcast only after its rows and bytes have been checked against bounds;
-beyond them the join shuffles, salted so that a hot cell is split over many
-tasks.  Where only counts per region are wanted, points are counted per
+beyond them the join shuffles, and only cells with very many points are
+salted, so that a hot cell is split over many tasks.  Where only counts per region are wanted, points are counted per
 coordinate first (:func:`tagged_counts`): geocoded feeds repeat coordinates.
 """
 
@@ -41,6 +41,7 @@ from blotter.session import materialize
 # Broadcast bounds for the region side: rows (cells or regions) and bytes of edges.
 MAX_BROADCAST_ROWS = 2_000_000
 MAX_BROADCAST_BYTES = 64 << 20
+HOT_POINTS = 1 << 17                         # points of a cell that one task of a shuffle join tests
 _ROUNDING = 2.0 ** -45                       # relative slack of the touch test, far above a double's rounding
 
 
@@ -183,16 +184,17 @@ def valid_points(points: DataFrame, x: str, y: str) -> DataFrame:
 def tag_points(points: DataFrame, regions: DataFrame, x: str = "Longitude", y: str = "Latitude",
                cell: float | None = None, id_col: str = "bor_subb", name_col: str = "name",
                geometry_col: str = "geometry", max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-               max_broadcast_bytes: int = MAX_BROADCAST_BYTES, salt: int = 32) -> DataFrame:
+               max_broadcast_bytes: int = MAX_BROADCAST_BYTES, salt: int = 32, hot: int = HOT_POINTS) -> DataFrame:
     """JN3/GEO2: every (point, region) pair where the point intersects the
     region (inside or on the boundary).  Output: point columns + id + name.
 
     The cover (:func:`region_cells`) is computed once and written.  Within
     ``max_broadcast_rows`` rows and ``max_broadcast_bytes`` of edges (32 bytes
     each): a broadcast hash join, the points are never shuffled.  Beyond it: a
-    shuffle join, with every cell replicated ``salt`` times and each point
-    sent to one replica chosen by a hash of the point, so a cell holding a
-    third of all points is split over ``salt`` tasks.
+    shuffle join.  Only a cell with more than ``hot`` points is replicated,
+    once a ``hot`` points and at most ``salt`` times, with each point sent to
+    one replica chosen by a hash of the point; so a cell holding a third of
+    all points is split over ``salt`` tasks, and the cover is shuffled once.
     """
     cover = materialize(region_cells(region_edges(regions, id_col, name_col, geometry_col), cell, id_col, name_col))
     size = cover.agg(F.count(F.lit(1)).alias("n"), F.sum(F.coalesce(F.size("edges"), F.lit(0))).alias("e"),
@@ -207,9 +209,14 @@ def tag_points(points: DataFrame, regions: DataFrame, x: str = "Longitude", y: s
     if fits:
         cand = pts.select(*points.columns, F.inline(at)).join(F.broadcast(cover), on)
     else:
-        replicas = F.explode(F.sequence(F.lit(0), F.lit(salt - 1))).alias("_salt")
-        pts = pts.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in points.columns]), F.lit(salt)))
-        cand = pts.select("*", F.inline(at)).join(cover.select("*", replicas), [*on, "_salt"])
+        full = F.broadcast(materialize(pts.select(F.inline(at)).groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+                                       .filter(F.col("_n") > hot)
+                                       .select(*on, F.least(F.ceil(F.col("_n") / hot), F.lit(salt)).alias("_salts"))))
+        salts = F.coalesce("_salts", F.lit(1))
+        replicas = F.explode(F.sequence(F.lit(0).cast("bigint"), salts - 1)).alias("_salt")
+        dealt = F.pmod(F.xxhash64(*[F.col(c) for c in points.columns]), salts).alias("_salt")
+        cand = (pts.select("*", F.inline(at)).join(full, on, "left").select(*points.columns, *on, dealt)
+                .join(cover.join(full, on, "left").select(*cover.columns, replicas), [*on, "_salt"]))
     hit = cand.filter(F.col("_interior") | point_in_cell(F.col(x), F.col(y), F.col("_right"), F.col("_parity"), F.col("edges")))
     return hit.select(*points.columns, id_col, name_col)
 

@@ -184,3 +184,38 @@ def test_large_polygon_with_a_hole(spark):
         for limit in ({}, {"max_broadcast_rows": 0}, {"max_broadcast_bytes": 0}):
             got = tag_points(df, regions, "x", "y", cell=cell, salt=3, **limit)
             assert sorted(r.i for r in got.collect()) == want
+
+
+def test_only_hot_cells_are_replicated(spark):
+    """Beyond the broadcast bounds the cover is shuffled once; a cell with many points alone is dealt over replicas."""
+    regions = spark.createDataFrame([(str(k), f"R{k}", f"POLYGON (({k} 0, {k + 3} 0, {k + 3} 3, {k} 3, {k} 0))")
+                                     for k in range(20)], "bor_subb string, name string, geometry string")
+    places = [(k, 0.5 + k, 1.5) for k in range(20)] + [(100 + k, 7.25, 1.25) for k in range(400)] + [(None, 7.25, 1.25)] * 2
+    points = spark.createDataFrame(places, "id long, x double, y double")
+    key = lambda df: sorted(tuple(r) for r in df.select(F.coalesce("id", F.lit(-1)), "bor_subb").collect())
+    want = sorted((-1 if i is None else i, str(k)) for i, x, _ in places for k in range(20) if k <= x <= k + 3)
+    for hot in (100, 1 << 17):
+        tagged = tag_points(points, regions, "x", "y", max_broadcast_rows=0, salt=32, hot=hot)
+        assert key(tagged) == want
+    # with no hot cell the join reads each cell once: 32 replicas of every cell before
+    once, salted = (_rows_joined(tag_points(points, regions, "x", "y", max_broadcast_rows=0, salt=n)) for n in (1, 32))
+    assert once == salted and sum(once) > 0
+
+
+def _rows_joined(df):
+    """Rows of the cover that a shuffle join of ``df`` exchanges."""
+    df.collect()
+    plan, found = df._jdf.queryExecution().executedPlan(), []
+    plan = plan.executedPlan() if plan.nodeName().startswith("Adaptive") else plan
+    todo = [plan]
+    while todo:
+        node = todo.pop()
+        name = node.nodeName()
+        if name.endswith("QueryStage"):
+            todo.append(node.plan())
+            continue
+        if name == "Exchange" and "_parity" in node.output().mkString(","):
+            found.append(node.metrics().apply("shuffleRecordsWritten").value())
+        kids = node.children()
+        todo += [kids.apply(i) for i in range(kids.size())]
+    return tuple(found)
