@@ -19,18 +19,23 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from blotter.llm.common import Scratch
 from blotter.llm.word_cache import WordCache
+from blotter.llm.word_table import LastBlock, Ragged, blocks, joined, words_of
 
 END = (1).to_bytes(4, "little")              # id 1 ends every document
 # White space as Unicode has it (fixed values).
 _SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _CHUNK = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
-_SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([!-&(-/:-@\[-`{-~]*)")      # two pre-tokens: letters, signs
+_UNEVEN = f"^$|^[ \n]|[ \n]$|[ \n][ \n]|[\t\x0b-\r\x1c-\x1f{_SPACE.lstrip(chr(9) + '-' + chr(13) + ' ')}]"
+_LETTERS, _SIGNS = "A-Za-zÀ-ÖØ-öø-ɏ", r"!-&(-/:-@\[-`{-~"                # of words that are two pre-tokens
+_LONG = 1 << 26                              # longer texts are cut into words by Python
+_LINES = 1 << 15                             # words the tokenizer encodes at once
 _GROUP = 512                                 # workers whose open bins meet in one task
 _SHUT = 64                                   # shorter remainders are never cut
 
@@ -40,9 +45,9 @@ class ByteBpe:
 
     Its pre-tokenizer never joins white space to the character before it, and
     only a space to the character after it, so a text may be cut before each
-    run of white space.  New words are encoded together, one a line; those of
-    plain letters and signs go to the model in its own byte alphabet, which
-    spares them the pre-tokenizer.
+    run of white space.  The distinct words of a block of texts are encoded
+    together, one a line; those of plain letters and signs go to the model in
+    its own byte alphabet, which spares them the pre-tokenizer.
     """
 
     def __init__(self, path: str):
@@ -62,53 +67,62 @@ class ByteBpe:
             self.alphabet[b] = level.pre_tokenize_str(bytes([b, 0x80]).decode())[0][0][0]
         self.direct = Tokenizer(self.tok.model)
         self.direct.pre_tokenizer = pre_tokenizers.Split(self.alphabet[10], "isolated")
-        self.signs = WordCache(self._raw)
-        self.first = WordCache(self._lines)
-        self.later = WordCache(self._later)              # key: the word, with its newline if it starts a line
+        self.plain = LastBlock(lambda words: self._apart(words, True))      # key: the letters, with a space in front
+        self.mixed = LastBlock(lambda words: self._apart(words, False))     # key: the word, with a space in front
         self.other = WordCache(self._raw)                # key: the word with all white space before it
 
     def _raw(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes()
                 for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _apart(self, words: list[str], plain: bool) -> list[bytes]:
+    def _apart(self, words: list[str], plain: bool) -> Ragged:
         """Ids of words that hold no white space but one space in front."""
-        if not words:
-            return []
-        text = "\n".join(words)
-        if plain:
-            tok, text = self.direct, text.encode().decode("latin-1").translate(self.alphabet)
-        else:
-            tok = self.tok
-        ids = np.array(tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-        ends = [*(4 * np.flatnonzero(ids == self.line)).tolist(), 4 * len(ids)]
-        raw = ids.tobytes()
-        return [raw[a:b] for a, b in zip([0] + [e + 4 for e in ends[:-1]], ends)]
-
-    def _lines(self, words: list[str], space: str = "") -> list[bytes]:
-        split = [_SIMPLE.fullmatch(w) for w in words]
-        self.signs.need({m[2] for m in split if m and m[2]})
-        letters = iter(self._apart([space + m[1] for m in split if m], True))
-        others = iter(self._apart([space + w for w, m in zip(words, split) if not m], False))
-        return [next(others) if not m else next(letters) + self.signs[m[2]] if m[2] else next(letters) for m in split]
-
-    def _later(self, words: list[str]) -> list[bytes]:
-        line = np.array([self.line], "<u4").tobytes()
-        inside = iter(self._lines([w for w in words if w[0] != "\n"], " "))
-        starts = iter(self._lines([w[1:] for w in words if w[0] == "\n"]))
-        return [next(inside) if w[0] != "\n" else line + next(starts) for w in words]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        plain, other = [], []
-        for t in texts:
-            # single spaces and newlines between words, nothing else
-            even = t and " ".join(t.split()) == t.replace("\n", " ")
-            plain.append(t.replace("\n", " \n").split(" ") if even else None)
-            other.append([] if even else _CHUNK.findall(t))
-        self.first.need({p[0] for p in plain if p})
-        self.later.need(set().union(*(p[1:] for p in plain if p)))
+        out = [Ragged.of([])]
+        for lo in range(0, len(words), _LINES):
+            text = "\n".join(words[lo:lo + _LINES])
+            if plain:
+                tok, text = self.direct, text.encode().decode("latin-1").translate(self.alphabet)
+            else:
+                tok = self.tok
+            ids = np.array(tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.append(np.flatnonzero(ids == self.line), len(ids))
+            out.append(Ragged(ids[ids != self.line], np.diff(ends, prepend=-1) - 1))
+        return Ragged.concat(out)
+
+    def _words(self, words: pa.Array) -> Ragged:
+        """Ids of distinct words, each with its newline if it starts a line: line, letters, signs or the whole word."""
+        starts = pc.starts_with(words, "\n")
+        bare = pc.utf8_ltrim(words, "\n")
+        simple = pc.match_substring_regex(bare, f"^[{_LETTERS}]+[{_SIGNS}]*$")
+        signs = pc.if_else(simple, pc.replace_substring_regex(bare, f"^[{_LETTERS}]+", ""), "").dictionary_encode()
+        core = pc.if_else(simple, pc.replace_substring_regex(bare, f"[{_SIGNS}]+$", ""), bare)
+        key = pc.binary_join_element_wise(pc.if_else(starts, "", " "), core, "")
+        plain, mixed = key.filter(simple).dictionary_encode(), key.filter(pc.invert(simple))
+        parts = [Ragged.of([b"", np.array([self.line], "<u4").tobytes()]), Ragged.of(self._raw(signs.dictionary.to_pylist())),
+                 self.plain.of(plain.dictionary), self.mixed.of(mixed)]
+        first = np.cumsum([0] + [len(p.sizes) for p in parts])
+        at = np.empty((len(words), 3), np.int64)
+        is_simple = simple.to_numpy(zero_copy_only=False)
+        at[:, 0] = starts.to_numpy(zero_copy_only=False)
+        at[is_simple, 1] = first[2] + plain.indices.to_numpy()
+        at[~is_simple, 1] = first[3] + np.arange(len(mixed))
+        at[:, 2] = first[1] + signs.indices.to_numpy()
+        got = Ragged.concat(parts).take(at.ravel())
+        return Ragged(got.values, got.sizes.reshape(-1, 3).sum(axis=1))
+
+    def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
+        if isinstance(texts, list):
+            texts = pa.array(texts, pa.string())
+        # single spaces and newlines between words, nothing else
+        even = pc.and_(pc.invert(pc.match_substring_regex(texts, _UNEVEN)), pc.less(pc.binary_length(texts), _LONG))
+        # a text's first word has no space in front, like one that starts a line; its newline's id is cut off again
+        codes, sizes, words = words_of(texts.filter(even), first="\n")
+        even = even.to_pylist()
+        other = [_CHUNK.findall(t) for t in texts.filter(pa.array([not e for e in even], pa.bool_())).to_pylist()]
         self.other.need(set().union(*other))
-        return [self.first[p[0]] + self.later.join(p[1:]) if p else self.other.join(o) for p, o in zip(plain, other)]
+        plain = joined(self._words(words), codes, sizes)
+        rest = iter(other)
+        return [next(plain)[4:] if e else self.other.join(next(rest)) for e in even]
 
 
 @lru_cache(maxsize=2)
@@ -169,11 +183,10 @@ def _fill(path: str, capacity: int, max_waste: float):
         bpe, part = byte_bpe(path), TaskContext.get().partitionId()
         bins = Bins(capacity, part << 32)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 64):
-                some = batch.slice(lo, 64)
-                texts = [t or "" for t in some.column(1).to_pylist()]
+            for lo, rows in blocks(batch.column(1)):
+                some = batch.slice(lo, rows)
                 out = []
-                for doc, ids in zip(some.column(0).to_pylist(), bpe.encode(texts)):
+                for doc, ids in zip(some.column(0).to_pylist(), bpe.encode(some.column(1).fill_null(""))):
                     ids, start = ids + END, 0
                     total = len(ids) // 4
                     for length in cuts(total, capacity, max_waste):
@@ -255,11 +268,12 @@ def _cut_ids(path: str):
         bpe = byte_bpe(path)
         for batch in batches:
             out = []
-            texts = [t or "" for t in batch.column(0).to_pylist()]
-            for ids, pieces in zip(bpe.encode(texts), batch.column(1).to_pylist()):
-                ids += END
-                out += [(p["sequence_id"], p["offset"], ids[4 * p["start"]:4 * (p["start"] + p["length"])])
-                        for p in pieces]
+            for lo, rows in blocks(batch.column(0)):
+                some = batch.slice(lo, rows)
+                for ids, pieces in zip(bpe.encode(some.column(0).fill_null("")), some.column(1).to_pylist()):
+                    ids += END
+                    out += [(p["sequence_id"], p["offset"], ids[4 * p["start"]:4 * (p["start"] + p["length"])])
+                            for p in pieces]
             s, o, b = zip(*out) if out else ((), (), ())
             yield pa.RecordBatch.from_arrays([pa.array(s, pa.int64()), pa.array(o, pa.int64()),
                                               pa.array(b, pa.binary())], names=["sequence_id", "offset", "ids"])
