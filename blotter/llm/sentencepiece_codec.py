@@ -6,7 +6,8 @@ model holds a mark after another character, so words are encoded on their own.
 
 The distinct words of a block are sorted, which is the depth-first order of
 their trie: the forward states of the common prefix with the word before are
-reused, and only the new part is computed.  The forward state of a prefix is
+reused, and only the new part is computed.  The pieces that may end at a
+character are read off an automaton of all pieces, made as far as words need it.  The forward state of a prefix is
 its best segmentation.  The model ranks merges, so a segmentation is admissible
 exactly when every adjacent pair of pieces is left alone by the merges; the
 forward score of an admissible path is 0, of any other minus infinity, and one
@@ -24,16 +25,19 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401 - pa.compute
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from blotter.llm.common import few_rows
 from blotter.llm.word_cache import WordCache
+from blotter.llm.word_table import LastBlock, Ragged, blocks, joined, words_of
 
 MARK = "▁"
 _WORD = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 NEVER = math.inf                              # the rank of a pair that is no piece
-_PAIRS = 1_000_000                            # remembered pairs of pieces
+_PAIRS = 1_000_000                            # remembered pairs of pieces, and steps of the automaton
+_LONG = 1 << 26                               # longer texts are cut into words by Python
 
 
 class Codec:
@@ -55,13 +59,17 @@ class Codec:
                 self.raw[piece] = i.to_bytes(4, "little")
                 self.bytes_of.append(piece.replace(MARK, " ").encode())
         self.unknown = sp.unk_id()
-        self.tails = {p[k:] for p in self.rank for k in range(1, len(p))}      # ends of longer pieces
+        self.heads = {p[:k] for p in self.rank for k in range(1, len(p) + 1)}  # starts of pieces
+        self._forget()
         if any(MARK in p.lstrip(MARK) for p in self.rank):
             raise ValueError("a piece holds a mark inside: words cannot be encoded on their own")
         # no piece holds a newline, so the merges never cross one
         self.line = None if any("\n" in p for p in self.rank) else self._fallback("\n")
         self._alone: dict = {}
-        self.words = WordCache(self._plain)           # key: the word without its mark
+        self.pieces = pa.array(self.bytes_of, pa.large_binary())
+        self.words = LastBlock(self._plain)           # key: the word without its mark
+        cut = f"^$|^ | $|  | \n|{MARK}"               # texts that spaces do not cut into words with one mark each
+        self.uneven = cut if self.line is not None else cut + "|\n"
         self.marked = WordCache(self.encode_words)    # key: the word as marked
 
     # -- one word ---------------------------------------------------------------------------------
@@ -116,6 +124,23 @@ class Codec:
         found = self._alone[pair] = self.merge("".join(want)) == want
         return found
 
+    def _forget(self) -> None:
+        """Start the automaton anew.  A node: nodes by the next character, 0: the end of the text read, 1: pieces there."""
+        self.nodes, self.steps = {"": {0: "", 1: ()}}, 0
+
+    def _step(self, node: dict, char: str) -> dict:
+        """The node after a character: the longest end of the text read that starts a piece; pieces longest first."""
+        if self.steps >= _PAIRS:
+            self._forget()
+        self.steps += 1
+        end = node[0] + char
+        while end and end not in self.heads:
+            end = end[1:]
+        if end not in self.nodes:
+            self.nodes[end] = {0: end, 1: tuple((end[i:], len(end) - i) for i in range(len(end)) if end[i:] in self.rank)}
+        node[char] = self.nodes[end]
+        return node[char]
+
     def _ids(self, pieces: list[str]) -> bytes:
         return b"".join([self.raw.get(p) or self._fallback(p) for p in pieces])
 
@@ -128,7 +153,7 @@ class Codec:
     def encode_words(self, words: list[str]) -> list[bytes]:
         """Ids of distinct marked words, in their order; states are shared along common prefixes."""
         out, last, before = {}, [None], ""           # last[i]: the last piece of word[:i]
-        rank, known, tails = self.rank, self._alone.get, self.tails
+        nodes, known = [self.nodes[""]], self._alone.get
         for word in sorted(words):
             if word.startswith(MARK * 2) or len(word) > 1 << 12:
                 out[word] = self._ids(self.merge(word))
@@ -136,25 +161,19 @@ class Codec:
             k, top = 0, min(len(word), len(before))
             while k < top and word[k] == before[k]:
                 k += 1
-            del last[k + 1:]
-            for end in range(k + 1, len(word) + 1):
-                at, found = end - 1, []               # pieces that end here, shortest first
-                piece = word[at]
-                while True:
-                    if piece in rank:
-                        found.append(piece)
-                    if not at or piece not in tails:
-                        break
-                    at -= 1
-                    piece = word[at:end]
-                for piece in reversed(found):
-                    pair = last[end - len(piece)], piece
+            del last[k + 1:], nodes[k + 1:]
+            node, end = nodes[k], k
+            for char in word[k:]:
+                node, end = node.get(char) or self._step(node, char), end + 1
+                nodes.append(node)
+                for piece, size in node[1]:
+                    pair = last[end - size], piece
                     alone = known(pair)
                     if alone or alone is None and self._admissible(pair):
                         last.append(piece)
                         break
                 else:                                 # a character outside the model
-                    last.append(word[end - 1])
+                    last.append(char)
             before = word
             path, at = [], len(word)
             while at:
@@ -163,24 +182,43 @@ class Codec:
             out[word] = self._ids(path[::-1])
         return [out[w] for w in words]
 
-    def _plain(self, words: list[str]) -> list[bytes]:
+    def _plain(self, words: list[str]) -> Ragged:
         """Words as they stand between spaces; one that starts a line has its newline in front, and no mark."""
-        marked = [MARK + w if w[:1] != "\n" else w[1:] for w in words]
-        return [self.line + i if w[:1] == "\n" else i for w, i in zip(words, self.encode_words(marked))]
+        ids = self.encode_words([MARK + w if w[:1] != "\n" else w[1:] for w in words])
+        return Ragged.of([self.line + i if w[:1] == "\n" else i for w, i in zip(words, ids)])
 
     # -- texts ------------------------------------------------------------------------------------
-    def encode(self, texts: list[str]) -> list[bytes]:
-        simple = [None if not t or "  " in t or " \n" in t or t[0] == " " or t[-1] == " " or MARK in t
-                  or self.line is None and "\n" in t else t.replace("\n", " \n").split(" ") for t in texts]
-        other = [_WORD.findall(MARK + t.replace(" ", MARK)) if s is None and t else [] for t, s in zip(texts, simple)]
-        self.words.need(set().union(*(s for s in simple if s)))
+    def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
+        if isinstance(texts, list):
+            texts = pa.array(texts, pa.string())
+        simple = pc.and_(pc.invert(pc.match_substring_regex(texts, self.uneven)), pc.less(pc.binary_length(texts), _LONG))
+        codes, sizes, words = words_of(texts.filter(simple))
+        plain = joined(self.words.of(words), codes, sizes)
+        simple = simple.to_pylist()
+        other = [_WORD.findall(MARK + t.replace(" ", MARK)) if t else []
+                 for t in texts.filter(pa.array([not s for s in simple], pa.bool_())).to_pylist()]
         self.marked.need(set().union(*other))
-        return [self.words.join(s) if s else self.marked.join(o) for s, o in zip(simple, other)]
+        rest = iter(other)
+        return [next(plain) if s else self.marked.join(next(rest)) for s in simple]
 
     def decode(self, ids) -> str:
-        raw = b"".join(map(self.bytes_of.__getitem__, ids))
+        return self._text(b"".join(map(self.bytes_of.__getitem__, ids)))
+
+    def _text(self, raw: bytes) -> str:
         return (raw[1:] if raw[:1] == b" " else raw).decode("utf-8", "replace")
 
+    def decode_lists(self, ids: pa.ListArray) -> list[str | None]:
+        """:meth:`decode` of each list; a null list gives None."""
+        flat = ids.flatten()
+        if flat.null_count:
+            raise ValueError("a list of ids holds a null")
+        got = self.pieces.take(flat)
+        raw, at = got.buffers()[2], np.frombuffer(got.buffers()[1], np.int64)
+        sizes = pc.list_value_length(ids).fill_null(0).to_numpy()
+        cut = at[np.concatenate([[0], np.cumsum(sizes)])].tolist()
+        raw = raw.to_pybytes() if raw is not None else b""
+        return [self._text(raw[a:b]) if ok else None for a, b, ok in zip(cut, cut[1:], ids.is_valid().to_pylist())]
+
 
 @lru_cache(maxsize=2)
 def codec(path: str) -> Codec:
@@ -191,28 +229,27 @@ def codec(path: str) -> Codec:
 def _encode(path: str):
     def run(batches):
         for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                some = batch.slice(lo, 256)
-                texts = some.column(some.num_columns - 1).to_pylist()
-                ids = codec(path).encode([t or "" for t in texts])
-                ends = np.concatenate([[0], np.cumsum([len(i) // 4 for i in ids])]).astype(np.int32)
-                values = pa.array(np.frombuffer(b"".join(ids), "<i4"))
-                lists = pa.ListArray.from_arrays(pa.array(ends), values)
-                none = pa.array([t is None for t in texts])
-                yield pa.RecordBatch.from_arrays(
-                    [some.column(0), pa.compute.if_else(none, pa.scalar(None, lists.type), lists)], names=["id", "ids"])
+            texts = batch.column(batch.num_columns - 1)
+            for lo, rows in blocks(texts):
+                some = texts.slice(lo, rows)
+                ids = codec(path).encode(some.fill_null(""))
+                for first in range(0, rows, 256):
+                    part = ids[first:first + 256]
+                    ends = np.cumsum([0] + [len(i) // 4 for i in part]).astype(np.int32)
+                    lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(part), "<i4")))
+                    none = some.slice(first, len(part)).is_null()
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(0).slice(lo + first, len(part)), pc.if_else(none, pa.scalar(None, lists.type), lists)],
+                        names=["id", "ids"])
 
     return run
 
 
 def _decode(path: str):
     def run(batches):
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                some = batch.slice(lo, 256)
-                texts = [None if i is None else codec(path).decode(i) for i in some.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*some.columns, pa.array(texts, pa.string())],
-                                                 names=["id", "ids", "text"])
+        for some in few_rows(batches):
+            texts = codec(path).decode_lists(some.column(1))
+            yield pa.RecordBatch.from_arrays([*some.columns, pa.array(texts, pa.string())], names=["id", "ids", "text"])
 
     return run
 

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BLOCK = 16 << 20                             # bytes of text whose words are looked up together
+BLOCK = 4 << 20                              # bytes of text whose words are looked up together
 
 
 class Ragged:
