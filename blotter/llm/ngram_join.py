@@ -48,6 +48,7 @@ _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD
                  0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3],
                 np.uint64)
 _LOW = np.uint64(32)
+_FEW = 1 << 20                               # wanted texts that are found without shuffling all texts
 _TILE_ELEMENTS = 2 << 20                     # of the sets of a block (16 MB)
 
 
@@ -382,7 +383,7 @@ def ngram_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
                          .mapInArrow(_sets(n, percent),
                                      "doc_id long, loc long, uid long, local_uid long, n_shingles long, "
                                      "key binary, sigs binary, low_id long"), "sets")
-    rows = scratch.stage(sets.select("doc_id", "local_uid", "n_shingles"), "rows")
+    rows = scratch.stage(sets.select("doc_id", "loc", "local_uid", "n_shingles"), "rows")
     local = sets.filter("key is not null")
     group = local.groupBy("key").agg(F.min("uid").alias("node"), F.min("low_id").alias("low"))
     nodes = scratch.stage(local.select("key", "uid", "doc_id", "loc").join(group, "key")
@@ -400,25 +401,31 @@ def ngram_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
             .join(name, F.col("uid") == F.col("_u")).select("u", F.col("_node").alias("v"))
             .filter("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
     hubs = scratch.stage(hubs, "hubs")
+    scratch.release()
     wanted = hubs.select(F.col("u").alias("node")).union(hubs.select("v")).distinct()
-    where = (nodes.filter("uid = node").join(wanted, "node", "left_semi")
-             .select("node", F.col("doc_id").alias("_id"), F.col("loc").alias("_loc")))
-    payload = scratch.stage(
-        source.join(where, source.doc_id.eqNullSafe(where._id) & (source["loc"] == where._loc))
-              .select("node", F.col("text").cast("binary"))
-              .mapInArrow(_payload(n), "node long, shingles binary").dropDuplicates(["node"]), "payload")
+    where = scratch.stage(nodes.filter("uid = node").join(wanted, "node", "left_semi")
+                          .select("node", F.col("doc_id").alias("_id"), F.col("loc").alias("_loc")), "where")
+    payload = scratch.stage(_once_a_node(source, where, rows).mapInArrow(_payload(n), "node long, shingles binary"), "payload")
+    scratch.drop("where")
+    scratch.release()
     bits = scratch.stage(payload.mapInArrow(_bitmaps, "node long, n long, bits binary"), "bits")
     near = scratch.stage(_bound(hubs, bits, percent), "near")
+    scratch.release()
     links = scratch.stage(_verify(near, payload, percent, per_hub), "links-0")
+    scratch.release()
     known = scratch.stage(connected_components(links, scratch, "known"), "known")
     scratch.release()
     open_ = scratch.stage(_open_rows(_group_rows(stars, name), known), "open-0")
     first = _tiled(open_, bits, block).mapInArrow(_forest(percent), "u long, v long").distinct()
-    more = scratch.stage(links.union(_verify(scratch.stage(first, "forest"), payload, percent, per_hub)), "links-1")
+    first = scratch.stage(first, "forest")
+    scratch.release()
+    more = scratch.stage(links.union(_verify(first, payload, percent, per_hub)), "links-1")
+    scratch.release()
     known = scratch.stage(connected_components(more, scratch, "grown"), "grown")
     scratch.release()
     open_ = _open_rows(open_.select("sig", "node"), known)       # components only grow: closed groups stay closed
     rest = scratch.stage(_tiled(open_, bits, block).mapInArrow(_still_open(percent), _TILE_KEY), "open-1")
+    scratch.release()
     last = (rest.join(payload, "node").select("sig", "i", "j", "side", "node", "component", "shingles")
             .repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j").mapInArrow(_tiles(percent), "u long, v long"))
     star = known.select(F.col("node").alias("u"), F.col("component").alias("v")).filter("u <> v")
@@ -433,6 +440,24 @@ def ngram_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
                     .alias("component_id")))
 
 
+def _once_a_node(source: DataFrame, where: DataFrame, rows: DataFrame) -> DataFrame:
+    """(node, text as bytes), one row a node; only texts of repeated rows (same id and text) are dealt by node."""
+    few = where.count() <= _FEW
+
+    def texts(at: DataFrame) -> DataFrame:
+        at = F.broadcast(at) if few else at
+        return (source.join(at, source.doc_id.eqNullSafe(at._id) & (source["loc"] == at._loc))
+                .select("node", F.col("text").cast("binary").alias("text")))
+
+    twice = (rows.filter("n_shingles > 0").groupBy(F.col("doc_id").alias("_d"), F.col("loc").alias("_l"))
+             .count().filter("count > 1").drop("count"))
+    if twice.isEmpty():
+        return texts(where)
+    repeated = where._id.eqNullSafe(twice._d) & (where._loc == twice._l)
+    return (texts(where.join(twice, repeated, "left_anti"))
+            .union(texts(where.join(twice, repeated, "left_semi")).dropDuplicates(["node"])))
+
+
 def _group_rows(stars: DataFrame, name: DataFrame) -> DataFrame:
     """(sig, node): the distinct sets of each group of documents with an equal segment."""
     return (stars.select("sig", "uid").union(stars.select("sig", F.col("hub").alias("uid"))).distinct()

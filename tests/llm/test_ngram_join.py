@@ -3,7 +3,8 @@ import random
 import numpy as np
 import pytest
 
-from blotter.llm.ngram_join import Bands, bitmap, fold, keep_one_per_component, linked, ngram_components, possible, shingles
+from blotter.llm.ngram_join import (Bands, _once_a_node, bitmap, fold, keep_one_per_component, linked, ngram_components,
+                                    possible, shingles)
 
 SCHEMA = "doc_id long, text string"
 
@@ -140,3 +141,22 @@ def test_very_long_set_has_few_keys():
 def test_only_equal_sets_link_at_100():
     a, b = np.arange(50, dtype=np.uint64), np.arange(51, dtype=np.uint64)
     assert linked(a, a, 100) and not linked(a, b, 100) and len(Bands(100).signatures(a)) == 0
+
+
+def test_texts_are_read_once_a_node_and_not_shuffled_by_it(spark):
+    """Sets are built from unrepeated texts as they are joined; only repeated rows are dealt by node."""
+    def once(texts):
+        source = spark.createDataFrame([(d, t, hash(t)) for d, t in texts], "doc_id long, text string, loc long")
+        rows = source.selectExpr("doc_id", "loc", "0L AS local_uid", "1L AS n_shingles")
+        at = {(d, hash(t)): k for k, (d, t) in enumerate(texts)}
+        where = spark.createDataFrame([(k, d, loc) for (d, loc), k in at.items()], "node long, _id long, _loc long")
+        got = _once_a_node(source, where, rows)
+        assert sorted((k, bytes(t).decode()) for k, t in got.collect()) == sorted(
+            (k, t) for (d, loc), k in at.items() for t in {t for e, t in texts if (e, hash(t)) == (d, loc)})
+        return got._jdf.queryExecution().analyzed().toString()
+
+    assert "Deduplicate" not in once([(1, "a b"), (2, "a b"), (None, "a b"), (1, "c")])
+    assert "Deduplicate" in once([(1, "a b"), (1, "a b"), (None, "c"), (None, "c"), (None, "c"), (2, "c"), (1, "c")])
+    everything = [(1, "a b c d e f"), (1, "a b c d e f"), (2, "a b c d e f g"), (None, "a b c d e f"), (None, None), (3, "a b c d e f")]
+    df = spark.createDataFrame(everything, SCHEMA)
+    assert sorted(map(tuple, ngram_components(df, 2, 70).collect()), key=str) == brute(everything, 2, 70)
