@@ -14,14 +14,17 @@ array.  Two documents link when 100 * |A & B| >= percent * |A | B|.
 * **Hubs.**  Documents with an equal segment form a group (a tile).  Each is
   first tested against the group's smallest row, by bit counts and then
   exactly, which is linear in the group and settles groups of true near copies.
-* **Tiles.**  Groups that still hold several components are cut into blocks of
-  bounded rows and bytes; in each block pair, the bit counts of hashed bitmaps
-  bound the overlap from above: |A & B| <= (|A| + |B| - popcount(a ^ b)) / 2.
-  Of the pairs left, each tile first names a spanning forest of its components,
-  which is tested on the sorted arrays.  Rows that may still link to another
-  component bring their arrays to the tile; pairs are tested there unless their
-  components have met, and only links that join two components leave it.
-* Equal sets are represented once, so groups of copies are never expanded.
+* **Tiles.**  Groups that still hold several components, one of those with the
+  same rows, are cut into blocks of bounded rows and bytes; in each block pair,
+  the bit counts of hashed bitmaps bound the overlap from above:
+  |A & B| <= (|A| + |B| - popcount(a ^ b)) / 2.  Of the pairs left, each tile
+  first names a spanning forest of its components, which is tested on the sorted
+  arrays, and its rows that may link to another component; tiles with the same
+  such rows become one.  Those that still may bring their arrays to the tile;
+  pairs are tested there unless their components have met, and only links that
+  join two components leave it.
+* Equal sets have one name, a hash of their elements (checked to be theirs
+  alone), so they are represented once and groups of copies are never expanded.
 
 A tile returns fewer links than it has rows, and no pair list of a group is ever written; hubs are salted by the number
 of their partners, blocks bound each tile.
@@ -50,6 +53,8 @@ _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD
 _LOW = np.uint64(32)
 _FEW = 1 << 20                               # wanted texts that are found without shuffling all texts
 _TILE_ELEMENTS = 2 << 20                     # of the sets of a block (16 MB)
+_FEW_ROWS = 1 << 18                          # rows that are sent to the sets rather than the sets to them
+_WIDE = 1024                                 # rows with a text, set or bitmap that Python gets in a batch
 
 
 def shingles(text: bytes | None, n: int) -> np.ndarray:
@@ -143,31 +148,77 @@ def _sets(n: int, percent: int):
 
 
 def _entries(batches):
-    for batch in batches:
-        uids = batch.column(0).to_numpy()
+    for batch in few_rows(batches, 4096):
+        nodes = batch.column(0).to_numpy()
         sigs = [np.frombuffer(b, np.int64) for b in batch.column(1).to_pylist()]
         for lo in range(0, len(sigs), 256):
             part = sigs[lo:lo + 256]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate(part)),
-                 pa.array(np.repeat(uids[lo:lo + 256], [len(x) for x in part]))], names=["sig", "uid"])
+                 pa.array(np.repeat(nodes[lo:lo + 256], [len(x) for x in part]))], names=["sig", "node"])
+
+
+_STAR = [("sig", pa.int64()), ("hub", pa.int64()), ("node", pa.int64()), ("more", pa.bool_()), ("k", pa.int64()),
+         ("h0", pa.int64()), ("h1", pa.int64())]
+
+
+def _star_rows(rows: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*rows), _STAR)], names=[x for x, _ in _STAR])
 
 
 def _stars(batches):
-    """Sorted (sig, uid) rows -> (sig, hub, uid) for every row but the first of its group."""
-    sig0 = hub0 = None
+    """Sorted (sig, node) rows -> (sig, hub, node, more) for every node but the first of its group.
+
+    ``more`` marks groups of three nodes or more; each of them adds one row
+    without a node, with its size and two sums that name its set of nodes.
+    """
+    sig0 = hub0 = node0 = held = None             # the open group, its hub, its last node, its second one until a third comes
+    k0, h0 = 0, np.zeros(2, np.uint64)            # its size and sums
+
+    def closed():
+        if held is not None:
+            return [(sig0, hub0, held, False, None, None, None)]
+        return [(sig0, hub0, None, True, k0, *h0.view(np.int64).tolist())] if k0 > 2 else []
+
     for batch in batches:
-        sig, uid = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        sig, node = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        if not len(sig):
+            continue
+        fresh = np.r_[sig[0] != sig0 or node[0] != node0, (sig[1:] != sig[:-1]) | (node[1:] != node[:-1])]
+        sig, node = sig[fresh], node[fresh]       # copies go
         if not len(sig):
             continue
-        new = np.r_[sig[0] != sig0 if sig0 is not None else True, sig[1:] != sig[:-1]]
-        first = np.maximum.accumulate(np.where(new, np.arange(len(sig)), -1))
-        hub = np.where(first >= 0, uid[first], hub0 if hub0 is not None else 0)
-        sig0, hub0 = sig[-1], hub[-1]
-        keep = ~new & (uid != hub)
-        if keep.any():
+        at = np.flatnonzero(np.r_[True, sig[1:] != sig[:-1]])
+        here = np.diff(np.r_[at, len(sig)])
+        hub, size = node[at], here.copy()
+        sums = np.stack([mix64(node.view(np.uint64) ^ x) for x in _ODD[5:7]])
+        h = np.add.reduceat(sums, at, axis=1)
+        keep = np.ones(len(sig), bool)
+        if sig[0] == sig0:
+            rows = [(sig0, hub0, held, True, None, None, None)] if held is not None else []
+            hub[0] = hub0
+            size[0] += k0
+            h[:, 0] += h0
+            keep[at[1:]] = False
+        else:
+            rows = closed()
+            keep[at] = False
+        held = None
+        if size[-1] == 2:
+            held, keep[-1] = int(node[-1]), False
+        if rows:
+            yield _star_rows(rows)
+        group = np.repeat(np.arange(len(at)), here)[keep]
+        big = np.flatnonzero(size[:-1] > 2)
+        of = np.r_[group, big]
+        if len(of):
+            row, whole = np.arange(len(of)) >= len(group), [size, *h.view(np.int64)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(sig[keep]), pa.array(hub[keep]), pa.array(uid[keep])], names=["sig", "hub", "uid"])
+                [pa.array(sig[at][of]), pa.array(hub[of]), pa.array(np.r_[node[keep], hub[big]], mask=row), pa.array(size[of] > 2),
+                 *(pa.array(x[of], mask=~row) for x in whole)], names=[x for x, _ in _STAR])
+        sig0, hub0, node0, k0, h0 = int(sig[-1]), int(hub[-1]), int(node[-1]), int(size[-1]), h[:, -1].copy()
+    if rows := closed():
+        yield _star_rows(rows)
 
 
 def _payload(n: int):
@@ -271,9 +322,9 @@ def _by_tile(batches, work, schema: list[tuple]):
 
 
 _LINK = [("u", pa.int64()), ("v", pa.int64())]
-_TILE_ROW = [("sig", pa.int64()), ("i", pa.int32()), ("j", pa.int32()), ("side", pa.int32()), ("node", pa.int64()),
-             ("component", pa.int64())]
-_TILE_KEY = "sig long, i int, j int, side int, node long, component long"
+_TILE_ROW = [("sig", pa.int64()), ("i", pa.int64()), ("j", pa.int64()), ("side", pa.int32()), ("node", pa.int64()),
+             ("other", pa.int64())]
+_TILE_KEY = "sig long, i long, j long, side int, node long, other long"
 
 
 def _columns(tile: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -281,31 +332,27 @@ def _columns(tile: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _forest(percent: int):
-    """Tiles of (side, node, component, n, bits) -> pairs that the bit counts allow, a spanning forest of the components."""
+    """Tiles of (side, node, component, n, bits) -> with an ``other`` node: pairs that the bit counts allow, a spanning
+    forest of the components; without: the rows that may link to a row of another component, in a tile named by them."""
     def work(key, tile):
         side, node, comp = _columns(tile)
         n, bits = np.array([r[3] for r in tile], np.int64), _stacked([np.frombuffer(r[4], np.uint64) for r in tile])
+        now, may = comp.copy(), np.zeros(len(tile), bool)
+        one = key[1] == key[2]
         for i in range(len(tile) - 1):
-            for j in _likely(i, n, bits, (comp != comp[i]) & ((key[1] == key[2]) | (side != side[i])), percent):
-                if comp[j] != comp[i]:
-                    comp[comp == comp[j]] = comp[i]
-                    yield tuple(sorted((int(node[i]), int(node[j]))))
-
-    return lambda batches: _by_tile(batches, work, _LINK)
-
-
-def _still_open(percent: int):
-    """Tiles of (side, node, component, n, bits) -> their rows that may link to a row of another component."""
-    def work(key, tile):
-        side, node, comp = _columns(tile)
-        n, bits = np.array([r[3] for r in tile], np.int64), _stacked([np.frombuffer(r[4], np.uint64) for r in tile])
-        may = np.zeros(len(tile), bool)
-        for i in range(len(tile) - 1):
-            js = _likely(i, n, bits, (comp != comp[i]) & ((key[1] == key[2]) | (side != side[i])), percent)
+            js = _likely(i, n, bits, (comp != comp[i]) & (one | (side != side[i])), percent)
             may[js] = True
             may[i] |= bool(js)
-        for k in np.flatnonzero(may):
-            yield (*key, int(side[k]), int(node[k]), int(comp[k]))
+            for j in js:
+                if now[j] != now[i]:
+                    now[now == now[j]] = now[i]
+                    yield (*key, None, *sorted((int(node[i]), int(node[j]))))
+        rows = np.flatnonzero(may)
+        part = np.zeros(len(rows), np.int64) if one else (side[rows] != side.min()).astype(np.int64)
+        mixed = mix64(node[rows].view(np.uint64) ^ _ODD[5]) + part.view(np.uint64)
+        name, of = (int(mix64(mixed * x).sum().view(np.int64)) for x in _ODD[:2])
+        for k, p in zip(rows, part):
+            yield name, of, of if one else ~of, int(p), int(node[k]), None
 
     return lambda batches: _by_tile(batches, work, _TILE_ROW)
 
@@ -350,16 +397,21 @@ def _bound(pairs: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
             .mapInArrow(_bounded(percent), "u long, v long"))
 
 
-def _verify(pairs: DataFrame, payload: DataFrame, percent: int, per_hub: int) -> DataFrame:
+def _beside(rows: DataFrame, wide: DataFrame) -> DataFrame:
+    """The rows (a written table) with the wide columns of their node; few rows go to the wide ones, which stay in place."""
+    return wide.join(F.broadcast(rows) if rows.count() <= _FEW_ROWS else rows, "node")
+
+
+def _verify(pairs: DataFrame, payload: DataFrame, percent: int, per_hub: int, scratch: Scratch, name: str) -> DataFrame:
     """The pairs (u, v) whose sets link.  Each hub u meets at most about ``per_hub`` partners a task."""
     salts = pairs.groupBy("u").agg(F.ceil(F.count("*") / per_hub).cast("int").alias("salts"))
-    dealt = pairs.join(salts, "u").withColumn("salt", F.pmod(F.hash("v"), "salts"))
-    data = payload.select(F.col("node").alias("v"), "shingles")
-    partner = dealt.join(data, "v").select("u", "salt", F.lit(1).alias("role"), "v", "shingles")
-    hub = (salts.select("u", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
-                        F.lit(0).alias("role"), F.col("u").alias("v")).join(data, "v")
-           .select("u", "salt", "role", "v", "shingles"))
-    return (hub.union(partner).repartition("u", "salt").sortWithinPartitions("u", "salt", "role", "v")
+    partner = (pairs.join(salts, "u").withColumn("salt", F.pmod(F.hash("v"), "salts"))
+               .select("u", "salt", F.lit(1).alias("role"), F.col("v").alias("node")))
+    hub = salts.select("u", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
+                       F.lit(0).alias("role"), F.col("u").alias("node"))
+    dealt = _beside(scratch.stage(hub.union(partner), name), payload)
+    return (dealt.select("u", "salt", "role", "node", "shingles")
+            .repartition("u", "salt").sortWithinPartitions("u", "salt", "role", "node")
             .mapInArrow(_exact(percent), "u long, v long"))
 
 
@@ -384,55 +436,53 @@ def ngram_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
                                      "doc_id long, loc long, uid long, local_uid long, n_shingles long, "
                                      "key binary, sigs binary, low_id long"), "sets")
     rows = scratch.stage(sets.select("doc_id", "loc", "local_uid", "n_shingles"), "rows")
-    local = sets.filter("key is not null")
-    group = local.groupBy("key").agg(F.min("uid").alias("node"), F.min("low_id").alias("low"))
-    nodes = scratch.stage(local.select("key", "uid", "doc_id", "loc").join(group, "key")
-                          .select("uid", "node", "low", "doc_id", "loc"), "nodes")
+    nodes, named = _named(sets, scratch)
     stars = scratch.stage(
-        sets.filter("sigs is not null and length(sigs) > 0").select("uid", "sigs")
-            .mapInArrow(_entries, "sig long, uid long")
-            .repartition("sig").sortWithinPartitions("sig", "uid")
-            .mapInArrow(_stars, "sig long, hub long, uid long"), "stars")
+        named.filter("length(sigs) > 0").select("node", "sigs")
+             .mapInArrow(_entries, "sig long, node long")
+             .repartition("sig").sortWithinPartitions("sig", "node")
+             .mapInArrow(_stars, "sig long, hub long, node long, more boolean, k long, h0 long, h1 long"), "stars")
     scratch.drop("sets")                     # the signatures are no longer needed
     scratch.release()
-    name = nodes.select(F.col("uid").alias("_u"), F.col("node").alias("_node"))
-    hubs = (stars.select("hub", "uid").distinct()
-            .join(name, F.col("hub") == F.col("_u")).drop("_u").withColumnRenamed("_node", "u")
-            .join(name, F.col("uid") == F.col("_u")).select("u", F.col("_node").alias("v"))
-            .filter("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
-    hubs = scratch.stage(hubs, "hubs")
+    hubs = scratch.stage(stars.filter("node is not null").select(F.col("hub").alias("u"), F.col("node").alias("v")).distinct(),
+                         "hubs")
     scratch.release()
     wanted = hubs.select(F.col("u").alias("node")).union(hubs.select("v")).distinct()
-    where = scratch.stage(nodes.filter("uid = node").join(wanted, "node", "left_semi")
-                          .select("node", F.col("doc_id").alias("_id"), F.col("loc").alias("_loc")), "where")
-    payload = scratch.stage(_once_a_node(source, where, rows).mapInArrow(_payload(n), "node long, shingles binary"), "payload")
+    where = scratch.stage(nodes.join(wanted, "node", "left_semi").groupBy("node")
+                          .agg(F.max("doc_id").alias("_id"), F.coalesce(F.max_by("loc", "doc_id"), F.max("loc")).alias("_loc")),
+                          "where")
+    payload = scratch.stage(_once_a_node(source, where, rows).mapInArrow(_payload(n), "node long, shingles binary"), "payload", _WIDE)
     scratch.drop("where")
     scratch.release()
-    bits = scratch.stage(payload.mapInArrow(_bitmaps, "node long, n long, bits binary"), "bits")
-    near = scratch.stage(_bound(hubs, bits, percent), "near")
+    bits = scratch.stage(payload.mapInArrow(_bitmaps, "node long, n long, bits binary"), "bits", _WIDE)
+    near = scratch.stage(_bound(hubs, bits, percent), "near", _WIDE)
     scratch.release()
-    links = scratch.stage(_verify(near, payload, percent, per_hub), "links-0")
+    links = scratch.stage(_verify(near, payload, percent, per_hub, scratch, "meet-0"), "links-0", _WIDE)
     scratch.release()
     known = scratch.stage(connected_components(links, scratch, "known"), "known")
     scratch.release()
-    open_ = scratch.stage(_open_rows(_group_rows(stars, name), known), "open-0")
-    first = _tiled(open_, bits, block).mapInArrow(_forest(percent), "u long, v long").distinct()
-    first = scratch.stage(first, "forest")
+    open_ = scratch.stage(_open_rows(stars, hubs, known), "open-0")
     scratch.release()
-    more = scratch.stage(links.union(_verify(first, payload, percent, per_hub)), "links-1")
+    first = scratch.stage(_tiled(_in_components(open_, known), bits, block).mapInArrow(_forest(percent), _TILE_KEY), "forest", _WIDE)
+    scratch.release()
+    likely = first.filter("other is not null").select(F.col("node").alias("u"), F.col("other").alias("v")).distinct()
+    more = scratch.stage(links.union(_verify(likely, payload, percent, per_hub, scratch, "meet-1")), "links-1", _WIDE)
     scratch.release()
     known = scratch.stage(connected_components(more, scratch, "grown"), "grown")
     scratch.release()
-    open_ = _open_rows(open_.select("sig", "node"), known)       # components only grow: closed groups stay closed
-    rest = scratch.stage(_tiled(open_, bits, block).mapInArrow(_still_open(percent), _TILE_KEY), "open-1")
+    may = first.filter("other is null").drop("other").distinct()      # components only grow: no other row can be open
+    rest = (_in_components(may, known).join(bits, "node").select("sig", "i", "j", "side", "node", "component", "n", "bits")
+            .repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j").mapInArrow(_forest(percent), _TILE_KEY))
+    rest = scratch.stage(rest.filter("other is null").drop("other").distinct(), "open-1", _WIDE)
     scratch.release()
-    last = (rest.join(payload, "node").select("sig", "i", "j", "side", "node", "component", "shingles")
+    last = (_beside(scratch.stage(_in_components(rest, known), "last"), payload)
+            .select("sig", "i", "j", "side", "node", "component", "shingles")
             .repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j").mapInArrow(_tiles(percent), "u long, v long"))
     star = known.select(F.col("node").alias("u"), F.col("component").alias("v")).filter("u <> v")
-    more = scratch.stage(star.union(last), "links-2")
+    more = scratch.stage(star.union(last), "links-2", _WIDE)
     comp = connected_components(more, scratch, "all")
     member = nodes.join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    least = member.groupBy("component").agg(F.min("low").alias("component_id"))
+    least = member.groupBy("component").agg(F.min("low_id").alias("component_id"))
     by_row = member.join(least, "component").select(F.col("uid").alias("local_uid"), "component_id")
     return (rows.join(by_row, "local_uid", "left")
             .select("doc_id", "n_shingles",
@@ -440,6 +490,24 @@ def ngram_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
                     .alias("component_id")))
 
 
+def _name(seed: int):
+    return F.xxhash64("key", F.lit(seed))
+
+
+def _named(sets: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """(uid, node, low_id, doc_id, loc) of each set of a batch, and the sets with their node: a 64-bit hash of the
+    128-bit key, taken anew with another seed should two keys ever share one."""
+    seed = 0
+    while True:
+        named = sets.filter("key is not null").withColumn("node", _name(seed))
+        nodes = scratch.stage(named.select("uid", "node", "low_id", "doc_id", "loc", F.xxhash64("key", F.lit(-1)).alias("check")),
+                              f"nodes-{seed}")
+        if nodes.groupBy("node").agg(F.min("check").alias("a"), F.max("check").alias("b")).filter("a <> b").isEmpty():
+            return nodes.drop("check"), named
+        scratch.drop(f"nodes-{seed}")
+        seed += 1
+
+
 def _once_a_node(source: DataFrame, where: DataFrame, rows: DataFrame) -> DataFrame:
     """(node, text as bytes), one row a node; only texts of repeated rows (same id and text) are dealt by node."""
     few = where.count() <= _FEW
@@ -458,22 +526,22 @@ def _once_a_node(source: DataFrame, where: DataFrame, rows: DataFrame) -> DataFr
             .union(texts(where.join(twice, repeated, "left_semi")).dropDuplicates(["node"])))
 
 
-def _group_rows(stars: DataFrame, name: DataFrame) -> DataFrame:
-    """(sig, node): the distinct sets of each group of documents with an equal segment."""
-    return (stars.select("sig", "uid").union(stars.select("sig", F.col("hub").alias("uid"))).distinct()
-            .join(name, F.col("uid") == F.col("_u")).select("sig", F.col("_node").alias("node")).distinct())
+def _in_components(rows: DataFrame, known: DataFrame) -> DataFrame:
+    return rows.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
 
-def _open_rows(rows: DataFrame, known: DataFrame) -> DataFrame:
-    """(sig, node, component) of the groups of three or more rows that hold several components."""
-    rows = rows.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    groups = (rows.groupBy("sig")
-              .agg(F.count("*").alias("k"), F.min("component").alias("c0"), F.max("component").alias("c1"),
-                   F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("h0"),
-                   F.sum(F.xxhash64("node", F.lit(7)).cast("decimal(38,0)")).alias("h1"))
-              .filter("k > 2 and c0 <> c1")
-              .groupBy("k", "h0", "h1").agg(F.min("sig").alias("sig")))     # one of the groups with the same rows
-    return rows.join(groups.select("sig"), "sig").select("sig", "node", "component")
+def _open_rows(stars: DataFrame, hubs: DataFrame, known: DataFrame) -> DataFrame:
+    """(sig, node) of the groups of three or more nodes that hold several components, one of those with the same nodes."""
+    ends = known.select(F.col("node").alias("u"), F.col("component").alias("_cu")), known.select(
+        F.col("node").alias("v"), F.col("component").alias("_cv"))
+    apart = (hubs.join(ends[0], "u", "left").join(ends[1], "v", "left")
+             .filter(F.coalesce("_cu", "u") != F.coalesce("_cv", "v")).select(F.col("u").alias("hub"), F.col("v").alias("node")))
+    many = stars.filter("more and node is not null").select("sig", "hub", "node")
+    several = many.join(apart, ["hub", "node"], "left_semi").select("sig").distinct()
+    groups = (stars.filter("k is not null").join(several, "sig", "left_semi")
+              .groupBy("hub", "k", "h0", "h1").agg(F.min("sig").alias("sig")).select("sig", "hub"))
+    return (many.join(groups.select("sig"), "sig", "left_semi").select("sig", "node")
+            .union(groups.select("sig", F.col("hub").alias("node"))))
 
 
 def _tiled(rows: DataFrame, bits: DataFrame, block: int) -> DataFrame:
@@ -483,7 +551,7 @@ def _tiled(rows: DataFrame, bits: DataFrame, block: int) -> DataFrame:
                                       .cast("int").alias("blocks"))
     dealt = (sized.join(blocks, "sig").withColumn("b", F.pmod(F.hash("node"), "blocks"))
              .withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .select("sig", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j"),
+             .select("sig", F.least("b", "o").cast("long").alias("i"), F.greatest("b", "o").cast("long").alias("j"),
                      F.col("b").alias("side"), "node", "component").join(bits, "node")
              .select("sig", "i", "j", "side", "node", "component", "n", "bits"))
     return dealt.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j")
@@ -500,7 +568,7 @@ def keep_one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: st
     comp = ngram_components(docs, n, percent, id_col, text_col, scratch=scratch)
     kept = free_names(docs, "_keep")[0]
     keep = scratch.stage(comp.filter("doc_id <=> component_id").select(F.col("doc_id").alias(kept)).distinct(), "keep")
-    for written in ("rows", "nodes", "stars", "hubs", "payload", "bits", "near", "links-0", "known", "open-0", "forest",
-                    "links-1", "grown", "open-1", "links-2"):
+    for written in ("rows", "nodes-0", "stars", "hubs", "payload", "bits", "near", "meet-0", "links-0", "known", "open-0",
+                    "forest", "meet-1", "links-1", "grown", "open-1", "last", "links-2"):
         scratch.drop(written)
     return docs.join(keep, docs[id_col].cast("long").eqNullSafe(F.col(kept)), "left_semi")

@@ -160,3 +160,92 @@ def test_texts_are_read_once_a_node_and_not_shuffled_by_it(spark):
     everything = [(1, "a b c d e f"), (1, "a b c d e f"), (2, "a b c d e f g"), (None, "a b c d e f"), (None, None), (3, "a b c d e f")]
     df = spark.createDataFrame(everything, SCHEMA)
     assert sorted(map(tuple, ngram_components(df, 2, 70).collect()), key=str) == brute(everything, 2, 70)
+
+
+def _groups(batches):
+    """What _stars should say of (sig, node) rows: {sig: (hub, other nodes)}."""
+    groups = {}
+    for rows in batches:
+        for s, v in rows:
+            groups.setdefault(s, set()).add(v)
+    return {s: (min(vs), sorted(vs - {min(vs)})) for s, vs in groups.items() if len(vs) > 1}
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 7, 1000])
+def test_stars_name_groups_across_batches(size):
+    """Copies collapse; groups of three or more nodes add one row with a name that only equal groups share."""
+    from blotter.llm.ngram_join import _stars
+    import pyarrow as pa
+    rng = random.Random(size)
+    rows = [(s, v) for s in range(-20, 60) for v in rng.sample(range(-9, 9), rng.choice([1, 1, 2, 2, 3, 4, 9]))
+            for _ in range(rng.choice([1, 1, 1, 4]))]
+    rows += [(s, v) for s in (70, 71) for v in (-3, 0, 5)]
+    rows.sort()
+    parts = [rows[k:k + size] for k in range(0, len(rows), size)]
+    batches = [pa.RecordBatch.from_arrays([pa.array([r[k] for r in p], pa.int64()) for k in (0, 1)], names=["sig", "node"])
+               for p in parts]
+    out = [tuple(r.values()) for b in _stars(iter(batches)) for r in b.to_pylist()]
+    want = _groups(parts)
+    assert sorted((s, u, v, more) for s, u, v, more, *_ in out if v is not None) == sorted(
+        (s, u, v, len(vs) > 1) for s, (u, vs) in want.items() for v in vs)
+    whole = {s: (u, k, a, b) for s, u, v, more, k, a, b in out if v is None}
+    assert sorted(whole) == sorted(s for s, (_, vs) in want.items() if len(vs) > 1)
+    assert all((whole[s] == whole[t]) == (want[s] == want[t]) for s in whole for t in whole) and whole[70] == whole[71]
+    assert all(k == len(want[s][1]) + 1 for s, (_, k, _, _) in whole.items())
+
+
+def test_tiles_with_the_same_open_rows_become_one():
+    """Two groups that share their likely rows bring them to one tile, whatever else the groups hold."""
+    from blotter.llm.ngram_join import _forest
+    import pyarrow as pa
+    rng = np.random.default_rng(3)
+    near = np.sort(rng.integers(0, 1 << 63, 330).astype(np.uint64))
+    sets = {1: near[:300], 2: near[20:320], 3: near[30:]} | {
+        k: np.sort(rng.integers(0, 1 << 63, 300).astype(np.uint64)) for k in range(4, 12)}
+    for j in (0, 1):                                   # one block, then a pair of blocks
+        tiles = [(sig, k) for sig, others in ((10, range(4, 8)), (11, range(8, 12))) for k in (1, 2, 3, *others)]
+        cols = {"sig": [s for s, _ in tiles], "i": [0] * len(tiles), "j": [j] * len(tiles),
+                "side": [j * (k % 2) for _, k in tiles], "node": [k for _, k in tiles], "component": [k for _, k in tiles],
+                "n": [len(sets[k]) for _, k in tiles], "bits": [bitmap(sets[k]).tobytes() for _, k in tiles]}
+        out = [tuple(r.values()) for b in _forest(80)(iter([pa.RecordBatch.from_pydict(cols)])) for r in b.to_pylist()]
+        may = [r[:5] for r in out if r[5] is None]
+        assert len(may) == 6 and len(set(may)) == 3 and {r[4] for r in may} == {1, 2, 3}
+        assert {(a == b) for _, a, b, _, _ in may} == {j == 0}
+        assert {(u, v) for *_, u, v in out if v is not None} == ({(1, 2), (2, 3)} if j else {(1, 2), (1, 3)})
+
+
+def test_two_keys_never_share_a_node(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    from blotter.llm import ngram_join
+    rng = random.Random(9)
+    rows = near_copies(rng, 20)
+    wide = ngram_join._name
+    monkeypatch.setattr(ngram_join, "_name", lambda seed: F.pmod(wide(seed), F.lit(4)) if seed < 2 else wide(seed))
+    got = ngram_components(spark.createDataFrame(rows, SCHEMA), 4, 85)
+    assert sorted(map(tuple, got.collect()), key=str) == brute(rows, 4, 85)
+
+
+def test_wide_rows_reach_python_few_at_a_time(spark):
+    from blotter.llm.common import Scratch
+    def lengths(batches):
+        import pyarrow as pa
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"n": [b.num_rows]})
+
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, scratch = spark.conf.get(name), Scratch(spark, "wide")
+    few = scratch.stage(spark.range(0, 5000, 1, 1).mapInArrow(lengths, "n long"), "few", 1024)
+    assert [r.n for r in few.collect()] == [1024] * 4 + [904] and spark.conf.get(name) == before
+
+
+def test_sets_stay_in_place_while_few_rows_want_them(spark, monkeypatch, tmp_path):
+    from blotter.llm import ngram_join
+    sets = spark.createDataFrame([(k, bytes([k])) for k in range(50)], "node long, shingles binary")
+    spark.createDataFrame([(k % 7, k) for k in range(20)], "node long, u long").write.parquet(f"{tmp_path}/rows")
+    rows, seen = spark.read.parquet(f"{tmp_path}/rows"), []
+    for few, hint in ((20, True), (19, False)):
+        monkeypatch.setattr(ngram_join, "_FEW_ROWS", few)
+        got = ngram_join._beside(rows, sets)
+        assert ("broadcast" in got._jdf.queryExecution().logical().toString()) == hint
+        seen.append(sorted((r.node, r.u, bytes(r.shingles)) for r in got.collect()))
+    assert seen[0] == seen[1] == sorted((k % 7, k, bytes([k % 7])) for k in range(20))
