@@ -13,9 +13,13 @@ array.  Two documents link when 100 * |A & B| >= percent * |A | B|.
   the threshold allows.  A frequent n-gram alone never makes a candidate.
 * **Hubs.**  Documents with an equal segment form a group (a tile).  Each is
   first tested against the group's smallest row, by bit counts and then
-  exactly, which is linear in the group and settles groups of true near copies.
-* **Tiles.**  Groups that still hold several components, one of those with the
-  same rows, are cut into blocks of bounded rows and bytes; in each block pair,
+  exactly, which is linear in the group and settles most groups of true near
+  copies.  Groups that still hold several components, one of those with the
+  same rows, are tested against their row that stands beside most rows in all
+  of them (of a text and its edited copies: the text).
+* **Tiles.**  What is still open is joined by that row, as near copies share
+  most of their segments and would meet in a tile for each (groups stay apart
+  where joining them makes more pairs), and cut into blocks of bounded rows and bytes; in each block pair,
   the bit counts of hashed bitmaps bound the overlap from above:
   |A & B| <= (|A| + |B| - popcount(a ^ b)) / 2.  Of the pairs left, each tile
   first names a spanning forest of its components, which is tested on the sorted
@@ -461,25 +465,32 @@ def ngram_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
     scratch.release()
     known = scratch.stage(connected_components(links, scratch, "known"), "known")
     scratch.release()
-    open_ = scratch.stage(_open_rows(stars, hubs, known), "open-0")
+    spokes = scratch.stage(_central(scratch.stage(_open_rows(stars, hubs, known), "open-0")), "spokes")
     scratch.release()
-    first = scratch.stage(_tiled(_in_components(open_, known), bits, block).mapInArrow(_forest(percent), _TILE_KEY), "forest", _WIDE)
+    again = scratch.stage(_bound(_apart(spokes, known), bits, percent), "again", _WIDE)
+    links = scratch.stage(links.union(_verify(again, payload, percent, per_hub, scratch, "meet-1")), "links-1", _WIDE)
+    scratch.release()
+    known = scratch.stage(connected_components(links, scratch, "met"), "met")
+    scratch.release()
+    open_ = scratch.stage(_several(_in_components(_merged(spokes), known)), "open-1")
+    scratch.release()
+    first = scratch.stage(_tiled(open_, bits, block).mapInArrow(_forest(percent), _TILE_KEY), "forest", _WIDE)
     scratch.release()
     likely = first.filter("other is not null").select(F.col("node").alias("u"), F.col("other").alias("v")).distinct()
-    more = scratch.stage(links.union(_verify(likely, payload, percent, per_hub, scratch, "meet-1")), "links-1", _WIDE)
+    more = scratch.stage(links.union(_verify(likely, payload, percent, per_hub, scratch, "meet-2")), "links-2", _WIDE)
     scratch.release()
     known = scratch.stage(connected_components(more, scratch, "grown"), "grown")
     scratch.release()
     may = first.filter("other is null").drop("other").distinct()      # components only grow: no other row can be open
     rest = (_in_components(may, known).join(bits, "node").select("sig", "i", "j", "side", "node", "component", "n", "bits")
             .repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j").mapInArrow(_forest(percent), _TILE_KEY))
-    rest = scratch.stage(rest.filter("other is null").drop("other").distinct(), "open-1", _WIDE)
+    rest = scratch.stage(rest.filter("other is null").drop("other").distinct(), "open-2", _WIDE)
     scratch.release()
     last = (_beside(scratch.stage(_in_components(rest, known), "last"), payload)
             .select("sig", "i", "j", "side", "node", "component", "shingles")
             .repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j").mapInArrow(_tiles(percent), "u long, v long"))
     star = known.select(F.col("node").alias("u"), F.col("component").alias("v")).filter("u <> v")
-    more = scratch.stage(star.union(last), "links-2", _WIDE)
+    more = scratch.stage(star.union(last), "links-3", _WIDE)
     comp = connected_components(more, scratch, "all")
     member = nodes.join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = member.groupBy("component").agg(F.min("low_id").alias("component_id"))
@@ -544,6 +555,38 @@ def _open_rows(stars: DataFrame, hubs: DataFrame, known: DataFrame) -> DataFrame
             .union(groups.select("sig", F.col("hub").alias("node"))))
 
 
+def _central(rows: DataFrame) -> DataFrame:
+    """(sig, node) -> the same with ``hub``, the group's row that stands beside most rows in all groups, and ``k``, its size."""
+    sized = rows.join(rows.groupBy("sig").agg(F.count("*").alias("k")), "sig")
+    beside = sized.groupBy("node").agg(F.sum("k").alias("_beside"))
+    top = sized.join(beside, "node").groupBy("sig").agg(F.max(F.struct("_beside", "node"))["node"].alias("hub"), F.max("k").alias("k"))
+    return rows.join(top, "sig")
+
+
+def _apart(spokes: DataFrame, known: DataFrame) -> DataFrame:
+    """The pairs (u, v) of a hub and a row of another component."""
+    pairs = spokes.select(F.col("hub").alias("u"), "node").distinct()
+    ends = known.select(F.col("node").alias("u"), F.col("component").alias("_cu"))
+    return (_in_components(pairs, known).join(ends, "u", "left").filter(F.coalesce("_cu", "u") != F.col("component"))
+            .select("u", F.col("node").alias("v")))
+
+
+def _merged(spokes: DataFrame) -> DataFrame:
+    """(sig, node): the groups of a hub become one, named by it, unless that has more pairs than they have together."""
+    groups = spokes.select("sig", "hub", "k").distinct()
+    apart = groups.groupBy("hub").agg(F.sum(F.col("k") * F.col("k")).alias("_apart"))
+    union = spokes.select("hub", "node").distinct().groupBy("hub").agg(F.count("*").alias("_all"))
+    name = F.when(F.col("_all") * F.col("_all") <= F.col("_apart"), F.xxhash64("hub")).otherwise(F.col("sig"))
+    names = groups.join(apart.join(union, "hub"), "hub").select("sig", name.alias("_name"))
+    return spokes.join(names, "sig").select(F.col("_name").alias("sig"), "node").distinct()
+
+
+def _several(rows: DataFrame) -> DataFrame:
+    """The rows (sig, node, component) of the groups that hold several components."""
+    several = rows.groupBy("sig").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a <> b")
+    return rows.join(several.select("sig"), "sig", "left_semi")
+
+
 def _tiled(rows: DataFrame, bits: DataFrame, block: int) -> DataFrame:
     """The rows with their bitmaps, dealt to pairs of blocks of their group and sorted by tile."""
     sized = rows.join(bits.select("node", F.col("n").alias("_n")), "node")
@@ -569,6 +612,7 @@ def keep_one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: st
     kept = free_names(docs, "_keep")[0]
     keep = scratch.stage(comp.filter("doc_id <=> component_id").select(F.col("doc_id").alias(kept)).distinct(), "keep")
     for written in ("rows", "nodes-0", "stars", "hubs", "payload", "bits", "near", "meet-0", "links-0", "known", "open-0",
-                    "forest", "meet-1", "links-1", "grown", "open-1", "last", "links-2"):
+                    "spokes", "again", "meet-1", "links-1", "met", "open-1", "forest", "meet-2", "links-2", "grown", "open-2",
+                    "last", "links-3"):
         scratch.drop(written)
     return docs.join(keep, docs[id_col].cast("long").eqNullSafe(F.col(kept)), "left_semi")

@@ -249,3 +249,45 @@ def test_sets_stay_in_place_while_few_rows_want_them(spark, monkeypatch, tmp_pat
         assert ("broadcast" in got._jdf.queryExecution().logical().toString()) == hint
         seen.append(sorted((r.node, r.u, bytes(r.shingles)) for r in got.collect()))
     assert seen[0] == seen[1] == sorted((k % 7, k, bytes([k % 7])) for k in range(20))
+
+
+def test_near_copies_of_a_text_fill_no_tiles(spark, monkeypatch):
+    """Edited copies link by their text, not by each other: they settle there and not in a tile a segment."""
+    from blotter.llm.common import Scratch
+    made, stage = {}, Scratch.stage
+
+    def counted(self, df, table, rows=None):
+        out = stage(self, df, table, rows)
+        made[table] = out.count()
+        return out
+
+    monkeypatch.setattr(Scratch, "stage", counted)
+    rng, size = random.Random(12), 120
+    base = [f"w{i}" for i in range(150)]
+    texts = [base, [f"y{i}" for i in range(50)]]
+    for k in range(size):
+        words = list(base)
+        for at in rng.sample(range(5, 145), 3 if k % 9 else 4):
+            words[at] = f"x{k}-{at}"
+        texts.append(words)
+    rng.shuffle(texts)
+    rows = [(d, " ".join(words)) for d, words in enumerate(texts)]
+    got = ngram_components(spark.createDataFrame(rows, SCHEMA), 5, 80, block=16)
+    assert sorted(map(tuple, got.collect()), key=str) == brute(rows, 5, 80)
+    assert made["open-0"] > 10 * size and made["forest"] < 2 * size
+
+
+@pytest.mark.parametrize("others,names", [(0, 1), (30, 3)])
+def test_groups_of_a_hub_are_joined_where_that_makes_no_more_pairs(spark, others, names):
+    """Three groups of one hub: as one if they hold the same rows, apart if each has rows of its own."""
+    from blotter.llm.ngram_join import _central, _merged
+    rows = [(sig, node) for sig in (1, 2, 3) for node in (5, 6, 7, 8, *range(100 * sig, 100 * sig + others))
+            if sig < 3 or node != 8] + [(4, 5), (4, 900), (4, 901)]
+    spokes = _central(spark.createDataFrame(rows, "sig long, node long"))
+    assert {r.hub for r in spokes.filter("sig < 4").collect()} <= {5, 6, 7}
+    groups = {}
+    for r in _merged(spokes).collect():
+        groups.setdefault(r.sig, set()).add(r.node)
+    of = [{v for s, v in rows if s == sig} for sig in (1, 2, 3, 4)]
+    assert all(any(g <= h for h in groups.values()) for g in of)
+    assert sum({5, 6, 7} <= h for h in groups.values()) == names
